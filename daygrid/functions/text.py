@@ -31,4 +31,4 @@ def id_list(raw: Column) -> Column:
     """Ids from a JSON array or a comma-separated text; blanks are dropped."""
     from_array = F.from_json(F.when(F.trim(raw).startswith("["), raw), "array<string>")
     items = F.coalesce(from_array, F.split(raw, ","))
-    return F.filter(F.transform(items, F.trim), lambda item: item != "")
+    return F.filter(F.transform(items, lambda item: F.trim(item)), lambda item: item != "")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-MODULES = ("gold_queries",)
+MODULES = ("gold_queries", "silver_queries", "report_queries", "check_queries", "audit_queries")
 
 
 def load_queries():
