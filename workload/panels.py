@@ -22,39 +22,48 @@ def money(column: str) -> Column:
     return F.col(column).cast("decimal(18,2)")
 
 
-def _panel(rows: DataFrame, value: str, flagged: Column) -> DataFrame:
-    """Price is the largest value of the day, cap the sum, volume the sum of flagged rows."""
+def _panel(rows: DataFrame, prefix: str, number: str, value: str, flagged: Column) -> DataFrame:
+    """Price is the largest value of the day, cap the sum, volume the sum of flagged rows.
+
+    Rows are grouped by the entity number; the id text is built once per panel row.
+    """
     volume = F.sum(F.when(flagged, money(value))).cast("double")
-    return rows.groupBy(ENTITY, DAY).agg(
+    days = rows.groupBy(number, DAY).agg(
         F.max(value).alias("price_usd"),
         F.sum(money(value)).cast("double").alias("market_cap_usd"),
         volume.alias("volume_usd_24hr"),
-        F.lit(None).cast("double").alias("change_percent_24hr"),
         (volume / F.count_if(flagged)).alias("vwap_24hr"),
     )
+    return days.select(
+        F.concat(F.lit(prefix), number).alias(ENTITY),
+        DAY,
+        "price_usd",
+        "market_cap_usd",
+        "volume_usd_24hr",
+        F.lit(None).cast("double").alias("change_percent_24hr"),
+        "vwap_24hr",
+    )
 
 
-def nation_rows(spark: SparkSession, root: str) -> DataFrame:
+def order_rows(spark: SparkSession, root: str) -> DataFrame:
+    """Orders with the nation of their customer."""
     customers = table(spark, root, "customer").select("c_custkey", "c_nationkey")
     orders = table(spark, root, "orders")
     return orders.join(customers, orders.o_custkey == customers.c_custkey).select(
-        F.concat(F.lit("nation_"), "c_nationkey").alias(ENTITY),
-        F.to_date("o_orderdate").alias(DAY),
-        "o_totalprice",
-        "o_orderstatus",
-        "o_orderpriority",
+        "c_nationkey", F.to_date("o_orderdate").alias(DAY), "o_totalprice", "o_orderstatus", "o_orderpriority"
     )
 
 
 def nation_panel(spark: SparkSession, root: str) -> DataFrame:
-    return _panel(nation_rows(spark, root), "o_totalprice", F.col("o_orderstatus") == "F")
+    rows = order_rows(spark, root)
+    return _panel(rows, "nation_", "c_nationkey", "o_totalprice", F.col("o_orderstatus") == "F")
 
 
 def urgent_panel(spark: SparkSession, root: str, urgent: bool) -> DataFrame:
     """The nation panel from urgent orders only, or from all the others."""
     is_urgent = F.col("o_orderpriority") == "1-URGENT"
-    rows = nation_rows(spark, root).where(is_urgent if urgent else ~is_urgent)
-    return _panel(rows, "o_totalprice", F.col("o_orderstatus") == "F")
+    rows = order_rows(spark, root).where(is_urgent if urgent else ~is_urgent)
+    return _panel(rows, "nation_", "c_nationkey", "o_totalprice", F.col("o_orderstatus") == "F")
 
 
 def nation_dim(spark: SparkSession, root: str) -> DataFrame:
@@ -65,17 +74,9 @@ def nation_dim(spark: SparkSession, root: str) -> DataFrame:
     )
 
 
-def user_rows(spark: SparkSession, root: str) -> DataFrame:
-    return table(spark, root, "events").select(
-        F.concat(F.lit("user_"), "user_id").alias(ENTITY),
-        F.to_date("ts").alias(DAY),
-        "value",
-        "event_type",
-    )
-
-
 def user_panel(spark: SparkSession, root: str) -> DataFrame:
-    return _panel(user_rows(spark, root), "value", F.col("event_type") == "purchase")
+    rows = table(spark, root, "events").select("user_id", F.to_date("ts").alias(DAY), "value", "event_type")
+    return _panel(rows, "user_", "user_id", "value", F.col("event_type") == "purchase")
 
 
 def user_dim(spark: SparkSession, root: str) -> DataFrame:
@@ -89,12 +90,9 @@ def user_dim(spark: SparkSession, root: str) -> DataFrame:
 
 def supplier_panel(spark: SparkSession, root: str) -> DataFrame:
     rows = table(spark, root, "lineitem").select(
-        F.concat(F.lit("supplier_"), "l_suppkey").alias(ENTITY),
-        F.to_date("l_shipdate").alias(DAY),
-        "l_extendedprice",
-        "l_returnflag",
+        "l_suppkey", F.to_date("l_shipdate").alias(DAY), "l_extendedprice", "l_returnflag"
     )
-    return _panel(rows, "l_extendedprice", F.col("l_returnflag") == "R")
+    return _panel(rows, "supplier_", "l_suppkey", "l_extendedprice", F.col("l_returnflag") == "R")
 
 
 def supplier_dim(spark: SparkSession, root: str) -> DataFrame:
@@ -169,9 +167,9 @@ def raw_user_history(spark: SparkSession, root: str) -> DataFrame:
 
 def raw_nation_caps(spark: SparkSession, root: str) -> DataFrame:
     """Orders as raw market-cap points with a date and no time."""
-    rows = nation_rows(spark, root)
+    rows = order_rows(spark, root)
     return rows.select(
-        ENTITY,
+        F.concat(F.lit("nation_"), "c_nationkey").alias(ENTITY),
         F.date_format(DAY, "yyyy-MM-dd").alias("date"),
         F.when(F.col("o_orderstatus") != "P", F.col("o_totalprice").cast("string")).alias("marketcapUsd"),
         F.when(F.col("o_orderstatus") == "P", F.col("o_totalprice").cast("string")).alias("marketCap"),
