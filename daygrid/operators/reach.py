@@ -11,26 +11,25 @@ MAX_DEPTH = 5
 def reachable(edges: DataFrame, start: str, direction: str = "downstream", depth: int = 1) -> DataFrame:
     """Nodes within ``depth`` edges of ``start`` and their shortest distance.
 
-    ``edges`` has ``parent`` and ``child``. One chain of ``depth`` joins: every step hands each
-    known node on together with its neighbours and keeps the smallest distance per node, so
-    cycles end by themselves, fan-in is combined in the map tasks and no step is computed twice.
+    ``edges`` has ``parent`` and ``child``. One chain of ``depth`` joins: a link from every node
+    to itself keeps known nodes in the chain, so each step is one inner join (whose hot node
+    adaptive execution can split, on either side) and one ``min`` per node, combined in the map
+    tasks. Cycles end by themselves and no step is computed twice.
     """
     if direction not in ("upstream", "downstream"):
         raise ValueError("direction must be 'upstream' or 'downstream'")
     if isinstance(depth, bool) or not isinstance(depth, int) or not 1 <= depth <= MAX_DEPTH:
         raise ValueError(f"depth must be 1 to {MAX_DEPTH}")
     near, far = ("parent", "child") if direction == "downstream" else ("child", "parent")
-    links = edges.select(F.col(near).alias("node"), F.col(far).alias("_next")).distinct()
+    pair = [F.struct(F.col(f).alias("node"), F.col(t).alias("_next")) for f, t in ((near, far), (near, near), (far, far))]
+    links = edges.select(F.explode(F.array(*pair)).alias("_l")).select("_l.*").distinct()
 
     known = edges.sparkSession.range(1).select(F.lit(start).alias("node"), F.lit(0).alias("distance"))
     for _ in range(depth):
-        stay = F.struct("node", "distance")
-        move = F.struct(F.col("_next").alias("node"), (F.col("distance") + 1).alias("distance"))
+        step = F.when(F.col("_next") == F.col("node"), F.lit(0)).otherwise(F.lit(1))
         known = (
-            known.join(links, "node", "left")
-            .select(F.explode(F.array(stay, move)).alias("_n"))
-            .where(F.col("_n.node").isNotNull())
-            .groupBy(F.col("_n.node").alias("node"))
-            .agg(F.min("_n.distance").alias("distance"))
+            known.join(links, "node")
+            .groupBy(F.col("_next").alias("node"))
+            .agg(F.min(F.col("distance") + step).alias("distance"))
         )
     return known.where(F.col("node") != start)

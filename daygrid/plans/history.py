@@ -59,16 +59,16 @@ def backfill_plan(coins: DataFrame, panel: DataFrame, days: int, anchor: date |
     """
     if days < 1:
         raise ValueError("days must be at least 1")
-    if anchor is None:
-        newest = F.coalesce(F.max(DAY), F.raise_error(F.lit("the panel is empty; there is no anchor day")))
-        anchored = panel.agg(newest.cast("date").alias("anchor_snapshot_date"))
+    ids = coins.select(F.col("id").alias(ENTITY)).distinct()
+    if anchor is not None:
+        day = F.lit(anchor)
     else:
-        anchored = panel.sparkSession.range(1).select(F.lit(anchor).alias("anchor_snapshot_date"))
-    window = anchored.select(
+        newest = F.coalesce(F.max(DAY), F.raise_error(F.lit("the panel is empty; there is no anchor day")))
+        day = panel.agg(newest.cast("date")).scalar()  # one value, computed once
+    return ids.withColumn("anchor_snapshot_date", day).select(
+        ENTITY,
         "anchor_snapshot_date",
         F.lit(days).alias("backfill_days"),
         F.date_sub("anchor_snapshot_date", days).alias("window_start_date"),
         F.date_sub("anchor_snapshot_date", 1).alias("window_end_date"),
     )
-    ids = coins.select(F.col("id").alias(ENTITY)).distinct()
-    return ids.crossJoin(F.broadcast(window))  # the window is one row

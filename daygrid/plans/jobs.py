@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from daygrid.functions.dates import Span, backfill_window, shifted
 from daygrid.operators.spine import calendar
 from daygrid.plans import checks, gold, history, serving, silver
-from daygrid.schemas import DAY, KEY
+from daygrid.schemas import DAY, KEY, document
 from daygrid.sinks.partitions import merge_partitions, read_version, replace_table, upsert_version, write_partitions
 from daygrid.sources.snapshots import read_history, read_snapshots
 
@@ -24,7 +24,7 @@ def load_snapshots(spark: SparkSession, landed: str, silver_root: str, span: Spa
     cleaned = silver.clean_snapshots(read_snapshots(spark, landed, span))
     silver.require_fields(cleaned)
     upsert_version(f"{silver_root}/coins", silver.coin_rows(cleaned), ["id"])
-    write_partitions(silver.price_rows(cleaned), f"{silver_root}/price_snapshots")
+    write_partitions(document(silver.price_rows(cleaned)), f"{silver_root}/price_snapshots")
     checks.require_rows({"price_snapshots": spark.read.parquet(f"{silver_root}/price_snapshots")}, span)
 
 
@@ -73,7 +73,7 @@ def build_gold(
 
     def store(name: str, table: DataFrame, days: DataFrame | None) -> None:
         kept = table if days is None else table.join(F.broadcast(days), DAY, "left_semi")  # calendar days
-        write_partitions(kept, f"{gold_root}/{name}")
+        write_partitions(document(kept), f"{gold_root}/{name}")
 
     wide, days = days_of(gold.DAILY_REACH)
     store("daily_snapshot", gold.daily_snapshot(panel, dim, wide), days)

@@ -89,7 +89,10 @@ def read_version(spark: SparkSession, path: str) -> DataFrame | None:
 
 
 def upsert_version(path: str, source: DataFrame, keys: Sequence[str]) -> None:
-    """Upsert into an unpartitioned table by writing its next version; readers see old or new."""
+    """Upsert into an unpartitioned table by writing its next version next to the old ones.
+
+    The current version is never touched, so a load that fails leaves it as it was.
+    """
     spark = source.sparkSession
     unique_or_fail(source, keys)
     current = read_version(spark, path)
