@@ -10,8 +10,13 @@ The values are pre-aggregated to (day, value, count) and laid out as a tree of f
 Each level cuts an order-preserving number line (the logarithm of the value) 65,536 times
 finer than the one above; the last level is the value itself. A window over the children of
 one node sums the counts of greater siblings, and the sums are passed down level by level. No
-window of this way holds more than about 140,000 rows, for any data. The ranks go back to the
-rows by an equi-join on (day, value), which adaptive execution splits where a value is hot.
+window of this way holds more than about 140,000 rows, for any data. Counts and ranks per value
+are written to the shared folder, so that the four levels and the joins read them instead of
+computing the rows again, and a lost executor does not either.
+
+The ranks go back to the rows by an equi-join on (day, value). Values that more than
+``max_rows`` rows share - there are at most rows / ``max_rows`` of them - are broadcast, and
+their rows are salted in the join, so no key of it is hot.
 
 Whether there is a large day is asked once, when the plan is built: a count per day, which
 on a table partitioned by day reads no column. Without one the plan is the plain window. With
@@ -26,6 +31,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from daygrid.schemas import DAY
+from daygrid.session import scratch_dir
 
 # Rows of one day that a single sort task may hold.
 MAX_DAY_ROWS = 2_000_000
@@ -33,6 +39,9 @@ MAX_DAY_ROWS = 2_000_000
 # Cells per unit of log2, coarse to fine.
 LEVELS = (2.0**5, 2.0**21, 2.0**37)
 
+# Parts into which the rows of a hot value are spread.
+SALTS = 1024
+
 
 def number_line(value: Column) -> Column:
     """Map a double to a number that never decreases when the value grows.
@@ -50,16 +59,23 @@ def number_line(value: Column) -> Column:
     )
 
 
-def _ranks_by_value(rows: DataFrame, by: str, value: str) -> DataFrame:
-    """(by, value, rank) for every distinct value, highest first, NULL last."""
+def _stored(df: DataFrame, name: str) -> DataFrame:
+    path = scratch_dir(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def ranks_by_value(rows: DataFrame, by: str, value: str) -> DataFrame:
+    """(by, value, _n, _rank) for every distinct value, highest first, NULL last."""
     line = number_line(F.col(value))
     cells = [F.floor(line * F.lit(scale)).alias(f"_l{i}") for i, scale in enumerate(LEVELS)]
     names = [f"_l{i}" for i in range(len(LEVELS))]
 
-    nodes = rows.groupBy(by, *cells, value).agg(F.count(F.lit(1)).alias("_n"))
-    levels = [(names, value, nodes)]
+    counts = rows.groupBy(by, *cells, value).agg(F.count(F.lit(1)).alias("_n"))
+    leaves = _stored(counts, "value-counts")
+    levels = [(names, value, leaves)]
     for depth in range(len(names) - 1, -1, -1):
-        nodes = nodes.groupBy(by, *names[: depth + 1]).agg(F.sum("_n").alias("_n"))
+        nodes = leaves.groupBy(by, *names[: depth + 1]).agg(F.sum("_n").alias("_n"))
         levels.append((names[:depth], names[depth], nodes))
 
     passed: DataFrame | None = None
@@ -70,23 +86,34 @@ def _ranks_by_value(rows: DataFrame, by: str, value: str) -> DataFrame:
             .rowsBetween(Window.unboundedPreceding, -1)
         )
         own = F.coalesce(F.sum("_n").over(greater), F.lit(0))
-        nodes = nodes.select(by, *parent, child, own.alias("_own"))
+        nodes = nodes.select(by, *parent, child, "_n", own.alias("_own"))
         if passed is None:
             passed = nodes.withColumnRenamed("_own", "_above")
         else:
-            passed = nodes.join(passed, [by, *parent]).select(
-                by, *parent, child, (F.col("_own") + F.col("_above")).alias("_above")
+            passed = nodes.join(passed.drop("_n"), [by, *parent]).select(
+                by, *parent, child, "_n", (F.col("_own") + F.col("_above")).alias("_above")
             )
-    return passed.select(by, value, (F.col("_above") + 1).alias("_rank"))
+    return _stored(passed.select(by, value, "_n", (F.col("_above") + 1).alias("_rank")), "value-ranks")
 
 
-def _rank_spread(rows: DataFrame, by: str, ranks: dict[str, str]) -> DataFrame:
+def _rank_spread(rows: DataFrame, by: str, ranks: dict[str, str], max_rows: int) -> DataFrame:
+    columns = rows.columns
     for name, value in ranks.items():
-        found = _ranks_by_value(rows, by, value).select(
-            F.col(by).alias("_by"), F.col(value).alias("_value"), F.col("_rank").alias(name)
+        found = ranks_by_value(rows.select(by, value), by, value).select(
+            F.col(by).alias("_by"), F.col(value).alias("_value"), "_n", "_rank"
         )
+        hot = found.where(F.col("_n") > max_rows).select("_by", "_value", F.col("_rank").alias("_hot"))
+        other = found.where(F.col("_n") <= max_rows).select("_by", "_value", "_rank", F.lit(0).alias("_other"))
         same = (F.col(by) == F.col("_by")) & F.col(value).eqNullSafe(F.col("_value"))
-        rows = rows.join(found, same, "left").drop("_by", "_value")
+        spread = F.pmod(F.xxhash64(*columns), F.lit(SALTS)).cast("int") + 1
+        rows = (
+            rows.join(F.broadcast(hot), same, "left")
+            .drop("_by", "_value")
+            .withColumn("_salt", F.when(F.col("_hot").isNotNull(), spread).otherwise(F.lit(0)))
+            .join(other, same & (F.col("_salt") == F.col("_other")), "left")
+            .withColumn(name, F.coalesce("_hot", "_rank"))
+            .drop("_by", "_value", "_hot", "_salt", "_rank", "_other")
+        )
     return rows
 
 
@@ -124,7 +151,7 @@ def rank_within_day(
     else:
         large = F.broadcast(large)
         usual = _rank_window(rows.join(large, by, "left_anti"), by, ranks)
-        spread = _rank_spread(rows.join(large, by, "left_semi"), by, ranks)
+        spread = _rank_spread(rows.join(large, by, "left_semi"), by, ranks, max_rows)
         ranked = usual.unionByName(spread)
     final = {}
     for name, value in ranks.items():

@@ -84,15 +84,28 @@ def daily_panel(
     )
 
 
-def write_daily_panel(panel: DataFrame, sink: str, checkpoint: str) -> StreamingQuery:
-    """Append closed days to ``sink`` with the exactly-once file sink."""
-    query = (
-        panel.writeStream.format("parquet")
-        .outputMode("append")
-        .option("path", sink)
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start()
-    )
-    query.awaitTermination()
+def write_daily_panel(
+    panel: DataFrame, sink: str, checkpoint: str, state_partitions: int | None = None
+) -> StreamingQuery:
+    """Append closed days to ``sink`` with the exactly-once file sink.
+
+    ``state_partitions`` fixes the number of state stores; it is recorded in the checkpoint on
+    the first run and kept for later ones.
+    """
+    conf = panel.sparkSession.conf
+    before = conf.get("spark.sql.shuffle.partitions")
+    if state_partitions is not None:
+        conf.set("spark.sql.shuffle.partitions", str(state_partitions))
+    try:
+        query = (
+            panel.writeStream.format("parquet")
+            .outputMode("append")
+            .option("path", sink)
+            .option("checkpointLocation", checkpoint)
+            .trigger(availableNow=True)
+            .start()
+        )
+        query.awaitTermination()
+    finally:
+        conf.set("spark.sql.shuffle.partitions", before)
     return query

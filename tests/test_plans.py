@@ -6,6 +6,7 @@ from datetime import date
 import pytest
 from pyspark.sql import functions as F
 
+from daygrid.operators import ranking
 from daygrid.operators.ranking import large_days
 from daygrid.plans import gold, governance
 from daygrid.schemas import DAY
@@ -83,13 +84,26 @@ def test_dimension_is_broadcast_only_while_small(spark, stored, tmp_path):
 
 
 def test_large_day_never_meets_in_one_window(spark, stored):
-    """The tree windows partition by more than the day, except over its root cells."""
-    text = plan(gold.with_cap_rank(stored.where(F.col(DAY) == F.lit(TARGET)), max_day_rows=0))
-    over_day_alone = re.findall(r"Window \[(?:sum|rank)[^\n]*\], \[(snapshot_date#\d+)\], \[([^\]]*)\]", text)
-    orders = [order for _, order in over_day_alone]
-    assert sum("_l0" in o for o in orders) >= 1
-    assert all("_l0" in o or "market_cap_usd" in o for o in orders)
-    assert "left_semi" in text.lower() or "LeftSemi" in text
+    """Only usual days reach the window by day; large ones join stored ranks, hot values salted."""
+    text = plan(gold.with_cap_rank(stored, max_day_rows=0))
+    by_day = re.findall(r"Window \[rank\([^\n]*\], \[snapshot_date#\d+\]", text)
+    assert len(by_day) == 1 and len(re.findall(r"\+- Window |:- Window ", text)) == 1
+    assert "value-ranks" in text and "_salt" in text and "LeftAnti" in text and "LeftSemi" in text
+
+
+def test_tree_windows_partition_below_the_day(spark, stored, monkeypatch):
+    """Of the four windows of the tree only the one over the coarse cells partitions by day alone."""
+    plans = []
+
+    def spy(df, name):
+        plans.append(plan(df))
+        return df
+
+    monkeypatch.setattr(ranking, "_stored", spy)
+    ranking.ranks_by_value(stored, DAY, "market_cap_usd")
+    keys = re.findall(r"Window \[sum\([^\n]*\], \[(snapshot_date#\d+[^\]]*)\], \[([^\]]*)\]", plans[-1])
+    assert len(keys) == 4
+    assert [order for key, order in keys if "," not in key and not order.startswith("_l0")] == []
 
 
 def test_quota_prunes_before_the_shuffle(spark):

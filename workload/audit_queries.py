@@ -227,5 +227,5 @@ def stream_daily_panel(spark, root):
     landed, sink, checkpoint = _landed_events(spark, root), scratch_dir(spark, "panel"), scratch_dir(spark, "ckpt")
     stream = landing.read_stream(spark, landed, spark.read.parquet(landed).schema)
     panel = landing.daily_panel(stream, "ts", "user_id", "value")
-    landing.write_daily_panel(panel, sink, checkpoint)
+    landing.write_daily_panel(panel, sink, checkpoint, spark.sparkContext.defaultParallelism)
     return spark.read.parquet(sink)
