@@ -42,6 +42,15 @@ class Contract:
     timestamp_required: bool = False
     bare_list_allowed: bool = False
 
+    @property
+    def checked(self) -> tuple[str, ...]:
+        return (
+            *self.strings, *self.optional_strings, *self.integers, *self.measures, *self.optional_measures,
+        )
+
+    def spellings(self, name: str) -> tuple[str, ...]:
+        return {**self.measures, **self.optional_measures}.get(name, (name,))
+
 
 ASSETS = Contract(
     strings=REQUIRED_ASSET_FIELDS,
@@ -74,8 +83,9 @@ TOTAL_MARKET_CAP_HISTORY = Contract(
 
 
 def _kind(record: Column, name: str) -> Column:
-    """JSON type of a member: NULL when absent, VOID for a JSON null."""
-    return F.schema_of_variant(F.try_variant_get(record, f"$.{name}", "variant"))
+    """JSON type of a member; NULL when it is absent or null."""
+    kind = F.schema_of_variant(F.try_variant_get(record, f"$.{name}", "variant"))
+    return F.nullif(kind, F.lit("VOID"))
 
 
 def _text(record: Column, name: str) -> Column:
@@ -87,65 +97,65 @@ def _is_integer(kind: Column, text: Column) -> Column:
 
 
 def _member(record: Column, contract: Contract, name: str) -> Column:
-    spellings = {**contract.measures, **contract.optional_measures}.get(name, (name,))
-    return F.coalesce(*(_text(record, s) for s in spellings))
+    return F.coalesce(*(_text(record, s) for s in contract.spellings(name)))
 
 
-def _violation(record: Column, contract: Contract) -> Column:
-    """First broken rule of a record, or NULL."""
+def _kinds(record: Column, contract: Contract) -> Column:
+    """JSON types of the checked members, and the text of integers, read once per record."""
+    kinds = [
+        F.coalesce(*(_kind(record, s) for s in contract.spellings(name))).alias(name)
+        for name in contract.checked
+    ]
+    return F.struct(*kinds, *(_text(record, name).alias(f"{name} text") for name in contract.integers))
 
-    def absent(kind: Column) -> Column:
-        return kind.isNull() | (kind == "VOID")
-
-    def rule(broken: Column, label: str) -> Column:
-        return F.when(F.coalesce(broken, F.lit(True)), F.lit(label))
 
+def _violation(kinds: Column, contract: Contract) -> Column:
+    """First broken rule of a record, or NULL."""
     rules = []
-    for name in contract.strings:
-        kind = _kind(record, name)
-        rules.append(rule(absent(kind), f"missing {name}"))
-        rules.append(rule(kind != "STRING", f"not a string: {name}"))
-    for name in contract.optional_strings:
-        kind = _kind(record, name)
-        rules.append(F.when(~absent(kind) & (kind != "STRING"), F.lit(f"not a string: {name}")))
-    for name in contract.integers:
-        kind = _kind(record, name)
-        rules.append(rule(absent(kind), f"missing {name}"))
-        rules.append(rule(~_is_integer(kind, _text(record, name)), f"not an integer: {name}"))
-    for name, spellings in contract.measures.items():
-        kind = F.coalesce(*(F.nullif(_kind(record, s), F.lit("VOID")) for s in spellings))
-        rules.append(rule(absent(kind), f"missing {name}"))
-        rules.append(rule(~kind.rlike(NUMBER_KINDS), f"not a number: {name}"))
-    for name, spellings in contract.optional_measures.items():
-        kind = F.coalesce(*(F.nullif(_kind(record, s), F.lit("VOID")) for s in spellings))
-        rules.append(F.when(~absent(kind) & ~kind.rlike(NUMBER_KINDS), F.lit(f"not a number: {name}")))
+    for name in contract.checked:
+        kind = kinds[name]
+        if name in contract.strings or name in contract.optional_strings:
+            fits, label = kind == "STRING", "not a string"
+        elif name in contract.integers:
+            fits, label = _is_integer(kind, kinds[f"{name} text"]), "not an integer"
+        else:
+            fits, label = kind.rlike(NUMBER_KINDS), "not a number"
+        if name not in contract.optional_strings and name not in contract.optional_measures:
+            rules.append(F.when(kind.isNull(), F.lit(f"missing {name}")))
+        rules.append(F.when(kind.isNotNull() & ~fits, F.lit(f"{label}: {name}")))
     return F.coalesce(*rules)
 
 
+def _once(df: DataFrame, **columns: Column) -> DataFrame:
+    """Add columns that are computed once per row.
+
+    A filter on a plain column is pushed below it, where the whole expression (here, parsing
+    the JSON) would run again for every use. Filters do not pass a generator.
+    """
+    row = F.struct(*(c.alias(name) for name, c in columns.items()))
+    return df.select("*", F.inline(F.array(row)))
+
+
 def _checked(payloads: DataFrame, column: str, contract: Contract) -> DataFrame:
-    body = F.try_parse_json(column)
-    parsed = payloads.withColumn("_body", body)
+    parsed = _once(payloads, _body=F.try_parse_json(column))
     data = F.try_variant_get("_body", "$.data", "array<variant>")
     if contract.bare_list_allowed:
         data = F.coalesce(data, F.try_variant_get("_body", "$", "array<variant>"))
-    parsed = parsed.withColumns(
-        {
-            "_data": data,
-            "_stamp_kind": _kind(F.col("_body"), "timestamp"),
-            "_stamp": _text(F.col("_body"), "timestamp"),
-        }
-    )
+    body = F.col("_body")
+    split = _once(parsed, _data=data, _stamp_kind=_kind(body, "timestamp"), _stamp=_text(body, "timestamp"))
     stamp_ok = _is_integer(F.col("_stamp_kind"), F.col("_stamp"))
     if not contract.timestamp_required:
-        stamp_ok = stamp_ok | F.col("_stamp_kind").isNull() | (F.col("_stamp_kind") == "VOID")
-    broken = F.filter(F.transform("_data", lambda r: _violation(r, contract)), lambda v: v.isNotNull())
+        stamp_ok = stamp_ok | F.col("_stamp_kind").isNull()
+    kinds = F.transform("_data", lambda record: _kinds(record, contract))
+    violations = F.transform(kinds, lambda k: _violation(k, contract))
+    broken = F.filter(violations, lambda v: v.isNotNull())
     reason = (
-        F.when(F.col("_body").isNull(), F.lit("not JSON"))
+        F.when(body.isNull(), F.lit("not JSON"))
         .when(F.col("_data").isNull(), F.lit("no record list"))
         .when(~F.coalesce(stamp_ok, F.lit(False)), F.lit("no integer timestamp"))
         .otherwise(F.try_element_at(broken, F.lit(1)))
     )
-    return parsed.withColumn("reason", reason)
+    return _once(split, reason=reason)
 
 
 def quarantined(payloads: DataFrame, column: str, contract: Contract) -> DataFrame:
