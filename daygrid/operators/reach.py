@@ -11,10 +11,10 @@ MAX_DEPTH = 5
 def reachable(edges: DataFrame, start: str, direction: str = "downstream", depth: int = 1) -> DataFrame:
     """Nodes within ``depth`` edges of ``start`` and their shortest distance.
 
-    ``edges`` has ``parent`` and ``child``. One chain of ``depth`` joins: a link from every node
-    to itself keeps known nodes in the chain, so each step is one inner join (whose hot node
-    adaptive execution can split, on either side) and one ``min`` per node, combined in the map
-    tasks. Cycles end by themselves and no step is computed twice.
+    ``edges`` has ``parent`` and ``child``. One filter and a chain of ``depth - 1`` joins: a link
+    from every node to itself keeps known nodes in the chain, so each step is one inner join
+    (whose hot node adaptive execution can split, on either side) and one ``min`` per node,
+    combined in the map tasks. Cycles end by themselves and no step is computed twice.
     """
     if direction not in ("upstream", "downstream"):
         raise ValueError("direction must be 'upstream' or 'downstream'")
@@ -24,9 +24,9 @@ def reachable(edges: DataFrame, start: str, direction: str = "downstream", depth
     pair = [F.struct(F.col(f).alias("node"), F.col(t).alias("_next")) for f, t in ((near, far), (near, near), (far, far))]
     links = edges.select(F.explode(F.array(*pair)).alias("_l")).select("_l.*").distinct()
 
-    known = edges.sparkSession.range(1).select(F.lit(start).alias("node"), F.lit(0).alias("distance"))
-    for _ in range(depth):
-        step = F.when(F.col("_next") == F.col("node"), F.lit(0)).otherwise(F.lit(1))
+    step = F.when(F.col("_next") == F.col("node"), F.lit(0)).otherwise(F.lit(1))
+    known = links.where(F.col("node") == start).select(F.col("_next").alias("node"), step.alias("distance"))
+    for _ in range(depth - 1):
         known = (
             known.join(links, "node")
             .groupBy(F.col("_next").alias("node"))

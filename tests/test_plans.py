@@ -4,7 +4,6 @@ import re
 from datetime import date
 
 import pytest
-from pyspark.sql import functions as F
 
 from daygrid.operators import ranking
 from daygrid.operators.ranking import large_days

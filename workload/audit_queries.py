@@ -6,12 +6,12 @@ from pyspark.sql import functions as F
 
 from daygrid.operators.reach import reachable
 from daygrid.plans import governance, provenance
-from daygrid.schemas import DAY, ENTITY
+from daygrid.schemas import DAY
 from daygrid.session import scratch_dir
 from daygrid.sinks.partitions import write_partitions
 from daygrid.sources import snapshots
 from daygrid.streaming import landing
-from workload import panels, sql
+from workload import panels
 from workload.registry import query
 
 # ---------------------------------------------------------------- provenance
