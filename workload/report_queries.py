@@ -324,8 +324,8 @@ def bounded_result_complete(spark, root):
     sql.ctes("n", sql.N_OTHER)
     + """, a AS (SELECT coin_id, snapshot_date, price_usd, market_cap_usd FROM n),
            b AS (SELECT coin_id, snapshot_date, price_usd, market_cap_usd FROM n_other)
-         SELECT *, 'left' AS side, 1 AS copies FROM (SELECT * FROM a EXCEPT ALL SELECT * FROM b)
-         UNION ALL SELECT *, 'right' AS side, 1 AS copies FROM (SELECT * FROM b EXCEPT ALL SELECT * FROM a)""",
+         SELECT *, 'left' AS side, CAST(1 AS BIGINT) AS copies FROM (SELECT * FROM a EXCEPT ALL SELECT * FROM b)
+         UNION ALL SELECT *, 'right' AS side, CAST(1 AS BIGINT) AS copies FROM (SELECT * FROM b EXCEPT ALL SELECT * FROM a)""",
 )
 def frames_diff(spark, root):
     columns = (ENTITY, DAY, "price_usd", "market_cap_usd")
