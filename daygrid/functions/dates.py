@@ -7,13 +7,14 @@ from datetime import date, timedelta
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-MAX_RANGE_DAYS = 366
-
 Span = tuple[date, date]
 
 
-def span_of(start: date | None, end: date | None, max_days: int | None = MAX_RANGE_DAYS) -> Span | None:
-    """Check an inclusive range. Both bounds or neither; ``None`` means all history."""
+def span_of(start: date | None, end: date | None, max_days: int | None = None) -> Span | None:
+    """Check an inclusive range. Both bounds or neither; ``None`` means all history.
+
+    ``max_days`` refuses longer ranges where a caller wants that.
+    """
     if start is None and end is None:
         return None
     if start is None or end is None:

@@ -18,8 +18,8 @@ def date_from_path(path: Column) -> Column:
 
 
 def optional_column(df: DataFrame, name: str, dtype: str = "string") -> Column:
-    """The column, or a typed NULL when the frame was written before it existed."""
-    return F.col(name).cast(dtype) if name in df.columns else F.lit(None).cast(dtype)
+    """The column, or a typed NULL when the frame was written before it existed or a value is malformed."""
+    return F.col(name).try_cast(dtype) if name in df.columns else F.lit(None).cast(dtype)
 
 
 def first_present(df: DataFrame, names: Sequence[str], dtype: str = "string") -> Column:

@@ -1,40 +1,33 @@
 """Rank within a day, also when one day holds a large part of all rows.
 
-``rank() OVER (PARTITION BY day ORDER BY value DESC)`` sorts a whole day in one task. That is
-the best plan for usual days: one shuffle, shared by every rank of the frame. A day above
-``max_rows`` takes another way, which never puts a day into one task:
-
     rank = 1 + number of rows of the day with a greater value
 
-The values are pre-aggregated to (day, value, count) and laid out as a tree of four levels.
-Each level cuts an order-preserving number line (the logarithm of the value) 65,536 times
-finer than the one above; the last level is the value itself. A window over the children of
-one node sums the counts of greater siblings, and the sums are passed down level by level. No
-window of this way holds more than about 140,000 rows, for any data. Counts and ranks per value
-are written to the shared folder, so that the four levels and the joins read them instead of
-computing the rows again, and a lost executor does not either.
-
-The ranks go back to the rows by an equi-join on (day, value). Values that more than
-``max_rows`` rows share - there are at most rows / ``max_rows`` of them - are broadcast, and
-their rows are salted in the join, so no key of it is hot.
-
-Whether there is a large day is asked once, when the plan is built: a count per day, which
-on a table partitioned by day reads no column. Without one the plan is the plain window. With
-some, the plan splits the rows: usual days keep the window, large ones take the other way. The
-answer only picks a plan; the ranks are the same whichever way a day goes.
+The default way never puts a day into one task. The values are pre-aggregated to (day, value,
+count) and laid out as a tree of four levels. Each level cuts an order-preserving number line (the
+logarithm of the value) 65,536 times finer than the one above; the last level is the value itself. A
+window over the children of one node sums the counts of greater siblings, and the sums are passed
+down level by level. No window holds more than about 140,000 rows, for any data. The ranks go back to
+the rows by an equi-join on (day, value); values that more than ``HOT_ROWS`` rows share are joined
+with salted rows, so no key of the join is hot.
+
+Building the plan runs no job. With ``staging``, a folder in shared storage, the rows, the counts and
+the ranks per value are written there once and read by all that follows; ``remove_staging`` deletes it.
+
+``method="window"`` asks for ``rank() OVER (PARTITION BY day ORDER BY value DESC)``: one shuffle, shared
+by every rank, and one sort task per day. It is for callers who know that a day is small.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from daygrid.schemas import DAY
-from daygrid.session import scratch_dir
 
-# Rows of one day that a single sort task may hold.
-MAX_DAY_ROWS = 2_000_000
+# A value of a day that more rows share is joined with salted rows.
+HOT_ROWS = 2_000_000
+METHODS = ("tree", "window")
 
 # Cells per unit of log2, coarse to fine.
 LEVELS = (2.0**5, 2.0**21, 2.0**37)
@@ -59,20 +52,29 @@ def number_line(value: Column) -> Column:
     )
 
 
-def _stored(df: DataFrame, name: str) -> DataFrame:
-    path = scratch_dir(df.sparkSession, name)
-    df.write.parquet(path)
+def _stored(df: DataFrame, staging: str | None, name: str) -> DataFrame:
+    """Written to and read from ``staging``, or the frame itself where there is none."""
+    if staging is None:
+        return df
+    path = f"{staging.rstrip('/')}/{name}"
+    df.write.mode("overwrite").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def ranks_by_value(rows: DataFrame, by: str, value: str) -> DataFrame:
+def remove_staging(spark: SparkSession, staging: str) -> None:
+    """Delete what ranks wrote to ``staging``, once no frame that reads it is needed any more."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(staging)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def ranks_by_value(rows: DataFrame, by: str, value: str, staging: str | None = None) -> DataFrame:
     """(by, value, _n, _rank) for every distinct value, highest first, NULL last."""
     line = number_line(F.col(value))
     cells = [F.floor(line * F.lit(scale)).alias(f"_l{i}") for i, scale in enumerate(LEVELS)]
     names = [f"_l{i}" for i in range(len(LEVELS))]
 
     counts = rows.groupBy(by, *cells, value).agg(F.count(F.lit(1)).alias("_n"))
-    leaves = _stored(counts, "value-counts")
+    leaves = _stored(counts, staging, f"counts-{value}")
     levels = [(names, value, leaves)]
     for depth in range(len(names) - 1, -1, -1):
         nodes = leaves.groupBy(by, *names[: depth + 1]).agg(F.sum("_n").alias("_n"))
@@ -93,21 +95,21 @@ def ranks_by_value(rows: DataFrame, by: str, value: str) -> DataFrame:
             passed = nodes.join(passed.drop("_n"), [by, *parent]).select(
                 by, *parent, child, "_n", (F.col("_own") + F.col("_above")).alias("_above")
             )
-    return _stored(passed.select(by, value, "_n", (F.col("_above") + 1).alias("_rank")), "value-ranks")
+    return _stored(passed.select(by, value, "_n", (F.col("_above") + 1).alias("_rank")), staging, f"ranks-{value}")
 
 
-def _rank_spread(rows: DataFrame, by: str, ranks: dict[str, str], max_rows: int) -> DataFrame:
+def _rank_tree(rows: DataFrame, by: str, ranks: dict[str, str], staging: str | None, hot_rows: int) -> DataFrame:
     columns = rows.columns
+    rows = _stored(rows, staging, "rows")
+    tables = {value: ranks_by_value(rows.select(by, value), by, value, staging) for value in set(ranks.values())}
     for name, value in ranks.items():
-        found = ranks_by_value(rows.select(by, value), by, value).select(
-            F.col(by).alias("_by"), F.col(value).alias("_value"), "_n", "_rank"
-        )
-        hot = found.where(F.col("_n") > max_rows).select("_by", "_value", F.col("_rank").alias("_hot"))
-        other = found.where(F.col("_n") <= max_rows).select("_by", "_value", "_rank", F.lit(0).alias("_other"))
+        found = tables[value].select(F.col(by).alias("_by"), F.col(value).alias("_value"), "_n", "_rank")
+        hot = found.where(F.col("_n") > hot_rows).select("_by", "_value", F.col("_rank").alias("_hot"))
+        other = found.where(F.col("_n") <= hot_rows).select("_by", "_value", "_rank", F.lit(0).alias("_other"))
         same = (F.col(by) == F.col("_by")) & F.col(value).eqNullSafe(F.col("_value"))
         spread = F.pmod(F.xxhash64(*columns), F.lit(SALTS)).cast("int") + 1
         rows = (
-            rows.join(F.broadcast(hot), same, "left")
+            rows.join(hot, same, "left")
             .drop("_by", "_value")
             .withColumn("_salt", F.when(F.col("_hot").isNotNull(), spread).otherwise(F.lit(0)))
             .join(other, same & (F.col("_salt") == F.col("_other")), "left")
@@ -127,32 +129,23 @@ def _rank_window(rows: DataFrame, by: str, ranks: dict[str, str]) -> DataFrame:
     )
 
 
-def large_days(rows: DataFrame, max_rows: int, by: str = DAY) -> DataFrame:
-    """Days above ``max_rows`` rows: at most one row per calendar day, so safe to broadcast."""
-    return rows.groupBy(by).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > max_rows).select(by)
-
-
 def rank_within_day(
     rows: DataFrame,
     ranks: dict[str, str],
     *,
     by: str = DAY,
     unranked_nulls: frozenset[str] | set[str] = frozenset(),
-    max_rows: int | None = MAX_DAY_ROWS,
+    method: str = "tree",
+    staging: str | None = None,
+    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Add ``{rank name: value column}`` ranks, highest value first, ties sharing a rank.
 
     NULL values rank last; for names in ``unranked_nulls`` they get a NULL rank instead.
-    ``max_rows=None`` promises that no day is large and keeps the single-window plan.
     """
-    large = None if max_rows is None else large_days(rows, max_rows, by)
-    if large is None or large.isEmpty():
-        ranked = _rank_window(rows, by, ranks)
-    else:
-        large = F.broadcast(large)
-        usual = _rank_window(rows.join(large, by, "left_anti"), by, ranks)
-        spread = _rank_spread(rows.join(large, by, "left_semi"), by, ranks, max_rows)
-        ranked = usual.unionByName(spread)
+    if method not in METHODS:
+        raise ValueError(f"method must be one of {METHODS}")
+    ranked = _rank_window(rows, by, ranks) if method == "window" else _rank_tree(rows, by, ranks, staging, hot_rows)
     final = {}
     for name, value in ranks.items():
         rank = F.col(name).cast("int")

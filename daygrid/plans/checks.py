@@ -198,13 +198,18 @@ def post_write_counts(tables: Mapping[str, DataFrame], span: Span | None = None)
     return stacked.groupBy("table_name", DAY).agg(F.count(F.lit(1)).alias("row_count"))
 
 
-def require_rows(tables: Mapping[str, DataFrame], span: Span | None = None) -> None:
-    """Raise when a table has no row in the span."""
-    found = post_write_counts(tables, span).select("table_name").distinct()
-    present = {row.table_name for row in found.limit(len(tables)).collect()}
-    absent = [name for name in tables if name not in present]
+def missing_after_write(tables: Mapping[str, DataFrame], days: DataFrame) -> DataFrame:
+    """(table, day) of every requested day for which a table holds no row."""
+    names = F.explode(F.array(*(F.lit(name) for name in tables))).alias("table_name")
+    wanted = days.select(DAY).distinct().select(names, DAY)
+    return wanted.join(post_write_counts(tables), ["table_name", DAY], "left_anti")
+
+
+def require_rows(tables: Mapping[str, DataFrame], days: DataFrame) -> None:
+    """Raise when a table lacks rows on one of ``days``; the message names the first of them."""
+    absent = missing_after_write(tables, days).orderBy(DAY, "table_name").limit(5).collect()
     if absent:
-        raise ValueError(f"no rows for {span or 'any day'} in: {', '.join(absent)}")
+        raise ValueError("no rows: " + ", ".join(f"{row.table_name} on {row[DAY]}" for row in absent))
 
 
 def missing_input_dates(present: DataFrame, span: Span) -> DataFrame:

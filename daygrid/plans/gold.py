@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from daygrid.functions.dates import Span, between_days, in_span, shifted
 from daygrid.functions.numeric import pct_change
 from daygrid.operators.lookback import with_day_over_day, with_lookbacks, with_rolling_mean
-from daygrid.operators.ranking import MAX_DAY_ROWS, rank_within_day
+from daygrid.operators.ranking import rank_within_day
 from daygrid.schemas import DAILY_COLUMNS, DAY, ENTITY, RANK_CHANGE_HEAD, ROLLING_COLUMNS
 
 # Days after a changed day on which each table can change.
@@ -23,17 +23,18 @@ RANK_REACH = (0, 14, 30)
 ROLLING_REACH = tuple(range(7))
 
 
-def with_cap_rank(df: DataFrame, name: str = "coin_rank", max_day_rows: int | None = MAX_DAY_ROWS) -> DataFrame:
-    return rank_within_day(df, {name: "market_cap_usd"}, max_rows=max_day_rows)
+def with_cap_rank(df: DataFrame, name: str = "coin_rank", **ranking) -> DataFrame:
+    """``ranking`` goes to ``rank_within_day``: method, staging."""
+    return rank_within_day(df, {name: "market_cap_usd"}, **ranking)
 
 
-def with_change_rank(df: DataFrame, max_day_rows: int | None = MAX_DAY_ROWS) -> DataFrame:
+def with_change_rank(df: DataFrame, **ranking) -> DataFrame:
     """Rank by percent change; NULL exactly when the change is NULL."""
     return rank_within_day(
         df,
         {"price_change_rank": "price_change_pct"},
         unranked_nulls={"price_change_rank"},
-        max_rows=max_day_rows,
+        **ranking,
     )
 
 
@@ -47,9 +48,7 @@ def with_dimension(df: DataFrame, dim: DataFrame) -> DataFrame:
     return df.join(names, ENTITY, "left")
 
 
-def daily_snapshot(
-    panel: DataFrame, dim: DataFrame, span: Span | None = None, max_day_rows: int | None = MAX_DAY_ROWS
-) -> DataFrame:
+def daily_snapshot(panel: DataFrame, dim: DataFrame, span: Span | None = None, **ranking) -> DataFrame:
     """Price, change from the day before, cap rank and change rank."""
     rows = panel.select(ENTITY, DAY, "price_usd", "market_cap_usd", "volume_usd_24hr", "vwap_24hr")
     if span is not None:
@@ -59,7 +58,7 @@ def daily_snapshot(
         changed,
         {"coin_rank": "market_cap_usd", "price_change_rank": "price_change_pct"},
         unranked_nulls={"price_change_rank"},
-        max_rows=max_day_rows,
+        **ranking,
     )
     return with_dimension(ranked, dim).select(*DAILY_COLUMNS)
 
@@ -69,16 +68,24 @@ def rank_change(
     dim: DataFrame,
     span: Span | None = None,
     offsets: Sequence[int] = (14, 30),
-    max_day_rows: int | None = MAX_DAY_ROWS,
+    days: DataFrame | None = None,
+    **ranking,
 ) -> DataFrame:
-    """Cap rank and its movement against exact days in the past; positive means moved up."""
+    """Cap rank and its movement against exact days in the past; positive means moved up.
+
+    ``days`` (one row per calendar day) limits the reading to these days and the days they look back to.
+    """
     rows = panel.select(ENTITY, DAY, "price_usd", "market_cap_usd")
+    if days is not None:
+        back = F.explode(F.array(*(F.lit(-k) for k in (0, *offsets))))
+        wanted = days.select(DAY, back.alias("_k")).select(F.date_add(DAY, F.col("_k")).alias(DAY)).distinct()
+        rows = rows.join(F.broadcast(wanted), DAY, "left_semi")
     if span is not None:
         wanted = between_days(F.col(DAY), span)
         for k in offsets:
             wanted = wanted | between_days(F.col(DAY), shifted(span, -k))
         rows = rows.where(wanted)
-    ranked = with_cap_rank(rows, "mc_rank", max_day_rows)
+    ranked = with_cap_rank(rows, "mc_rank", **ranking)
     past = in_span(with_lookbacks(ranked, ["mc_rank", "price_usd"], offsets), DAY, span)
     moves = [(F.col(f"mc_rank_t_{k}") - F.col("mc_rank")).alias(f"mc_rank_diff_{k}d") for k in offsets]
     changes = [

@@ -60,6 +60,8 @@ def backfill_plan(coins: DataFrame, panel: DataFrame, days: int, anchor: date |
     if days < 1:
         raise ValueError("days must be at least 1")
     ids = coins.select(F.col("id").alias(ENTITY)).distinct()
+    if ids.isEmpty():
+        raise ValueError("the entity table is empty; there is nothing to plan")
     if anchor is not None:
         day = F.lit(anchor)
     else:

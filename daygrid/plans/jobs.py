@@ -7,42 +7,60 @@ from datetime import date
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from daygrid.functions.dates import Span, backfill_window, shifted
+from daygrid.functions.dates import Span, backfill_window, shifted, span_of
 from daygrid.operators.spine import calendar
 from daygrid.plans import checks, gold, history, serving, silver
 from daygrid.schemas import DAY, KEY, document
-from daygrid.sinks.partitions import merge_partitions, read_version, replace_table, upsert_version, write_partitions
+from daygrid.sinks.partitions import (
+    merge_partitions,
+    read_version,
+    replace_table,
+    staged,
+    upsert_version,
+    write_partitions,
+)
 from daygrid.sources.snapshots import read_history, read_snapshots
 
 
 def load_snapshots(spark: SparkSession, landed: str, silver_root: str, span: Span | None = None) -> None:
-    """Landed files of a range into the typed dimension and panel."""
+    """Landed files of a range into the typed dimension and panel. The files are read once."""
+    span = span_of(*span) if span is not None else None
+    cleaned = staged(silver.clean_snapshots(read_snapshots(spark, landed, span)), "cleaned-snapshots")
     if span is not None:
-        absent = checks.missing_input_dates(read_snapshots(spark, landed, span), span)
+        absent = checks.missing_input_dates(cleaned, span)
         if not absent.isEmpty():
             raise ValueError(f"no landed files for {absent.first()[DAY]} and maybe other days")
-    cleaned = silver.clean_snapshots(read_snapshots(spark, landed, span))
     silver.require_fields(cleaned)
     upsert_version(f"{silver_root}/coins", silver.coin_rows(cleaned), ["id"])
     write_partitions(document(silver.price_rows(cleaned)), f"{silver_root}/price_snapshots")
-    checks.require_rows({"price_snapshots": spark.read.parquet(f"{silver_root}/price_snapshots")}, span)
+    days = cleaned.select(DAY) if span is None else calendar(spark, *span)
+    checks.require_rows({"price_snapshots": spark.read.parquet(f"{silver_root}/price_snapshots")}, days)
 
 
 def load_history(spark: SparkSession, landed: str, silver_root: str, anchor: date, days: int) -> None:
-    """History files of one backfill merged into the panel and the two cap tables."""
-    span = backfill_window(anchor, days)
+    """History files of one backfill merged into the panel and the two cap tables.
 
-    def raw(dataset: str) -> DataFrame:
-        return read_history(spark, landed, anchor, days, dataset)
-
-    prices = history.clean_asset_history(raw("asset_history"))
-    caps = history.clean_asset_market_cap_history(raw("asset_market_cap_history"))
-    totals = history.clean_total_market_cap_history(raw("total_market_cap_history"))
-    merge_partitions(f"{silver_root}/price_snapshots", history.history_price_rows(prices, caps), KEY)
-    merge_partitions(f"{silver_root}/asset_market_cap_history", caps, KEY)
-    merge_partitions(f"{silver_root}/total_market_cap_history", totals, (DAY,))
-    names = ("price_snapshots", "asset_market_cap_history", "total_market_cap_history")
-    checks.require_rows({n: spark.read.parquet(f"{silver_root}/{n}") for n in names}, span)
+    Every day a source holds must be in its table afterwards; a source without any row is refused.
+    """
+    backfill_window(anchor, days)
+
+    def cleaned(dataset: str, clean) -> DataFrame:
+        rows = staged(clean(read_history(spark, landed, anchor, days, dataset)), dataset)
+        if rows.isEmpty():
+            raise ValueError(f"no usable history points in {dataset}")
+        return rows
+
+    prices = cleaned("asset_history", history.clean_asset_history)
+    caps = cleaned("asset_market_cap_history", history.clean_asset_market_cap_history)
+    totals = cleaned("total_market_cap_history", history.clean_total_market_cap_history)
+    merges = {
+        "price_snapshots": (history.history_price_rows(prices, caps), KEY, prices),
+        "asset_market_cap_history": (caps, KEY, caps),
+        "total_market_cap_history": (totals, (DAY,), totals),
+    }
+    for name, (rows, keys, source) in merges.items():
+        merge_partitions(f"{silver_root}/{name}", rows, keys)
+        checks.require_rows({name: spark.read.parquet(f"{silver_root}/{name}")}, source)
 
 
 def build_gold(
@@ -52,16 +70,20 @@ def build_gold(
     span: Span | None = None,
     frame: str = "calendar",
     cascade: bool = True,
+    **ranking,
 ) -> None:
     """Rebuild the three tables for the days of ``span`` in one plan each.
 
     With ``cascade`` the later days that depend on the span are rebuilt too (the next day, 14
     and 30 days on, the following six days), so that a late day never leaves stale results.
     With the row frame the rolling table depends on days at any distance, so it is rebuilt to
-    the end of the panel.
+    the end of the panel. ``ranking`` goes to ``rank_within_day``.
     """
+    span = span_of(*span) if span is not None else None
     panel = spark.read.parquet(f"{silver_root}/price_snapshots")
     dim = read_version(spark, f"{silver_root}/coins")
+    present = panel.select(DAY).distinct()
+    requested = present if span is None else calendar(spark, *span)
 
     def days_of(reach: tuple[int, ...]) -> tuple[Span | None, DataFrame | None]:
         if span is None:
@@ -72,13 +94,17 @@ def build_gold(
         return wide, gold.affected_dates(calendar(spark, *span), panel, reach)
 
     def store(name: str, table: DataFrame, days: DataFrame | None) -> None:
+        """Write a table; each requested day and each rebuilt day that Silver has must then have rows."""
         kept = table if days is None else table.join(F.broadcast(days), DAY, "left_semi")  # calendar days
         write_partitions(document(kept), f"{gold_root}/{name}")
+        wanted = requested if days is None else requested.union(days)
+        checks.require_rows({name: spark.read.parquet(f"{gold_root}/{name}")}, wanted)
 
     wide, days = days_of(gold.DAILY_REACH)
-    store("daily_snapshot", gold.daily_snapshot(panel, dim, wide), days)
+    store("daily_snapshot", gold.daily_snapshot(panel, dim, wide, **ranking), days)
     wide, days = days_of(gold.RANK_REACH)
-    store("rank_change", gold.rank_change(panel, dim, wide), days)
+    # Only the affected days and the days they look back to are read, not all days between.
+    store("rank_change", gold.rank_change(panel, dim, wide, days=days, **ranking), days)
     if frame == "rows" and span is not None and cascade:
         last = panel.agg(F.max(DAY)).first()[0]
         wide, days = (span[0], max(last, span[1])), None
@@ -86,9 +112,6 @@ def build_gold(
         wide, days = days_of(gold.ROLLING_REACH)
     store("rolling_average", gold.rolling_average(panel, dim, wide, frame), days)
 
-    names = ("daily_snapshot", "rank_change", "rolling_average")
-    checks.require_rows({n: spark.read.parquet(f"{gold_root}/{n}") for n in names}, span)
-
 
 def build_serving(
     spark: SparkSession,

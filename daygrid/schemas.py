@@ -91,30 +91,29 @@ AVAILABILITY_STATUSES = ("available", "partial", "missing")
 
 # What a reader of the tables has to know. Attached to columns by ``document``.
 COLUMN_DOCS = {
-    DAY: "UTC date of the observation. Days without data are absent, not zero.",
-    ENTITY: "Stable entity id; joins to the dimension table.",
-    "symbol": "Display symbol. Not stable enough to join on.",
-    "name": "Display name.",
-    "coin_rank": "Rank by market cap within the day, 1 is the largest. Ties share a rank.",
-    "mc_rank": "Rank by market cap within the day, 1 is the largest. Ties share a rank.",
-    "price_usd": "Price on the day.",
-    "prev_price_usd": "Price one calendar day earlier. NULL when that day is absent.",
-    "price_change_pct": "Percent change from the day before, 2.5 means +2.5 %. "
-    "NULL means there is nothing to compare with, never that the price was flat.",
-    "price_change_rank": "Rank by percent change within the day. NULL exactly when the change is NULL.",
-    "market_cap_usd": "Market capitalisation on the day.",
-    "volume_usd_24hr": "Trailing 24 h volume. NULL on days repaired from history.",
-    "change_percent_24hr": "Percent change reported by the source. NULL on days repaired from history.",
-    "vwap_24hr": "Volume-weighted average price. NULL on days repaired from history.",
-    "mc_rank_diff_14d": "Rank change against exactly 14 days earlier. Positive means moved up.",
-    "mc_rank_diff_30d": "Rank change against exactly 30 days earlier. Positive means moved up.",
-    "price_diff_14d_pct": "Percent price change against exactly 14 days earlier.",
-    "price_diff_30d_pct": "Percent price change against exactly 30 days earlier.",
-    "wkly_roll_avg_price": "Mean price over the frame (7 rows, or 7 calendar days).",
-    "wkly_roll_avg_volume": "Mean volume over the same frame; NULL volumes are skipped.",
-    "total_market_cap_usd": "Market capitalisation of all entities on the day.",
-    "availability_status": "available, partial or missing.",
-    "availability_reason": "First reason why a day is partial or missing; NULL when available.",
+    DAY: "Calendar day in UTC. The tables are sparse: a day nobody recorded has no row.",
+    ENTITY: "Key of the panel, together with the day.",
+    "symbol": "Short label from the dimension; several entities may share one.",
+    "name": "Label from the dimension; empty where the entity has no dimension row.",
+    "coin_rank": "1 + number of entities with a larger cap on that day; no cap sorts last.",
+    "mc_rank": "Same as coin_rank.",
+    "price_usd": "Price of the row itself.",
+    "prev_price_usd": "price_usd of the entity's row on day - 1, looked up by date.",
+    "price_change_pct": "100 * (price_usd / prev_price_usd - 1); empty without a row on day - 1 or after a price of 0.",
+    "price_change_rank": "1 + number of entities with a larger price_change_pct; empty where that is empty.",
+    "market_cap_usd": "Cap of the row itself.",
+    "volume_usd_24hr": "Volume of the row itself; merges from history may leave it empty.",
+    "change_percent_24hr": "Taken over from landed files; merges from history leave it empty.",
+    "vwap_24hr": "Taken over from landed files; merges from history leave it empty.",
+    "mc_rank_diff_14d": "mc_rank on day - 14 minus mc_rank, so climbing is positive.",
+    "mc_rank_diff_30d": "mc_rank on day - 30 minus mc_rank, so climbing is positive.",
+    "price_diff_14d_pct": "Like price_change_pct, against the row on day - 14.",
+    "price_diff_30d_pct": "Like price_change_pct, against the row on day - 30.",
+    "wkly_roll_avg_price": "avg(price_usd) over the chosen frame that ends on the row.",
+    "wkly_roll_avg_volume": "avg(volume_usd_24hr) over the same frame, empty volumes left out.",
+    "total_market_cap_usd": "One value per day for the whole panel.",
+    "availability_status": "Outcome of the coverage rules for the day.",
+    "availability_reason": "The first coverage rule that fires; empty when none does.",
 }
 
 

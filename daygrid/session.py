@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -15,8 +14,6 @@ SQL_SETTINGS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
 }
 
-_local_scratch: str | None = None
-
 
 def build_session(master: str | None = None, app: str = "daygrid", **conf: str) -> SparkSession:
     """A session with the settings above; ``conf`` keys use ``_`` for ``.``."""
@@ -38,20 +35,11 @@ def apply_settings(spark: SparkSession) -> SparkSession:
 
 
 def scratch_root(spark: SparkSession) -> str:
-    """The shared folder of the cluster (``spark.checkpoint.dir``).
-
-    Only a local session may fall back to a temporary folder: on a cluster that folder
-    would exist on one machine only.
-    """
-    global _local_scratch
+    """A folder the whole session shares: ``spark.checkpoint.dir``, else one below the warehouse."""
     shared = spark.conf.get("spark.checkpoint.dir", None)
     if shared:
         return shared.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder that every executor can reach")
-    if _local_scratch is None:
-        _local_scratch = tempfile.mkdtemp(prefix="daygrid-")
-    return _local_scratch
+    return spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_scratch"
 
 
 def scratch_dir(spark: SparkSession, name: str) -> str:

@@ -8,6 +8,7 @@ commits, so lost executors only repeat tasks.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from datetime import date
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -16,6 +17,11 @@ from pyspark.sql import functions as F
 from daygrid.operators.dedup import unique_or_fail
 from daygrid.operators.upsert import upsert
 from daygrid.schemas import DAY
+from daygrid.session import scratch_dir
+from daygrid.sources.snapshots import history_folder
+
+#: Complete versions of an unpartitioned table that stay.
+KEEP_VERSIONS = 3
 
 
 def _placed(df: DataFrame, by: Sequence[str]) -> DataFrame:
@@ -64,41 +70,80 @@ def table_or_none(spark: SparkSession, path: str) -> DataFrame | None:
         raise
 
 
+def staged(df: DataFrame, name: str) -> DataFrame:
+    """Written once to the shared scratch folder and read back, for frames that several jobs read."""
+    path = scratch_dir(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def merge_partitions(path: str, source: DataFrame, keys: Sequence[str], by: str = DAY) -> None:
     """Upsert ``source`` into the table at ``path``, rewriting only the partitions it touches.
 
-    ``source`` is read more than once; hand over a table or a checkpointed frame.
+    ``source`` is computed once: its rows are staged before they are checked and merged.
     """
+    source = staged(source, "merge-source")
     unique_or_fail(source, keys)
     target = table_or_none(source.sparkSession, path)
     if target is None:
         write_partitions(source, path, (by,))
         return
-    touched_days = F.broadcast(source.select(by).distinct())  # one row per calendar day at most
-    touched = target.join(touched_days, by, "left_semi")
+    touched = target.join(source.select(by).distinct(), by, "left_semi")
     write_partitions(upsert(touched, source, keys), path, (by,))
 
 
+def _versions(spark: SparkSession, path: str) -> tuple[list[int], list[int]]:
+    """Numbers of the complete versions and of all version folders, from folder names only."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not files.exists(folder):
+        return [], []
+    paths = [status.getPath() for status in files.listStatus(folder)]
+    numbers = {int(p.getName().removeprefix("version=")): p for p in paths if p.getName().startswith("version=")}
+    done = [n for n, p in numbers.items() if files.exists(spark._jvm.org.apache.hadoop.fs.Path(p, "_SUCCESS"))]
+    return sorted(done), sorted(numbers)
+
+
 def read_version(spark: SparkSession, path: str) -> DataFrame | None:
-    """Newest version of an unpartitioned table, or None."""
-    versions = table_or_none(spark, path)
-    if versions is None:
-        return None
-    newest = versions.agg(F.max("version").alias("version"))
-    return versions.join(F.broadcast(newest), "version", "left_semi").drop("version")
+    """Newest complete version of an unpartitioned table, or None. Older versions are not opened."""
+    done, _ = _versions(spark, path)
+    return spark.read.parquet(f"{path}/version={done[-1]}") if done else None
 
 
-def upsert_version(path: str, source: DataFrame, keys: Sequence[str]) -> None:
+def upsert_version(path: str, source: DataFrame, keys: Sequence[str], keep: int = KEEP_VERSIONS) -> None:
     """Upsert into an unpartitioned table by writing its next version next to the old ones.
 
-    The current version is never touched, so a load that fails leaves it as it was.
+    The current version is never touched, so a load that fails leaves it as it was. Two writers cannot
+    take the same number: the second fails. The last ``keep`` complete versions stay, for readers
+    that still use them; older ones are deleted.
     """
     spark = source.sparkSession
+    source = staged(source, "version-source")
     unique_or_fail(source, keys)
     current = read_version(spark, path)
-    if current is None:
-        merged, version = source, 1
-    else:
-        merged = upsert(current, source, keys)
-        version = spark.read.parquet(path).agg(F.max("version")).first()[0] + 1
-    merged.write.mode("overwrite").parquet(f"{path}/version={version}")
+    done, taken = _versions(spark, path)
+    merged = source if current is None else upsert(current, source, keys)
+    merged.write.mode("errorifexists").parquet(f"{path}/version={max(taken, default=0) + 1}")
+    for number in done[: max(0, len(done) + 1 - keep)]:
+        old = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/version={number}")
+        old.getFileSystem(spark._jsc.hadoopConfiguration()).delete(old, True)
+
+
+def drop_stored_column(spark: SparkSession, path: str, name: str) -> bool:
+    """Write the next version of a table without a column; False where it has no such column."""
+    current = read_version(spark, path)
+    if current is None or name not in current.columns:
+        return False
+    _, taken = _versions(spark, path)
+    current.drop(name).write.mode("errorifexists").parquet(f"{path}/version={taken[-1] + 1}")
+    return True
+
+
+def copy_days(plan: DataFrame, captured: DataFrame, root: str) -> None:
+    """Carry out a sync plan: the captured rows of its days replace those days in the dated layout."""
+    write_snapshots(captured.join(plan.select(DAY).distinct(), DAY, "left_semi"), root)
+
+
+def write_history(records: DataFrame, root: str, anchor: date, days: int, dataset: str) -> None:
+    """Land accepted history records where ``read_history`` looks for them, replacing an earlier landing."""
+    replace_table(records, f"{root}/{history_folder(anchor, days, dataset)}")

@@ -7,7 +7,6 @@ from datetime import date
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from daygrid.functions.dates import MAX_RANGE_DAYS
 from daygrid.functions.text import date_from_path
 from daygrid.schemas import DAY
 
@@ -45,7 +44,7 @@ def sync_plan(
     return days if overwrite else days.join(local.select(DAY).distinct(), DAY, "left_anti")
 
 
-def within_cap(plan: DataFrame, max_days: int = MAX_RANGE_DAYS) -> DataFrame:
+def within_cap(plan: DataFrame, max_days: int) -> DataFrame:
     """Return the plan, or raise when it holds more days than one run may load."""
     if plan.limit(max_days + 1).count() > max_days:
         raise ValueError(f"the plan has more than {max_days} days; narrow it with start or end")

@@ -27,9 +27,14 @@ def read_snapshots(spark: SparkSession, root: str, span: Span | None = None) ->
     return in_span(dated, DAY, span).drop("year", "month", "day")
 
 
+def history_folder(anchor: date, days: int, dataset: str) -> str:
+    """Place of one dataset of one backfill, relative to the root of the landed files."""
+    return f"anchor_date={anchor.isoformat()}/window_days={days}/{dataset}.parquet"
+
+
 def read_history(spark: SparkSession, root: str, anchor: date, days: int, dataset: str) -> DataFrame:
     """One history dataset of one backfill; files of several vintages are merged by name."""
-    path = f"{root}/anchor_date={anchor.isoformat()}/window_days={days}/{dataset}.parquet"
+    path = f"{root}/{history_folder(anchor, days, dataset)}"
     return spark.read.option("basePath", root).option("mergeSchema", "true").parquet(path)
 
 

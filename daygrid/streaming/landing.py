@@ -69,14 +69,17 @@ def route_late(
 def daily_panel(
     stream: DataFrame, time: str, entity: str, value: str, delay: str = "1 day"
 ) -> DataFrame:
-    """Tumbling one-day windows per entity, emitted once the watermark has passed their end."""
+    """Tumbling one-day windows per entity, emitted once the watermark has passed their end.
+
+    Values are summed in the type they come in; a decimal column gives sums that do not depend on order.
+    """
     return (
         stream.withWatermark(time, delay)
         .groupBy(F.window(time, "1 day"), F.col(entity))
         .agg(
             F.count(F.lit(1)).alias("event_count"),
             F.max(value).alias("price_usd"),
-            F.sum(F.col(value).cast("decimal(18,2)")).cast("double").alias("market_cap_usd"),
+            F.sum(value).cast("double").alias("market_cap_usd"),
         )
         .select(
             F.to_date("window.start").alias(DAY), entity, "event_count", "price_usd", "market_cap_usd"

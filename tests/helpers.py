@@ -6,22 +6,27 @@ from datetime import date, timedelta
 
 from daygrid.schemas import COINS, PRICE_SNAPSHOTS
 
-TARGET = date(2026, 3, 20)
+TARGET = date(2025, 11, 24)
 
-# day: {entity: (price, cap, volume)}
+# Days before TARGET: {entity: (price, cap, volume)}. There are gaps before -14 and -6, the caps swap
+# places between -14 and TARGET, and one entity is new on TARGET.
 SCENARIO = {
-    date(2026, 2, 18): {"bitcoin": (90, 900, 350), "ethereum": (230, 2300, 550)},
-    date(2026, 3, 6): {"bitcoin": (95, 950, 360), "ethereum": (220, 2200, 540)},
-    date(2026, 3, 14): {"bitcoin": (101, 990, 395), "ethereum": (205, 2050, 505)},
-    date(2026, 3, 15): {"bitcoin": (102, 995, 398), "ethereum": (206, 2060, 506)},
-    date(2026, 3, 16): {"bitcoin": (103, 1005, 402), "ethereum": (207, 2070, 507)},
-    date(2026, 3, 17): {"bitcoin": (104, 1010, 405), "ethereum": (208, 2080, 508)},
-    date(2026, 3, 18): {"bitcoin": (105, 1020, 410), "ethereum": (209, 2090, 509)},
-    date(2026, 3, 19): {"bitcoin": (100, 1000, 400), "ethereum": (200, 2000, 500)},
-    TARGET: {"bitcoin": (120, 1200, 450), "ethereum": (210, 2200, 520), "dogecoin": (0.12, 300, 120)},
+    -30: {"alder": (40, 700, 61), "birch": (15, 900, 82)},
+    -14: {"alder": (44, 950, 64), "birch": (16, 880, 80)},
+    -6: {"alder": (47, 610, 66), "birch": (18, 905, 71)},
+    -5: {"alder": (48, 620, 67), "birch": (17.5, 890, 73)},
+    -4: {"alder": (46, 600, 69), "birch": (18.5, 915, 75)},
+    -3: {"alder": (49, 640, 70), "birch": (19, 930, 74)},
+    -2: {"alder": (51, 655, 72), "birch": (18, 900, 77)},
+    -1: {"alder": (50, 650, 71), "birch": (20, 940, 79)},
+    0: {"alder": (55, 720, 75), "birch": (19, 925, 78), "cedar": (2.5, 310, 12)},
 }
 
 
+def before_target(days: int) -> date:
+    return TARGET - timedelta(days)
+
+
 def panel_of(spark, rows):
     """Rows of (entity, day, price, cap, volume); the other measures are NULL."""
 
@@ -34,16 +39,16 @@ def panel_of(spark, rows):
 
 def scenario_panel(spark):
     return panel_of(
-        spark, [(e, d, *values) for d, entities in SCENARIO.items() for e, values in entities.items()]
+        spark, [(e, before_target(-k), *values) for k, entities in SCENARIO.items() for e, values in entities.items()]
     )
 
 
 def scenario_coins(spark):
     return spark.createDataFrame(
         [
-            ("bitcoin", "BTC", "Bitcoin", 19500000.0, 21000000.0),
-            ("ethereum", "ETH", "Ethereum", 120000000.0, None),
-            ("dogecoin", "DOGE", "Dogecoin", 1000000000.0, None),
+            ("alder", "ALD", "Alder", 8200000.0, 9000000.0),
+            ("birch", "BIR", "Birch", 310000.0, None),
+            ("cedar", "CED", "Cedar", 44000000.0, None),
         ],
         COINS,
     )

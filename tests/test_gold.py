@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from daygrid.plans import gold, serving
-from tests.helpers import TARGET, by_key, panel_of, rows_of, scenario_coins, scenario_panel
+from tests.helpers import TARGET, before_target, by_key, panel_of, rows_of, scenario_coins, scenario_panel
 
 D = date(2026, 1, 10)
 
@@ -12,24 +12,24 @@ D = date(2026, 1, 10)
 def test_daily_snapshot_scenario(spark):
     daily = gold.daily_snapshot(scenario_panel(spark), scenario_coins(spark), (TARGET, TARGET))
     rows = by_key(daily, "coin_id")
-    assert set(rows) == {"bitcoin", "ethereum", "dogecoin"}
-    b, e, d = rows["bitcoin"], rows["ethereum"], rows["dogecoin"]
-    assert (b.coin_rank, b.prev_price_usd, b.price_change_rank) == (2, 100.0, 1)
-    assert b.price_change_pct == pytest.approx(20.0)
-    assert (e.coin_rank, e.price_change_rank) == (1, 2)
-    assert e.price_change_pct == pytest.approx(5.0)
-    assert (d.coin_rank, d.prev_price_usd, d.price_change_pct, d.price_change_rank) == (3, None, None, None)
-    assert (b.symbol, d.name) == ("BTC", "Dogecoin")
+    assert set(rows) == {"alder", "birch", "cedar"}
+    a, b, c = rows["alder"], rows["birch"], rows["cedar"]
+    assert (a.coin_rank, a.prev_price_usd, a.price_change_rank) == (2, 50.0, 1)
+    assert a.price_change_pct == pytest.approx(10.0)
+    assert (b.coin_rank, b.price_change_rank) == (1, 2)
+    assert b.price_change_pct == pytest.approx(-5.0)
+    assert (c.coin_rank, c.prev_price_usd, c.price_change_pct, c.price_change_rank) == (3, None, None, None)
+    assert (a.symbol, c.name) == ("ALD", "Cedar")
 
 
 def test_rank_change_scenario(spark):
     table = gold.rank_change(scenario_panel(spark), scenario_coins(spark), (TARGET, TARGET))
     rows = by_key(table, "coin_id")
-    b, d = rows["bitcoin"], rows["dogecoin"]
-    assert (b.mc_rank_diff_14d, b.mc_rank_diff_30d) == (0, 0)
-    assert b.price_diff_14d_pct == pytest.approx((120 - 95) / 95 * 100)
-    assert b.price_diff_30d_pct == pytest.approx((120 - 90) / 90 * 100)
-    assert (d.mc_rank_diff_14d, d.price_diff_30d_pct) == (None, None)
+    a, c = rows["alder"], rows["cedar"]
+    assert (a.mc_rank_diff_14d, a.mc_rank_diff_30d) == (-1, 0)
+    assert a.price_diff_14d_pct == pytest.approx(25.0)
+    assert a.price_diff_30d_pct == pytest.approx(37.5)
+    assert (c.mc_rank_diff_14d, c.price_diff_30d_pct) == (None, None)
 
 
 def test_rolling_average_scenario(spark):
@@ -37,11 +37,11 @@ def test_rolling_average_scenario(spark):
         scenario_panel(spark), scenario_coins(spark), (TARGET, TARGET), frame="calendar"
     )
     rows = by_key(table, "coin_id")
-    assert rows["bitcoin"].wkly_roll_avg_price == pytest.approx(105.0)
-    assert rows["bitcoin"].wkly_roll_avg_volume == pytest.approx(408.5714285714)
-    assert rows["ethereum"].wkly_roll_avg_price == pytest.approx(206.4285714286)
-    assert rows["ethereum"].wkly_roll_avg_volume == pytest.approx(507.8571428571)
-    assert rows["dogecoin"].wkly_roll_avg_price == pytest.approx(0.12)
+    assert rows["alder"].wkly_roll_avg_price == pytest.approx(346 / 7)
+    assert rows["alder"].wkly_roll_avg_volume == pytest.approx(70.0)
+    assert rows["birch"].wkly_roll_avg_price == pytest.approx(130 / 7)
+    assert rows["birch"].wkly_roll_avg_volume == pytest.approx(527 / 7)
+    assert rows["cedar"].wkly_roll_avg_price == pytest.approx(2.5)
 
 
 def edge_panel(spark):
@@ -96,16 +96,16 @@ def test_row_frame_reaches_over_gaps_and_calendar_frame_does_not(spark):
         gold.rolling_average(panel, coins, frame="weeks")
 
 
-@pytest.mark.parametrize("large", [None, 1])
-def test_any_span_equals_full_history_cut_to_it(spark, large):
+@pytest.mark.parametrize("method", ["window", "tree"])
+def test_any_span_equals_full_history_cut_to_it(spark, method):
     panel, coins = scenario_panel(spark), scenario_coins(spark)
     builders = [
-        lambda span: gold.daily_snapshot(panel, coins, span, max_day_rows=large),
-        lambda span: gold.rank_change(panel, coins, span, max_day_rows=large),
+        lambda span: gold.daily_snapshot(panel, coins, span, method=method),
+        lambda span: gold.rank_change(panel, coins, span, method=method),
         lambda span: gold.rolling_average(panel, coins, span, frame="calendar"),
         lambda span: gold.rolling_average(panel, coins, span, frame="rows"),
     ]
-    spans = [(TARGET, TARGET), (date(2026, 3, 6), date(2026, 3, 15))]
+    spans = [(TARGET, TARGET), (before_target(14), before_target(5))]
     for build in builders:
         full = build(None).cache()
         for span in spans:
@@ -122,18 +122,18 @@ def test_latest_snapshot_and_availability(spark):
     end = TARGET + timedelta(2)
     table = serving.availability(
         panel,
-        daily.where("NOT (snapshot_date = DATE'2026-03-19' AND coin_id = 'bitcoin')"),
-        gold.rank_change(panel, coins).where("snapshot_date <> DATE'2026-03-18'"),
+        daily.where((F.col("snapshot_date") != F.lit(before_target(1))) | (F.col("coin_id") != "alder")),
+        gold.rank_change(panel, coins).where(F.col("snapshot_date") != F.lit(before_target(2))),
         gold.rolling_average(panel, coins),
         end,
         expected=2,
     )
     rows = by_key(table, "snapshot_date")
-    assert len(rows) == (end - date(2026, 2, 18)).days + 1
+    assert len(rows) == (end - before_target(30)).days + 1
     assert rows[TARGET].availability_status == "available" and rows[TARGET].availability_reason is None
     assert rows[end].availability_reason == "silver_missing" and rows[end].volume_coverage_pct is None
-    assert rows[date(2026, 3, 19)].availability_reason == "daily_snapshot_row_count_mismatch"
-    assert rows[date(2026, 3, 18)].availability_reason == "rank_change_missing"
+    assert rows[before_target(1)].availability_reason == "daily_snapshot_row_count_mismatch"
+    assert rows[before_target(2)].availability_reason == "rank_change_missing"
     assert rows[TARGET].source_coverage_pct == 150.0 and rows[TARGET].vwap_coverage_pct == 0.0
 
 
@@ -150,6 +150,6 @@ def test_availability_of_an_empty_panel_is_one_missing_day(spark):
 
 def test_affected_dates(spark):
     panel = scenario_panel(spark)
-    changed = spark.createDataFrame([(date(2026, 3, 6),)], "snapshot_date date")
+    changed = spark.createDataFrame([(before_target(14),)], "snapshot_date date")
     days = {r.snapshot_date for r in gold.affected_dates(changed, panel).collect()}
-    assert days == {date(2026, 3, 6), TARGET}
+    assert days == {before_target(14), TARGET}

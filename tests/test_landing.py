@@ -1,7 +1,7 @@
 """Landed files, contracts, typed tables, history repair, merges and whole loads."""
 
 import json
-from datetime import date, datetime, timedelta
+from datetime import date, datetime, timedelta, timezone
 
 import pytest
 from pyspark.sql import functions as F
@@ -12,24 +12,23 @@ from daygrid.plans import history, jobs, silver
 from daygrid.schemas import DAY, KEY, SNAPSHOT_FILE
 from daygrid.sinks.partitions import merge_partitions, read_version, upsert_version, write_partitions, write_snapshots
 from daygrid.sources import payloads, snapshots
-from tests.helpers import TARGET, by_key, panel_of, rows_of, scenario_coins, scenario_panel
+from tests.helpers import TARGET, before_target, by_key, panel_of, rows_of, scenario_coins, scenario_panel
 
-LANDED = date(2026, 3, 15)
-ANCHOR = date(2026, 3, 15)
-START = date(2026, 1, 14)
+LANDED = date(2025, 8, 9)
+ANCHOR = date(2025, 12, 1)
+START = ANCHOR - timedelta(60)
 
 
 def asset(**changes):
     record = {
-        "id": "bitcoin", "rank": "1", "symbol": "BTC", "name": "Bitcoin", "supply": "19500000.0",
-        "maxSupply": "21000000.0", "marketCapUsd": "1234567890.12", "volumeUsd24Hr": "9876543210.99",
-        "priceUsd": "63000.1234567890", "changePercent24Hr": "2.3456789012345678", "vwap24Hr": "62500.0",
-        "explorer": None,
+        "id": "alder", "rank": "4", "symbol": "ALD", "name": "Alder", "supply": "8200000.5",
+        "maxSupply": "9000000.0", "marketCapUsd": "77100450.25", "volumeUsd24Hr": "3100200.75",
+        "priceUsd": "9.4025", "changePercent24Hr": "-0.731", "vwap24Hr": "9.3811", "explorer": None,
     }
     return {**record, **changes}
 
 
-ETHEREUM = asset(id="ethereum", rank="2", symbol="ETH", name="Ethereum", maxSupply=None, priceUsd="3400.5")
+BIRCH = asset(id="birch", rank="9", symbol="BIR", name="Birch", maxSupply=None, priceUsd="0.815")
 
 
 def raw_rows(spark, *records, day=LANDED):
@@ -38,14 +37,14 @@ def raw_rows(spark, *records, day=LANDED):
 
 
 def test_clean_snapshots_types_and_names(spark):
-    cleaned = silver.clean_snapshots(raw_rows(spark, asset(), ETHEREUM).drop(DAY))
+    cleaned = silver.clean_snapshots(raw_rows(spark, asset(), BIRCH).drop(DAY))
     assert cleaned.columns == [
         "id", "symbol", "name", "supply", "max_supply", "price_usd", "market_cap_usd",
         "volume_usd_24hr", "change_percent_24hr", "vwap_24hr",
     ]
     rows = by_key(cleaned, "id")
-    assert rows["bitcoin"].price_usd == pytest.approx(63000.123456789)
-    assert rows["ethereum"].max_supply is None
+    assert rows["alder"].price_usd == pytest.approx(9.4025)
+    assert rows["birch"].max_supply is None
 
 
 @pytest.mark.parametrize("bad", ["not-a-number", "", "NaN", None])
@@ -58,22 +57,22 @@ def test_bad_price_is_null_and_refused(spark, bad):
 
 def test_load_snapshots_end_to_end(spark, tmp_path):
     landed, root = str(tmp_path / "landed"), str(tmp_path / "silver")
-    write_snapshots(raw_rows(spark, asset(), ETHEREUM), landed)
+    write_snapshots(raw_rows(spark, asset(), BIRCH), landed)
     jobs.load_snapshots(spark, landed, root, (LANDED, LANDED))
     coins = by_key(read_version(spark, f"{root}/coins"), "id")
     panel = spark.read.parquet(f"{root}/price_snapshots")
-    assert set(coins) == {"bitcoin", "ethereum"} and "rank" not in coins["bitcoin"].asDict()
-    assert by_key(panel, "coin_id")["ethereum"].price_usd == 3400.5
+    assert set(coins) == {"alder", "birch"} and "rank" not in coins["alder"].asDict()
+    assert by_key(panel, "coin_id")["birch"].price_usd == 0.815
     assert "fetched_at_utc" not in panel.columns
     before = rows_of(panel)
 
-    write_snapshots(raw_rows(spark, asset(name="Bitcoin 2"), day=LANDED + timedelta(1)), landed)
+    write_snapshots(raw_rows(spark, asset(name="Alder 2"), day=LANDED + timedelta(1)), landed)
     jobs.load_snapshots(spark, landed, root, (LANDED, LANDED + timedelta(1)))
     panel = spark.read.parquet(f"{root}/price_snapshots")
     assert rows_of(panel.where(F.col(DAY) == F.lit(LANDED))) == before
     assert panel.count() == 3
     coins = by_key(read_version(spark, f"{root}/coins"), "id")
-    assert coins["bitcoin"].name == "Bitcoin 2" and len(coins) == 2
+    assert coins["alder"].name == "Alder 2" and len(coins) == 2
     with pytest.raises(ValueError, match="no landed files"):
         jobs.load_snapshots(spark, landed, root, (LANDED, LANDED + timedelta(2)))
 
@@ -103,9 +102,9 @@ def test_asset_contract(spark):
     good, bad = checked(
         spark,
         payloads.ASSETS,
-        {"data": [asset(), ETHEREUM], "timestamp": 7},
+        {"data": [asset(), BIRCH], "timestamp": 7},
         {"data": [asset(), without_id], "timestamp": 7},
-        {"data": [asset(priceUsd=63000.5)], "timestamp": 7},
+        {"data": [asset(priceUsd=9.5)], "timestamp": 7},
         {"data": [asset()]},
         [asset()],
         "{broken",
@@ -115,7 +114,7 @@ def test_asset_contract(spark):
         {"data": [asset(vwap24Hr=1)], "timestamp": 8},
     )
     assert sorted((r.n, r.id, r.api_timestamp_ms) for r in good) == [
-        (0, "bitcoin", 7), (0, "ethereum", 7), (6, "bitcoin", 8)
+        (0, "alder", 7), (0, "birch", 7), (6, "alder", 8)
     ]
     assert bad == {
         1: "missing id", 2: "not a string: priceUsd", 3: "no integer timestamp", 4: "no record list",
@@ -128,7 +127,7 @@ def test_history_contracts(spark):
         spark,
         payloads.ASSET_HISTORY,
         [{"time": 1, "priceUsd": "1.5", "other": True}],
-        {"data": [{"time": "2", "priceUsd": 2.5, "date": "2026-01-14"}]},
+        {"data": [{"time": "2", "priceUsd": 2.5, "date": "2025-10-02"}]},
         {"data": [{"time": 3}]},
         {"data": [{"priceUsd": "1"}]},
         {"data": [{"time": 4, "priceUsd": True}]},
@@ -149,41 +148,41 @@ def test_history_contracts(spark):
 
 # ---------------------------------------------------------------- history
 
-MS = 1768348800000
+MS = int(datetime(START.year, START.month, START.day, tzinfo=timezone.utc).timestamp() * 1000)
 
 
 def write_history(spark, root):
     folder = f"{root}/anchor_date={ANCHOR}/window_days=60"
-    iso = "2026-01-14T00:00:00.000Z"
+    iso = f"{START}T00:00:00.000Z"
     spark.createDataFrame(
-        [("bitcoin", "63000.10", "1200000000.0", MS, iso), ("ethereum", "3400.50", "600000000.0", MS, iso)],
+        [("alder", "9.41", "3000100.0", MS, iso), ("birch", "0.83", "51000.0", MS, iso)],
         "coin_id string, priceUsd string, volumeUsd24Hr string, time long, date string",
     ).write.parquet(f"{folder}/asset_history.parquet")
     spark.createDataFrame(
-        [("bitcoin", "1234567890.0", MS, None), ("ethereum", "723456789.0", MS, None)],
+        [("alder", "77000000.0", MS, None), ("birch", "252000.5", MS, None)],
         "coin_id string, marketCapUsd string, time long, date string",
     ).write.parquet(f"{folder}/asset_market_cap_history.parquet")
     spark.createDataFrame(
-        [("2200000000000.0", MS, iso)], "totalMarketCapUsd string, time long, date string"
+        [("880000000.25", MS, iso)], "totalMarketCapUsd string, time long, date string"
     ).write.parquet(f"{folder}/total_market_cap_history.parquet")
 
 
 def test_history_backfill_end_to_end(spark, tmp_path):
     landed, root = str(tmp_path / "landed"), str(tmp_path / "silver")
     write_history(spark, landed)
-    kept = panel_of(spark, [("bitcoin", ANCHOR, 65000, 1250000000, 1300000000)])
+    kept = panel_of(spark, [("alder", ANCHOR, 9.9, 80000000, 3200000)])
     write_partitions(kept, f"{root}/price_snapshots")
     for _ in range(2):  # a rerun changes nothing
         jobs.load_history(spark, landed, root, ANCHOR, 60)
         panel = by_key(spark.read.parquet(f"{root}/price_snapshots"))
         assert len(panel) == 3
-        assert panel["bitcoin", START].market_cap_usd == 1234567890.0
-        assert panel["bitcoin", ANCHOR].price_usd == 65000.0
-        assert panel["ethereum", START].vwap_24hr is None
+        assert panel["alder", START].market_cap_usd == 77000000.0
+        assert panel["alder", ANCHOR].price_usd == 9.9
+        assert panel["birch", START].vwap_24hr is None
         caps = by_key(spark.read.parquet(f"{root}/asset_market_cap_history"))
-        assert caps["ethereum", START].market_cap_usd == 723456789.0
+        assert caps["birch", START].market_cap_usd == 252000.5
         total = spark.read.parquet(f"{root}/total_market_cap_history").collect()
-        assert [(r.snapshot_date, r.total_market_cap_usd) for r in total] == [(START, 2200000000000.0)]
+        assert [(r.snapshot_date, r.total_market_cap_usd) for r in total] == [(START, 880000000.25)]
 
 
 def test_history_points_without_optional_columns(spark):
@@ -197,12 +196,14 @@ def test_backfill_plan(spark):
     panel = panel_of(spark, [("a", ANCHOR, 1, 1, 1), ("a", START, 1, 1, 1)])
     rows = history.backfill_plan(coins, panel, 60).orderBy("coin_id").collect()
     assert [r.coin_id for r in rows] == ["a", "b"]
-    assert (rows[0].window_start_date, rows[0].window_end_date) == (START, date(2026, 3, 14))
+    assert (rows[0].window_start_date, rows[0].window_end_date) == (START, ANCHOR - timedelta(1))
     assert history.backfill_plan(coins, panel, 1, START).first().window_end_date == START - timedelta(1)
     with pytest.raises(Exception, match="the panel is empty"):
         history.backfill_plan(coins, panel.where("false"), 60).collect()
     with pytest.raises(ValueError):
         history.backfill_plan(coins, panel, 0)
+    with pytest.raises(ValueError, match="entity table is empty"):
+        history.backfill_plan(coins.where("false"), panel, 60)
 
 
 # ---------------------------------------------------------------- merges
@@ -235,9 +236,9 @@ def test_versioned_dimension(spark, tmp_path):
     assert read_version(spark, path) is None
     coins = scenario_coins(spark)
     upsert_version(path, coins, ["id"])
-    upsert_version(path, coins.where("id = 'bitcoin'").withColumn("max_supply", F.lit(None).cast("double")), ["id"])
+    upsert_version(path, coins.where("id = 'alder'").withColumn("max_supply", F.lit(None).cast("double")), ["id"])
     rows = by_key(read_version(spark, path), "id")
-    assert len(rows) == 3 and rows["bitcoin"].max_supply is None
+    assert len(rows) == 3 and rows["alder"].max_supply is None
 
 
 def test_dedup_is_deterministic_and_null_aware(spark):
@@ -259,7 +260,7 @@ def write_silver(spark, root, panel):
 @pytest.mark.parametrize("frame", ["calendar", "rows"])
 def test_late_day_is_repaired_by_cascade(spark, tmp_path, frame):
     """Build without one day, add it, rebuild only its range: the result equals a full build."""
-    late = date(2026, 3, 19)
+    late = before_target(1)
     panel = scenario_panel(spark)
     silver_root, gold_root, fresh = (str(tmp_path / n) for n in ("silver", "gold", "fresh"))
     write_silver(spark, silver_root, panel.where(F.col(DAY) != F.lit(late)))
@@ -275,12 +276,55 @@ def test_late_day_is_repaired_by_cascade(spark, tmp_path, frame):
     jobs.build_serving(spark, silver_root, gold_root, TARGET, expected=2)
     assert spark.read.parquet(f"{gold_root}/latest_snapshot").count() == 3
     with pytest.raises(ValueError, match="no rows"):
-        jobs.build_gold(spark, silver_root, gold_root, (date(2026, 4, 1), date(2026, 4, 2)), frame=frame)
+        jobs.build_gold(spark, silver_root, gold_root, (TARGET + timedelta(8), TARGET + timedelta(9)), frame=frame)
+
+
+def test_gold_needs_every_requested_day(spark, tmp_path):
+    silver_root, gold_root = str(tmp_path / "silver"), str(tmp_path / "gold")
+    write_silver(spark, silver_root, scenario_panel(spark))
+    jobs.build_gold(spark, silver_root, gold_root, (before_target(6), TARGET), method="window")
+    with pytest.raises(ValueError, match=f"daily_snapshot on {before_target(7)}"):
+        jobs.build_gold(spark, silver_root, gold_root, (before_target(7), TARGET), method="window")
+    with pytest.raises(ValueError, match="end is before start"):
+        jobs.build_gold(spark, silver_root, gold_root, (TARGET, before_target(1)))
+
+
+def test_malformed_time_with_a_good_date(spark):
+    raw = spark.createDataFrame(
+        [("a", "1.5", "noon", f"{START}T00:00:00.000Z"), ("a", "2.5", "noon", None)], "coin_id string, priceUsd string, time string, date string"
+    )
+    assert [(r[DAY], r.price_usd) for r in history.clean_asset_history(raw).collect()] == [(START, 1.5)]
+
+
+def test_versions_stay_few_and_only_complete_ones_count(spark, tmp_path):
+    path = str(tmp_path / "coins")
+    for _ in range(5):
+        upsert_version(path, scenario_coins(spark), ["id"])
+    assert sorted(p.name for p in (tmp_path / "coins").iterdir()) == ["version=3", "version=4", "version=5"]
+    (tmp_path / "coins" / "version=6").mkdir()  # a writer that died
+    assert read_version(spark, path).count() == 3
+    upsert_version(path, scenario_coins(spark), ["id"])
+    assert (tmp_path / "coins" / "version=7").exists()
+
+
+def test_merge_source_is_computed_once(spark, tmp_path):
+    seen = spark.sparkContext.accumulator(0)
+    rows = panel_of(spark, [("a", START, 1, 1, 1), ("b", START, 2, 2, 2)])
+
+    def count(batches):
+        for batch in batches:
+            seen.add(len(batch))
+            yield batch
+
+    counted = rows.coalesce(1).mapInPandas(count, rows.schema)
+    write_partitions(rows, str(tmp_path / "t"))
+    merge_partitions(str(tmp_path / "t"), counted, KEY)
+    assert seen.value == 2
 
 
 def test_provenance_survives_the_landed_files(spark, tmp_path):
     rows = raw_rows(spark, asset()).withColumn("api_timestamp_ms", F.lit(5).cast("long")).withColumn(
-        "fetched_at_utc", F.lit(datetime(2026, 3, 15, 0, 30)).cast("timestamp")
+        "fetched_at_utc", F.lit(datetime(2025, 8, 9, 0, 30)).cast("timestamp")
     )
     write_snapshots(rows, str(tmp_path))
     found = snapshots.provenance(snapshots.read_snapshots(spark, str(tmp_path))).collect()

@@ -6,7 +6,6 @@ from datetime import date
 import pytest
 
 from daygrid.operators import ranking
-from daygrid.operators.ranking import large_days
 from daygrid.plans import gold, governance
 from daygrid.schemas import DAY
 from daygrid.sinks.partitions import write_partitions
@@ -27,8 +26,8 @@ def stored(spark, tmp_path_factory):
 
 def builders(stored, coins, span):
     return {
-        "daily": gold.daily_snapshot(stored, coins, span),
-        "rank": gold.rank_change(stored, coins, span),
+        "daily": gold.daily_snapshot(stored, coins, span, method="window"),
+        "rank": gold.rank_change(stored, coins, span, method="window"),
         "calendar": gold.rolling_average(stored, coins, span, frame="calendar"),
     }
 
@@ -47,7 +46,7 @@ def test_landed_files_are_pruned_by_folder(spark, tmp_path):
 
 
 def test_columns_are_pruned(spark, stored):
-    text = plan(gold.rank_change(stored, scenario_coins(spark)))
+    text = plan(gold.rank_change(stored, scenario_coins(spark), method="window"))
     schema = re.search(r"ReadSchema: struct<([^>]*)>", text).group(1)
     assert "volume" not in schema and "vwap" not in schema and "change_percent" not in schema
 
@@ -58,17 +57,12 @@ def test_no_window_runs_in_a_single_partition(spark, stored):
 
 
 def test_windows_by_entity_share_one_shuffle(spark, stored):
-    text = plan(gold.rank_change(stored, scenario_coins(spark)).drop("symbol", "name"))
+    text = plan(gold.rank_change(stored, scenario_coins(spark), method="window").drop("symbol", "name"))
     windows = text.count("hashpartitioning(coin_id")
     # One for both lookbacks, at most one more pair for the dimension join.
     assert text.count("Exchange hashpartitioning(snapshot_date") == 1 and windows <= 2, text
 
 
-def test_day_sizes_read_no_column(spark, stored):
-    text = plan(large_days(stored, 10))
-    assert "ReadSchema: struct<>" in text, text
-
-
 def test_dimension_is_broadcast_only_while_small(spark, stored, tmp_path):
     scenario_coins(spark).write.parquet(str(tmp_path / "coins"))
     coins = spark.read.parquet(str(tmp_path / "coins"))
@@ -82,25 +76,16 @@ def test_dimension_is_broadcast_only_while_small(spark, stored, tmp_path):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
 
 
-def test_large_day_never_meets_in_one_window(spark, stored):
-    """Only usual days reach the window by day; large ones join stored ranks, hot values salted."""
-    text = plan(gold.with_cap_rank(stored, max_day_rows=0))
-    by_day = re.findall(r"Window \[rank\([^\n]*\], \[snapshot_date#\d+\]", text)
-    assert len(by_day) == 1 and len(re.findall(r"\+- Window |:- Window ", text)) == 1
-    assert "value-ranks" in text and "_salt" in text and "LeftAnti" in text and "LeftSemi" in text
+def test_default_ranks_never_sort_a_day_in_one_task(spark, stored):
+    text = plan(gold.with_cap_rank(stored))
+    assert "Window [rank(" not in text and "_salt" in text
+    assert "Window [rank(" in plan(gold.with_cap_rank(stored, method="window"))
 
 
-def test_tree_windows_partition_below_the_day(spark, stored, monkeypatch):
+def test_tree_windows_partition_below_the_day(spark, stored):
     """Of the four windows of the tree only the one over the coarse cells partitions by day alone."""
-    plans = []
-
-    def spy(df, name):
-        plans.append(plan(df))
-        return df
-
-    monkeypatch.setattr(ranking, "_stored", spy)
-    ranking.ranks_by_value(stored, DAY, "market_cap_usd")
-    keys = re.findall(r"Window \[sum\([^\n]*\], \[(snapshot_date#\d+[^\]]*)\], \[([^\]]*)\]", plans[-1])
+    text = plan(ranking.ranks_by_value(stored, DAY, "market_cap_usd"))
+    keys = re.findall(r"Window \[sum\([^\n]*\], \[(snapshot_date#\d+[^\]]*)\], \[([^\]]*)\]", text)
     assert len(keys) == 4
     assert [order for key, order in keys if "," not in key and not order.startswith("_l0")] == []
 

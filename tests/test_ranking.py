@@ -6,7 +6,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from daygrid.operators.ranking import ranks_by_value, large_days, number_line, rank_within_day
+from daygrid.operators.ranking import number_line, rank_within_day, ranks_by_value, remove_staging
 from tests.helpers import rows_of
 
 DAYS = [date(2026, 1, d) for d in (1, 2, 3)]
@@ -29,18 +29,30 @@ def frame(spark):
     return spark.createDataFrame(rows, "coin_id string, snapshot_date date, v double")
 
 
-def test_both_ways_give_the_same_ranks(spark):
+def test_both_ways_give_the_same_ranks(spark, tmp_path):
     df = frame(spark).withColumn("w", -F.col("v")).where("NOT (snapshot_date = DATE'2026-01-03' AND coin_id > 'e2')")
     ranks = {"by_v": "v", "by_w": "w"}
-    want = rank_within_day(df, ranks, unranked_nulls={"by_w"}, max_rows=None).drop("v", "w")
-    for limit in (0, 20):  # every value hot; only the repeated ones hot and the third day usual
-        have = rank_within_day(df, ranks, unranked_nulls={"by_w"}, max_rows=limit).drop("v", "w")
+    want = rank_within_day(df, ranks, unranked_nulls={"by_w"}, method="window").drop("v", "w")
+    staging = str(tmp_path / "ranks")
+    for hot, folder in ((0, None), (20, None), (2_000_000, staging)):  # every value hot; repeated ones; none
+        have = rank_within_day(df, ranks, unranked_nulls={"by_w"}, staging=folder, hot_rows=hot).drop("v", "w")
         assert rows_of(have) == rows_of(want)
+    assert sorted(p.name for p in (tmp_path / "ranks").iterdir()) == ["counts-v", "counts-w", "ranks-v", "ranks-w", "rows"]
+    remove_staging(spark, staging)
+    assert not (tmp_path / "ranks").exists()
+
+
+def test_building_the_plan_runs_no_job(spark):
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("rank-plan", "")
+    rank_within_day(frame(spark), {"rank": "v"})
+    assert list(tracker.getJobIdsForGroup("rank-plan")) == []
+    spark.sparkContext.setJobGroup("", "")
 
 
 def test_ranks_against_brute_force(spark):
     df = frame(spark).where("NOT isnan(v) OR v IS NULL")
-    have = {(r.coin_id, r.snapshot_date): r.rank for r in rank_within_day(df, {"rank": "v"}, max_rows=0).collect()}
+    have = {(r.coin_id, r.snapshot_date): r.rank for r in rank_within_day(df, {"rank": "v"}, hot_rows=0).collect()}
     rows = df.collect()
     for r in rows:
         day = [o.v for o in rows if o.snapshot_date == r.snapshot_date]
@@ -51,13 +63,6 @@ def test_ranks_against_brute_force(spark):
         assert have[r.coin_id, r.snapshot_date] == greater + 1
 
 
-def test_large_days_are_found_by_count(spark):
-    df = frame(spark)
-    size = len(hard_values())
-    assert large_days(df, size).count() == 0
-    assert large_days(df, size - 1).count() == 3
-
-
 def test_a_value_shared_by_most_rows_is_counted_once(spark):
     """Rows of a hot value are combined before the tree: one node per distinct value."""
     df = spark.range(50_000).select(

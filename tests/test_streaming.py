@@ -69,18 +69,24 @@ def test_daily_panel_waits_for_the_watermark(spark, tmp_path):
     assert run()[FIRST, "u"] == (2, 2.5, 4.0)
 
 
-def test_scratch_needs_a_shared_folder_on_a_cluster(spark, monkeypatch):
+def test_daily_panel_sums_small_and_large_values(spark, tmp_path):
+    source, sink, checkpoint = (str(tmp_path / n) for n in ("src", "sink", "ckpt"))
+    rows = [(at(FIRST, 1), "u", 0.0000123), (at(FIRST, 2), "u", 0.004), (at(FIRST, 1), "v", 1e17), (at(FIRST, 80), "u", 1.0)]
+    spark.createDataFrame(rows, "ts timestamp, user string, value double").write.parquet(source)
+    panel = landing.daily_panel(landing.read_stream(spark, source, spark.read.parquet(source).schema), "ts", "user", "value")
+    landing.write_daily_panel(panel, sink, checkpoint)
+    sums = {r.user: r.market_cap_usd for r in spark.read.parquet(sink).collect()}
+    assert sums == {"u": pytest.approx(0.0040123), "v": 1e17}
+
+
+def test_scratch_folder_is_shared_by_the_session(spark):
     from daygrid import session
 
     assert session.scratch_dir(spark, "x").startswith(session.scratch_root(spark))
     assert session.scratch_root(spark) == spark.conf.get("spark.checkpoint.dir").rstrip("/")
 
-    class Cluster:
+    class Unset:
         class conf:
-            get = staticmethod(lambda key, default=None: default)
-
-        class sparkContext:
-            master = "yarn"
+            get = staticmethod(lambda key, default=None: "hdfs://shared/warehouse" if "warehouse" in key else default)
 
-    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
-        session.scratch_root(Cluster)
+    assert session.scratch_root(Unset).startswith("hdfs://shared/warehouse/")

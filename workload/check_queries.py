@@ -21,7 +21,7 @@ HOLES_SQL = "DATE '1996-02-10', DATE '1996-02-11', DATE '1997-07-01'"
 
 
 def nation_daily(spark, root):
-    return gold.daily_snapshot(*inputs(spark, root, "n"))
+    return gold.daily_snapshot(*inputs(spark, root, "n"), method="window")
 
 
 def lossy_daily(spark, root):
@@ -107,14 +107,20 @@ def chk_relationships_broken(spark, root):
 
 # ---------------------------------------------------------------- changes over gaps
 
-GAPS_SQL = """, per_day AS (SELECT snapshot_date, count(*) AS silver_row_count FROM n GROUP BY 1),
-  gaps AS (SELECT * FROM per_day WHERE snapshot_date - 1 NOT IN (SELECT snapshot_date FROM per_day)),
-  gold AS (SELECT snapshot_date, count(*) AS gold_row_count, count(*) FILTER (WHERE prev_price_usd IS NOT NULL
-             OR price_change_pct IS NOT NULL OR price_change_rank IS NOT NULL) AS populated FROM {table} GROUP BY 1)
-  SELECT g.snapshot_date, silver_row_count, coalesce(gold_row_count, 0) AS gold_row_count,
-         coalesce(populated, 0) AS populated_change_row_count
-  FROM gaps g LEFT JOIN gold USING (snapshot_date)
-  WHERE coalesce(gold_row_count, 0) <> silver_row_count OR coalesce(populated, 0) <> 0"""
+# A day follows a gap when the distinct day before it lies more than a day back, or there is none.
+GAPS_SQL = """, days AS (
+    SELECT snapshot_date, sum(from_silver) AS silver_row_count, sum(1 - from_silver) AS gold_row_count,
+           sum(changed) AS populated_change_row_count
+    FROM (SELECT snapshot_date, 1 AS from_silver, 0 AS changed FROM n
+          UNION ALL
+          SELECT snapshot_date, 0, CASE WHEN coalesce(prev_price_usd, price_change_pct, price_change_rank) IS NULL THEN 0 ELSE 1 END
+          FROM {table}) GROUP BY 1),
+  stepped AS (SELECT *, date_diff('day', lag(snapshot_date) OVER (ORDER BY snapshot_date), snapshot_date) AS step
+              FROM days WHERE silver_row_count > 0)
+  SELECT snapshot_date, CAST(silver_row_count AS BIGINT) AS silver_row_count, CAST(gold_row_count AS BIGINT) AS gold_row_count,
+         CAST(populated_change_row_count AS BIGINT) AS populated_change_row_count
+  FROM stepped
+  WHERE step IS DISTINCT FROM 1 AND (silver_row_count - gold_row_count, populated_change_row_count) <> (0, 0)"""
 
 INVENTED = """invented AS (SELECT snapshot_date, coin_id,
    CASE WHEN coin_rank = 1 AND price_usd > 300000 THEN price_usd ELSE prev_price_usd END AS prev_price_usd,
@@ -179,7 +185,7 @@ COPIED_DAILY = sql.ctes(
 def copied_daily(spark, root):
     panel, dim = inputs(spark, root, "e")
     copy = panel.where(F.col(DAY) == F.lit(date(2024, 1, 11))).withColumn(DAY, F.lit(date(2024, 1, 12)))
-    return gold.daily_snapshot(panel.where(F.col(DAY) != F.lit(date(2024, 1, 12))).unionByName(copy), dim)
+    return gold.daily_snapshot(panel.where(F.col(DAY) != F.lit(date(2024, 1, 12))).unionByName(copy), dim, method="window")
 
 
 @query(
@@ -188,7 +194,7 @@ def copied_daily(spark, root):
     + UNCHANGED_SQL.format(table="e_daily", where="WHERE prev_price_usd IS NOT NULL", least=5),
 )
 def chk_duplicate_fetch_dates(spark, root):
-    return checks.duplicate_fetch_dates(gold.daily_snapshot(*inputs(spark, root, "e")))
+    return checks.duplicate_fetch_dates(gold.daily_snapshot(*inputs(spark, root, "e"), method="window"))
 
 
 @query(
@@ -325,7 +331,7 @@ def joined_daily(spark, root):
     before = panel.select(ENTITY, F.date_add(DAY, 1).alias(DAY), F.col("price_usd").alias("prev_price_usd"))
     joined = panel.join(before, [ENTITY, DAY], "left")
     changed = joined.withColumn("price_change_pct", pct_change(F.col("price_usd"), F.col("prev_price_usd")))
-    return gold.with_dimension(gold.with_change_rank(gold.with_cap_rank(changed)), dim)
+    return gold.with_dimension(gold.with_change_rank(gold.with_cap_rank(changed, method="window"), method="window"), dim)
 
 
 @query("chk_gold_covers_silver", N_DAILY + COVERS_SQL.format(first="TRUE", second="TRUE"))
@@ -427,3 +433,16 @@ def post_write_counts(spark, root):
 )
 def missing_input_dates(spark, root):
     return checks.missing_input_dates(panels.order_days(spark, root), (date(1995, 1, 1), date(2001, 12, 31)))
+
+
+@query(
+    "missing_after_write",
+    """WITH d AS (SELECT CAST(o_orderdate AS DATE) AS snapshot_date FROM orders UNION SELECT CAST(l_shipdate AS DATE) FROM lineitem)
+       SELECT 'ordered' AS table_name, snapshot_date FROM d WHERE snapshot_date NOT IN (SELECT CAST(o_orderdate AS DATE) FROM orders)
+       UNION ALL
+       SELECT 'shipped', snapshot_date FROM d WHERE snapshot_date NOT IN (SELECT CAST(l_shipdate AS DATE) FROM lineitem)""",
+)
+def missing_after_write(spark, root):
+    ordered = panels.order_days(spark, root)
+    shipped = panels.table(spark, root, "lineitem").select(F.to_date("l_shipdate").alias(DAY))
+    return checks.missing_after_write({"ordered": ordered, "shipped": shipped}, ordered.union(shipped))

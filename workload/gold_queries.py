@@ -22,6 +22,8 @@ SOURCES = {
 }
 SUFFIX = {"n": "", "e": "_users", "s": "_suppliers"}
 AS_OF = {"n": date(1998, 3, 6), "e": date(2024, 1, 15), "s": date(1998, 3, 6)}
+# A day holds one row per nation, user or supplier: small enough for one sort task each.
+SMALL_DAYS = {"method": "window"}
 DAYS_OF = {"n": panels.order_days, "e": panels.event_days}
 
 
@@ -41,11 +43,11 @@ def _register_tables(p: str) -> None:
 
     @query(f"gold_daily_snapshot_full{suffix}", sql.ctes(p, sql.daily(p)) + f"SELECT * FROM {p}_daily")
     def daily_full(spark, root):
-        return gold.daily_snapshot(*inputs(spark, root, p))
+        return gold.daily_snapshot(*inputs(spark, root, p), **SMALL_DAYS)
 
     @query(f"gold_rank_change_full{suffix}", sql.ctes(p, sql.rank_change(p)) + f"SELECT * FROM {p}_rank")
     def rank_full(spark, root):
-        return gold.rank_change(*inputs(spark, root, p))
+        return gold.rank_change(*inputs(spark, root, p), **SMALL_DAYS)
 
     for frame in ("rows", "calendar"):
 
@@ -64,14 +66,14 @@ def _register_tables(p: str) -> None:
         sql.ctes(p, sql.daily(p)) + f"SELECT * FROM {p}_daily WHERE snapshot_date = {day}",
     )
     def daily_asof(spark, root):
-        return gold.daily_snapshot(*inputs(spark, root, p), as_of_span(spark, root, p))
+        return gold.daily_snapshot(*inputs(spark, root, p), as_of_span(spark, root, p), **SMALL_DAYS)
 
     @query(
         f"gold_rank_change_asof{suffix}",
         sql.ctes(p, sql.rank_change(p)) + f"SELECT * FROM {p}_rank WHERE snapshot_date = {day}",
     )
     def rank_asof(spark, root):
-        return gold.rank_change(*inputs(spark, root, p), as_of_span(spark, root, p))
+        return gold.rank_change(*inputs(spark, root, p), as_of_span(spark, root, p), **SMALL_DAYS)
 
     @query(
         f"gold_rolling_average_asof{suffix}",
@@ -109,14 +111,14 @@ def _register_tables(p: str) -> None:
         changed = with_day_over_day(panel.select(ENTITY, DAY, "price_usd"))
         return gold.with_change_rank(changed.select(ENTITY, DAY, "price_change_pct"))
 
-    # The same ranks through the way for days too large for one sort task.
+    # The same ranks through the default way, which never sorts a day in one task.
     @query(
         f"rank_of_large_days{suffix}",
         sql.ctes(p, sql.daily(p))
         + f"SELECT coin_id, snapshot_date, coin_rank, price_change_rank FROM {p}_daily",
     )
     def large_days(spark, root):
-        daily = gold.daily_snapshot(*inputs(spark, root, p), max_day_rows=3)
+        daily = gold.daily_snapshot(*inputs(spark, root, p))
         return daily.select(ENTITY, DAY, "coin_rank", "price_change_rank")
 
     @query(
@@ -133,7 +135,7 @@ def _register_tables(p: str) -> None:
         + f"SELECT * FROM {p}_daily WHERE snapshot_date = (SELECT max(snapshot_date) FROM {p}_daily)",
     )
     def latest(spark, root):
-        return serving.latest_snapshot(gold.daily_snapshot(*inputs(spark, root, p)))
+        return serving.latest_snapshot(gold.daily_snapshot(*inputs(spark, root, p), **SMALL_DAYS))
 
 
 for _p in ("n", "e", "s"):
@@ -143,13 +145,13 @@ for _p in ("n", "e", "s"):
 def nation_tables(spark: SparkSession, root: str) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
     """Panel, daily, rank change and rolling average of the nations.
 
-    A day holds one row per nation at most, so the check for large days is left out.
+    A day holds one row per nation at most.
     """
     panel, dim = inputs(spark, root, "n")
     return (
         panel,
-        gold.daily_snapshot(panel, dim, max_day_rows=None),
-        gold.rank_change(panel, dim, max_day_rows=None),
+        gold.daily_snapshot(panel, dim, **SMALL_DAYS),
+        gold.rank_change(panel, dim, **SMALL_DAYS),
         gold.rolling_average(panel, dim),
     )
 

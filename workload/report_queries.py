@@ -23,7 +23,7 @@ LATEST = "(SELECT * FROM e_daily WHERE snapshot_date = (SELECT max(snapshot_date
 
 
 def user_daily(spark, root):
-    return gold.daily_snapshot(*inputs(spark, root, "e"))
+    return gold.daily_snapshot(*inputs(spark, root, "e"), method="window")
 
 
 @query(
@@ -64,14 +64,14 @@ def dash_cumulative_change_30d(spark, root):
 @query(
     "dash_price_vs_rolling",
     sql.ctes("e", sql.rolling("e", "rows"))
-    + f""", recent AS (SELECT * FROM e_roll WHERE symbol IS NOT NULL AND {LAST_30}),
-          top AS (SELECT symbol FROM recent GROUP BY symbol ORDER BY avg(market_cap_usd) DESC NULLS LAST, symbol LIMIT 1)
+    + f""", recent AS (SELECT * FROM e_roll WHERE {LAST_30}),
+          top AS (SELECT symbol FROM recent GROUP BY symbol ORDER BY avg(market_cap_usd) DESC NULLS LAST, symbol NULLS FIRST LIMIT 1)
           SELECT symbol, snapshot_date, avg(price_usd) AS price_usd, avg(wkly_roll_avg_price) AS wkly_roll_avg_price
-          FROM recent WHERE symbol IN (SELECT symbol FROM top) GROUP BY 1, 2""",
+          FROM recent WHERE EXISTS (SELECT 1 FROM top WHERE top.symbol IS NOT DISTINCT FROM recent.symbol) GROUP BY 1, 2""",
 )
 def dash_price_vs_rolling(spark, root):
     rolling = gold.rolling_average(*inputs(spark, root, "e"))
-    return dashboards.price_vs_rolling(rolling.where("symbol IS NOT NULL"), USER_AS_OF)
+    return dashboards.price_vs_rolling(rolling, USER_AS_OF)
 
 
 @query(
@@ -81,7 +81,7 @@ def dash_price_vs_rolling(spark, root):
                 price_diff_30d_pct FROM n_rank ORDER BY snapshot_date DESC, mc_rank, coin_id LIMIT 25""",
 )
 def dash_rank_table(spark, root):
-    return dashboards.rank_table(gold.rank_change(*inputs(spark, root, "n")))
+    return dashboards.rank_table(gold.rank_change(*inputs(spark, root, "n"), method="window"))
 
 
 @query(
@@ -121,9 +121,12 @@ def kpi_coverage_30d(spark, root):
     return dashboards.coverage_30d(nation_availability(spark, root), panels.nation_end(spark, root))
 
 
-STREAK = """SELECT CAST(max(CASE WHEN snapshot_date < {at} THEN snapshot_date END)
-          - coalesce(max(CASE WHEN availability_status <> 'available' AND snapshot_date < {at} THEN snapshot_date END),
-                     min(snapshot_date) - 1) AS INTEGER) AS consecutive_available_days FROM avail"""
+# Runs of available days: within a run the day minus its number among available days is constant.
+STREAK = """, runs AS (
+    SELECT snapshot_date - CAST(row_number() OVER (ORDER BY snapshot_date) AS INTEGER) AS run, snapshot_date
+    FROM avail WHERE availability_status = 'available' AND snapshot_date < {at})
+  SELECT CAST(count(*) AS INTEGER) AS consecutive_available_days FROM runs
+  WHERE run = (SELECT run FROM runs WHERE snapshot_date = (SELECT max(snapshot_date) FROM avail WHERE snapshot_date < {at}))"""
 
 
 @query("kpi_available_streak", AVAILABILITY_SQL + STREAK.format(at=END))

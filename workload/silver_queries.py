@@ -11,9 +11,19 @@ from daygrid.functions import dates, text
 from daygrid.operators.dedup import duplicated_keys, latest_by_key
 from daygrid.operators.upsert import upsert
 from daygrid.plans import history, silver
-from daygrid.schemas import DAY, ENTITY, KEY
+from daygrid.schemas import DAY, ENTITY, KEY, MARKET_CAP_ALIASES
 from daygrid.session import scratch_dir
-from daygrid.sinks.partitions import merge_partitions, write_partitions, write_snapshots
+from daygrid.sinks.partitions import (
+    append_partitions,
+    copy_days,
+    drop_stored_column,
+    merge_partitions,
+    read_version,
+    upsert_version,
+    write_history,
+    write_partitions,
+    write_snapshots,
+)
 from daygrid.sources import inventory, payloads, snapshots
 from workload import panels, sql
 from workload.registry import query
@@ -186,15 +196,14 @@ def contract_accepted(spark, root):
 
 @query(
     "bronze_contract_write",
-    f"SELECT id, snapshot_date, price_usd, api_timestamp_ms FROM ({ACCEPTED_SQL}) WHERE year(snapshot_date) = 1997",
+    f"SELECT id, snapshot_date, price_usd, api_timestamp_ms FROM ({ACCEPTED_SQL})",
 )
 def bronze_contract_write(spark, root):
-    """Accepted records written to the dated layout and one year of them read back."""
+    """Accepted records written to the dated layout and read back."""
     landed = scratch_dir(spark, "contract")
     rows = payloads.accepted(asset_payloads(spark, root), "payload", payloads.ASSETS)
-    by_year = rows.where(F.year(DAY) == 1997).drop("o_orderkey")
-    write_snapshots(by_year, landed)
-    return snapshots.read_snapshots(spark, landed, (date(1997, 1, 1), date(1997, 12, 31))).select(
+    write_snapshots(rows.drop("o_orderkey"), landed)
+    return snapshots.read_snapshots(spark, landed).select(
         "id", DAY, F.col("priceUsd").try_cast("double").alias("price_usd"), "api_timestamp_ms"
     )
 
@@ -239,7 +248,7 @@ def json_payload_explode(spark, root):
 )
 def alias_coalesce(spark, root):
     raw = panels.raw_nation_caps(spark, root)
-    value = text.first_present(raw, ("marketCapUsd", "marketcapUsd", "marketCap", "marketcap"))
+    value = text.first_present(raw, MARKET_CAP_ALIASES)
     return raw.select(
         ENTITY, dates.date_of_text(F.col("date")).alias(DAY), value.try_cast("double").alias("market_cap_usd")
     )
@@ -289,11 +298,11 @@ def required_field_nulls(spark, root):
     "silver_price_snapshots",
     RAW_SQL
     + """SELECT id AS coin_id, snapshot_date, price_usd, market_cap_usd, volume_usd_24hr, change_percent_24hr,
-                vwap_24hr FROM raw WHERE price_usd IS NOT NULL""",
+                vwap_24hr FROM raw""",
 )
 def silver_price_snapshots(spark, root):
     """Typed panel rows written to a table partitioned by day and read back."""
-    cleaned = silver.clean_snapshots(panels.raw_snapshots(spark, root)).where("price_usd IS NOT NULL")
+    cleaned = silver.clean_snapshots(panels.raw_snapshots(spark, root))
     path = scratch_dir(spark, "price_snapshots")
     write_partitions(silver.price_rows(cleaned), path)
     return spark.read.parquet(path)
@@ -381,18 +390,18 @@ def clean_total_market_cap_history(spark, root):
     + """, prices AS (SELECT coin_id, snapshot_date, price_usd, volume_usd_24hr FROM points
            QUALIFY row_number() OVER (PARTITION BY coin_id, snapshot_date
              ORDER BY ms DESC, price_usd DESC NULLS LAST, volume_usd_24hr DESC NULLS LAST) = 1),
-         caps AS (SELECT coin_id, snapshot_date, max(price_usd) AS market_cap_usd FROM points
-           WHERE volume_usd_24hr IS NOT NULL GROUP BY 1, 2)
+         caps AS (SELECT coin_id, snapshot_date, price_usd AS market_cap_usd FROM points
+           WHERE volume_usd_24hr IS NOT NULL
+           QUALIFY row_number() OVER (PARTITION BY coin_id, snapshot_date
+             ORDER BY ms DESC, price_usd DESC NULLS LAST) = 1)
          SELECT p.coin_id, p.snapshot_date, price_usd, market_cap_usd, volume_usd_24hr,
                 CAST(NULL AS DOUBLE) AS change_percent_24hr, CAST(NULL AS DOUBLE) AS vwap_24hr
          FROM prices p LEFT JOIN caps c ON c.coin_id = p.coin_id AND c.snapshot_date = p.snapshot_date""",
 )
 def history_price_with_cap(spark, root):
     raw = panels.raw_user_history(spark, root)
-    purchases = raw.where("volumeUsd24Hr IS NOT NULL")
-    caps = purchases.groupBy(ENTITY, F.date_from_unix_date(F.floor(F.col("time") / 86_400_000).cast("int")).alias(DAY)).agg(
-        F.max(F.col("priceUsd").cast("double")).alias("market_cap_usd")
-    )
+    purchases = raw.where("volumeUsd24Hr IS NOT NULL").select(ENTITY, "time", "date", F.col("priceUsd").alias("marketCapUsd"))
+    caps = history.clean_asset_market_cap_history(purchases)
     return history.history_price_rows(history.clean_asset_history(raw), caps)
 
 
@@ -527,9 +536,70 @@ def merge_partitions_query(spark, root):
     return spark.read.parquet(path)
 
 
-@query("drop_legacy_column", "SELECT n_nationkey, n_name FROM nation")
+@query("drop_legacy_column", "SELECT s_suppkey AS id, s_name, s_acctbal FROM supplier")
 def drop_legacy_column(spark, root):
-    return panels.table(spark, root, "nation").drop("n_regionkey", "rank")
+    """A column leaves a stored table; a second removal finds nothing to do."""
+    path = scratch_dir(spark, "migrated")
+    upsert_version(path, panels.table(spark, root, "supplier").withColumnRenamed("s_suppkey", "id"), ["id"])
+    for _ in range(2):
+        drop_stored_column(spark, path, "s_nationkey")
+    return read_version(spark, path)
+
+
+@query("append_partitions", "SELECT event_id, event_type, value FROM events")
+def append(spark, root):
+    """A table partitioned by type, written from one half of the events and extended by the other."""
+    path = scratch_dir(spark, "appended")
+    rows = panels.table(spark, root, "events").select("event_id", "event_type", "value")
+    write_partitions(rows.where("value < 50"), path, ("event_type",))
+    append_partitions(rows.where("NOT value < 50 OR value IS NULL"), path, ("event_type",))
+    return spark.read.parquet(path)
+
+
+@query(
+    "sync_copy_days",
+    """SELECT CAST(ts AS DATE) AS snapshot_date, count(*) AS row_count, count(*) FILTER (WHERE event_type = 'error') AS errors
+       FROM events GROUP BY 1""",
+)
+def sync_copy_days(spark, root):
+    """Absent days are copied, then all days again with ``overwrite``: a damaged local day is replaced."""
+    local = scratch_dir(spark, "local")
+    events = panels.table(spark, root, "events").select("event_id", "event_type", F.to_date("ts").alias(DAY))
+    write_snapshots(events.where((F.dayofmonth(DAY) % 3 == 0) & (F.col("event_type") != "error")), local)
+
+    def stored():
+        days = spark.read.parquet(local)
+        return days.withColumn(DAY, F.make_date("year", "month", "day"))
+
+    copy_days(inventory.sync_plan(events, stored()), events, local)
+    copy_days(inventory.sync_plan(events, stored(), overwrite=True), events, local)
+    return stored().groupBy(DAY).agg(F.count("*").alias("row_count"), F.count_if(F.col("event_type") == "error").alias("errors"))
+
+
+@query(
+    "history_landing",
+    """SELECT 'user_' || user_id AS coin_id, CAST(ts AS DATE) AS snapshot_date, count(*) AS points
+       FROM events GROUP BY 1, 2""",
+)
+def history_landing(spark, root):
+    """History records landed in the layout of a backfill and read back."""
+    landed = scratch_dir(spark, "history")
+    raw = panels.raw_user_history(spark, root)
+    write_history(raw, landed, date(2024, 2, 1), 60, "asset_history")
+    back = snapshots.read_history(spark, landed, date(2024, 2, 1), 60, "asset_history")
+    day = F.date_from_unix_date(F.floor(F.col("time") / 86_400_000).cast("int"))
+    return back.groupBy(ENTITY, day.alias(DAY)).agg(F.count("*").alias("points"))
+
+
+@query(
+    "history_malformed_time",
+    "SELECT DISTINCT 'user_' || user_id AS coin_id, CAST(ts AS DATE) AS snapshot_date FROM events",
+)
+def history_malformed_time(spark, root):
+    """A malformed time loses no point that has a good date."""
+    raw = panels.raw_user_history(spark, root)
+    time = F.when(F.col("date").isNotNull() & (F.col("time") % 2 == 0), F.lit("12:30")).otherwise(F.col("time").cast("string"))
+    return history.clean_asset_history(raw.withColumn("time", time)).select(ENTITY, DAY)
 
 
 @query(
