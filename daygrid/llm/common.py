@@ -6,7 +6,7 @@ import base64
 import re
 
 import numpy as np
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from daygrid.session import scratch_dir
@@ -34,6 +34,16 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def rows_of_ids(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """Rows of ``docs`` whose doc_id is in ``ids`` (kept_id, distinct): all columns, one row per doc_id.
+
+    Of rows that repeat a doc_id one stays. The window follows the join's own order, so text moves once.
+    """
+    joined = docs.join(ids, F.col("doc_id") == F.col("kept_id"), "left_semi")
+    number = F.row_number().over(Window.partitionBy("doc_id").orderBy("doc_id"))
+    return joined.select("*", number.alias("__number")).where("__number = 1").drop("__number")
+
+
 def train_rows(labelled: DataFrame, key: str, label: str, per_label: int) -> DataFrame:
     """About ``per_label`` rows of each label, chosen by a hash of the key (bounded by the number of labels)."""
     counts = {r[0]: r[1] for r in labelled.groupBy(label).count().collect()}

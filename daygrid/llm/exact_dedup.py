@@ -15,6 +15,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from daygrid.llm.common import rows_of_ids
+
 SLOTS = 4
 MAX_KICKS = 200
 #: Digests a map task holds before it hands its sums on.
@@ -245,5 +247,5 @@ def dedup(docs: DataFrame) -> DataFrame:
 def keep_last(docs: DataFrame) -> DataFrame:
     """Rows of ``docs`` whose text no row with a larger doc_id repeats; all columns, one row per doc_id."""
     digest = F.unhex(F.sha2(normalised(F.col("text")), 256))
-    kept = build_index(docs.select("doc_id", digest.alias("digest"))).select(F.col("keep_id").alias("kept_id")).distinct()
-    return docs.dropDuplicates(["doc_id"]).join(kept, F.col("doc_id") == F.col("kept_id"), "left_semi")
+    index = build_index(docs.select("doc_id", digest.alias("digest")))
+    return rows_of_ids(docs, index.select(F.col("keep_id").alias("kept_id")).distinct())

@@ -15,6 +15,8 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 
 from daygrid.llm.common import CACHE_WORDS, train_rows
@@ -207,6 +209,20 @@ class Labeller:
         return score / score.sum()
 
 
+def _labels(texts: list[str | None], labeller: Labeller | None) -> tuple[list[str], list[float]]:
+    """Language and score of each text, a hundred texts at a time."""
+    names, scores = [], []
+    for at in range(0, len(texts), 100):
+        split = [t.split() if labeller and t and _LETTER.search(t) else [] for t in texts[at : at + 100]]
+        if labeller:
+            labeller.fill({w for words in split for w in words})
+        for words in split:
+            chance = labeller.document(words) if words else None
+            names.append(UNKNOWN if chance is None else labeller.model.languages[int(chance.argmax())])
+            scores.append(0.0 if chance is None else min(1.0, float(chance.max())))
+    return names, scores
+
+
 def predict(docs: DataFrame, model: Model | None) -> DataFrame:
     """doc_id, lang_pred, score per row of ``docs`` (doc_id, text).
 
@@ -217,24 +233,32 @@ def predict(docs: DataFrame, model: Model | None) -> DataFrame:
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         labeller = Labeller(model) if model else None
         for batch in batches:
-            out = []
-            for at in range(0, len(batch), 100):
-                some = batch.iloc[at : at + 100]
-                split = [t.split() if labeller and t and _LETTER.search(t) else [] for t in some["text"]]
-                if labeller:
-                    labeller.fill({w for words in split for w in words})
-                for doc_id, words in zip(some["doc_id"], split, strict=True):
-                    if not words:
-                        out.append((doc_id, UNKNOWN, 0.0))
-                        continue
-                    chance = labeller.document(words)
-                    best = int(chance.argmax())
-                    out.append((doc_id, model.languages[best], min(1.0, float(chance[best]))))
-            yield pd.DataFrame(out, columns=["doc_id", "lang_pred", "score"])
+            names, scores = _labels(batch["text"].tolist(), labeller)
+            yield pd.DataFrame({"doc_id": batch["doc_id"], "lang_pred": names, "score": scores})
 
     return docs.select("doc_id", "text").mapInPandas(run, "doc_id long, lang_pred string, score double")
 
 
+def keep_known(docs: DataFrame, model: Model | None, least_score: float) -> DataFrame:
+    """Rows of ``docs`` whose language is known with at least ``least_score``; nothing is shuffled.
+
+    All columns stay as they are, but a null ``lang`` becomes the predicted language.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        labeller = Labeller(model) if model else None
+        for batch in batches:
+            names, scores = _labels(batch.column("text").to_pylist(), labeller)
+            known = pa.array([n != UNKNOWN and s >= least_score for n, s in zip(names, scores, strict=True)], pa.bool_())
+            if "lang" in batch.schema.names:
+                at = batch.schema.get_field_index("lang")
+                filled = pc.coalesce(batch.column(at), pa.array(names, batch.schema.field(at).type))
+                batch = batch.set_column(at, batch.schema.field(at), filled)
+            yield batch.filter(known)
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def fit(labelled: DataFrame, per_language: int = TRAIN_DOCS) -> Model | None:
     """Train on a bounded sample of ``labelled`` (doc_id, text, lang): about ``per_language`` documents each."""
     known = labelled.where("lang IS NOT NULL AND text IS NOT NULL AND doc_id IS NOT NULL")

@@ -19,7 +19,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from daygrid.llm.common import stage
+from daygrid.llm.common import rows_of_ids, stage
 from daygrid.llm.components import components, star_edges
 
 WORDS = 5
@@ -223,6 +223,8 @@ def near_groups(docs: DataFrame) -> DataFrame:
     def survey(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         shingle, seen = Shingler(), set()
         for batch in batches:
+            if batch.empty:
+                continue
             rows, sets = [], []
             for doc_id, text in zip(batch["doc_id"], batch["text"], strict=True):
                 found = shingle(text)
@@ -235,8 +237,10 @@ def near_groups(docs: DataFrame) -> DataFrame:
                 value, n = np.unique(np.concatenate(sets), return_counts=True)
                 often = n >= LOCAL_COMMON
                 rows += [(None, int(c), int(v), True) for v, c in zip(value[often].view(np.int64), n[often], strict=True)]
-            out = pd.DataFrame(rows, columns=["doc_id", "n", "name", "common"])
-            yield out.astype({"doc_id": "Int64", "n": "Int64", "name": "Int64", "common": "boolean"})
+            # Nullable integers from the start: a detour over floating point would change 64-bit names.
+            columns = zip(("doc_id", "n", "name"), list(zip(*rows, strict=True))[:3], strict=False)
+            out = pd.DataFrame({c: pd.array([None if pd.isna(v) else int(v) for v in values], "Int64") for c, values in columns})
+            yield out.assign(common=pd.array([r[3] for r in rows], "boolean"))
 
     seen = stage(docs.select("doc_id", "text").mapInPandas(survey, "doc_id long, n long, name long, common boolean"), "ngram-classes")
     members = seen.where("common IS NULL").select("doc_id", "n", "name")
@@ -290,4 +294,4 @@ def near_groups(docs: DataFrame) -> DataFrame:
 def keep_first(docs: DataFrame) -> DataFrame:
     """Rows of ``docs`` whose doc_id is the smallest of its group of near copies; all columns, one row per doc_id."""
     kept = near_groups(docs).where("doc_id = component_id").select(F.col("doc_id").alias("kept_id")).distinct()
-    return docs.dropDuplicates(["doc_id"]).join(kept, F.col("doc_id") == F.col("kept_id"), "left_semi")
+    return rows_of_ids(docs, kept)
