@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from daygrid.llm import exact_dedup, langid, ngram_join, packing, pii
 from daygrid.llm.common import prepare, stage
@@ -17,11 +16,7 @@ LEAST_SCORE = 0.3
 def by_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose text has a language; lang is filled in by the prediction where it is null."""
     prepare(spark)
-    model = langid.fit(docs)
-    found = langid.predict(docs, model).where((F.col("lang_pred") != langid.UNKNOWN) & (F.col("score") >= LEAST_SCORE))
-    chosen = found.select(F.col("doc_id").alias("found_id"), "lang_pred").dropDuplicates(["found_id"])
-    joined = docs.join(chosen, docs.doc_id == chosen.found_id)
-    return joined.withColumn("lang", F.coalesce("lang", "lang_pred")).select(*docs.columns)
+    return langid.keep_known(docs, langid.fit(docs), LEAST_SCORE)
 
 
 def without_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
