@@ -27,8 +27,8 @@ WORDS = 5
 NEAR, OF = 75, 100
 #: Word hashes a worker keeps.
 CACHE = 400_000
-#: Shingles reported as common by a task occur in at least so many of its sets; the most common are kept.
-LOCAL_COMMON, COMMON = 8, 100_000
+#: Shingles a task reports as common occur in at least so many of its sets; so many go to the tasks, by level.
+LOCAL_COMMON, COMMON = 3, 500_000
 BUCKET_ENTRIES = 400_000
 BLOCK = 4_096
 _ODD = np.array([2 * int.from_bytes(hashlib.sha256(b"%d" % i).digest()[:7], "big") + 1 for i in range(WORDS + 64)], np.uint64)
@@ -40,22 +40,30 @@ class Shingler:
     def __init__(self, words: int = WORDS):
         self.words = words
         self.cache: dict[bytes, int] = {}
+        self.hashes = np.zeros(1024, np.uint64)
+
+    def _learn(self, parts: list[bytes]) -> None:
+        if len(self.cache) > CACHE:
+            self.cache.clear()
+        new = [p for p in dict.fromkeys(parts) if p not in self.cache]
+        at = len(self.cache)
+        if at + len(new) > len(self.hashes):
+            self.hashes = np.concatenate([self.hashes, np.zeros(at + len(new), np.uint64)])
+        raw = b"".join([hashlib.blake2b(p, digest_size=8).digest() for p in new])
+        self.hashes[at : at + len(new)] = np.frombuffer(raw, "<u8")
+        self.cache.update(zip(new, range(at, at + len(new)), strict=True))
 
     def __call__(self, text: str | None) -> np.ndarray:
         # Splits at blank, tab, line feed, vertical tab, form feed and carriage return; lowers A-Z only.
         parts = (text or "").encode("utf-8").lower().split()
         if not parts:
             return np.zeros(0, np.uint64)
-        cache = self.cache
         try:
-            hashes = np.array([cache[p] for p in parts], np.uint64)
+            at = np.fromiter(map(self.cache.__getitem__, parts), np.int64, len(parts))
         except KeyError:
-            if len(cache) > CACHE:
-                cache.clear()
-            for p in parts:
-                if p not in cache:
-                    cache[p] = int.from_bytes(hashlib.blake2b(p, digest_size=8).digest(), "little")
-            hashes = np.array([cache[p] for p in parts], np.uint64)
+            self._learn(parts)
+            at = np.fromiter(map(self.cache.__getitem__, parts), np.int64, len(parts))
+        hashes = self.hashes[at]
         n = self.words
         if len(parts) < n:
             return _mix((hashes * _ODD[: len(parts)]).sum(keepdims=True) + np.uint64(len(parts)))
@@ -84,8 +92,8 @@ def _size_step(sizes: np.ndarray) -> np.ndarray:
     return np.floor(np.log(np.maximum(sizes, 1)) / np.log(OF / NEAR) + 1e-9).astype(np.int64)
 
 
-def _prefixes(docs: DataFrame, common: np.ndarray, buckets: int) -> DataFrame:
-    """Edges and packed (shingle, class, size step) entries by bucket."""
+def _prefixes(docs: DataFrame, common: np.ndarray, level: np.ndarray, buckets: int) -> DataFrame:
+    """Edges and packed (shingle, class, size step) entries by bucket; common shingles come last, by level."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         shingle, seen = Shingler(), set()
@@ -103,8 +111,8 @@ def _prefixes(docs: DataFrame, common: np.ndarray, buckets: int) -> DataFrame:
                 length = n - required(n) + 1
                 if len(common):
                     at = np.minimum(np.searchsorted(common, found), len(common) - 1)
-                    often = common[at] == found
-                    found = np.concatenate([found[~often], found[often]])
+                    rank = np.where(common[at] == found, level[at], np.uint8(0))
+                    found = found[np.argsort(rank, kind="stable")]
                 tokens.append(found[:length])
                 owners.append(name)
                 sizes.append(n)
@@ -211,6 +219,21 @@ def divide_skip(sets: list[np.ndarray], names: np.ndarray) -> list[tuple[int, in
     return links
 
 
+def _common(counted: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """The shingles of the highest levels, at most COMMON, and their levels; sorted by shingle."""
+    counted = stage(counted, "ngram-common")
+    sizes = sorted(((r[0], r[1]) for r in counted.groupBy("level").count().collect()), reverse=True)
+    least, total = 64, 0
+    for value, n in sizes:
+        if total + n > COMMON:
+            break
+        least, total = value, total + n
+    kept = counted.where(F.col("level") >= least).toArrow()
+    token = kept.column("name").to_numpy().astype(np.int64).view(np.uint64)
+    order = np.argsort(token)
+    return token[order], kept.column("level").to_numpy().astype(np.uint8)[order]
+
+
 def near_groups(docs: DataFrame) -> DataFrame:
     """doc_id, n_shingles, component_id per row of ``docs`` (doc_id, text).
 
@@ -244,12 +267,11 @@ def near_groups(docs: DataFrame) -> DataFrame:
 
     seen = stage(docs.select("doc_id", "text").mapInPandas(survey, "doc_id long, n long, name long, common boolean"), "ngram-classes")
     members = seen.where("common IS NULL").select("doc_id", "n", "name")
-    often = seen.where("common").groupBy("name").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "name").limit(COMMON)
-    common = np.sort(np.array([r[0] for r in often.select("name").collect()], np.int64).view(np.uint64))
+    common, level = _common(seen.where("common").groupBy("name").agg(F.floor(F.log2(F.sum("n"))).cast("int").alias("level")))
     classes = members.where("name IS NOT NULL").groupBy("name").agg(F.min("doc_id").alias("first_id"), F.max("n").alias("n"))
     entries = classes.agg(F.sum(F.col("n") - F.ceil(F.col("n") * NEAR / OF) + 1)).first()[0] or 0
     buckets = max(8, int(entries // BUCKET_ENTRIES))
-    met = _prefixes(docs, common, buckets).groupBy("bucket").applyInPandas(_meet, "a long, b long")
+    met = _prefixes(docs, common, level, buckets).groupBy("bucket").applyInPandas(_meet, "a long, b long")
     candidates = stage(components(stage(met, "ngram-candidates")), "ngram-components")
 
     blocks = candidates.groupBy("component").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
