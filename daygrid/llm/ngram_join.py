@@ -1,7 +1,9 @@
 """Set-similarity join on word shingles: T-occurrence search with long lists probed, not merged (DivideSkip).
 
 1. Every text becomes the set of its word shingles (64-bit hashes). Equal sets are one class from here on.
-2. Two linked sets of at most n shingles share one of the n - ceil(0.75 n) + 1 rarest of either. These
+2. A set with more than a quarter of shingles that no other set holds is linked to nothing. Such shingles are
+   counted twice: in a fixed part of the hash space over all sets, then wholly over the sets that remain.
+   Two linked sets of at most n shingles share one of the n - ceil(0.75 n) + 1 rarest of either. These
    are sent, packed, to buckets of shingles; classes of like size that meet become candidate components.
 3. Each candidate component is searched in one task, or in tasks for pairs of blocks if it is large.
    A search merges the short inverted lists of a set and probes the long ones by binary search for
@@ -29,7 +31,9 @@ NEAR, OF = 75, 100
 CACHE = 400_000
 #: Shingles a task reports as common occur in at least so many of its sets; so many go to the tasks, by level.
 LOCAL_COMMON, COMMON = 3, 500_000
-BUCKET_ENTRIES = 400_000
+BUCKET_ENTRIES, COUNT_ENTRIES = 400_000, 1_500_000
+#: Part of the hash space in which shingles of one set only are first counted.
+FIRST_PART = 0.4
 BLOCK = 4_096
 _ODD = np.array([2 * int.from_bytes(hashlib.sha256(b"%d" % i).digest()[:7], "big") + 1 for i in range(WORDS + 64)], np.uint64)
 
@@ -92,6 +96,65 @@ def _size_step(sizes: np.ndarray) -> np.ndarray:
     return np.floor(np.log(np.maximum(sizes, 1)) / np.log(OF / NEAR) + 1e-9).astype(np.int64)
 
 
+def _single_counts(docs: DataFrame, part: float, buckets: int) -> DataFrame:
+    """(name, singles): how many shingles in ``part`` of the hash space a class holds alone.
+
+    Shingles travel as 32 bits of their hash within a bucket; a clash only makes a single one count as shared.
+    """
+    limit = np.uint64(min(int(part * 2**64), 2**64 - 1))
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        shingle, seen = Shingler(), set()
+        for batch in batches:
+            tokens, owners = [], []
+            for text in batch["text"]:
+                found = shingle(text)
+                name = _class_of(found) if len(found) else None
+                if name is not None and name not in seen:
+                    seen.add(name)
+                    tokens.append(found[: np.searchsorted(found, limit, side="right")])
+                    owners.append(name)
+            if not tokens:
+                continue
+            token = np.concatenate(tokens)
+            owner = np.repeat(np.array(owners, np.int64), [len(t) for t in tokens])
+            bucket = (token % np.uint64(buckets)).astype(np.int64)
+            order = np.argsort(bucket, kind="stable")
+            bounds = np.searchsorted(bucket[order], np.arange(buckets + 1))
+            piece = ((token // np.uint64(buckets)) & np.uint64(0xFFFFFFFF)).astype(np.uint32)
+            rows = []
+            for i in range(buckets):
+                at = order[bounds[i] : bounds[i + 1]]
+                if len(at):
+                    rows.append((i, piece[at].tobytes(), owner[at].tobytes()))
+            yield pd.DataFrame(rows, columns=["bucket", "tokens", "owners"])
+
+    def count(rows: pd.DataFrame) -> pd.DataFrame:
+        token = np.frombuffer(b"".join(rows["tokens"]), np.uint32)
+        owner = np.frombuffer(b"".join(rows["owners"]), np.int64)
+        # One class may be in several tasks: its copies of a shingle are one.
+        order = np.lexsort((owner, token))
+        token, owner = token[order], owner[order]
+        new = np.r_[True, (token[1:] != token[:-1]) | (owner[1:] != owner[:-1])]
+        token, owner = token[new], owner[new]
+        differs = np.r_[True, token[1:] != token[:-1], True]
+        name, n = np.unique(owner[differs[:-1] & differs[1:]], return_counts=True)
+        return pd.DataFrame({"name": name, "n": n})
+
+    packed = docs.select("text").mapInPandas(run, "bucket int, tokens binary, owners binary")
+    found = packed.groupBy("bucket").applyInPandas(count, "name long, n long")
+    return found.groupBy("name").agg(F.sum("n").alias("singles"))
+
+
+def _without_loners(rows: DataFrame, part: float) -> DataFrame:
+    """``rows`` (first_id, name, n, text) without sets whose own single shingles rule out every link."""
+    total = rows.agg(F.sum("n")).first()[0] or 0
+    singles = _single_counts(rows, part, max(8, int(part * total // COUNT_ENTRIES)))
+    joined = rows.join(singles, "name", "left")
+    kept = joined.where(F.coalesce("singles", F.lit(0)) <= F.floor(F.col("n") * (OF - NEAR) / OF))
+    return stage(kept.select("first_id", "name", "n", "text"), "ngram-rest")
+
+
 def _prefixes(docs: DataFrame, common: np.ndarray, level: np.ndarray, buckets: int) -> DataFrame:
     """Edges and packed (shingle, class, size step) entries by bucket; common shingles come last, by level."""
 
@@ -269,15 +332,21 @@ def near_groups(docs: DataFrame) -> DataFrame:
     members = seen.where("common IS NULL").select("doc_id", "n", "name")
     common, level = _common(seen.where("common").groupBy("name").agg(F.floor(F.log2(F.sum("n"))).cast("int").alias("level")))
     classes = members.where("name IS NOT NULL").groupBy("name").agg(F.min("doc_id").alias("first_id"), F.max("n").alias("n"))
-    entries = classes.agg(F.sum(F.col("n") - F.ceil(F.col("n") * NEAR / OF) + 1)).first()[0] or 0
+    total = classes.agg(F.sum("n")).first()[0] or 0
+    singles = _single_counts(docs, FIRST_PART, max(8, int(FIRST_PART * total // COUNT_ENTRIES)))
+    able = classes.join(singles, "name", "left").where(
+        F.coalesce("singles", F.lit(0)) <= F.floor(F.col("n") * (OF - NEAR) / OF)
+    )
+    texts = docs.select("doc_id", "text").join(able, F.col("doc_id") == F.col("first_id"))
+    rest = _without_loners(stage(texts.select("first_id", "name", "n", "text"), "ngram-rest"), 1.0)
+    entries = rest.agg(F.sum(F.col("n") - F.ceil(F.col("n") * NEAR / OF) + 1)).first()[0] or 0
     buckets = max(8, int(entries // BUCKET_ENTRIES))
-    met = _prefixes(docs, common, level, buckets).groupBy("bucket").applyInPandas(_meet, "a long, b long")
+    met = _prefixes(rest, common, level, buckets).groupBy("bucket").applyInPandas(_meet, "a long, b long")
     candidates = stage(components(stage(met, "ngram-candidates")), "ngram-components")
 
     blocks = candidates.groupBy("component").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
-    named = candidates.join(blocks, "component").join(classes, candidates.id == classes.name).select(
-        F.col("first_id").alias("doc_key"), "name", "component", "blocks",
-        F.pmod(F.hash("name"), F.col("blocks")).alias("block"),
+    named = candidates.join(blocks, "component").join(rest, candidates.id == rest.name).select(
+        "name", "component", "blocks", "text", F.pmod(F.hash("name"), F.col("blocks")).alias("block")
     )
     # A large component is searched for every pair of its blocks.
     pairs = F.when(F.col("blocks") == 1, F.array(F.lit("0"))).otherwise(
@@ -286,8 +355,7 @@ def near_groups(docs: DataFrame) -> DataFrame:
             lambda other: F.concat_ws(":", F.least("block", other), F.greatest("block", other)),
         )
     )
-    texts = docs.select("doc_id", "text").join(named, F.col("doc_id") == F.col("doc_key"))
-    spread = texts.select("component", "name", "text", F.explode(pairs).alias("task"))
+    spread = named.select("component", "name", "text", F.explode(pairs).alias("task"))
 
     def search(group: pd.DataFrame) -> pd.DataFrame:
         shingle = Shingler()
