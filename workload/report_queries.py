@@ -125,7 +125,7 @@ def kpi_coverage_30d(spark, root):
 STREAK = """, runs AS (
     SELECT snapshot_date - CAST(row_number() OVER (ORDER BY snapshot_date) AS INTEGER) AS run, snapshot_date
     FROM avail WHERE availability_status = 'available' AND snapshot_date < {at})
-  SELECT CAST(count(*) AS INTEGER) AS consecutive_available_days FROM runs
+  SELECT CASE WHEN {at} IS NOT NULL THEN CAST(count(*) AS INTEGER) END AS consecutive_available_days FROM runs
   WHERE run = (SELECT run FROM runs WHERE snapshot_date = (SELECT max(snapshot_date) FROM avail WHERE snapshot_date < {at}))"""
 
 
