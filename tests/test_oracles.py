@@ -1,14 +1,15 @@
 """Every registered query against its SQL counterpart."""
 
+import builtins
 import re
 
 import pytest
 
 import __spark_entry__ as spark_entry
 from tests.compare import connect, differences
+from workload import load_queries
 
-ORACLES = spark_entry.oracle_sql()
-QUERIES = spark_entry.queries()
+QUERIES, ORACLES = load_queries()
 
 
 @pytest.fixture(scope="module")
@@ -41,4 +42,19 @@ def test_entry(spark):
 
 
 def test_every_oracle_has_a_query():
-    assert set(ORACLES) <= set(QUERIES)
+    assert set(spark_entry.oracle_sql()) <= set(spark_entry.queries())
+    assert set(QUERIES) <= set(spark_entry.queries())
+
+
+@pytest.mark.parametrize("absent", ["corpus_pipeline", "daygrid.llm"])
+def test_entry_without_the_training_data_package(monkeypatch, absent):
+    """The other queries stay where that package or the pipeline is not there."""
+    real = builtins.__import__
+
+    def without(name, *args, **kwargs):
+        if name == absent or (absent == "daygrid.llm" and name == "corpus_pipeline"):
+            raise ModuleNotFoundError(f"No module named {absent!r}", name=absent)
+        return real(name, *args, **kwargs)
+
+    monkeypatch.setattr(builtins, "__import__", without)
+    assert set(spark_entry.queries()) == set(QUERIES) and set(spark_entry.oracle_sql()) == set(ORACLES)
