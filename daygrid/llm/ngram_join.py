@@ -139,11 +139,22 @@ def _single_counts(docs: DataFrame, part: float, buckets: int) -> DataFrame:
         token, owner = token[new], owner[new]
         differs = np.r_[True, token[1:] != token[:-1], True]
         name, n = np.unique(owner[differs[:-1] & differs[1:]], return_counts=True)
-        return pd.DataFrame({"name": name, "n": n})
+        part_of = name.view(np.uint64) % np.uint64(buckets)
+        order = np.argsort(part_of, kind="stable")
+        bounds = np.searchsorted(part_of[order], np.arange(buckets + 1).astype(np.uint64))
+        pieces = [(i, order[bounds[i] : bounds[i + 1]]) for i in range(buckets)]
+        rows = [(i, name[at].tobytes(), n[at].astype(np.int64).tobytes()) for i, at in pieces if len(at)]
+        return pd.DataFrame(rows, columns=["part", "names", "counts"])
+
+    def add(rows: pd.DataFrame) -> pd.DataFrame:
+        name, at = np.unique(np.frombuffer(b"".join(rows["names"]), np.int64), return_inverse=True)
+        total = np.zeros(len(name), np.int64)
+        np.add.at(total, at, np.frombuffer(b"".join(rows["counts"]), np.int64))
+        return pd.DataFrame({"name": name, "singles": total})
 
     packed = docs.select("text").mapInPandas(run, "bucket int, tokens binary, owners binary")
-    found = packed.groupBy("bucket").applyInPandas(count, "name long, n long")
-    return found.groupBy("name").agg(F.sum("n").alias("singles"))
+    found = packed.groupBy("bucket").applyInPandas(count, "part int, names binary, counts binary")
+    return found.groupBy("part").applyInPandas(add, "name long, singles long")
 
 
 def _without_loners(rows: DataFrame, part: float) -> DataFrame:
