@@ -6,8 +6,8 @@
    Two linked sets of at most n shingles share one of the n - ceil(0.75 n) + 1 rarest of either. These
    are sent, packed, to buckets of shingles; classes of like size that meet become candidate components.
 3. Each candidate component is searched in one task, or in tasks for pairs of blocks if it is large.
-   A search merges the short inverted lists of a set and probes the long ones by binary search for
-   the sets that can still reach the required overlap. Sets that are connected already are not verified again.
+   A search merges the short inverted lists of a set and probes those that are long for its candidates
+   by binary search. Every link between different sets is found and counted for both of its ends.
 Rarity only orders shingles, so it is taken from local counts; it decides the cost, never the result.
 """
 
@@ -35,6 +35,8 @@ BUCKET_ENTRIES, COUNT_ENTRIES = 400_000, 1_500_000
 #: Part of the hash space in which shingles of one set only are first counted.
 FIRST_PART = 0.4
 BLOCK = 4_096
+#: A list is probed, not merged, if it is so many times longer than the candidates; entries read at once.
+PROBE, SLICE = 16, 2_000_000
 _ODD = np.array([2 * int.from_bytes(hashlib.sha256(b"%d" % i).digest()[:7], "big") + 1 for i in range(WORDS + 64)], np.uint64)
 
 
@@ -158,12 +160,12 @@ def _single_counts(docs: DataFrame, part: float, buckets: int) -> DataFrame:
 
 
 def _without_loners(rows: DataFrame, part: float) -> DataFrame:
-    """``rows`` (first_id, name, n, text) without sets whose own single shingles rule out every link."""
+    """``rows`` (first_id, name, n, copies, text) without sets whose own single shingles rule out every link."""
     total = rows.agg(F.sum("n")).first()[0] or 0
     singles = _single_counts(rows, part, max(8, int(part * total // COUNT_ENTRIES)))
     joined = rows.join(singles, "name", "left")
     kept = joined.where(F.coalesce("singles", F.lit(0)) <= F.floor(F.col("n") * (OF - NEAR) / OF))
-    return stage(kept.select("first_id", "name", "n", "text"), "ngram-rest")
+    return stage(kept.select("first_id", "name", "n", "copies", "text"), "ngram-rest")
 
 
 def _prefixes(docs: DataFrame, common: np.ndarray, level: np.ndarray, buckets: int) -> DataFrame:
@@ -246,12 +248,36 @@ def _meet(rows: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame({"a": a, "b": b})
 
 
-def divide_skip(sets: list[np.ndarray], names: np.ndarray) -> list[tuple[int, int]]:
-    """Links that connect what is connected: pairs of names, at most one fewer than there are sets.
-
+def _tally(tokens: np.ndarray, begin: np.ndarray, listed: np.ndarray, low: int, high: int) -> np.ndarray:
+    """How many of the lists of ``tokens`` hold each set from ``low`` up to ``high``; lists are read a slice at a time."""
+    counts = np.zeros(high - low, np.int64)
+    lengths = begin[tokens + 1] - begin[tokens]
+    ends = np.cumsum(lengths)
+    at = 0
+    while at < len(tokens):
+        stop = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + SLICE, side="right")))
+        some, n = tokens[at:stop], lengths[at:stop]
+        owner = listed[np.arange(n.sum()) + np.repeat(begin[some] - (np.cumsum(n) - n), n)]
+        counts += np.bincount(owner[(owner >= low) & (owner < high)] - low, minlength=high - low)
+        at = stop
+    return counts
+
+
+def divide_skip(
+    sets: list[np.ndarray], names: np.ndarray, copies: np.ndarray | None = None, block: np.ndarray | None = None,
+    whole: tuple[int, ...] = (), every: bool = True,
+) -> tuple[list[tuple[int, int]], np.ndarray]:
+    """Links that connect what is connected, and the number of documents each set is linked to.
+
+    The pairs of names are at most one fewer than there are sets. A link counts the ``copies`` of its other
+    end; a link inside a block counts only where the block is in ``whole``, as several tasks may see it.
+    Without ``every``, sets that are connected already are not compared again and numbers are incomplete.
     """
     order = np.argsort([len(s) for s in sets], kind="stable")
     sets = [sets[i] for i in order]
+    copies = np.ones(len(sets), np.int64) if copies is None else copies[order]
+    block = np.zeros(len(sets), np.int64) if block is None else block[order]
+    inside = np.isin(block, whole)
     sizes = np.array([len(s) for s in sets])
     owner = np.repeat(np.arange(len(sets)), sizes)
     _, token, df = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
@@ -261,6 +287,7 @@ def divide_skip(sets: list[np.ndarray], names: np.ndarray) -> list[tuple[int, in
     listed = keys % len(sets)
     bounds = np.r_[0, np.cumsum(sizes)]
     label = np.arange(len(sets))
+    degree = np.zeros(len(sets), np.int64)
     links = []
     for r in range(1, len(sets)):
         n = int(sizes[r])
@@ -270,27 +297,37 @@ def divide_skip(sets: list[np.ndarray], names: np.ndarray) -> list[tuple[int, in
             continue
         mine = token[bounds[r] : bounds[r + 1]]
         mine = mine[np.argsort(df[mine], kind="stable")]
-        # need - 1 longest lists are only probed: a partner is on one of the others at least.
-        short, long = mine[: n - need + 1], mine[n - need + 1 :]
+        # A partner is on one of the shortest lists at least: need - 1 lists may be left out.
+        short, others = mine[: n - need + 1], mine[n - need + 1 :]
         short = short[df[short] > 1]
         if not len(short):
             continue
-        merged = np.concatenate([listed[begin[t] : begin[t + 1]] for t in short])
-        counts = np.bincount(merged[merged < r], minlength=r)[low:]
-        found = low + np.flatnonzero(counts)
-        while len(found := found[label[found] != label[r]]):
-            # A slice at a time: what the slice connects need not be verified again.
-            some, found = found[:64], found[64:]
-            probe = (long[:, None] * len(sets) + some[None, :]).ravel()
-            at = np.minimum(np.searchsorted(keys, probe), len(keys) - 1)
-            hits = (keys[at] == probe).reshape(len(long), len(some)).sum(0) if len(long) else 0
-            overlap = counts[some - low] + hits
-            linked = some[OF * overlap >= NEAR * (n + sizes[some] - overlap)]
-            for s in linked:
-                if label[s] != label[r]:
-                    label[label == label[s]] = label[r]
-                    links.append((int(names[order[s]]), int(names[order[r]])))
-    return links
+        counts = _tally(short, begin, listed, low, r)
+        found = np.flatnonzero(counts)
+        if not every:
+            found = found[label[low + found] != label[r]]
+        if not len(found):
+            continue
+        # Lists that are long for the candidates at hand are probed, the others merged too.
+        long = others[df[others] > PROBE * len(found)]
+        merged = others[(df[others] > 1) & (df[others] <= PROBE * len(found))]
+        overlap = counts[found] + _tally(merged, begin, listed, low, r)[found]
+        step = max(1, SLICE // max(1, len(found)))
+        for at in range(0, len(long), step):
+            probe = long[at : at + step, None] * len(sets) + (low + found)[None, :]
+            overlap += (keys[np.minimum(np.searchsorted(keys, probe), len(keys) - 1)] == probe).sum(0)
+        linked = low + found
+        linked = linked[OF * overlap >= NEAR * (n + sizes[linked] - overlap)]
+        counted = linked[inside[r] | (block[linked] != block[r])]
+        degree[r] += copies[counted].sum()
+        degree[counted] += copies[r]
+        for value in np.unique(label[linked]):
+            if value != label[r]:
+                links.append((int(names[order[value]]), int(names[order[r]])))
+                label[label == value] = label[r]
+    of_input = np.zeros(len(sets), np.int64)
+    of_input[order] = degree
+    return links, of_input
 
 
 def _common(counted: DataFrame) -> tuple[np.ndarray, np.ndarray]:
@@ -308,13 +345,15 @@ def _common(counted: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     return token[order], kept.column("level").to_numpy().astype(np.uint8)[order]
 
 
-def near_groups(docs: DataFrame) -> DataFrame:
-    """doc_id, n_shingles, component_id per row of ``docs`` (doc_id, text).
+def near_groups(docs: DataFrame, count_links: bool = True) -> DataFrame:
+    """doc_id, n_shingles, component_id, n_links per row of ``docs`` (doc_id, text).
 
     Words are runs without white space, A-Z lowered; a set holds the distinct five-word shingles, or the
     whole sequence of a shorter text. Sets link when 100 * intersection >= 75 * union. component_id is the
-    smallest doc_id that links reach. A null or empty text has no shingle and only itself. Repeated rows
-    are returned each; a null doc_id takes no part as a name. Other columns are ignored.
+    smallest doc_id that links reach; n_links is the number of other rows linked to the row, copies included.
+    A null or empty text has no shingle, only itself and no link. Repeated rows are returned each and link
+    with one another; a null doc_id takes no part as a name. Other columns are ignored. Without
+    ``count_links`` that column is left out, and sets known to be connected are not compared again.
     """
 
     def survey(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -342,14 +381,16 @@ def near_groups(docs: DataFrame) -> DataFrame:
     seen = stage(docs.select("doc_id", "text").mapInPandas(survey, "doc_id long, n long, name long, common boolean"), "ngram-classes")
     members = seen.where("common IS NULL").select("doc_id", "n", "name")
     common, level = _common(seen.where("common").groupBy("name").agg(F.floor(F.log2(F.sum("n"))).cast("int").alias("level")))
-    classes = members.where("name IS NOT NULL").groupBy("name").agg(F.min("doc_id").alias("first_id"), F.max("n").alias("n"))
+    classes = members.where("name IS NOT NULL").groupBy("name").agg(
+        F.min("doc_id").alias("first_id"), F.max("n").alias("n"), F.count("*").alias("copies")
+    )
     total = classes.agg(F.sum("n")).first()[0] or 0
     singles = _single_counts(docs, FIRST_PART, max(8, int(FIRST_PART * total // COUNT_ENTRIES)))
     able = classes.join(singles, "name", "left").where(
         F.coalesce("singles", F.lit(0)) <= F.floor(F.col("n") * (OF - NEAR) / OF)
     )
     texts = docs.select("doc_id", "text").join(able, F.col("doc_id") == F.col("first_id"))
-    rest = _without_loners(stage(texts.select("first_id", "name", "n", "text"), "ngram-rest"), 1.0)
+    rest = _without_loners(stage(texts.select("first_id", "name", "n", "copies", "text"), "ngram-rest"), 1.0)
     entries = rest.agg(F.sum(F.col("n") - F.ceil(F.col("n") * NEAR / OF) + 1)).first()[0] or 0
     buckets = max(8, int(entries // BUCKET_ENTRIES))
     met = _prefixes(rest, common, level, buckets).groupBy("bucket").applyInPandas(_meet, "a long, b long")
@@ -357,7 +398,7 @@ def near_groups(docs: DataFrame) -> DataFrame:
 
     blocks = candidates.groupBy("component").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
     named = candidates.join(blocks, "component").join(rest, candidates.id == rest.name).select(
-        "name", "component", "blocks", "text", F.pmod(F.hash("name"), F.col("blocks")).alias("block")
+        "name", "component", "blocks", "copies", "text", F.pmod(F.hash("name"), F.col("blocks")).alias("block")
     )
     # A large component is searched for every pair of its blocks.
     pairs = F.when(F.col("blocks") == 1, F.array(F.lit("0"))).otherwise(
@@ -366,7 +407,7 @@ def near_groups(docs: DataFrame) -> DataFrame:
             lambda other: F.concat_ws(":", F.least("block", other), F.greatest("block", other)),
         )
     )
-    spread = named.select("component", "name", "text", F.explode(pairs).alias("task"))
+    spread = named.select("component", "name", "copies", "block", "blocks", "text", F.explode(pairs).alias("task"))
 
     def search(group: pd.DataFrame) -> pd.DataFrame:
         shingle = Shingler()
@@ -376,23 +417,39 @@ def near_groups(docs: DataFrame) -> DataFrame:
         kept = [i for i, (s, n) in enumerate(zip(sets, group["name"], strict=True)) if len(s) and _class_of(s) == n]
         names = group["name"].to_numpy()[kept]
         _, first = np.unique(names, return_index=True)
-        links = divide_skip([sets[kept[i]] for i in first], names[first]) if len(first) > 1 else []
-        return pd.DataFrame(links, columns=["a", "b"]).astype("int64")
-
-    links = stage(spread.groupBy("component", "task").applyInPandas(search, "a long, b long"), "ngram-links")
+        if len(first) < 2:
+            return pd.DataFrame([], columns=["a", "b", "n"]).astype("Int64")
+        at = [kept[i] for i in first]
+        # A block meets every other. Its own links count where it meets the next one; the last block's where the one before does.
+        ends = [int(e) for e in group["task"].iloc[0].split(":")]
+        low, high, last = ends[0], ends[-1], int(group["blocks"].iloc[0]) - 1
+        whole = () if high - low > 1 else (low, high) if high == last else (low,)
+        copies, block = group["copies"].to_numpy()[at], group["block"].to_numpy()[at]
+        links, degree = divide_skip([sets[i] for i in at], names[first], copies, block, whole, count_links)
+        rows = [(x, y, None) for x, y in links]
+        if count_links:
+            rows += [(int(name), None, int(n)) for name, n in zip(names[first], degree, strict=True) if n]
+        return pd.DataFrame({c: pd.array([r[i] for r in rows], "Int64") for i, c in enumerate(("a", "b", "n"))})
+
+    found = stage(spread.groupBy("component", "task").applyInPandas(search, "a long, b long, n long"), "ngram-links")
+    links = found.where("b IS NOT NULL").select("a", "b")
     groups = components(links)
     ids = groups.join(classes, groups.id == classes.name).select("name", "component", "first_id")
     least = ids.groupBy("component").agg(F.min("first_id").alias("least_id"))
     of_class = ids.join(least, "component").select(F.col("name").alias("class"), "least_id")
-    own = classes.select(F.col("name").alias("class"), "first_id").join(of_class, "class", "left").select(
-        "class", F.coalesce("least_id", "first_id").alias("least_id")
-    )
-    return members.join(own, members.name == own["class"], "left").select(
-        "doc_id", F.col("n").alias("n_shingles"), F.coalesce("least_id", "doc_id").alias("component_id")
+    of_links = found.where("n IS NOT NULL").groupBy("a").agg(F.sum("n").alias("others"))
+    own = classes.join(of_links, classes.name == of_links.a, "left").select(
+        F.col("name").alias("class"), "first_id", (F.col("copies") - 1 + F.coalesce("others", F.lit(0))).alias("linked")
+    ).join(of_class, "class", "left").select("class", F.coalesce("least_id", "first_id").alias("least_id"), "linked")
+    out = members.join(own, members.name == own["class"], "left").select(
+        "doc_id", F.col("n").alias("n_shingles"), F.coalesce("least_id", "doc_id").alias("component_id"),
+        F.coalesce("linked", F.lit(0)).cast("long").alias("n_links"),
     )
+    return out if count_links else out.drop("n_links")
 
 
 def keep_first(docs: DataFrame) -> DataFrame:
     """Rows of ``docs`` whose doc_id is the smallest of its group of near copies; all columns, one row per doc_id."""
-    kept = near_groups(docs).where("doc_id = component_id").select(F.col("doc_id").alias("kept_id")).distinct()
+    groups = near_groups(docs, count_links=False)
+    kept = groups.where("doc_id = component_id").select(F.col("doc_id").alias("kept_id")).distinct()
     return rows_of_ids(docs, kept)

@@ -21,8 +21,9 @@ def shingles(text):
 
 
 def near_groups(texts: dict):
-    """doc_id -> (size of the set, smallest doc_id that links reach), by comparing all pairs."""
+    """doc_id -> (size of the set, smallest doc_id that links reach, number of links), by comparing all pairs."""
     sets = {k: shingles(t) for k, t in texts.items()}
+    links = dict.fromkeys(sets, 0)
     parent = {k: k for k in sets}
 
     def root(k):
@@ -37,7 +38,9 @@ def near_groups(texts: dict):
             if 100 * both >= 75 * (len(sets[a]) + len(sets[b]) - both):
                 x, y = root(a), root(b)
                 parent[max(x, y)] = min(x, y)
-    return {k: (len(s), root(k)) for k, s in sets.items()}
+                links[a] += 1
+                links[b] += 1
+    return {k: (len(s), root(k), links[k]) for k, s in sets.items()}
 
 
 def luhn(digits):

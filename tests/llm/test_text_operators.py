@@ -188,14 +188,21 @@ def test_near_groups(session, odd_docs, no_docs):
         rows.append((100 + i, " ".join(words[: len(words) - pick.randint(0, 3)])))
     docs = session.createDataFrame(rows, "doc_id long, text string")
     want = brute.near_groups(dict(rows))
-    found = {r.doc_id: (r.n_shingles, r.component_id) for r in ngram_join.near_groups(docs).collect()}
+    found = {r.doc_id: (r.n_shingles, r.component_id, r.n_links) for r in ngram_join.near_groups(docs).collect()}
     assert found == want
     assert ngram_join.near_groups(no_docs).collect() == []
+    plain = ngram_join.near_groups(docs, count_links=False)
+    assert {r.doc_id: tuple(r)[1:] for r in plain.collect()} == {k: v[:2] for k, v in want.items()}
+    kept = ngram_join.keep_first(docs)
+    assert sorted(r.doc_id for r in kept.collect()) == sorted(k for k, v in want.items() if v[1] == k)
 
 
-def test_near_groups_of_large_components(session, monkeypatch):
+@pytest.mark.parametrize(("block", "probe"), [(7, 16), (35, 0), (60, 1)])
+def test_near_groups_of_large_components(session, monkeypatch, block, probe):
     """Components above the block size are searched in pairs of blocks, with the same result."""
-    monkeypatch.setattr(ngram_join, "BLOCK", 7)
+    monkeypatch.setattr(ngram_join, "BLOCK", block)
+    monkeypatch.setattr(ngram_join, "PROBE", probe)
+    monkeypatch.setattr(ngram_join, "SLICE", 50)
     pick = random.Random(2)
     words = [f"t{i}" for i in range(80)]
     rows = []
@@ -204,13 +211,14 @@ def test_near_groups_of_large_components(session, monkeypatch):
         for _ in range(pick.randint(0, 3)):
             own[pick.randrange(80)] = f"n{pick.randint(0, 300)}"
         rows.append((i, " ".join(own)))
+    rows += [(60 + i, rows[i][1].upper()) for i in range(5)]
     docs = session.createDataFrame(rows, "doc_id long, text string")
-    found = {r.doc_id: (r.n_shingles, r.component_id) for r in ngram_join.near_groups(docs).collect()}
+    found = {r.doc_id: (r.n_shingles, r.component_id, r.n_links) for r in ngram_join.near_groups(docs).collect()}
     assert found == brute.near_groups(dict(rows))
 
 
 def test_near_groups_of_given_texts(session, given, data_root):
-    found = {r.doc_id: (r.n_shingles, r.component_id) for r in QUERIES["op2_ngram_join"](session, data_root).collect()}
+    found = {r.doc_id: (r.n_shingles, r.component_id, r.n_links) for r in QUERIES["op2_ngram_join"](session, data_root).collect()}
     assert found == brute.near_groups(dict(given))
 
 
