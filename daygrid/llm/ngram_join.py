@@ -267,9 +267,9 @@ def divide_skip(
     sets: list[np.ndarray], names: np.ndarray, copies: np.ndarray | None = None, block: np.ndarray | None = None,
     whole: tuple[int, ...] = (), every: bool = True,
 ) -> tuple[list[tuple[int, int]], np.ndarray]:
-    """Links that connect what is connected, and the number of documents each set is linked to.
+    """Pairs that connect what links connect, and the number of documents each set is linked to.
 
-    The pairs of names are at most one fewer than there are sets. A link counts the ``copies`` of its other
+    The pairs of names are one fewer than a component has sets. A link counts the ``copies`` of its other
     end; a link inside a block counts only where the block is in ``whole``, as several tasks may see it.
     Without ``every``, sets that are connected already are not compared again and numbers are incomplete.
     """
@@ -288,7 +288,6 @@ def divide_skip(
     bounds = np.r_[0, np.cumsum(sizes)]
     label = np.arange(len(sets))
     degree = np.zeros(len(sets), np.int64)
-    links = []
     for r in range(1, len(sets)):
         n = int(sizes[r])
         need = required(n)
@@ -321,12 +320,12 @@ def divide_skip(
         counted = linked[inside[r] | (block[linked] != block[r])]
         degree[r] += copies[counted].sum()
         degree[counted] += copies[r]
-        for value in np.unique(label[linked]):
-            if value != label[r]:
-                links.append((int(names[order[value]]), int(names[order[r]])))
-                label[label == value] = label[r]
+        met = np.unique(np.append(label[linked], r))
+        label[np.isin(label, met)] = met[0]
     of_input = np.zeros(len(sets), np.int64)
     of_input[order] = degree
+    # A star around the first set of each component.
+    links = [(int(names[order[label[i]]]), int(names[order[i]])) for i in np.flatnonzero(label != np.arange(len(sets)))]
     return links, of_input
 
 

@@ -217,6 +217,44 @@ def test_near_groups_of_large_components(session, monkeypatch, block, probe):
     assert found == brute.near_groups(dict(rows))
 
 
+@pytest.mark.parametrize(("probe", "entries"), [(16, 2_000_000), (0, 40), (1, 7)])
+def test_divide_skip_counts_every_link(monkeypatch, probe, entries):
+    monkeypatch.setattr(ngram_join, "PROBE", probe)
+    monkeypatch.setattr(ngram_join, "SLICE", entries)
+    rng = np.random.default_rng(4)
+    bases = [rng.choice(5000, n, replace=False) for n in (1, 7, 30, 90, 91)]
+    sets = []
+    for i in range(150):
+        own = bases[i % 5].copy()
+        own[rng.integers(0, len(own), rng.integers(0, 6))] = rng.integers(5000, 5010)
+        sets.append(np.unique(own).astype(np.uint64))
+    names, copies, block = np.arange(150) * 7 - 300, rng.integers(1, 5, 150), np.arange(150) % 3
+    plain = [set(s.tolist()) for s in sets]
+    degree, near = [0] * 150, set()
+    for i in range(150):
+        for j in range(i):
+            if 100 * len(plain[i] & plain[j]) >= 75 * len(plain[i] | plain[j]):
+                near.add((i, j))
+                if block[i] != block[j] or block[i] == 1:
+                    degree[i] += copies[j]
+                    degree[j] += copies[i]
+    links, found = ngram_join.divide_skip(sets, names, copies, block, (1,))
+    assert found.tolist() == degree
+    few, _ = ngram_join.divide_skip(sets, names, copies, block, (1,), every=False)
+
+    def groups(pairs):
+        label = list(range(150))
+        for i, j in pairs:
+            old, new = label[i], label[j]
+            label = [new if x == old else x for x in label]
+        return [label.index(x) for x in label]
+
+    back = {int(n): i for i, n in enumerate(names)}
+    want = groups(near)
+    assert groups([(back[a], back[b]) for a, b in links]) == want == groups([(back[a], back[b]) for a, b in few])
+    assert len(links) == 150 - len(set(want))
+
+
 def test_near_groups_of_given_texts(session, given, data_root):
     found = {r.doc_id: (r.n_shingles, r.component_id, r.n_links) for r in QUERIES["op2_ngram_join"](session, data_root).collect()}
     assert found == brute.near_groups(dict(given))
