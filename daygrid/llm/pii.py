@@ -32,7 +32,7 @@ BASE = {
     "card": r"(?<![0-9])(?<![0-9][\x20-])[0-9](?:[\x20-]?[0-9]){12,}+",
     "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
 }
-#: Text without this cannot match.
+#: Text without this cannot match the base pattern.
 HINT = {"email": r"@", "ip": r"[0-9]\.[0-9]", "card": r"[0-9][\x20-]?[0-9]", "phone": r"\+[0-9]"}
 WIDE = {
     "email": r"(?<![^\s<>(),;:\"])[^\s<>(),;:\"@]++@[^\s<>(),;:\"@]*[^\s<>(),;:\"@.]",
@@ -40,6 +40,8 @@ WIDE = {
     "card": r"(?<![0-9])(?:[0-9]{4}[\x20.-]?){3}[0-9]{1,7}(?![0-9])",
     "phone": r"(?<![0-9])(?:\+|00)[1-9][0-9()./\x20-]{6,18}[0-9](?![0-9])",
 }
+#: Text without this cannot match the wide pattern.
+WIDE_HINT = {"email": r"@", "ip": r"[0-9]\.[0-9]", "card": r"[0-9]{4}", "phone": r"(?:\+|00)[1-9]"}
 KEYWORDS = "(?i)mail|phone|tel|call|mobile|fax|card|visa|credit|ip|host|server|address|contact"
 FEATURES = ("digits", "breaks", "valid", "context", "before", "after", "tail")
 
@@ -125,7 +127,7 @@ def proposals(text: Column, kind: str) -> Column:
             F.least(F.length(F.regexp_extract(t, r"\.(\p{L}+)$", 1)), F.lit(8)).alias("tail"),
         )
 
-    return F.transform(located(text, WIDE[kind], HINT[kind]), features)
+    return F.transform(located(text, WIDE[kind], WIDE_HINT[kind]), features)
 
 
 # Boosting over cells.
@@ -230,7 +232,7 @@ def _with_added(text: Column, kind: str, base: float, trees: list, threshold: fl
     apart = lambda s: ~F.exists(own, lambda b: (b["start"] < s["end"]) & (s["start"] < b["end"]))
     chosen = F.filter(proposals(text, kind), lambda s: (score_of(s, base, trees) >= threshold) & apart(s))
     plain = F.transform(chosen, lambda s: F.struct(*[s[name].alias(name) for name in ("start", "end", "text")]))
-    return F.when(text.rlike(HINT[kind]), F.array_sort(F.concat(own, plain))).otherwise(own)
+    return F.when(text.rlike(WIDE_HINT[kind]), F.array_sort(F.concat(own, plain))).otherwise(own)
 
 
 def redacted(text: Column, spans: Column) -> Column:
