@@ -1,9 +1,9 @@
 """Personal data: generators propose spans, boosted trees over format and context choose among them.
 
 Base rules find emails, IP addresses, cards and phones as stated by their patterns. Wider generators
-propose further, overlapping spans. Their features are counted in cells of a bounded sample; boosting
+propose further, overlapping spans. Their features are counted in cells over all documents; boosting
 runs over the cells and gives trees that are CASE expressions. A threshold per kind is calibrated on the
-sample. Everything that touches rows is a built-in function of Spark; positions are code points.
+same cells. Everything that touches rows is a built-in function of Spark; positions are code points.
 """
 
 from __future__ import annotations
@@ -16,10 +16,8 @@ from pyspark.sql import functions as F
 
 
 KINDS = ("email", "ip", "card", "phone")
-#: Rows of the sample the trees are fitted on, in the order of a hash of the id.
-SAMPLE_DOCS = 4_000
 TREES, RATE = 12, 0.4
-#: Added spans must be right so often among the sample's spans at or above the threshold.
+#: Added spans must be right so often among all spans at or above the threshold.
 PRECISION = 0.98
 CONTEXT = 24
 
@@ -183,16 +181,15 @@ def _score(cells: np.ndarray, base: float, trees: list) -> np.ndarray:
 
 
 def fit(docs: DataFrame) -> dict[str, tuple[float, list, float]]:
-    """Prior, trees and threshold per kind. A proposal counts as right if it has the kind's form: its
-    checks hold and neither a letter nor a digit touches it. Cells, not rows, come to the driver."""
-    ids = docs.select("doc_id").where("doc_id IS NOT NULL").distinct()
-    chosen = [r[0] for r in ids.orderBy(F.xxhash64(F.col("doc_id").cast("string")), "doc_id").limit(SAMPLE_DOCS).collect()]
-    sample = docs.where(F.col("doc_id").isin(chosen)).select(F.coalesce("text", F.lit("")).alias("text"))
+    """Prior, trees and threshold per kind, from the proposals of all rows. A proposal counts as right if it
+    has the kind's form: its checks hold and neither a letter nor a digit touches it. Features are small
+    integers, so cells are few; they, not rows, come to the driver."""
+    texts = docs.select(F.coalesce("text", F.lit("")).alias("text"))
     model = {}
     rows = reduce(
         lambda a, b: a.unionByName(b),
         [
-            sample.select(F.lit(kind).alias("kind"), F.explode(proposals(F.col("text"), kind)).alias("s")) for kind in KINDS
+            texts.select(F.lit(kind).alias("kind"), F.explode(proposals(F.col("text"), kind)).alias("s")) for kind in KINDS
         ],
     )
     right = (F.col("s.valid") == 1) & ~F.col("s.before").isin(1, 2) & ~F.col("s.after").isin(1, 2)
@@ -204,16 +201,20 @@ def fit(docs: DataFrame) -> dict[str, tuple[float, list, float]]:
         cells = np.array([m[0] for m in mine], np.int64).reshape(-1, len(FEATURES))
         good, total = np.array([m[1] for m in mine], float), np.array([m[2] for m in mine], float)
         base, trees = boost(cells, good, total)
-        score = _score(cells, base, trees)
-        threshold = float("inf")
-        for bar in sorted(set(score.tolist()), reverse=True):
-            if good[score >= bar].sum() < PRECISION * total[score >= bar].sum():
-                break
-            threshold = bar
-        model[kind] = (base, trees, threshold - 1e-9)
+        model[kind] = (base, trees, threshold_of(_score(cells, base, trees), good, total) - 1e-9)
     return model
 
 
+def threshold_of(score: np.ndarray, right: np.ndarray, total: np.ndarray) -> float:
+    """The lowest score down to which every bar leaves PRECISION of the spans right; infinite if there is none."""
+    order = np.argsort(-score, kind="stable")
+    bars = score[order]
+    last = np.flatnonzero(np.r_[bars[1:] != bars[:-1], np.ones(min(1, len(bars)), bool)])
+    enough = right[order].cumsum()[last] >= PRECISION * total[order].cumsum()[last]
+    held = len(last) if enough.all() else int(enough.argmin())
+    return float(bars[last[held - 1]]) if held else float("inf")
+
+
 def find(docs: DataFrame, model: dict) -> DataFrame:
     """The columns of ``docs`` and, per kind, ``base_<kind>`` and ``all_<kind>``: arrays of (start, end, text).
 
