@@ -9,14 +9,11 @@ from daygrid.llm import exact_dedup, langid, ngram_join, packing, pii
 from daygrid.llm.common import prepare, stage
 from daygrid.llm.queries import BYTE_RANKS, BYTE_SPECIALS
 
-#: A document stays if its language scores at least this; four languages at random score 0.25.
-LEAST_SCORE = 0.3
-
 
 def by_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose text has a language; lang is filled in by the prediction where it is null."""
+    """Documents whose text has a language, all where no lang is given; lang is filled in by the prediction where it is null."""
     prepare(spark)
-    return langid.keep_known(docs, langid.fit(docs), LEAST_SCORE)
+    return langid.keep_known(docs, langid.fit(docs))
 
 
 def without_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -21,10 +21,10 @@ from pyspark.sql import DataFrame
 
 from daygrid.llm.common import CACHE_WORDS, train_rows
 
-#: Sample for training: documents per language and characters of each; words and passes over them.
-TRAIN_DOCS, TRAIN_CHARS, TRAIN_WORDS, EPOCHS = 150, 3_000, 16_000, 6
+#: Sample for training: documents per language, whole; words drawn from them in a pass, and passes.
+TRAIN_DOCS, TRAIN_WORDS, EPOCHS = 150, 16_000, 6
 HIDDEN = 12
-#: Words are read in runs of at most so many bytes; a longer word is several runs.
+#: Words are read in runs of at most so many bytes; a longer word is several runs, cut between characters.
 RUN = 32
 UNKNOWN = "und"
 _LETTER = re.compile(r"[^\W\d_]")
@@ -116,7 +116,14 @@ def _pad(words: list[bytes]):
 
 def runs(word: str) -> list[bytes]:
     raw = word.encode("utf-8")
-    return [raw[i : i + RUN] for i in range(0, len(raw), RUN)]
+    out, at = [], 0
+    while at < len(raw):
+        end = at + RUN
+        while end < len(raw) and raw[end] & 0xC0 == 0x80:
+            end -= 1
+        out.append(raw[at:end])
+        at = end
+    return out
 
 
 def train(rows: list[tuple[str, str]], hidden: int = HIDDEN, seed: int = 7) -> Model | None:
@@ -127,7 +134,7 @@ def train(rows: list[tuple[str, str]], hidden: int = HIDDEN, seed: int = 7) -> M
     number = {language: i for i, language in enumerate(languages)}
     share: dict[bytes, Counter] = {}
     for text, language in rows:
-        for word in (text or "")[:TRAIN_CHARS].split():
+        for word in (text or "").split():
             for run in runs(word):
                 share.setdefault(run, Counter())[number[language]] += 1
     rng = np.random.default_rng(seed)
@@ -239,17 +246,18 @@ def predict(docs: DataFrame, model: Model | None) -> DataFrame:
     return docs.select("doc_id", "text").mapInPandas(run, "doc_id long, lang_pred string, score double")
 
 
-def keep_known(docs: DataFrame, model: Model | None, least_score: float) -> DataFrame:
-    """Rows of ``docs`` whose language is known with at least ``least_score``; nothing is shuffled.
+def keep_known(docs: DataFrame, model: Model | None) -> DataFrame:
+    """Rows of ``docs`` whose language is known, whatever its score; nothing is shuffled.
 
-    All columns stay as they are, but a null ``lang`` becomes the predicted language.
+    All columns stay as they are, but a null ``lang`` becomes the predicted language. Where nothing was
+    learned every row stays.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         labeller = Labeller(model) if model else None
         for batch in batches:
-            names, scores = _labels(batch.column("text").to_pylist(), labeller)
-            known = pa.array([n != UNKNOWN and s >= least_score for n, s in zip(names, scores, strict=True)], pa.bool_())
+            names, _ = _labels(batch.column("text").to_pylist(), labeller)
+            known = pa.array([labeller is None or n != UNKNOWN for n in names], pa.bool_())
             if "lang" in batch.schema.names:
                 at = batch.schema.get_field_index("lang")
                 filled = pc.coalesce(batch.column(at), pa.array(names, batch.schema.field(at).type))
@@ -263,5 +271,5 @@ def fit(labelled: DataFrame, per_language: int = TRAIN_DOCS) -> Model | None:
     """Train on a bounded sample of ``labelled`` (doc_id, text, lang): about ``per_language`` documents each."""
     known = labelled.where("lang IS NOT NULL AND text IS NOT NULL AND doc_id IS NOT NULL")
     sample = train_rows(known.select("doc_id", "text", "lang"), "doc_id", "lang", per_language)
-    rows = sample.selectExpr("doc_id", f"substring(text, 1, {TRAIN_CHARS}) AS text", "lang").collect()
+    rows = sample.select("doc_id", "text", "lang").collect()
     return train([(r.text, r.lang) for r in sorted(rows, key=lambda r: (r.doc_id, r.text))])
