@@ -1,4 +1,4 @@
-"""Set-similarity join on word shingles: T-occurrence search with long lists probed, not merged (DivideSkip).
+"""Set-similarity join on word shingles: T-occurrence search with short lists counted, long ones probed (after DivideSkip).
 
 1. Every text becomes the set of its word shingles (64-bit hashes). Equal sets are one class from here on.
 2. A set with more than a quarter of shingles that no other set holds is linked to nothing. Such shingles are
@@ -6,7 +6,7 @@
    Two linked sets of at most n shingles share one of the n - ceil(0.75 n) + 1 rarest of either. These
    are sent, packed, to buckets of shingles; classes of like size that meet become candidate components.
 3. Each candidate component is searched in one task, or in tasks for pairs of blocks if it is large.
-   A search merges the short inverted lists of a set and probes those that are long for its candidates
+   A search counts the short inverted lists of a set in an array (no heap merge) and probes those that are long for its candidates
    by binary search. Every link between different sets is found and counted for both of its ends.
 Rarity only orders shingles, so it is taken from local counts; it decides the cost, never the result.
 """
