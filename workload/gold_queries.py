@@ -22,7 +22,7 @@ SOURCES = {
 }
 SUFFIX = {"n": "", "e": "_users", "s": "_suppliers"}
 AS_OF = {"n": date(1998, 3, 6), "e": date(2024, 1, 15), "s": date(1998, 3, 6)}
-# A day holds one row per nation, user or supplier: small enough for one sort task each.
+# A day holds one row per nation: small enough for one sort task. Days of users and suppliers grow with the data.
 SMALL_DAYS = {"method": "window"}
 DAYS_OF = {"n": panels.order_days, "e": panels.event_days}
 
@@ -39,15 +39,16 @@ def as_of_span(spark: SparkSession, root: str, p: str) -> tuple[date, date]:
 
 def _register_tables(p: str) -> None:
     suffix = SUFFIX[p]
+    ranking = SMALL_DAYS if p == "n" else {}
     day = sql.day_of(p, AS_OF[p].isoformat())
 
     @query(f"gold_daily_snapshot_full{suffix}", sql.ctes(p, sql.daily(p)) + f"SELECT * FROM {p}_daily")
     def daily_full(spark, root):
-        return gold.daily_snapshot(*inputs(spark, root, p), **SMALL_DAYS)
+        return gold.daily_snapshot(*inputs(spark, root, p), **ranking)
 
     @query(f"gold_rank_change_full{suffix}", sql.ctes(p, sql.rank_change(p)) + f"SELECT * FROM {p}_rank")
     def rank_full(spark, root):
-        return gold.rank_change(*inputs(spark, root, p), **SMALL_DAYS)
+        return gold.rank_change(*inputs(spark, root, p), **ranking)
 
     for frame in ("rows", "calendar"):
 
@@ -76,14 +77,14 @@ def _register_tables(p: str) -> None:
         sql.ctes(p, sql.daily(p)) + f"SELECT * FROM {p}_daily WHERE snapshot_date = {day}",
     )
     def daily_asof(spark, root):
-        return gold.daily_snapshot(*inputs(spark, root, p), as_of_span(spark, root, p), **SMALL_DAYS)
+        return gold.daily_snapshot(*inputs(spark, root, p), as_of_span(spark, root, p), **ranking)
 
     @query(
         f"gold_rank_change_asof{suffix}",
         sql.ctes(p, sql.rank_change(p)) + f"SELECT * FROM {p}_rank WHERE snapshot_date = {day}",
     )
     def rank_asof(spark, root):
-        return gold.rank_change(*inputs(spark, root, p), as_of_span(spark, root, p), **SMALL_DAYS)
+        return gold.rank_change(*inputs(spark, root, p), as_of_span(spark, root, p), **ranking)
 
     @query(
         f"gold_rolling_average_asof{suffix}",
@@ -135,7 +136,7 @@ def _register_tables(p: str) -> None:
         + f"SELECT * FROM {p}_daily WHERE snapshot_date = (SELECT max(snapshot_date) FROM {p}_daily)",
     )
     def latest(spark, root):
-        return serving.latest_snapshot(gold.daily_snapshot(*inputs(spark, root, p), **SMALL_DAYS))
+        return serving.latest_snapshot(gold.daily_snapshot(*inputs(spark, root, p), **ranking))
 
 
 for _p in ("n", "e", "s"):
