@@ -257,14 +257,13 @@ def _spans(docs: DataFrame, length: int, seed: int, with_text: bool) -> DataFram
     return docs.mapInArrow(run, schema)
 
 
-_FOUND = pa.schema([
-    ("owner", pa.int64()), ("block", pa.int32()), ("span", pa.binary()), ("from", pa.int32()), ("to", pa.int32())
-])
-FOUND = "owner long, block int, span binary, `from` int, `to` int"
+_CUTS = pa.list_(pa.struct([("from", pa.int32()), ("to", pa.int32())]))
+_FOUND = pa.schema([("owner", pa.int64()), ("block", pa.int32()), ("span", pa.binary()), ("cuts", _CUTS)])
+FOUND = "owner long, block int, span binary, cuts array<struct<`from`: int, `to`: int>>"
 
 
 def _matched(contents: DataFrame, length: int) -> DataFrame:
-    """(owner, block, span, from, to): what the first document of each span shares with smaller ones of the shard."""
+    """(owner, block, span, cuts): what the first document of each span shares with smaller ones of the shard, if anything."""
 
     def resolve(shard: list[tuple]) -> Iterator[tuple]:
         """Spans of one shard by ascending document: each streams through the automaton of smaller documents."""
@@ -280,8 +279,9 @@ def _matched(contents: DataFrame, length: int) -> DataFrame:
                     automaton.add(earlier)
                 waiting, latest = [], first
             if len(automaton.link) > 1:
-                for start, end in automaton.spans(words, length):
-                    yield owner, block, span, start, end
+                cuts = [{"from": start, "to": end} for start, end in automaton.spans(words, length)]
+                if cuts:
+                    yield owner, block, span, cuts
             if first != shard[-1][3]:
                 waiting.append(words)
 
@@ -321,12 +321,13 @@ def _matched_windows(contents: DataFrame, length: int) -> DataFrame:
     groups = windows.groupBy("window").agg(F.min("first").alias("smallest"), F.count(F.lit(1)).alias("n"), F.max("first").alias("_last"))
     shared = stage(groups.where("smallest < _last").drop("_last"), "substring-shared")
     later = join_spread(windows, shared, ["window"], "n").where("smallest < first")
-    return later.select(*SPAN, "from", (F.col("from") + length).alias("to"))
+    found = F.struct("from", (F.col("from") + length).alias("to"))
+    return later.groupBy(*SPAN).agg(F.collect_list(found).alias("cuts"))
 
 
 def removals(docs: DataFrame, length: int = LENGTH, seed: int = SEED, block: int = BLOCK,
              shard_words: int = SHARD_WORDS, with_text: bool = False) -> tuple[DataFrame, DataFrame]:
-    """Rows of ``_spans`` for ``docs`` (doc_id, text_key, text), and what goes: doc_id, text_key, start, end in words."""
+    """Rows of ``_spans`` for ``docs`` (doc_id, text_key, text), and what goes: doc_id, text_key, spans (start, end in words)."""
     seeds = stage(_sampled(docs, length, seed), "substring-seeds")
     places = seeds.groupBy("seed").agg(
         F.min("doc_id").alias("owner"), F.max("doc_id").alias("_last"), F.min_by("pos", "doc_id").alias("_pos"),
@@ -352,9 +353,13 @@ def removals(docs: DataFrame, length: int = LENGTH, seed: int = SEED, block: int
     )
 
     spans = join_spread(found, heads.select(*SPAN, "first", "n"), SPAN, "n")
-    whole = spans.where("doc_id > first").select("doc_id", "text_key", "start", (F.col("start") + F.col("size")).alias("end"))
+    pair = lambda start, end: F.struct(start.alias("start"), end.alias("end"))
+    start = F.col("start")
+    whole = spans.where("doc_id > first").select(
+        "doc_id", "text_key", F.array(pair(start, start + F.col("size"))).alias("spans")
+    )
     partly = spans.where("doc_id = first").join(parts, SPAN).select(
-        "doc_id", "text_key", (F.col("start") + F.col("from")).alias("start"), (F.col("start") + F.col("to")).alias("end")
+        "doc_id", "text_key", F.transform("cuts", lambda c: pair(start + c["from"], start + c["to"])).alias("spans")
     )
     return cut, whole.unionByName(partly)
 
@@ -381,7 +386,7 @@ def dedup(docs: DataFrame, length: int = LENGTH, *, with_text: bool = False, **s
     """
     rows = docs.select("doc_id", F.xxhash64(F.coalesce("text", F.lit(""))).alias("text_key"), "text")
     cut, gone = removals(rows, length, with_text=with_text, **sizes)
-    by_doc = gone.groupBy("doc_id", "text_key").agg(F.collect_list(F.struct("start", "end")).alias("spans"))
+    by_doc = gone.groupBy("doc_id", "text_key").agg(F.flatten(F.collect_list("spans")).alias("spans"))
     texts = cut.where(F.col("kind") == TEXT).select("doc_id", "text_key", "n_words", "words")
     schema = pa.schema([
         ("doc_id", pa.int64()), ("n_words", pa.int64()), ("n_removed", pa.int64()), ("kept_sha256", pa.string()), ("kept", pa.string())
