@@ -11,13 +11,14 @@ import hashlib
 import json
 import unicodedata
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
 import regex
 from pyspark.sql import DataFrame
 
-from daygrid.llm.common import CACHE_WORDS
+from daygrid.llm.common import forget_older
 
 NO_RANK = np.iinfo(np.int32).max
 
@@ -110,7 +111,8 @@ class BatchBpe:
 
     def decode(self, ids) -> str:
         """Tokens joined by one blank: the file names no decoder."""
-        return " ".join([self.tokens[int(i)] for i in ids if int(i) in self.tokens])
+        tokens = self.tokens
+        return " ".join([tokens[i] for i in ids if i in tokens])
 
 
 class TextCoder:
@@ -122,15 +124,24 @@ class TextCoder:
 
     def fill(self, parts: set[str]) -> None:
         """Encode all new parts of a batch of texts at once, and decode them from their ids."""
-        if len(self.cache) > CACHE_WORDS:
-            self.cache.clear()
+        forget_older(self.cache)
         new = [p for p in parts if p not in self.cache]
         split = [list(self.bpe.words(p)) for p in new]
         distinct = list(dict.fromkeys(w for ws in split for w in ws if isinstance(w, str)))
         ids = dict(zip(distinct, self.bpe.encode(distinct), strict=True)) if distinct else {}
+        # Each distinct word once: its number of ids, the ids as text, its tokens as text.
+        of_word: dict[str | int, tuple[int, str, str]] = {}
+        for w, found in ids.items():
+            listed = found.tolist()
+            of_word[w] = (len(listed), " ".join(map(str, listed)), self.bpe.decode(listed))
+        for special in self.bpe.specials.values():
+            of_word[special] = (1, str(special), self.bpe.decode([special]))
         for part, words in zip(new, split, strict=True):
-            all_ids = [i for w in words for i in ([w] if isinstance(w, int) else ids[w].tolist())]
-            self.cache[part] = (len(all_ids), " ".join(map(str, all_ids)), self.bpe.decode(all_ids))
+            if len(words) == 1:
+                self.cache[part] = of_word[words[0]]
+            else:
+                coded = [of_word[w] for w in words]
+                self.cache[part] = (sum(c[0] for c in coded), " ".join([c[1] for c in coded]), " ".join([c[2] for c in coded]))
 
     def code(self, text: str) -> tuple[int, str, str]:
         """Number of ids, ids joined by blanks, decoded text."""
@@ -138,6 +149,12 @@ class TextCoder:
         return sum(c[0] for c in found), " ".join([c[1] for c in found]), " ".join([c[2] for c in found])
 
 
+@lru_cache(maxsize=1)
+def text_coder(path: str) -> TextCoder:
+    """The coder of this Python worker, which the tasks it runs one after another share with its cache."""
+    return TextCoder(path)
+
+
 def encode_texts(docs: DataFrame, path: str, with_texts: bool = False) -> DataFrame:
     """Token count and digests of ids and decoded text per row of ``docs`` (doc_id, text).
 
@@ -147,7 +164,7 @@ def encode_texts(docs: DataFrame, path: str, with_texts: bool = False) -> DataFr
     schema = ENCODED + (", ids array<int>, decoded string" if with_texts else "")
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        coder = TextCoder(path)
+        coder = text_coder(path)
         digest = lambda s: hashlib.sha256(s.encode("utf-8")).hexdigest()
         for batch in batches:
             texts = [t or "" for t in batch["text"]]

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import base64
 import re
+from functools import lru_cache
+from itertools import islice
 
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -13,7 +15,7 @@ from daygrid.session import scratch_dir
 
 #: Rows per Arrow batch. Texts are long, so a small batch bounds a Python worker's memory.
 ARROW_ROWS = 500
-#: Entries a worker's word cache holds before it starts anew (about 100 MB).
+#: Entries a worker's word cache holds; then the older half goes (about 100 MB).
 CACHE_WORDS = 300_000
 
 
@@ -54,6 +56,13 @@ def train_rows(labelled: DataFrame, key: str, label: str, per_label: int) -> Dat
     return labelled.where(keep)
 
 
+def forget_older(cache: dict, limit: int = CACHE_WORDS) -> None:
+    """Drop the half that came in first once a cache holds more than ``limit`` entries."""
+    if len(cache) > limit:
+        for key in list(islice(cache, len(cache) // 2)):
+            del cache[key]
+
+
 class WordEncoder:
     """Byte-level BPE ids of texts as little-endian uint32 bytes.
 
@@ -83,8 +92,7 @@ class WordEncoder:
             return head + b"".join([cache[w] for w in rest])
         except KeyError:
             pass
-        if len(cache) > CACHE_WORDS:
-            cache.clear()
+        forget_older(cache)
         for w in rest:
             if w not in cache:
                 cache[w] = self.whole(" " + w)
@@ -92,3 +100,13 @@ class WordEncoder:
 
 
 _UNSAFE = re.compile(r" \s")
+
+
+@lru_cache(maxsize=2)
+def _held_encoder(ranks_path: str, pattern: str, specials: tuple[tuple[str, int], ...]) -> WordEncoder:
+    return WordEncoder(ranks_path, pattern, dict(specials))
+
+
+def word_encoder(ranks_path: str, pattern: str, specials: dict[str, int]) -> WordEncoder:
+    """The encoder of this Python worker, which the tasks it runs one after another share with its word cache."""
+    return _held_encoder(ranks_path, pattern, tuple(sorted(specials.items())))

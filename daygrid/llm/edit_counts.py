@@ -13,7 +13,7 @@ from collections.abc import Callable, Iterator
 import pandas as pd
 from pyspark.sql import DataFrame
 
-from daygrid.llm.common import WordEncoder
+from daygrid.llm.common import word_encoder
 
 LEAF_CHARS = 512
 #: A blank between two characters that are not white space: a pre-token ends before it.
@@ -136,7 +136,7 @@ def count_edits(docs: DataFrame, ranks_path: str, pattern: str, specials: dict[s
     columns = ["doc_id", "n_tokens", "n_tokens_edited", "n_chars_edited", "reencoded_chars"]
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        encoder = WordEncoder(ranks_path, pattern, specials)
+        encoder = word_encoder(ranks_path, pattern, specials)
         count = lambda text: len(encoder.encode(text)) // 4
         for batch in batches:
             rows = []

@@ -16,7 +16,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from daygrid.llm.common import WordEncoder, stage
+from daygrid.llm.common import WordEncoder, stage, word_encoder
 
 WINDOW = 1024
 OPEN_WINDOWS = 64
@@ -81,7 +81,7 @@ def pack(docs: DataFrame, ranks_path: str, pattern: str, specials: dict[str, int
         return np.append(np.frombuffer(encoder.encode(text or ""), "<u4"), np.uint32(end_id)).astype("<u4")
 
     def first_pass(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        encoder = WordEncoder(ranks_path, pattern, specials)
+        encoder = word_encoder(ranks_path, pattern, specials)
         windows = OpenWindows(size, open_windows)
         base, number = TaskContext.get().partitionId() << TASK_BITS, 0
         for batch in batches:
