@@ -2,19 +2,20 @@
 
     rank = 1 + number of rows of the day with a greater value
 
-The default way never puts a day into one task. The values are pre-aggregated to (day, value,
-count) and laid out as a tree of four levels. Each level cuts an order-preserving number line (the
-logarithm of the value) 65,536 times finer than the one above; the last level is the value itself. A
-window over the children of one node sums the counts of greater siblings, and the sums are passed
-down level by level. No window holds more than about 140,000 rows, for any data. The ranks go back to
-the rows by an equi-join on (day, value); values that more than ``HOT_ROWS`` rows share are joined
-with salted rows, so no key of the join is hot.
-
-Building the plan runs no job. With ``staging``, a folder in shared storage, the rows, the counts and
-the ranks per value are written there once and read by all that follows; ``remove_staging`` deletes it.
-
-``method="window"`` asks for ``rank() OVER (PARTITION BY day ORDER BY value DESC)``: one shuffle, shared
-by every rank, and one sort task per day. It is for callers who know that a day is small.
+The default way never sorts a large day in one task:
+
+1. The rows are written once to shared storage; all that follows, for every rank, reads them there.
+2. Days of more than ``cell_rows`` rows get splitters, percentiles of a sample of their rows, which are stored too.
+   They cut a day into cells of about ``cell_rows`` rows in the order of the value. A value so frequent that it
+   appears among the splitters twice has a cell of its own, and so has NULL.
+3. A row's rank is its rank in its cell plus the rows in cells of greater values: one count per cell, summed in
+   order. Cells of one value need no order among their rows, so these are spread over salts.
+
+Splitters decide which task ranks a row, never the rank. Where no day is large the window goes by day. Every
+rank costs one shuffle of the rows and two of counts per cell.
+
+``method="window"`` asks for ``rank() OVER (PARTITION BY day ORDER BY value DESC)`` over the rows as they come: one
+shuffle, shared by every rank, one sort task per day, nothing stored. It is for callers who know that a day is small.
 """
 
 from __future__ import annotations
@@ -24,38 +25,19 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from daygrid.schemas import DAY
+from daygrid.session import scratch_dir
 
-# A value of a day that more rows share is joined with salted rows.
-HOT_ROWS = 2_000_000
-METHODS = ("tree", "window")
+METHODS = ("range", "window")
 
-# Cells per unit of log2, coarse to fine.
-LEVELS = (2.0**5, 2.0**21, 2.0**37)
-
-# Parts into which the rows of a hot value are spread.
+#: Rows of a day that one task ranks.
+CELL_ROWS = 1_000_000
+#: Rows sampled per cell for the splitters.
+SAMPLE_ROWS = 1_000
+#: Parts into which the rows of a cell of one value are spread.
 SALTS = 1024
 
 
-def number_line(value: Column) -> Column:
-    """Map a double to a number that never decreases when the value grows.
-
-    NULL comes first, NaN last; log2 of a double lies in [-1074, 1024], so the offset keeps
-    both halves of the line apart from zero.
-    """
-    size = F.least(F.log2(F.abs(value)), F.lit(1025.0)) + F.lit(2048.0)
-    return (
-        F.when(value.isNull(), F.lit(-8192.0))
-        .when(F.isnan(value), F.lit(8192.0))
-        .when(value == 0, F.lit(0.0))
-        .when(value > 0, size)
-        .otherwise(-size)
-    )
-
-
-def _stored(df: DataFrame, staging: str | None, name: str) -> DataFrame:
-    """Written to and read from ``staging``, or the frame itself where there is none."""
-    if staging is None:
-        return df
+def _stored(df: DataFrame, staging: str, name: str) -> DataFrame:
     path = f"{staging.rstrip('/')}/{name}"
     df.write.mode("overwrite").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
@@ -67,56 +49,58 @@ def remove_staging(spark: SparkSession, staging: str) -> None:
     path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
-def ranks_by_value(rows: DataFrame, by: str, value: str, staging: str | None = None) -> DataFrame:
-    """(by, value, _n, _rank) for every distinct value, highest first, NULL last."""
-    line = number_line(F.col(value))
-    cells = [F.floor(line * F.lit(scale)).alias(f"_l{i}") for i, scale in enumerate(LEVELS)]
-    names = [f"_l{i}" for i in range(len(LEVELS))]
-
-    counts = rows.groupBy(by, *cells, value).agg(F.count(F.lit(1)).alias("_n"))
-    leaves = _stored(counts, staging, f"counts-{value}")
-    levels = [(names, value, leaves)]
-    for depth in range(len(names) - 1, -1, -1):
-        nodes = leaves.groupBy(by, *names[: depth + 1]).agg(F.sum("_n").alias("_n"))
-        levels.append((names[:depth], names[depth], nodes))
-
-    passed: DataFrame | None = None
-    for parent, child, nodes in reversed(levels):
-        greater = (
-            Window.partitionBy(by, *parent)
-            .orderBy(F.desc_nulls_last(child))
-            .rowsBetween(Window.unboundedPreceding, -1)
-        )
-        own = F.coalesce(F.sum("_n").over(greater), F.lit(0))
-        nodes = nodes.select(by, *parent, child, "_n", own.alias("_own"))
-        if passed is None:
-            passed = nodes.withColumnRenamed("_own", "_above")
-        else:
-            passed = nodes.join(passed.drop("_n"), [by, *parent]).select(
-                by, *parent, child, "_n", (F.col("_own") + F.col("_above")).alias("_above")
-            )
-    return _stored(passed.select(by, value, "_n", (F.col("_above") + 1).alias("_rank")), staging, f"ranks-{value}")
-
-
-def _rank_tree(rows: DataFrame, by: str, ranks: dict[str, str], staging: str | None, hot_rows: int) -> DataFrame:
+def splitters(rows: DataFrame, by: str, values: list[str], cell_rows: int, staging: str) -> DataFrame | None:
+    """(by, _at_<value>, ...) for the days of more than ``cell_rows`` rows, or None where there is none.
+
+    Each array holds up to one splitter per cell of the largest day, ascending, the frequent ones repeated.
+    """
+    sizes = rows.groupBy(by).agg(F.count(F.lit(1)).alias("_n"))
+    largest = sizes.agg(F.max("_n")).first()[0] or 0
+    if largest <= cell_rows:
+        return None
+    cells = -(-largest // cell_rows)
+    # The calendar bounds the number of days.
+    large = rows.join(F.broadcast(sizes.where(F.col("_n") > cell_rows).select(by)), by, "left_semi")
+    some = large.sample(min(1.0, SAMPLE_ROWS / cell_rows), seed=1)
+    shares = F.array(*(F.lit(i / cells) for i in range(1, cells)))
+    accuracy = F.lit(max(10_000, 100 * cells))
+    none = F.array().cast("array<double>")
+    found = some.groupBy(by).agg(
+        *(F.coalesce(F.percentile_approx(v, shares, accuracy).cast("array<double>"), none).alias(f"_at_{v}") for v in values)
+    )
+    return _stored(found, staging, "splitters")
+
+
+def _cell(value: str, at: Column) -> Column:
+    """Number of the cell of a value, greatest values first; odd ones hold one value only. 0 in a small day."""
+    own = F.size(F.filter(at, lambda t: t == F.col(value))) > 1
+    below = F.size(F.filter(F.array_distinct(at), lambda t: F.col(value) < t))
+    cell = F.when(F.col(value).isNull(), 2 * F.size(at) + 3).otherwise(2 * below + own.cast("int"))
+    return F.when(at.isNull(), F.lit(0)).otherwise(cell)
+
+
+def _rank_cells(rows: DataFrame, by: str, ranks: dict[str, str], cuts: DataFrame) -> DataFrame:
     columns = rows.columns
-    rows = _stored(rows, staging, "rows")
-    tables = {value: ranks_by_value(rows.select(by, value), by, value, staging) for value in set(ranks.values())}
+    spread = F.pmod(F.xxhash64(*columns), F.lit(SALTS))
+    # 8 bytes per cell_rows rows of a large day and value.
+    ranked = given = rows.join(F.broadcast(cuts), by, "left")
     for name, value in ranks.items():
-        found = tables[value].select(F.col(by).alias("_by"), F.col(value).alias("_value"), "_n", "_rank")
-        hot = found.where(F.col("_n") > hot_rows).select("_by", "_value", F.col("_rank").alias("_hot"))
-        other = found.where(F.col("_n") <= hot_rows).select("_by", "_value", "_rank", F.lit(0).alias("_other"))
-        same = (F.col(by) == F.col("_by")) & F.col(value).eqNullSafe(F.col("_value"))
-        spread = F.pmod(F.xxhash64(*columns), F.lit(SALTS)).cast("int") + 1
-        rows = (
-            rows.join(hot, same, "left")
-            .drop("_by", "_value")
-            .withColumn("_salt", F.when(F.col("_hot").isNotNull(), spread).otherwise(F.lit(0)))
-            .join(other, same & (F.col("_salt") == F.col("_other")), "left")
-            .withColumn(name, F.coalesce("_hot", "_rank"))
-            .drop("_by", "_value", "_hot", "_salt", "_rank", "_other")
+        at = F.col(f"_at_{value}")
+        counts = given.where(at.isNotNull()).groupBy(by, _cell(value, at).alias("_cell")).agg(F.count(F.lit(1)).alias("_n"))
+        greater = Window.partitionBy(by).orderBy("_cell").rowsBetween(Window.unboundedPreceding, -1)
+        # One row per cell of a large day.
+        above = F.broadcast(counts.select(by, "_cell", F.sum("_n").over(greater).alias("_above")))
+        salt = F.when(F.col("_cell") % 2 == 1, spread).otherwise(F.lit(0))
+        inside = Window.partitionBy(by, "_cell", "_salt").orderBy(F.desc_nulls_last(value))
+        ranked = (
+            ranked.withColumn("_cell", _cell(value, at))
+            .withColumn("_salt", salt)
+            .withColumn(name, F.rank().over(inside))
+            .join(above, [by, "_cell"], "left")
+            .withColumn(name, F.col(name) + F.coalesce("_above", F.lit(0)))
+            .drop("_cell", "_salt", "_above")
         )
-    return rows
+    return ranked.select(*columns, *ranks)
 
 
 def _rank_window(rows: DataFrame, by: str, ranks: dict[str, str]) -> DataFrame:
@@ -135,17 +119,25 @@ def rank_within_day(
     *,
     by: str = DAY,
     unranked_nulls: frozenset[str] | set[str] = frozenset(),
-    method: str = "tree",
+    method: str = "range",
     staging: str | None = None,
-    hot_rows: int = HOT_ROWS,
+    cell_rows: int = CELL_ROWS,
 ) -> DataFrame:
     """Add ``{rank name: value column}`` ranks, highest value first, ties sharing a rank.
 
-    NULL values rank last; for names in ``unranked_nulls`` they get a NULL rank instead.
+    NULL values rank last, NaN first; for names in ``unranked_nulls`` NULL values get a NULL rank instead. Values
+    are doubles or cast to them for splitters; the day is not NULL. The default method runs the jobs that write ``rows`` and splitters, below ``staging`` or a fresh scratch
+    folder; ``remove_staging`` deletes a folder that was given.
     """
     if method not in METHODS:
         raise ValueError(f"method must be one of {METHODS}")
-    ranked = _rank_window(rows, by, ranks) if method == "window" else _rank_tree(rows, by, ranks, staging, hot_rows)
+    if method == "window":
+        ranked = _rank_window(rows, by, ranks)
+    else:
+        staging = staging or scratch_dir(rows.sparkSession, "ranks")
+        rows = _stored(rows, staging, "rows")
+        cuts = splitters(rows, by, sorted(set(ranks.values())), cell_rows, staging)
+        ranked = _rank_window(rows, by, ranks) if cuts is None else _rank_cells(rows, by, ranks, cuts)
     final = {}
     for name, value in ranks.items():
         rank = F.col(name).cast("int")

@@ -24,7 +24,7 @@ ROLLING_REACH = tuple(range(7))
 
 
 def with_cap_rank(df: DataFrame, name: str = "coin_rank", **ranking) -> DataFrame:
-    """``ranking`` goes to ``rank_within_day``: method, staging."""
+    """``ranking`` goes to ``rank_within_day``: method, staging, cell_rows."""
     return rank_within_day(df, {name: "market_cap_usd"}, **ranking)
 
 

@@ -96,7 +96,7 @@ def test_row_frame_reaches_over_gaps_and_calendar_frame_does_not(spark):
         gold.rolling_average(panel, coins, frame="weeks")
 
 
-@pytest.mark.parametrize("method", ["window", "tree"])
+@pytest.mark.parametrize("method", ["window", "range"])
 def test_any_span_equals_full_history_cut_to_it(spark, method):
     panel, coins = scenario_panel(spark), scenario_coins(spark)
     builders = [

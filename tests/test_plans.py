@@ -7,7 +7,6 @@ import pytest
 
 from daygrid.operators import ranking
 from daygrid.plans import gold, governance
-from daygrid.schemas import DAY
 from daygrid.sinks.partitions import write_partitions
 from daygrid.sources.snapshots import read_snapshots
 from tests.helpers import TARGET, scenario_coins, scenario_panel
@@ -76,18 +75,21 @@ def test_dimension_is_broadcast_only_while_small(spark, stored, tmp_path):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
 
 
-def test_default_ranks_never_sort_a_day_in_one_task(spark, stored):
-    text = plan(gold.with_cap_rank(stored))
-    assert "Window [rank(" not in text and "_salt" in text
-    assert "Window [rank(" in plan(gold.with_cap_rank(stored, method="window"))
+def test_large_days_are_ranked_in_cells(spark, stored, tmp_path):
+    text = plan(gold.with_cap_rank(stored, cell_rows=1, staging=str(tmp_path / "cells")))
+    keys = re.findall(r"Window \[rank\([^\n]*\], \[(snapshot_date#\d+[^\]]*)\]", text)
+    assert keys and all("_cell" in key and "_salt" in key for key in keys)
+    # Rows are dealt once; the others are counts per cell and their sums.
+    assert text.count("Exchange hashpartitioning") <= 3, text
+    small = plan(gold.with_cap_rank(stored, staging=str(tmp_path / "days")))
+    assert "_cell" not in small and small.count("Exchange hashpartitioning") == 1
 
 
-def test_tree_windows_partition_below_the_day(spark, stored):
-    """Of the four windows of the tree only the one over the coarse cells partitions by day alone."""
-    text = plan(ranking.ranks_by_value(stored, DAY, "market_cap_usd"))
-    keys = re.findall(r"Window \[sum\([^\n]*\], \[(snapshot_date#\d+[^\]]*)\], \[([^\]]*)\]", text)
-    assert len(keys) == 4
-    assert [order for key, order in keys if "," not in key and not order.startswith("_l0")] == []
+def test_ranks_read_the_panel_once(spark, stored, tmp_path):
+    """Both ranks of a table read the rows stored for them, not the panel."""
+    text = plan(gold.daily_snapshot(stored, scenario_coins(spark), cell_rows=1, staging=str(tmp_path / "once")))
+    assert "price_snapshots" not in text
+    ranking.remove_staging(spark, str(tmp_path / "once"))
 
 
 def test_quota_prunes_before_the_shuffle(spark):

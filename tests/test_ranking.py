@@ -2,11 +2,10 @@ import math
 import random
 from datetime import date
 
-from hypothesis import given, settings
-from hypothesis import strategies as st
+import pytest
 from pyspark.sql import functions as F
 
-from daygrid.operators.ranking import number_line, rank_within_day, ranks_by_value, remove_staging
+from daygrid.operators.ranking import rank_within_day, remove_staging, splitters
 from tests.helpers import rows_of
 
 DAYS = [date(2026, 1, d) for d in (1, 2, 3)]
@@ -34,25 +33,17 @@ def test_both_ways_give_the_same_ranks(spark, tmp_path):
     ranks = {"by_v": "v", "by_w": "w"}
     want = rank_within_day(df, ranks, unranked_nulls={"by_w"}, method="window").drop("v", "w")
     staging = str(tmp_path / "ranks")
-    for hot, folder in ((0, None), (20, None), (2_000_000, staging)):  # every value hot; repeated ones; none
-        have = rank_within_day(df, ranks, unranked_nulls={"by_w"}, staging=folder, hot_rows=hot).drop("v", "w")
-        assert rows_of(have) == rows_of(want)
-    assert sorted(p.name for p in (tmp_path / "ranks").iterdir()) == ["counts-v", "counts-w", "ranks-v", "ranks-w", "rows"]
+    for cell, folder in ((1, None), (7, None), (60, None), (1_000_000, staging)):
+        have = rank_within_day(df, ranks, unranked_nulls={"by_w"}, staging=folder, cell_rows=cell).drop("v", "w")
+        assert rows_of(have) == rows_of(want), cell
+    assert sorted(p.name for p in (tmp_path / "ranks").iterdir()) == ["rows"]
     remove_staging(spark, staging)
     assert not (tmp_path / "ranks").exists()
 
 
-def test_building_the_plan_runs_no_job(spark):
-    tracker = spark.sparkContext.statusTracker()
-    spark.sparkContext.setJobGroup("rank-plan", "")
-    rank_within_day(frame(spark), {"rank": "v"})
-    assert list(tracker.getJobIdsForGroup("rank-plan")) == []
-    spark.sparkContext.setJobGroup("", "")
-
-
 def test_ranks_against_brute_force(spark):
     df = frame(spark).where("NOT isnan(v) OR v IS NULL")
-    have = {(r.coin_id, r.snapshot_date): r.rank for r in rank_within_day(df, {"rank": "v"}, hot_rows=0).collect()}
+    have = {(r.coin_id, r.snapshot_date): r.rank for r in rank_within_day(df, {"rank": "v"}, cell_rows=11).collect()}
     rows = df.collect()
     for r in rows:
         day = [o.v for o in rows if o.snapshot_date == r.snapshot_date]
@@ -63,19 +54,29 @@ def test_ranks_against_brute_force(spark):
         assert have[r.coin_id, r.snapshot_date] == greater + 1
 
 
-def test_a_value_shared_by_most_rows_is_counted_once(spark):
-    """Rows of a hot value are combined before the tree: one node per distinct value."""
-    df = spark.range(50_000).select(
-        F.lit(DAYS[0]).alias("snapshot_date"), F.when(F.col("id") % 3 > 0, F.lit(4.0)).otherwise(F.col("id") * 1.0).alias("v")
+@pytest.mark.parametrize("most", [4.0, None, math.nan, -math.inf])
+def test_a_value_shared_by_most_rows_is_spread(spark, tmp_path, most):
+    """Two thirds of a day hold one value: its cell has no order and is cut by salts."""
+    df = spark.range(6_000).select(
+        F.lit(DAYS[0]).alias("snapshot_date"), "id",
+        F.when(F.col("id") % 3 > 0, F.lit(most)).otherwise(F.col("id") * 1.0).cast("double").alias("v"),
     )
-    found = ranks_by_value(df, "snapshot_date", "v")
-    assert found.count() == df.select("v").distinct().count()
-    assert found.where("v = 4.0").first()["_rank"] == df.where("v > 4.0").count() + 1
+    want = rank_within_day(df, {"rank": "v"}, method="window").drop("v")
+    have = rank_within_day(df, {"rank": "v"}, cell_rows=500, staging=str(tmp_path / "s"))
+    assert rows_of(have.drop("v")) == rows_of(want)
+    largest = have.groupBy("rank").count().agg(F.max("count")).first()[0]
+    assert largest == 4_000
+
+
+def test_cells_hold_about_their_share(spark, tmp_path):
+    df = spark.range(20_000).select(F.lit(DAYS[0]).alias("snapshot_date"), (F.col("id") * 1.0).alias("v"))
+    cuts = splitters(df, "snapshot_date", ["v"], 1_000, str(tmp_path / "cuts")).first()["_at_v"]
+    edges = [0.0, *cuts, 20_000.0]
+    assert len(cuts) == 19 and max(b - a for a, b in zip(edges, edges[1:], strict=False)) <= 1_100
+    assert splitters(df, "snapshot_date", ["v"], 20_000, str(tmp_path / "none")) is None
 
 
-@settings(max_examples=5, deadline=None)
-@given(st.lists(st.floats(allow_nan=False), min_size=2, max_size=300))
-def test_number_line_never_decreases(spark, values):
-    df = spark.createDataFrame([(float(v),) for v in values], "v double").select("v", number_line(F.col("v")).alias("x"))
-    ordered = [r.x for r in sorted(df.collect(), key=lambda r: r.v)]
-    assert ordered == sorted(ordered)
+def test_ranks_of_days_without_values(spark):
+    df = spark.createDataFrame([(f"e{i}", DAYS[0], None) for i in range(9)], "coin_id string, snapshot_date date, v double")
+    assert {r.rank for r in rank_within_day(df, {"rank": "v"}, cell_rows=2).collect()} == {1}
+    assert rank_within_day(df.limit(0), {"rank": "v"}).collect() == []

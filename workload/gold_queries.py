@@ -12,6 +12,7 @@ from daygrid.operators.lookback import with_day_over_day
 from daygrid.operators.spine import calendar_of
 from daygrid.plans import gold, serving
 from daygrid.schemas import DAY, ENTITY
+from daygrid.sinks.partitions import staged
 from workload import panels, sql
 from workload.registry import query
 
@@ -59,14 +60,14 @@ def _register_tables(p: str) -> None:
         def rolling_full(spark, root, frame=frame):
             return gold.rolling_average(*inputs(spark, root, p), frame=frame)
 
-    # The same ranks through the default way, which never sorts a day in one task.
+    # The same ranks with days cut into cells, as days of many million rows are.
     @query(
         f"rank_of_large_days{suffix}",
         sql.ctes(p, sql.daily(p))
         + f"SELECT coin_id, snapshot_date, coin_rank, price_change_rank FROM {p}_daily",
     )
     def large_days(spark, root):
-        daily = gold.daily_snapshot(*inputs(spark, root, p))
+        daily = gold.daily_snapshot(*inputs(spark, root, p), cell_rows=5)
         return daily.select(ENTITY, DAY, "coin_rank", "price_change_rank")
 
     if p == "s":
@@ -144,16 +145,17 @@ for _p in ("n", "e", "s"):
 
 
 def nation_tables(spark: SparkSession, root: str) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
-    """Panel, daily, rank change and rolling average of the nations.
+    """Panel, daily, rank change and rolling average of the nations, built once, stored and read back.
 
     A day holds one row per nation at most.
     """
     panel, dim = inputs(spark, root, "n")
+    panel = staged(panel, "nation-panel")
     return (
         panel,
-        gold.daily_snapshot(panel, dim, **SMALL_DAYS),
-        gold.rank_change(panel, dim, **SMALL_DAYS),
-        gold.rolling_average(panel, dim),
+        staged(gold.daily_snapshot(panel, dim, **SMALL_DAYS), "nation-daily"),
+        staged(gold.rank_change(panel, dim, **SMALL_DAYS), "nation-rank"),
+        staged(gold.rolling_average(panel, dim), "nation-rolling"),
     )
 
 
