@@ -9,6 +9,9 @@ from pyspark.sql import functions as F
 
 Span = tuple[date, date]
 
+#: Day numbers of 0001-01-01 and 9999-12-31.
+FIRST_DAY, LAST_DAY = (day.toordinal() - date(1970, 1, 1).toordinal() for day in (date.min, date.max))
+
 
 def span_of(start: date | None, end: date | None, max_days: int | None = None) -> Span | None:
     """Check an inclusive range. Both bounds or neither; ``None`` means all history.
@@ -47,6 +50,10 @@ def in_span(df: DataFrame, day: str, span: Span | None) -> DataFrame:
     return df if span is None else df.where(between_days(F.col(day), span))
 
 
+def days_of(span: Span) -> list[date]:
+    return [span[0] + timedelta(days=k) for k in range((span[1] - span[0]).days + 1)]
+
+
 def day_number(day: Column) -> Column:
     """Days since 1970-01-01, so that a RANGE frame counts calendar days."""
     return F.unix_date(day)
@@ -68,8 +75,12 @@ def date_of_text(text: Column) -> Column:
 
 
 def date_of_epoch_ms(ms: Column) -> Column:
-    """UTC date of an epoch-millisecond value, independent of the session time zone."""
-    return F.date_from_unix_date(F.floor(ms / F.lit(86_400_000.0)).cast("int"))
+    """UTC date of an epoch-millisecond value, independent of the session time zone.
+
+    NULL outside the years 1 to 9999, such as for a time in micro- or nanoseconds.
+    """
+    number = F.floor(ms / F.lit(86_400_000.0))
+    return F.date_from_unix_date(F.when(number.between(FIRST_DAY, LAST_DAY), number).cast("int"))
 
 
 def event_date(text: Column, ms: Column) -> Column:

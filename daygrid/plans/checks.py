@@ -199,10 +199,15 @@ def post_write_counts(tables: Mapping[str, DataFrame], span: Span | None = None)
 
 
 def missing_after_write(tables: Mapping[str, DataFrame], days: DataFrame) -> DataFrame:
-    """(table, day) of every requested day for which a table holds no row."""
+    """(table, day) of every requested day for which a table holds no row; other days are not counted.
+
+    For tables on storage ``sources.listing`` answers from file footers.
+    """
     names = F.explode(F.array(*(F.lit(name) for name in tables))).alias("table_name")
-    wanted = days.select(DAY).distinct().select(names, DAY)
-    return wanted.join(post_write_counts(tables), ["table_name", DAY], "left_anti")
+    asked = days.select(DAY).distinct()
+    wanted = asked.select(names, DAY)
+    some = {name: df.join(F.broadcast(asked), DAY, "left_semi") for name, df in tables.items()}  # calendar days
+    return wanted.join(post_write_counts(some), ["table_name", DAY], "left_anti")
 
 
 def require_rows(tables: Mapping[str, DataFrame], days: DataFrame) -> None:

@@ -7,7 +7,7 @@ from datetime import date
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from daygrid.functions.dates import Span, backfill_window, shifted, span_of
+from daygrid.functions.dates import Span, backfill_window, days_of, shifted, span_of
 from daygrid.operators.spine import calendar
 from daygrid.plans import checks, gold, history, serving, silver
 from daygrid.schemas import DAY, KEY, document
@@ -19,6 +19,7 @@ from daygrid.sinks.partitions import (
     upsert_version,
     write_partitions,
 )
+from daygrid.sources.listing import day_frame, folder_days, missing_stored_days, newest_stored_day, require_stored
 from daygrid.sources.snapshots import read_history, read_snapshots
 
 
@@ -33,8 +34,8 @@ def load_snapshots(spark: SparkSession, landed: str, silver_root: str, span: Spa
     silver.require_fields(cleaned)
     upsert_version(f"{silver_root}/coins", silver.coin_rows(cleaned), ["id"])
     write_partitions(document(silver.price_rows(cleaned)), f"{silver_root}/price_snapshots")
-    days = cleaned.select(DAY) if span is None else calendar(spark, *span)
-    checks.require_rows({"price_snapshots": spark.read.parquet(f"{silver_root}/price_snapshots")}, days)
+    days = _days(cleaned) if span is None else days_of(span)
+    require_stored(spark, {"price_snapshots": f"{silver_root}/price_snapshots"}, days)
 
 
 def load_history(spark: SparkSession, landed: str, silver_root: str, anchor: date, days: int) -> None:
@@ -60,7 +61,7 @@ def load_history(spark: SparkSession, landed: str, silver_root: str, anchor: dat
     }
     for name, (rows, keys, source) in merges.items():
         merge_partitions(f"{silver_root}/{name}", rows, keys)
-        checks.require_rows({name: spark.read.parquet(f"{silver_root}/{name}")}, source)
+        require_stored(spark, {name: f"{silver_root}/{name}"}, _days(source))
 
 
 def build_gold(
@@ -78,40 +79,58 @@ def build_gold(
     and 30 days on, the following six days), so that a late day never leaves stale results.
     With the row frame the rolling table depends on days at any distance, so it is rebuilt to
     the end of the panel. ``ranking`` goes to ``rank_within_day``.
+
+    Days come from the folders of the panel, not from a scan. Days of the span that the panel lacks are found before the
+    first write; all three tables are built for the others, and then every absent (table, day) is raised.
     """
     span = span_of(*span) if span is not None else None
-    panel = spark.read.parquet(f"{silver_root}/price_snapshots")
+    silver_path = f"{silver_root}/price_snapshots"
+    held = folder_days(spark, silver_path)
+    wanted = held if span is None else days_of(span)
+    absent = missing_stored_days(spark, {"price_snapshots": silver_path}, wanted).collect()
+    lacking = {row[DAY] for row in absent}
+    if held and lacking >= set(wanted):
+        raise ValueError(f"the panel has no rows from {wanted[0]} to {wanted[-1]}")
+    panel = spark.read.parquet(silver_path)
     dim = read_version(spark, f"{silver_root}/coins")
-    present = panel.select(DAY).distinct()
-    requested = present if span is None else calendar(spark, *span)
 
-    def days_of(reach: tuple[int, ...]) -> tuple[Span | None, DataFrame | None]:
+    def reached(reach: tuple[int, ...]) -> tuple[Span | None, DataFrame | None]:
         if span is None:
             return None, None
         if not cascade:
             return span, None
         wide = (span[0], shifted(span, max(reach))[1])
-        return wide, gold.affected_dates(calendar(spark, *span), panel, reach)
+        return wide, gold.affected_dates(calendar(spark, *span), day_frame(spark, held), reach)
+
+    built: dict[str, set[date]] = {}
 
     def store(name: str, table: DataFrame, days: DataFrame | None) -> None:
-        """Write a table; each requested day and each rebuilt day that Silver has must then have rows."""
         kept = table if days is None else table.join(F.broadcast(days), DAY, "left_semi")  # calendar days
         write_partitions(document(kept), f"{gold_root}/{name}")
-        wanted = requested if days is None else requested.union(days)
-        checks.require_rows({name: spark.read.parquet(f"{gold_root}/{name}")}, wanted)
+        built[name] = set(wanted) | (set() if days is None else set(_days(days)))
 
-    wide, days = days_of(gold.DAILY_REACH)
+    wide, days = reached(gold.DAILY_REACH)
     store("daily_snapshot", gold.daily_snapshot(panel, dim, wide, **ranking), days)
-    wide, days = days_of(gold.RANK_REACH)
+    wide, days = reached(gold.RANK_REACH)
     # Only the affected days and the days they look back to are read, not all days between.
     store("rank_change", gold.rank_change(panel, dim, wide, days=days, **ranking), days)
     if frame == "rows" and span is not None and cascade:
-        last = panel.agg(F.max(DAY)).first()[0]
-        wide, days = (span[0], max(last, span[1])), None
+        wide, days = (span[0], max(held[-1], span[1])), None
     else:
-        wide, days = days_of(gold.ROLLING_REACH)
+        wide, days = reached(gold.ROLLING_REACH)
     store("rolling_average", gold.rolling_average(panel, dim, wide, frame), days)
 
+    for name, days in built.items():
+        absent += missing_stored_days(spark, {name: f"{gold_root}/{name}"}, days).collect()
+    if absent:
+        named = sorted((row[DAY], row.table_name) for row in absent)
+        raise ValueError("no rows: " + ", ".join(f"{name} on {day}" for day, name in named))
+
+
+def _days(df: DataFrame) -> list[date]:
+    """Distinct days of a frame; as many as the calendar has."""
+    return [row[DAY] for row in df.select(DAY).distinct().collect()]
+
 
 def build_serving(
     spark: SparkSession,
@@ -126,7 +145,8 @@ def build_serving(
     daily, rank, rolling = (
         spark.read.parquet(f"{gold_root}/{n}") for n in ("daily_snapshot", "rank_change", "rolling_average")
     )
-    replace_table(serving.latest_snapshot(daily), f"{gold_root}/latest_snapshot")
+    newest = newest_stored_day(spark, f"{gold_root}/daily_snapshot")
+    replace_table(daily.where(F.col(DAY) == F.lit(newest)), f"{gold_root}/latest_snapshot")
     replace_table(
         serving.availability(panel, daily, rank, rolling, end, start, expected), f"{gold_root}/availability"
     )

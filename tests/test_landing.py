@@ -283,8 +283,15 @@ def test_gold_needs_every_requested_day(spark, tmp_path):
     silver_root, gold_root = str(tmp_path / "silver"), str(tmp_path / "gold")
     write_silver(spark, silver_root, scenario_panel(spark))
     jobs.build_gold(spark, silver_root, gold_root, (before_target(6), TARGET), method="window")
-    with pytest.raises(ValueError, match=f"daily_snapshot on {before_target(7)}"):
-        jobs.build_gold(spark, silver_root, gold_root, (before_target(7), TARGET), method="window")
+    other = str(tmp_path / "gold-with-gap")
+    with pytest.raises(ValueError) as failed:
+        jobs.build_gold(spark, silver_root, other, (before_target(8), TARGET), method="window")
+    tables = ("daily_snapshot", "price_snapshots", "rank_change", "rolling_average")
+    absent = [f"{name} on {before_target(k)}" for k in (8, 7) for name in tables]
+    assert str(failed.value) == "no rows: " + ", ".join(absent)
+    # All three tables hold the days that the panel has.
+    for name in ("daily_snapshot", "rank_change", "rolling_average"):
+        assert rows_of(spark.read.parquet(f"{other}/{name}")) == rows_of(spark.read.parquet(f"{gold_root}/{name}")), name
     with pytest.raises(ValueError, match="end is before start"):
         jobs.build_gold(spark, silver_root, gold_root, (TARGET, before_target(1)))
 

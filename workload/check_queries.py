@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
-from datetime import date
+from datetime import date, timedelta
 
 from pyspark.sql import functions as F
 
+from daygrid.functions.dates import days_of
 from daygrid.functions.numeric import pct_change
 from daygrid.plans import checks, gold, serving
 from daygrid.schemas import DAY, ENTITY, KEY
+from daygrid.session import scratch_dir
+from daygrid.sinks.partitions import write_partitions
+from daygrid.sources import listing
 from workload import panels, sql
 from workload.gold_queries import AVAILABILITY_SQL, EXPECTED, inputs, nation_availability, nation_tables
 from workload.registry import query
@@ -446,3 +450,35 @@ def missing_after_write(spark, root):
     ordered = panels.order_days(spark, root)
     shipped = panels.table(spark, root, "lineitem").select(F.to_date("l_shipdate").alias(DAY))
     return checks.missing_after_write({"ordered": ordered, "shipped": shipped}, ordered.union(shipped))
+
+
+def stored_user_panel(spark, root, where=None):
+    """The user panel as a table partitioned by day; its path."""
+    panel = inputs(spark, root, "e")[0]
+    path = scratch_dir(spark, "user-days")
+    write_partitions(panel if where is None else panel.where(where), path)
+    return path
+
+
+@query("stored_day_rows", sql.ctes("e") + "SELECT snapshot_date, count(*) AS row_count FROM e GROUP BY 1")
+def stored_day_rows(spark, root):
+    return listing.stored_rows(spark, stored_user_panel(spark, root))
+
+
+@query("newest_stored_day", sql.ctes("e") + "SELECT max(snapshot_date) AS snapshot_date FROM e")
+def newest_stored_day(spark, root):
+    return listing.day_frame(spark, [listing.newest_stored_day(spark, stored_user_panel(spark, root))])
+
+
+@query(
+    "missing_stored_days",
+    sql.ctes("e")
+    + """, d AS (SELECT CAST(unnest(generate_series(min(snapshot_date), max(snapshot_date) + 3, INTERVAL 1 DAY)) AS DATE) AS day FROM e)
+       SELECT 'all' AS table_name, day AS snapshot_date FROM d WHERE day NOT IN (SELECT snapshot_date FROM e)
+       UNION ALL
+       SELECT 'lossy', day FROM d WHERE day NOT IN (SELECT snapshot_date FROM e WHERE day(snapshot_date) <> 13)""",
+)
+def missing_stored_days(spark, root):
+    tables = {"all": stored_user_panel(spark, root), "lossy": stored_user_panel(spark, root, "day(snapshot_date) <> 13")}
+    held = listing.folder_days(spark, tables["all"])
+    return listing.missing_stored_days(spark, tables, days_of((held[0], held[-1] + timedelta(3))))

@@ -596,9 +596,11 @@ def history_landing(spark, root):
     "SELECT DISTINCT 'user_' || user_id AS coin_id, CAST(ts AS DATE) AS snapshot_date FROM events",
 )
 def history_malformed_time(spark, root):
-    """A malformed time loses no point that has a good date."""
+    """A time that is malformed or in nanoseconds loses no point that has a good date."""
     raw = panels.raw_user_history(spark, root)
-    time = F.when(F.col("date").isNotNull() & (F.col("time") % 2 == 0), F.lit("12:30")).otherwise(F.col("time").cast("string"))
+    dated, ms = F.col("date").isNotNull(), F.col("time")
+    nanos = F.when(dated & (ms % 3 == 1), ms * 1_000_000).otherwise(ms)
+    time = F.when(dated & (ms % 3 == 0), F.lit("12:30")).otherwise(nanos.cast("string"))
     return history.clean_asset_history(raw.withColumn("time", time)).select(ENTITY, DAY)
 
 
