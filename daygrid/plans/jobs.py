@@ -9,19 +9,25 @@ from pyspark.sql import functions as F
 
 from daygrid.functions.dates import Span, backfill_window, days_of, shifted, span_of
 from daygrid.operators.spine import calendar
-from daygrid.plans import checks, gold, history, serving, silver
-from daygrid.schemas import DAY, KEY, document
-from daygrid.sinks.partitions import (
-    merge_partitions,
-    read_version,
-    replace_table,
-    staged,
-    upsert_version,
-    write_partitions,
+from daygrid.plans import checks, gold, history, rolling_state, serving, silver
+from daygrid.schemas import (
+    ASSET_MARKET_CAP,
+    DAILY_SNAPSHOT,
+    DAY,
+    KEY,
+    PRICE_SNAPSHOTS,
+    RANK_CHANGE,
+    ROLLING_AVERAGE,
+    TOTAL_MARKET_CAP,
+    document,
 )
+from daygrid.sinks.contract import write_checked
+from daygrid.sinks.partitions import merge_partitions, read_version, replace_table, staged, upsert_version
 from daygrid.sources.listing import day_frame, folder_days, missing_stored_days, newest_stored_day, require_stored
 from daygrid.sources.snapshots import read_history, read_snapshots
 
+GOLD = {"daily_snapshot": DAILY_SNAPSHOT, "rank_change": RANK_CHANGE, "rolling_average": ROLLING_AVERAGE}
+
 
 def load_snapshots(spark: SparkSession, landed: str, silver_root: str, span: Span | None = None) -> None:
     """Landed files of a range into the typed dimension and panel. The files are read once."""
@@ -33,7 +39,7 @@ def load_snapshots(spark: SparkSession, landed: str, silver_root: str, span: Spa
             raise ValueError(f"no landed files for {absent.first()[DAY]} and maybe other days")
     silver.require_fields(cleaned)
     upsert_version(f"{silver_root}/coins", silver.coin_rows(cleaned), ["id"])
-    write_partitions(document(silver.price_rows(cleaned)), f"{silver_root}/price_snapshots")
+    write_checked(document(silver.price_rows(cleaned)), f"{silver_root}/price_snapshots", PRICE_SNAPSHOTS)
     days = _days(cleaned) if span is None else days_of(span)
     require_stored(spark, {"price_snapshots": f"{silver_root}/price_snapshots"}, days)
 
@@ -55,12 +61,12 @@ def load_history(spark: SparkSession, landed: str, silver_root: str, anchor: dat
     caps = cleaned("asset_market_cap_history", history.clean_asset_market_cap_history)
     totals = cleaned("total_market_cap_history", history.clean_total_market_cap_history)
     merges = {
-        "price_snapshots": (history.history_price_rows(prices, caps), KEY, prices),
-        "asset_market_cap_history": (caps, KEY, caps),
-        "total_market_cap_history": (totals, (DAY,), totals),
+        "price_snapshots": (history.history_price_rows(prices, caps), KEY, prices, PRICE_SNAPSHOTS),
+        "asset_market_cap_history": (caps, KEY, caps, ASSET_MARKET_CAP),
+        "total_market_cap_history": (totals, (DAY,), totals, TOTAL_MARKET_CAP),
     }
-    for name, (rows, keys, source) in merges.items():
-        merge_partitions(f"{silver_root}/{name}", rows, keys)
+    for name, (rows, keys, source, schema) in merges.items():
+        merge_partitions(f"{silver_root}/{name}", rows, keys, schema=schema)
         require_stored(spark, {name: f"{silver_root}/{name}"}, _days(source))
 
 
@@ -78,7 +84,7 @@ def build_gold(
     With ``cascade`` the later days that depend on the span are rebuilt too (the next day, 14
     and 30 days on, the following six days), so that a late day never leaves stale results.
     With the row frame the rolling table depends on days at any distance, so it is rebuilt to
-    the end of the panel. ``ranking`` goes to ``rank_within_day``.
+    the end of the panel, from the observations that the state of an earlier build holds. ``ranking`` goes to ``rank_within_day``.
 
     Days come from the folders of the panel, not from a scan. Days of the span that the panel lacks are found before the
     first write; all three tables are built for the others, and then every absent (table, day) is raised.
@@ -106,7 +112,7 @@ def build_gold(
 
     def store(name: str, table: DataFrame, days: DataFrame | None) -> None:
         kept = table if days is None else table.join(F.broadcast(days), DAY, "left_semi")  # calendar days
-        write_partitions(document(kept), f"{gold_root}/{name}")
+        write_checked(document(kept), f"{gold_root}/{name}", GOLD[name])
         built[name] = set(wanted) | (set() if days is None else set(_days(days)))
 
     wide, days = reached(gold.DAILY_REACH)
@@ -114,11 +120,12 @@ def build_gold(
     wide, days = reached(gold.RANK_REACH)
     # Only the affected days and the days they look back to are read, not all days between.
     store("rank_change", gold.rank_change(panel, dim, wide, days=days, **ranking), days)
-    if frame == "rows" and span is not None and cascade:
-        wide, days = (span[0], max(held[-1], span[1])), None
+    if frame == "rows" and cascade:
+        put = lambda table: store("rolling_average", table, None)
+        rolling_state.advance(spark, panel, dim, f"{gold_root}/rolling_state", held, span, put)
     else:
         wide, days = reached(gold.ROLLING_REACH)
-    store("rolling_average", gold.rolling_average(panel, dim, wide, frame), days)
+        store("rolling_average", gold.rolling_average(panel, dim, wide, frame), days)
 
     for name, days in built.items():
         absent += missing_stored_days(spark, {name: f"{gold_root}/{name}"}, days).collect()

@@ -13,11 +13,13 @@ from datetime import date
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from daygrid.operators.dedup import unique_or_fail
 from daygrid.operators.upsert import upsert
 from daygrid.schemas import DAY
 from daygrid.session import scratch_dir
+from daygrid.sinks.contract import write_checked
 from daygrid.sources.snapshots import history_folder
 
 #: Complete versions of an unpartitioned table that stay.
@@ -77,19 +79,29 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def merge_partitions(path: str, source: DataFrame, keys: Sequence[str], by: str = DAY) -> None:
+def merge_partitions(
+    path: str, source: DataFrame, keys: Sequence[str], by: str = DAY, schema: StructType | None = None
+) -> None:
     """Upsert ``source`` into the table at ``path``, rewriting only the partitions it touches.
 
-    ``source`` is computed once: its rows are staged before they are checked and merged.
+    ``source`` is computed once: its rows are staged before they are checked and merged. With ``schema`` the merged
+    rows are written only if they meet it.
     """
+
+    def put(rows: DataFrame) -> None:
+        if schema is None:
+            write_partitions(rows, path, (by,))
+        else:
+            write_checked(rows, path, schema, (by,))
+
     source = staged(source, "merge-source")
     unique_or_fail(source, keys)
     target = table_or_none(source.sparkSession, path)
     if target is None:
-        write_partitions(source, path, (by,))
+        put(source)
         return
     touched = target.join(source.select(by).distinct(), by, "left_semi")
-    write_partitions(upsert(touched, source, keys), path, (by,))
+    put(upsert(touched, source, keys))
 
 
 def _versions(spark: SparkSession, path: str) -> tuple[list[int], list[int]]:

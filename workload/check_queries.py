@@ -3,14 +3,18 @@
 from __future__ import annotations
 
 from datetime import date, timedelta
+from functools import reduce
 
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from daygrid import schemas
 from daygrid.functions.dates import days_of
 from daygrid.functions.numeric import pct_change
 from daygrid.plans import checks, gold, serving
 from daygrid.schemas import DAY, ENTITY, KEY
 from daygrid.session import scratch_dir
+from daygrid.sinks import contract
 from daygrid.sinks.partitions import write_partitions
 from daygrid.sources import listing
 from workload import panels, sql
@@ -482,3 +486,49 @@ def missing_stored_days(spark, root):
     tables = {"all": stored_user_panel(spark, root), "lossy": stored_user_panel(spark, root, "day(snapshot_date) <> 13")}
     held = listing.folder_days(spark, tables["all"])
     return listing.missing_stored_days(spark, tables, days_of((held[0], held[-1] + timedelta(3))))
+
+
+def _violations_sql(table: str, column: str, where: str, source: str) -> str:
+    return f"""SELECT '{table}' AS table_name, '{column}' AS column_name, 'NULL in a required column' AS problem, count(*) AS row_count
+               FROM {source} WHERE {where} HAVING count(*) > 0"""
+
+
+@query(
+    "contract_violations",
+    sql.ctes("n", "e")
+    + " UNION ALL ".join([
+        _violations_sql("price_snapshots", "coin_id", "coin_id = 'nation_7'", "n"),
+        _violations_sql("price_snapshots", "snapshot_date", "day(snapshot_date) = 1", "n"),
+        _violations_sql("coins", "id", "symbol = 'U5'", "e_dim"),
+        _violations_sql("asset_market_cap_history", "coin_id", "coin_id = 'user_3'", "e"),
+        _violations_sql("total_market_cap_history", "snapshot_date", "day(snapshot_date) < 4", "(SELECT DISTINCT snapshot_date FROM e)"),
+        """SELECT 'total_market_cap_history', 'total_market_cap_usd', 'type bigint, declared double', NULL""",
+        """SELECT 'asset_market_cap_history', 'vwap_24hr', 'column not declared', NULL""",
+        _violations_sql("daily_snapshot", "coin_id", "market_cap_usd > 400000", "n"),
+    ]),
+)
+def contract_violations(spark, root):
+    """Frames broken on purpose, one for each kind of declared schema; what a checked write of them refuses."""
+    nations, users = (inputs(spark, root, p)[0] for p in ("n", "e"))
+    dim = inputs(spark, root, "e")[1].withColumns({c: F.lit(1.0) for c in ("supply", "max_supply")})
+    gone = lambda column, where: F.when(~F.expr(where), F.col(column))
+    daily = gold.daily_snapshot(*inputs(spark, root, "n"), method="window")
+    frames = {
+        "price_snapshots": (
+            nations.withColumns({ENTITY: gone(ENTITY, "coin_id = 'nation_7'"), DAY: gone(DAY, "day(snapshot_date) = 1")}),
+            schemas.PRICE_SNAPSHOTS,
+        ),
+        "coins": (dim.withColumn("id", gone("id", "symbol = 'U5'")), schemas.COINS),
+        "asset_market_cap_history": (
+            users.select(gone(ENTITY, "coin_id = 'user_3'").alias(ENTITY), DAY, "market_cap_usd", "vwap_24hr"),
+            schemas.ASSET_MARKET_CAP,
+        ),
+        "total_market_cap_history": (
+            users.groupBy(gone(DAY, "day(snapshot_date) < 4").alias(DAY), F.col(DAY).alias("_day")).count()
+            .select(DAY, F.col("count").alias("total_market_cap_usd")),
+            schemas.TOTAL_MARKET_CAP,
+        ),
+        "daily_snapshot": (daily.withColumn(ENTITY, gone(ENTITY, "market_cap_usd > 400000")), schemas.DAILY_SNAPSHOT),
+    }
+    found = [contract.violations(df, schema).withColumn("table_name", F.lit(name)) for name, (df, schema) in frames.items()]
+    return reduce(DataFrame.unionByName, found)

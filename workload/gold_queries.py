@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from datetime import date
+from itertools import pairwise
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -10,9 +11,11 @@ from pyspark.sql import functions as F
 from daygrid.functions.numeric import pct_change
 from daygrid.operators.lookback import with_day_over_day
 from daygrid.operators.spine import calendar_of
-from daygrid.plans import gold, serving
+from daygrid.plans import gold, rolling_state, serving
 from daygrid.schemas import DAY, ENTITY
-from daygrid.sinks.partitions import staged
+from daygrid.session import scratch_dir
+from daygrid.sinks.partitions import staged, write_partitions
+from daygrid.sources.listing import folder_days
 from workload import panels, sql
 from workload.registry import query
 
@@ -210,3 +213,18 @@ def affected_gold_dates(spark, root):
         F.to_date("o_orderdate").alias(DAY)
     )
     return gold.affected_dates(changed, panels.nation_panel(spark, root))
+
+
+@query("rolling_average_from_state_users", sql.ctes("e", sql.rolling("e", "rows")) + "SELECT * FROM e_roll")
+def rolling_from_state(spark, root):
+    """The row frame of the user panel in three builds, the later ones from the state the earlier one left."""
+    panel, dim = inputs(spark, root, "e")
+    stored, states, built = (scratch_dir(spark, name) for name in ("state-panel", "states", "state-built"))
+    write_partitions(panel, stored)
+    panel, held = spark.read.parquet(stored), folder_days(spark, stored)
+    bounds = sorted({0, len(held) // 2, len(held) - 1 if len(held) > 1 else 0, len(held)})
+    for first, last in pairwise(bounds):
+        days = held[first:last]
+        until = panel.where(F.col(DAY) <= F.lit(days[-1]))
+        rolling_state.advance(spark, until, dim, states, held[:last], (days[0], days[-1]), lambda t: write_partitions(t, built))
+    return spark.read.parquet(built)
