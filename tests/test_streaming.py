@@ -79,6 +79,35 @@ def test_daily_panel_sums_small_and_large_values(spark, tmp_path):
     assert sums == {"u": pytest.approx(0.0040123), "v": 1e17}
 
 
+def test_rows_of_closed_days_repair_them(spark, tmp_path):
+    source, sink, checkpoint = (str(tmp_path / n) for n in ("src", "sink", "ckpt"))
+    second, third = FIRST + timedelta(1), FIRST + timedelta(2)
+
+    def run(*rows):
+        spark.createDataFrame(rows, "ts timestamp, user string, value double").coalesce(1).write.mode("append").parquet(source)
+        stream = landing.read_stream(spark, source, spark.read.parquet(source).schema)
+        landing.accumulate_panel(stream, "ts", "user", "value", sink, checkpoint)
+        panel = landing.accumulated_panel(spark, sink, "user")
+        return {(r[DAY], r.user): (r.event_count, r.late_event_count, r.price_usd, r.market_cap_usd) for r in panel.collect()}
+
+    run((at(FIRST, 1), "u", 1.5), (at(FIRST, 2), "u", 2.5), (at(second, 1), "u", 9.0), (None, "u", 7.0))
+    run((at(second, 3), "u", 1.0), (at(third, 30), "u", 5.0))
+    # The first and second day are closed now; late rows count in them all the same.
+    found = run((at(FIRST, 5), "u", 100.0), (at(second, 5), "v", 3.0), (at(third, 31), "u", 1.0))
+    assert found == {
+        (FIRST, "u"): (3, 1, 100.0, 104.0), (second, "u"): (2, 0, 9.0, 10.0), (second, "v"): (1, 1, 3.0, 3.0),
+        (third + timedelta(1), "u"): (2, 0, 5.0, 6.0),
+    }
+    # A batch repeated after a failure before its commit replaces what it had written.
+    (tmp_path / "ckpt" / "commits" / "2").unlink()
+    for crc in (tmp_path / "ckpt" / "commits").glob(".2*"):
+        crc.unlink()
+    stream = landing.read_stream(spark, source, spark.read.parquet(source).schema)
+    landing.accumulate_panel(stream, "ts", "user", "value", sink, checkpoint)
+    panel = landing.accumulated_panel(spark, sink, "user").collect()
+    assert {(r[DAY], r.user): (r.event_count, r.late_event_count, r.price_usd, r.market_cap_usd) for r in panel} == found
+
+
 def test_scratch_folder_is_shared_by_the_session(spark):
     from daygrid import session
 

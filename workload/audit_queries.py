@@ -230,3 +230,22 @@ def stream_daily_panel(spark, root):
     panel = landing.daily_panel(stream, "ts", "user_id", "value")
     landing.write_daily_panel(panel, sink, checkpoint, spark.sparkContext.defaultParallelism)
     return spark.read.parquet(sink).withColumn("price_usd", F.col("price_usd").cast("double"))
+
+
+@query(
+    "stream_late_events",
+    """SELECT CAST(ts AS DATE) AS snapshot_date, user_id, count(*) AS event_count,
+              CAST(count(*) FILTER (WHERE day(CAST(ts AS DATE)) <= 10) AS BIGINT) AS late_event_count, max(value) AS price_usd,
+              CAST(sum(CAST(value AS DECIMAL(18,2))) AS DOUBLE) AS market_cap_usd
+       FROM events GROUP BY 1, 2""",
+)
+def stream_late_events(spark, root):
+    """The first ten days of the month arrive when they are closed; they are counted, and their days are whole."""
+    landed = _landed_events(spark, root)
+    schema = spark.read.parquet(landed).schema
+    arrived, sink, checkpoint = scratch_dir(spark, "arrived"), scratch_dir(spark, "partials"), scratch_dir(spark, "ckpt")
+    for late in (False, True):
+        spark.read.parquet(landed).where((F.dayofmonth(DAY) <= 10) == F.lit(late)).write.mode("append").parquet(arrived)
+        stream = landing.read_stream(spark, arrived, schema).withColumn("value", F.col("value").cast("decimal(18,2)"))
+        landing.accumulate_panel(stream, "ts", "user_id", "value", sink, checkpoint)
+    return landing.accumulated_panel(spark, sink, "user_id").withColumn("price_usd", F.col("price_usd").cast("double"))
