@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from daygrid import schemas
 from daygrid.functions.dates import days_of
 from daygrid.functions.numeric import pct_change
+from daygrid.operators import closeness
 from daygrid.plans import checks, gold, serving
 from daygrid.schemas import DAY, ENTITY, KEY
 from daygrid.session import scratch_dir
@@ -532,3 +533,30 @@ def contract_violations(spark, root):
     }
     found = [contract.violations(df, schema).withColumn("table_name", F.lit(name)) for name, (df, schema) in frames.items()]
     return reduce(DataFrame.unionByName, found)
+
+
+@query(
+    "frames_apart",
+    """WITH l AS (SELECT l_orderkey, l_linenumber, l_extendedprice / 3 AS x, l_discount AS y FROM lineitem WHERE l_partkey % 50 <> 7),
+       r AS (SELECT l_orderkey, l_linenumber, y, x + CASE WHEN l_suppkey % 20 = 3 THEN 0.01 WHEN l_linenumber % 2 = 0 THEN 4e-7
+               ELSE -4e-7 END AS x
+             FROM (SELECT l_orderkey, l_linenumber, l_suppkey, l_partkey, l_extendedprice / 3 AS x, l_discount AS y FROM lineitem)
+             WHERE l_partkey % 50 <> 8),
+       lines AS (SELECT l_orderkey, l_linenumber FROM lineitem GROUP BY 1, 2 HAVING count(*) = 1),
+       apart AS (SELECT l_orderkey, l_linenumber, l.x AS lx, l.y AS ly, r.x AS rx, r.y AS ry
+                 FROM l FULL JOIN r USING (l_orderkey, l_linenumber) JOIN lines USING (l_orderkey, l_linenumber)
+                 WHERE l.x IS NULL OR r.x IS NULL OR abs(l.x - r.x) > 1e-6)
+       SELECT l_orderkey, l_linenumber, round(lx, 3) AS x, ly AS y, 'left' AS side, 1 AS copies FROM apart WHERE lx IS NOT NULL
+       UNION ALL
+       SELECT l_orderkey, l_linenumber, round(rx, 3), ry, 'right', 1 FROM apart WHERE rx IS NOT NULL""",
+)
+def frames_apart(spark, root):
+    """Prices of lines against the same moved by less than the tolerance, some by more, some rows missing on either side."""
+    lines = panels.table(spark, root, "lineitem")
+    once = lines.groupBy("l_orderkey", "l_linenumber").count().where("count = 1").drop("count")
+    x = F.col("l_extendedprice") / 3
+    move = F.when(F.col("l_suppkey") % 20 == 3, 0.01).when(F.col("l_linenumber") % 2 == 0, 4e-7).otherwise(-4e-7)
+    rows = lines.join(once, ["l_orderkey", "l_linenumber"])
+    left = rows.where("l_partkey % 50 <> 7").select("l_orderkey", "l_linenumber", x.alias("x"), F.col("l_discount").alias("y"))
+    right = rows.where("l_partkey % 50 <> 8").select("l_orderkey", "l_linenumber", (x + move).alias("x"), F.col("l_discount").alias("y"))
+    return closeness.frames_apart(left, right, 1e-6).withColumn("x", F.round("x", 3))
