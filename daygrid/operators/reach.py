@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from daygrid.session import scratch_dir
+
 MAX_DEPTH = 5
 
 
@@ -33,3 +35,36 @@ def reachable(edges: DataFrame, start: str, direction: str = "downstream", depth
             .agg(F.min(F.col("distance") + step).alias("distance"))
         )
     return known.where(F.col("node") != start)
+
+
+def _kept(df: DataFrame, name: str) -> DataFrame:
+    path = scratch_dir(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def closure(edges: DataFrame, start: str, direction: str = "downstream", depth: int | None = None) -> tuple[DataFrame, bool]:
+    """All nodes that ``start`` reaches with their shortest distance, and whether there are nodes beyond ``depth``.
+
+    Each round extends the nodes found last by one edge and drops those already known, so cycles end it and a chain may
+    be of any length. Every round is stored, which cuts the lineage; only whether it found anything reaches the driver.
+    ``start`` itself is left out; a node without edges reaches nothing. The links are stored once, narrow and distinct.
+    """
+    if direction not in ("upstream", "downstream"):
+        raise ValueError("direction must be 'upstream' or 'downstream'")
+    if depth is not None and depth < 1:
+        raise ValueError("depth must be at least 1")
+    near, far = ("parent", "child") if direction == "downstream" else ("child", "parent")
+    links = _kept(edges.select(F.col(near).alias("node"), F.col(far).alias("_next")).where("node <> _next").distinct(), "links")
+    spark = edges.sparkSession
+    last = known = spark.range(1).select(F.lit(start).alias("node"), F.lit(0).alias("distance"))
+    distance = 0
+    while True:
+        distance += 1
+        reached = last.join(links, "node").select(F.col("_next").alias("node")).distinct()
+        fresh = reached.join(known.select("node"), "node", "left_anti").select("node", F.lit(distance).alias("distance"))
+        last = _kept(fresh, "frontier")
+        found = not last.isEmpty()
+        if not found or (depth is not None and distance > depth):
+            return known.where("distance > 0"), found
+        known = _kept(known.unionByName(last), "reached")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from daygrid.operators.reach import reachable
+from daygrid.operators.reach import closure, reachable
 from daygrid.plans import governance, provenance
 from daygrid.schemas import DAY
 from daygrid.session import scratch_dir
@@ -249,3 +249,14 @@ def stream_late_events(spark, root):
         stream = landing.read_stream(spark, arrived, schema).withColumn("value", F.col("value").cast("decimal(18,2)"))
         landing.accumulate_panel(stream, "ts", "user_id", "value", sink, checkpoint)
     return landing.accumulated_panel(spark, sink, "user_id").withColumn("price_usd", F.col("price_usd").cast("double"))
+
+
+@query("lineage_closure_downstream", _reach_sql("region:1", "parent", "child", 50))
+def lineage_closure_downstream(spark, root):
+    """Everything below one region, without a depth."""
+    return closure(panels.edges(spark, root), "region:1", "downstream")[0]
+
+
+@query("lineage_closure_upstream", _reach_sql("part:5", "child", "parent", 50))
+def lineage_closure_upstream(spark, root):
+    return closure(panels.edges(spark, root), "part:5", "upstream")[0]
