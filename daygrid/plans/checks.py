@@ -60,27 +60,22 @@ def accepted_values(
 
 
 def gap_dates_retained(panel: DataFrame, daily: DataFrame) -> DataFrame:
-    """Days without a predecessor that lost rows or carry an invented change."""
-    has_change = (
-        F.col("prev_price_usd").isNotNull()
-        | F.col("price_change_pct").isNotNull()
-        | F.col("price_change_rank").isNotNull()
-    )
-    silver = panel.groupBy(DAY).agg(F.count(F.lit(1)).alias("silver_row_count"))
-    gold = daily.groupBy(DAY).agg(
-        F.count(F.lit(1)).alias("gold_row_count"), F.count_if(has_change).alias("populated_change_row_count")
-    )
-    next_days = silver.select(F.date_add(DAY, 1).alias(DAY))
-    gaps = silver.join(next_days, DAY, "left_anti")
-    found = gaps.join(gold, DAY, "left").select(
-        DAY,
-        "silver_row_count",
-        F.coalesce("gold_row_count", F.lit(0)).alias("gold_row_count"),
-        F.coalesce("populated_change_row_count", F.lit(0)).alias("populated_change_row_count"),
-    )
-    return found.where(
-        (F.col("gold_row_count") != F.col("silver_row_count")) | (F.col("populated_change_row_count") != 0)
+    """Days without a predecessor that lost rows or carry an invented change.
+
+    Every panel row also marks the day after its own, so one aggregation by day over narrow columns tells the rows of
+    both tables, the rows that carry a change, and whether the day before is there.
+    """
+    one = F.lit(1)
+    changed = F.coalesce("prev_price_usd", "price_change_pct", F.col("price_change_rank").cast("double")).isNotNull()
+    stacked = (
+        panel.select(DAY, one.alias("silver"))
+        .unionByName(panel.select(F.date_add(DAY, 1).alias(DAY), one.alias("follows")), allowMissingColumns=True)
+        .unionByName(daily.select(DAY, one.alias("gold"), F.when(changed, one).alias("changed")), allowMissingColumns=True)
     )
+    names = {"silver": "silver_row_count", "gold": "gold_row_count", "changed": "populated_change_row_count", "follows": "_before"}
+    days = stacked.groupBy(DAY).agg(*(F.count(c).alias(name) for c, name in names.items()))
+    wrong = (F.col("gold_row_count") != F.col("silver_row_count")) | (F.col("populated_change_row_count") > 0)
+    return days.where((F.col("silver_row_count") > 0) & (F.col("_before") == 0) & wrong).drop("_before")
 
 
 def gap_values_null(daily: DataFrame) -> DataFrame:

@@ -108,14 +108,18 @@ def coverage_30d(availability: DataFrame, as_of: date) -> DataFrame:
 
 
 def available_streak(availability: DataFrame, as_of: date) -> DataFrame:
-    """Consecutive available days up to the last completed day."""
-    completed = F.col(DAY) < F.lit(as_of)
-    last_bad = F.max(F.when((F.col("availability_status") != "available") & completed, F.col(DAY)))
-    before_first = F.date_sub(F.min(DAY), 1)
-    last_done = F.max(F.when(completed, F.col(DAY)))
-    return availability.agg(
-        F.datediff(last_done, F.coalesce(last_bad, before_first)).alias("consecutive_available_days")
+    """Length of the run of available days that ends on the last completed day; NULL without a completed day.
+
+    The table has one row per calendar day, so its days fit one array: they are walked in order, and each day
+    lengthens the run or ends it.
+    """
+    past = availability.where(F.col(DAY) < F.lit(as_of)).select(
+        F.struct(DAY, (F.col("availability_status") == "available").alias("ok")).alias("day")
+    )
+    walked = F.aggregate(
+        F.array_sort(F.collect_list("day")), F.lit(0), lambda run, day: F.when(day["ok"], run + 1).otherwise(F.lit(0))
     )
+    return past.agg(F.when(F.count("day") > 0, walked).alias("consecutive_available_days"))
 
 
 def coverage_timeline(availability: DataFrame) -> DataFrame:
