@@ -26,6 +26,15 @@ def unescape(text: Column) -> Column:
     return F.replace(F.replace(F.replace(text, F.lit("&b;"), F.lit("[")), F.lit("&l;"), F.lit("<")), F.lit("&a;"), F.lit("&"))
 
 
+def escape_name(name: Column) -> Column:
+    """A role or part type between control strings: no ``|`` is left either, so nothing in it closes the mark."""
+    return F.replace(escape(name), F.lit("|"), F.lit("&v;"))
+
+
+def unescape_name(name: Column) -> Column:
+    return unescape(F.replace(name, F.lit("&v;"), F.lit("|")))
+
+
 def text_parts(text: Column) -> Column:
     """A plain text as a list of one part; null counts as empty."""
     none = lambda kind: F.lit(None).cast(kind)
@@ -60,7 +69,7 @@ def visit(parts: Column) -> Column:
     def step(acc: Column, p: Column) -> Column:
         number = F.size(acc["attachments"])
         entry = F.struct(number.alias("number"), p["type"].alias("type"), p["ref"].alias("ref"), expanded_tokens(p).alias("tokens"))
-        placeholder = F.concat(F.lit("<|"), escape(p["type"]), F.lit(":"), number.cast("string"), F.lit("|>"))
+        placeholder = F.concat(F.lit("<|"), escape_name(p["type"]), F.lit(":"), number.cast("string"), F.lit("|>"))
         return F.struct(
             F.concat(acc["body"], F.when(_is_text(p), escape(F.coalesce(p["text"], F.lit("")))).otherwise(placeholder)).alias("body"),
             F.when(_is_text(p), acc["attachments"]).otherwise(F.concat(acc["attachments"], F.array(entry))).alias("attachments"),
@@ -79,7 +88,7 @@ def format_messages(messages: DataFrame) -> DataFrame:
     seen = messages.select("conv_id", "turn", F.coalesce("role", F.lit("")).alias("role"), visit(F.col("parts")).alias("v"))
     seen = seen.select("conv_id", F.struct("turn", "role", F.col("v.body").alias("body"), F.col("v.attachments").alias("attachments")).alias("m"))
     turns = seen.groupBy("conv_id").agg(F.array_sort(F.collect_list("m")).alias("turns"))
-    head = lambda t: F.concat(F.lit("<|"), escape(t["role"]), F.lit("|>"))
+    head = lambda t: F.concat(F.lit("<|"), escape_name(t["role"]), F.lit("|>"))
     sized = turns.withColumn("pieces", F.transform("turns", lambda t: F.struct(
         F.concat(head(t), t["body"], F.lit(END)).alias("text"), F.length(head(t)).alias("head"),
         F.length(t["body"]).alias("body"), (t["role"] == "assistant").alias("learn"),
@@ -108,7 +117,7 @@ def read_back(formatted: Column) -> Column:
     """The turns (role, text) of a formatted conversation of text parts."""
     pieces = F.filter(F.split(formatted, r"<\|end\|>", -1), lambda p: p != "")
     return F.transform(pieces, lambda p: F.struct(
-        unescape(F.regexp_extract(p, r"^<\|([^<]*?)\|>", 1)).alias("role"),
+        unescape_name(F.regexp_extract(p, r"^<\|([^<]*?)\|>", 1)).alias("role"),
         unescape(F.regexp_replace(p, r"^<\|[^<]*?\|>", "")).alias("text"),
     ))
 

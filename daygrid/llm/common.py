@@ -8,13 +8,15 @@ from functools import lru_cache
 from itertools import islice
 
 import numpy as np
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from daygrid.session import scratch_dir
 
 #: Rows per Arrow batch. Texts are long, so a small batch bounds a Python worker's memory.
 ARROW_ROWS = 500
+#: Stands for a null doc_id where rows are chosen; below every other id.
+NO_ID = -(2**63)
 #: Entries a worker's word cache holds; then the older half goes (about 100 MB).
 CACHE_WORDS = 300_000
 
@@ -36,14 +38,29 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def rows_of_ids(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """Rows of ``docs`` whose doc_id is in ``ids`` (kept_id, distinct): all columns, one row per doc_id.
+def text_mark(text: Column) -> Column:
+    """What tells texts of one doc_id, or without one, apart: 16 bytes; a null text counts as empty."""
+    return F.unhex(F.md5(F.coalesce(text, F.lit(""))))
 
-    Of rows that repeat a doc_id one stays. The window follows the join's own order, so text moves once.
+
+def known_id(doc_id: Column) -> Column:
+    """The doc_id; NO_ID where it is null."""
+    return F.coalesce(doc_id, F.lit(NO_ID))
+
+
+def rows_of(docs: DataFrame, kept: DataFrame, mark: Column) -> DataFrame:
+    """Rows of ``docs`` whose ``known_id`` and ``mark`` are in ``kept`` (kept_id, kept_mark, distinct): all columns.
+
+    Rows that share a doc_id stay apart by their mark. Of rows that agree in both one stays: one with a doc_id, then the
+    one whose text, and then whose other columns, come first. Text moves once: the window follows the join's keys, and
+    what it drops goes before it.
     """
-    joined = docs.join(ids, F.col("doc_id") == F.col("kept_id"), "left_semi")
-    number = F.row_number().over(Window.partitionBy("doc_id").orderBy("doc_id"))
-    return joined.select("*", number.alias("__number")).where("__number = 1").drop("__number")
+    keyed = docs.withColumns({"__id": known_id(F.col("doc_id")), "__mark": mark})
+    chosen = kept.select(F.col("kept_id").alias("__id"), F.col("kept_mark").alias("__mark"))
+    found = keyed.join(chosen, ["__id", "__mark"], "left_semi")
+    ordered = [F.col(f"`{c}`") for c, kind in docs.dtypes if c != "doc_id" and "map<" not in kind and "variant" not in kind]
+    first = Window.partitionBy("__id", "__mark").orderBy(F.col("doc_id").desc_nulls_last(), "text", *ordered)
+    return found.withColumn("__number", F.row_number().over(first)).where("__number = 1").drop("__id", "__mark", "__number")
 
 
 def train_rows(labelled: DataFrame, key: str, label: str, per_label: int) -> DataFrame:

@@ -15,7 +15,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from daygrid.llm.common import rows_of_ids
+from daygrid.llm.common import known_id, rows_of
 
 SLOTS = 4
 MAX_KICKS = 200
@@ -245,7 +245,11 @@ def dedup(docs: DataFrame) -> DataFrame:
 
 
 def keep_last(docs: DataFrame) -> DataFrame:
-    """Rows of ``docs`` whose text no row with a larger doc_id repeats; all columns, one row per doc_id."""
+    """One row of each text of ``docs``, the one with the largest doc_id; all columns.
+
+    A row without a doc_id stays where no row with one holds its text. Rows that share a doc_id are judged text by text;
+    of rows that repeat doc_id and text one stays (``rows_of`` says which).
+    """
     digest = F.unhex(F.sha2(normalised(F.col("text")), 256))
-    index = build_index(docs.select("doc_id", digest.alias("digest")))
-    return rows_of_ids(docs, index.select(F.col("keep_id").alias("kept_id")).distinct())
+    index = build_index(docs.select("text", known_id(F.col("doc_id")).alias("doc_id")).select("doc_id", digest.alias("digest")))
+    return rows_of(docs, index.select(F.col("keep_id").alias("kept_id"), F.col("digest").alias("kept_mark")), digest)

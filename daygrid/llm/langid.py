@@ -1,15 +1,15 @@
 """Language of a text from a bidirectional gated recurrent network over bytes.
 
-Two GRUs read the bytes of a word from both ends and give a distribution over languages at every byte.
-States start anew at every blank, so a word that occurs often is labelled once per task. A document's
-probabilities pool the log probabilities of all its byte positions. Training is plain numpy:
-backpropagation through time and Adam, on the driver, over a bounded sample.
+Two GRUs read the bytes of a text from both ends and give a distribution over languages at every byte.
+A text is read in segments, whole characters each, with the bytes before and behind a segment as context: every byte is
+labelled once, in the segment that owns it, and context crosses blanks. A document's probabilities pool the log
+probabilities of all its byte positions. Training is plain numpy: backpropagation through time and Adam, on the
+driver, over a bounded sample of rows.
 """
 
 from __future__ import annotations
 
 import re
-from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -19,15 +19,17 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 
-from daygrid.llm.common import CACHE_WORDS, train_rows
+from daygrid.llm.common import train_rows
 
-#: Sample for training: documents per language, whole; words drawn from them in a pass, and passes.
-TRAIN_DOCS, TRAIN_WORDS, EPOCHS = 150, 16_000, 6
-HIDDEN = 12
-#: Words are read in runs of at most so many bytes; a longer word is several runs, cut between characters.
-RUN = 32
+#: Sample for training: documents per language, read whole at least once; least number of steps, windows of a step, their bytes.
+TRAIN_DOCS, STEPS, BATCH, WINDOW = 150, 250, 64, 120
+HIDDEN = 8
+#: Bytes a segment owns (fewer where a character would be cut), and bytes it reads beyond either end.
+SEGMENT, CONTEXT = 480, 16
+#: Segments labelled together.
+TOGETHER = 1024
 UNKNOWN = "und"
-_LETTER = re.compile(r"[^\W\d_]")
+_WORDLIKE = re.compile(r"[^\W\d_]")
 
 
 def _sigmoid(x):
@@ -47,8 +49,37 @@ class Gru:
         draw = lambda *shape: (rng.standard_normal(shape) * 0.3).astype(np.float32)
         return cls(draw(256, 3 * hidden), draw(hidden, 2 * hidden), draw(hidden, hidden))
 
+    def read(self, codes: np.ndarray, mask: np.ndarray) -> np.ndarray:
+        """The states of ``forward``, laid out as T x H x B so that every operation runs over contiguous rows."""
+        h = self.candidate.shape[0]
+        # A gate is 1 / (1 + exp(-x)), a candidate 2 / (1 + exp(-2 x)) - 1: signs and the 2 are in the weights.
+        inputs = np.hstack([-self.inputs[:, : 2 * h], -2 * self.inputs[:, 2 * h :]])
+        gates, candidate = np.ascontiguousarray(-self.gates.T), np.ascontiguousarray(-2 * self.candidate.T)
+        one, two = np.float32(1), np.float32(2)
+        whole = mask.all(axis=1)
+        states = np.empty((len(codes), h, codes.shape[1]), np.float32)
+        state, at = np.zeros(states.shape[1:], np.float32), codes.astype(np.intp)
+        for i in range(len(codes)):
+            x = np.ascontiguousarray(inputs.take(at[i], axis=0).T)
+            gate, fresh = x[: 2 * h], x[2 * h :]
+            gate += gates @ state
+            np.exp(gate, out=gate)
+            gate += one
+            np.divide(one, gate, out=gate)
+            fresh += candidate @ (gate[:h] * state)
+            np.exp(fresh, out=fresh)
+            fresh += one
+            np.divide(two, fresh, out=fresh)
+            fresh -= one
+            fresh -= state
+            fresh *= gate[h:]
+            if not whole[i]:
+                fresh *= mask[i]
+            state = np.add(state, fresh, out=states[i])
+        return states
+
     def forward(self, codes: np.ndarray, mask: np.ndarray):
-        """States (T x B x H) over codes (T x B); masked steps keep the state."""
+        """States (T x B x H) over codes (T x B), and what ``backward`` needs; masked steps keep the state."""
         t, b = codes.shape
         h = self.candidate.shape[0]
         state = np.zeros((b, h), np.float32)
@@ -94,75 +125,89 @@ class Model:
     def weights(self) -> list[np.ndarray]:
         return [*vars(self.forward).values(), *vars(self.backward).values(), self.out, self.bias]
 
-    def log_probabilities(self, codes: np.ndarray, mask: np.ndarray, keep: bool = False):
-        """Log probabilities at every position (T x B x L)."""
+    def learn(self, codes: np.ndarray, mask: np.ndarray):
+        """Log probabilities at every position (T x B x L), the states there, and what the two networks need to go back."""
         ahead, kept_a = self.forward.forward(codes, mask)
         back, kept_b = self.backward.forward(codes[::-1], mask[::-1])
         both = np.concatenate([ahead, back[::-1]], axis=2)
         score = both @ self.out + self.bias
         score -= score.max(axis=2, keepdims=True)
-        logs = score - np.log(np.exp(score).sum(axis=2, keepdims=True))
-        return (logs, both, kept_a, kept_b) if keep else logs
-
-
-def _pad(words: list[bytes]):
-    """Codes (T x B) and mask of words of at most RUN bytes."""
-    lengths = np.array([len(w) for w in words])
-    codes = np.zeros((len(words), lengths.max()), np.uint8)
+        return score - np.log(np.exp(score).sum(axis=2, keepdims=True)), both, kept_a, kept_b
+
+    def log_probabilities(self, codes: np.ndarray, mask: np.ndarray) -> np.ndarray:
+        """Log probabilities at every position (T x L x B)."""
+        h = self.forward.candidate.shape[0]
+        out = np.ascontiguousarray(self.out.T)
+        with np.errstate(over="ignore"):  # exp of a large sum is infinite, its gate 0
+            score = out[:, :h] @ self.forward.read(codes, mask)
+            score += out[:, h:] @ self.backward.read(codes[::-1], mask[::-1])[::-1]
+        score += self.bias[:, None]
+        score -= score.max(axis=1, keepdims=True)
+        score -= np.log(np.exp(score).sum(axis=1, keepdims=True))
+        return score
+
+
+def _pad(pieces: list[bytes]):
+    """Codes (T x B) and mask of byte strings."""
+    lengths = np.array([len(p) for p in pieces])
+    codes = np.zeros((len(pieces), lengths.max()), np.uint8)
     mask = np.arange(codes.shape[1])[None, :] < lengths[:, None]
-    codes[mask] = np.frombuffer(b"".join(words), np.uint8)
+    codes[mask] = np.frombuffer(b"".join(pieces), np.uint8)
     return np.ascontiguousarray(codes.T), np.ascontiguousarray(mask.T.astype(np.float32))
 
 
-def runs(word: str) -> list[bytes]:
-    raw = word.encode("utf-8")
-    out, at = [], 0
-    while at < len(raw):
-        end = at + RUN
-        while end < len(raw) and raw[end] & 0xC0 == 0x80:
-            end -= 1
-        out.append(raw[at:end])
-        at = end
-    return out
+def _boundary(raw: bytes, at: int) -> int:
+    """The last place up to ``at`` that does not cut a character."""
+    while 0 < at < len(raw) and raw[at] & 0xC0 == 0x80:
+        at -= 1
+    return at
+
+
+def segments(raw: bytes) -> Iterator[tuple[bytes, int, int]]:
+    """What to read, and from where to where its own bytes lie in it; own bytes follow each other without a gap."""
+    start = 0
+    while start < len(raw):
+        end = len(raw) if len(raw) - start <= SEGMENT else _boundary(raw, start + SEGMENT)
+        low, high = _boundary(raw, max(0, start - CONTEXT)), min(len(raw), end + CONTEXT)
+        yield raw[low:high], start - low, end - low
+        start = end
 
 
 def train(rows: list[tuple[str, str]], hidden: int = HIDDEN, seed: int = 7) -> Model | None:
-    """A model of (text, language) rows; None without rows. A word's target is how its occurrences share out."""
+    """A model of (text, language) rows; None without rows. Every byte's target is the language of its document.
+
+    A pass reads every document whole, in windows that begin elsewhere each time; languages weigh alike.
+    """
     languages = sorted({language for _, language in rows})
     if not languages:
         return None
     number = {language: i for i, language in enumerate(languages)}
-    share: dict[bytes, Counter] = {}
-    for text, language in rows:
-        for word in (text or "").split():
-            for run in runs(word):
-                share.setdefault(run, Counter())[number[language]] += 1
+    docs = [(raw, number[language]) for text, language in rows if (raw := (text or "").encode("utf-8").strip())]
     rng = np.random.default_rng(seed)
-    words = sorted(share)
-    occurrences = np.array([sum(share[w].values()) for w in words], float)
-    target = np.zeros((len(words), len(languages)), np.float32)
-    for i, w in enumerate(words):
-        for j, n in share[w].items():
-            target[i, j] = n
-    target /= np.maximum(1, target.sum(1, keepdims=True))
     model = Model(
         languages, Gru.fresh(rng, hidden), Gru.fresh(rng, hidden),
         (rng.standard_normal((2 * hidden, len(languages))) * 0.1).astype(np.float32), np.zeros(len(languages), np.float32),
     )
-    if len(languages) == 1 or not words:
+    if len(languages) == 1 or not docs:
         return model
-    chance = np.sqrt(occurrences) / np.sqrt(occurrences).sum()
     moments = [(np.zeros_like(w), np.zeros_like(w)) for w in model.weights()]
-    step, size = 0, 256
-    for _ in range(EPOCHS):
-        picked = rng.choice(len(words), TRAIN_WORDS, p=chance)
-        # Words of like length share a batch: less padding.
-        picked = picked[np.argsort([len(words[i]) for i in picked], kind="stable")]
-        batches = [picked[i : i + size] for i in range(0, len(picked), size)]
-        for at in rng.permutation(len(batches)):
-            codes, mask = _pad([words[i] for i in batches[at]])
-            logs, both, kept_a, kept_b = model.log_probabilities(codes, mask, keep=True)
-            wrong = (np.exp(logs) - target[batches[at]][None]) * mask[:, :, None] / mask.sum()
+    step = 0
+    while step < STEPS:
+        drawn = []
+        for raw, label in docs:
+            cuts = [0, *range(int(rng.integers(1, WINDOW + 1)), len(raw), WINDOW), len(raw)]
+            cuts = [_boundary(raw, at) for at in cuts]
+            drawn += [(raw[low:high], label) for low, high in zip(cuts, cuts[1:], strict=False) if low < high]
+        share = np.bincount([label for _, label in drawn], minlength=len(languages))
+        weight_of = (len(drawn) / np.maximum(1, share) / len(languages)).astype(np.float32)
+        order = rng.permutation(len(drawn))
+        for at in range(0, len(order), BATCH):
+            some = [drawn[i] for i in order[at : at + BATCH]]
+            codes, mask = _pad([piece for piece, _ in some])
+            labels = np.array([label for _, label in some])
+            target = np.eye(len(languages), dtype=np.float32)[labels]
+            logs, both, kept_a, kept_b = model.learn(codes, mask)
+            wrong = (np.exp(logs) - target[None]) * (mask * weight_of[labels])[:, :, None] / mask.sum()
             d_both = wrong @ model.out.T
             grads = [
                 *model.forward.backward(codes, mask, kept_a, d_both[:, :, :hidden]),
@@ -177,56 +222,53 @@ def train(rows: list[tuple[str, str]], hidden: int = HIDDEN, seed: int = 7) -> M
     return model
 
 
-class Labeller:
-    """Sums of log probabilities per word, kept for words seen before."""
-
-    def __init__(self, model: Model):
-        self.model = model
-        self.row: dict[str, int] = {}
-        self.sums = np.zeros((0, len(model.languages)))
-        self.bytes = np.zeros(0)
-
-    def fill(self, words: set[str]) -> None:
-        if len(self.row) > CACHE_WORDS:
-            self.row, self.sums, self.bytes = {}, self.sums[:0], self.bytes[:0]
-        new = [w for w in words if w not in self.row]
-        if not new:
-            return
-        pieces = [(i, run) for i, w in enumerate(new) for run in runs(w)]
-        pieces.sort(key=lambda p: len(p[1]))
-        sums = np.zeros((len(new), len(self.model.languages)))
-        size = np.zeros(len(new))
-        for at in range(0, len(pieces), 1024):
-            some = pieces[at : at + 1024]
-            codes, mask = _pad([run for _, run in some])
-            total = (self.model.log_probabilities(codes, mask) * mask[:, :, None]).sum(0)
-            owner = np.array([i for i, _ in some])
-            np.add.at(sums, owner, total)
-            np.add.at(size, owner, mask.sum(0))
-        for i, w in enumerate(new, len(self.row)):
-            self.row[w] = i
-        self.sums, self.bytes = np.vstack([self.sums, sums]), np.r_[self.bytes, size]
-
-    def document(self, words: list[str]) -> np.ndarray:
-        """Probabilities that pool all positions: evidence grows with the root of the length."""
-        at = np.fromiter(map(self.row.__getitem__, words), np.int64, len(words))
-        n = self.bytes[at].sum()
-        score = self.sums[at].sum(0) / max(1.0, np.sqrt(n))
-        score = np.exp(score - score.max())
-        return score / score.sum()
-
-
-def _labels(texts: list[str | None], labeller: Labeller | None) -> tuple[list[str], list[float]]:
-    """Language and score of each text, a hundred texts at a time."""
-    names, scores = [], []
-    for at in range(0, len(texts), 100):
-        split = [t.split() if labeller and t and _LETTER.search(t) else [] for t in texts[at : at + 100]]
-        if labeller:
-            labeller.fill({w for words in split for w in words})
-        for words in split:
-            chance = labeller.document(words) if words else None
-            names.append(UNKNOWN if chance is None else labeller.model.languages[int(chance.argmax())])
-            scores.append(0.0 if chance is None else min(1.0, float(chance.max())))
+def evidence(model: Model, texts: list[bytes]) -> np.ndarray:
+    """Sums of the log probabilities of all byte positions of each text (texts x languages)."""
+    sums = np.zeros((len(texts), len(model.languages)))
+    waiting: list[tuple[int, bytes, int, int]] = []
+
+    def label() -> None:
+        # Segments of like length share a batch: less padding.
+        waiting.sort(key=lambda w: len(w[1]))
+        for at in range(0, len(waiting), TOGETHER):
+            some = waiting[at : at + TOGETHER]
+            codes, mask = _pad([piece for _, piece, _, _ in some])
+            place = np.arange(len(codes))[:, None]
+            own = (place >= np.array([w[2] for w in some])) & (place < np.array([w[3] for w in some]))
+            total = np.einsum("tlb,tb->bl", model.log_probabilities(codes, mask), own.astype(np.float32))
+            np.add.at(sums, np.array([w[0] for w in some]), total)
+        waiting.clear()
+
+    for i, raw in enumerate(texts):
+        for piece, low, high in segments(raw):
+            waiting.append((i, piece, low, high))
+            if len(waiting) >= 8 * TOGETHER:
+                label()
+    label()
+    return sums
+
+
+def probabilities(sums: np.ndarray, size: int) -> np.ndarray:
+    """Probabilities that pool all positions of a document: evidence grows with the root of their number."""
+    score = sums / max(1.0, np.sqrt(size))
+    score = np.exp(score - score.max())
+    return score / score.sum()
+
+
+def has_letter(text: str) -> bool:
+    """Whether a character of the Unicode category letter occurs; digits of any script and fractions are none."""
+    found = _WORDLIKE.search(text)
+    return found is not None and (found[0].isalpha() or any(map(str.isalpha, text)))
+
+
+def _labels(texts: list[str | None], model: Model | None) -> tuple[list[str], list[float]]:
+    """Language and score of each text."""
+    names, scores = [UNKNOWN] * len(texts), [0.0] * len(texts)
+    known = [i for i, t in enumerate(texts) if model and t and has_letter(t)]
+    raws = [texts[i].encode("utf-8") for i in known]
+    for i, raw, sums in zip(known, raws, evidence(model, raws) if known else (), strict=True):
+        chance = probabilities(sums, len(raw))
+        names[i], scores[i] = model.languages[int(chance.argmax())], min(1.0, float(chance.max()))
     return names, scores
 
 
@@ -238,9 +280,8 @@ def predict(docs: DataFrame, model: Model | None) -> DataFrame:
     """
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        labeller = Labeller(model) if model else None
         for batch in batches:
-            names, scores = _labels(batch["text"].tolist(), labeller)
+            names, scores = _labels(batch["text"].tolist(), model)
             yield pd.DataFrame({"doc_id": batch["doc_id"], "lang_pred": names, "score": scores})
 
     return docs.select("doc_id", "text").mapInPandas(run, "doc_id long, lang_pred string, score double")
@@ -254,10 +295,9 @@ def keep_known(docs: DataFrame, model: Model | None) -> DataFrame:
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        labeller = Labeller(model) if model else None
         for batch in batches:
-            names, _ = _labels(batch.column("text").to_pylist(), labeller)
-            known = pa.array([labeller is None or n != UNKNOWN for n in names], pa.bool_())
+            names, _ = _labels(batch.column("text").to_pylist(), model)
+            known = pa.array([model is None or n != UNKNOWN for n in names], pa.bool_())
             if "lang" in batch.schema.names:
                 at = batch.schema.get_field_index("lang")
                 filled = pc.coalesce(batch.column(at), pa.array(names, batch.schema.field(at).type))

@@ -21,7 +21,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from daygrid.llm.common import rows_of_ids, stage
+from daygrid.llm.common import known_id, rows_of, stage, text_mark
 from daygrid.llm.components import components, star_edges
 
 WORDS = 5
@@ -84,6 +84,10 @@ def _mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(29))
 
 
+#: Order of a group's rows by doc_id, those without one last.
+_FIRST = "struct(doc_id IS NULL AS nameless, doc_id, mark)"
+
+
 def required(size, near: int = NEAR, of: int = OF):
     """Smallest overlap a set of ``size`` needs with any set it is linked to."""
     return -(-near * size // of)
@@ -344,16 +348,9 @@ def _common(counted: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     return token[order], kept.column("level").to_numpy().astype(np.uint8)[order]
 
 
-def near_groups(docs: DataFrame, count_links: bool = True) -> DataFrame:
-    """doc_id, n_shingles, component_id, n_links per row of ``docs`` (doc_id, text).
-
-    Words are runs without white space, A-Z lowered; a set holds the distinct five-word shingles, or the
-    whole sequence of a shorter text. Sets link when 100 * intersection >= 75 * union. component_id is the
-    smallest doc_id that links reach; n_links is the number of other rows linked to the row, copies included.
-    A null or empty text has no shingle, only itself and no link. Repeated rows are returned each and link
-    with one another; a null doc_id takes no part as a name. Other columns are ignored. Without
-    ``count_links`` that column is left out, and sets known to be connected are not compared again.
-    """
+def _grouped(docs: DataFrame, count_links: bool) -> DataFrame:
+    """Per row of ``docs`` (doc_id, text): doc_id, mark of the text, n_shingles, its group, the smallest doc_id there, links."""
+    docs = docs.select("doc_id", "text", text_mark(F.col("text")).alias("mark"))
 
     def survey(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         shingle, seen = Shingler(), set()
@@ -361,34 +358,40 @@ def near_groups(docs: DataFrame, count_links: bool = True) -> DataFrame:
             if batch.empty:
                 continue
             rows, sets = [], []
-            for doc_id, text in zip(batch["doc_id"], batch["text"], strict=True):
+            for doc_id, text, mark in zip(batch["doc_id"], batch["text"], batch["mark"], strict=True):
                 found = shingle(text)
                 name = _class_of(found) if len(found) else None
-                rows.append((doc_id, len(found), name, None))
+                rows.append((doc_id, len(found), name, None, mark))
                 if name is not None and name not in seen:
                     seen.add(name)
                     sets.append(found)
             if sets:
                 value, n = np.unique(np.concatenate(sets), return_counts=True)
                 often = n >= LOCAL_COMMON
-                rows += [(None, int(c), int(v), True) for v, c in zip(value[often].view(np.int64), n[often], strict=True)]
+                rows += [(None, int(c), int(v), True, None) for v, c in zip(value[often].view(np.int64), n[often], strict=True)]
             # Nullable integers from the start: a detour over floating point would change 64-bit names.
             columns = zip(("doc_id", "n", "name"), list(zip(*rows, strict=True))[:3], strict=False)
             out = pd.DataFrame({c: pd.array([None if pd.isna(v) else int(v) for v in values], "Int64") for c, values in columns})
-            yield out.assign(common=pd.array([r[3] for r in rows], "boolean"))
+            yield out.assign(common=pd.array([r[3] for r in rows], "boolean"), mark=[r[4] for r in rows])
 
-    seen = stage(docs.select("doc_id", "text").mapInPandas(survey, "doc_id long, n long, name long, common boolean"), "ngram-classes")
-    members = seen.where("common IS NULL").select("doc_id", "n", "name")
+    columns = "doc_id long, n long, name long, common boolean, mark binary"
+    seen = stage(docs.mapInPandas(survey, columns), "ngram-classes")
+    members = seen.where("common IS NULL").select("doc_id", "n", "name", "mark")
     common, level = _common(seen.where("common").groupBy("name").agg(F.floor(F.log2(F.sum("n"))).cast("int").alias("level")))
     classes = members.where("name IS NOT NULL").groupBy("name").agg(
-        F.min("doc_id").alias("first_id"), F.max("n").alias("n"), F.count("*").alias("copies")
-    )
+        F.min(F.expr(_FIRST)).alias("first"), F.max("n").alias("n"), F.count("*").alias("copies")
+    ).select("name", "first.doc_id", "first.mark", "n", "copies").withColumnsRenamed({"doc_id": "first_id", "mark": "first_mark"})
     total = classes.agg(F.sum("n")).first()[0] or 0
     singles = _single_counts(docs, FIRST_PART, max(8, int(FIRST_PART * total // COUNT_ENTRIES)))
     able = classes.join(singles, "name", "left").where(
         F.coalesce("singles", F.lit(0)) <= F.floor(F.col("n") * (OF - NEAR) / OF)
     )
-    texts = docs.select("doc_id", "text").join(able, F.col("doc_id") == F.col("first_id"))
+    # Rows without a doc_id are told apart by their texts, one row a text; there are none in a sound table.
+    nameless = docs.where("doc_id IS NULL").dropDuplicates(["mark"])
+    one_text = F.col("mark") == F.col("first_mark")
+    texts = docs.join(able, (F.col("doc_id") == F.col("first_id")) & one_text).unionByName(
+        nameless.join(able.where("first_id IS NULL"), one_text)
+    )
     rest = _without_loners(stage(texts.select("first_id", "name", "n", "copies", "text"), "ngram-rest"), 1.0)
     entries = rest.agg(F.sum(F.col("n") - F.ceil(F.col("n") * NEAR / OF) + 1)).first()[0] or 0
     buckets = max(8, int(entries // BUCKET_ENTRIES))
@@ -412,7 +415,7 @@ def near_groups(docs: DataFrame, count_links: bool = True) -> DataFrame:
         shingle = Shingler()
         group = group.sort_values("name")
         sets = [shingle(t) for t in group["text"]]
-        # A doc_id that occurs with several texts brings the others along; only the class itself counts.
+        # Rows that repeat doc_id and text are there more than once; one of them counts.
         kept = [i for i, (s, n) in enumerate(zip(sets, group["name"], strict=True)) if len(s) and _class_of(s) == n]
         names = group["name"].to_numpy()[kept]
         _, first = np.unique(names, return_index=True)
@@ -435,12 +438,27 @@ def near_groups(docs: DataFrame, count_links: bool = True) -> DataFrame:
     groups = components(links)
     ids = groups.join(classes, groups.id == classes.name).select("name", "component", "first_id")
     least = ids.groupBy("component").agg(F.min("first_id").alias("least_id"))
-    of_class = ids.join(least, "component").select(F.col("name").alias("class"), "least_id")
+    of_class = ids.join(least, "component").select(F.col("name").alias("class"), "component", "least_id")
     of_links = found.where("n IS NOT NULL").groupBy("a").agg(F.sum("n").alias("others"))
     own = classes.join(of_links, classes.name == of_links.a, "left").select(
         F.col("name").alias("class"), "first_id", (F.col("copies") - 1 + F.coalesce("others", F.lit(0))).alias("linked")
-    ).join(of_class, "class", "left").select("class", F.coalesce("least_id", "first_id").alias("least_id"), "linked")
-    out = members.join(own, members.name == own["class"], "left").select(
+    ).join(of_class, "class", "left").select(
+        "class", F.coalesce("component", "class").alias("group"), F.coalesce("least_id", "first_id").alias("least_id"), "linked"
+    )
+    return members.join(own, members.name == own["class"], "left").drop("name", "class")
+
+
+def near_groups(docs: DataFrame, count_links: bool = True) -> DataFrame:
+    """doc_id, n_shingles, component_id, n_links per row of ``docs`` (doc_id, text).
+
+    Words are runs without white space, A-Z lowered; a set holds the distinct five-word shingles, or the
+    whole sequence of a shorter text. Sets link when 100 * intersection >= 75 * union. component_id is the
+    smallest doc_id that links reach; n_links is the number of other rows linked to the row, copies included.
+    A null or empty text has no shingle, only itself and no link. Repeated rows are returned each and link
+    with one another, and so do rows without a doc_id; a null doc_id names no group. Other columns are ignored. Without
+    ``count_links`` that column is left out, and sets known to be connected are not compared again.
+    """
+    out = _grouped(docs, count_links).select(
         "doc_id", F.col("n").alias("n_shingles"), F.coalesce("least_id", "doc_id").alias("component_id"),
         F.coalesce("linked", F.lit(0)).cast("long").alias("n_links"),
     )
@@ -448,7 +466,13 @@ def near_groups(docs: DataFrame, count_links: bool = True) -> DataFrame:
 
 
 def keep_first(docs: DataFrame) -> DataFrame:
-    """Rows of ``docs`` whose doc_id is the smallest of its group of near copies; all columns, one row per doc_id."""
-    groups = near_groups(docs, count_links=False)
-    kept = groups.where("doc_id = component_id").select(F.col("doc_id").alias("kept_id")).distinct()
-    return rows_of_ids(docs, kept)
+    """One row of each group of near copies of ``docs``, the one with the smallest doc_id; all columns.
+
+    A row without a doc_id stays where no row with one is in its group. Rows that share a doc_id are judged text by
+    text. A text without words is in no group and stays; of rows that repeat doc_id and text one stays (``rows_of``).
+    """
+    rows = stage(_grouped(docs, count_links=False).select("doc_id", "mark", "group"), "ngram-members")
+    of_groups = rows.where("group IS NOT NULL").groupBy("group").agg(F.min(F.expr(_FIRST)).alias("first")).select("first.doc_id", "first.mark")
+    kept = of_groups.unionByName(rows.where("group IS NULL").select("doc_id", "mark"))
+    kept = kept.select(known_id(F.col("doc_id")).alias("kept_id"), F.col("mark").alias("kept_mark")).distinct()
+    return rows_of(docs, kept, text_mark(F.col("text")))

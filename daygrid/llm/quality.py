@@ -1,7 +1,7 @@
 """Quality of a text from a convolutional network over its bytes, in numpy.
 
 Every window of bytes meets learned filters; the windows cover the whole text in overlapping chunks.
-The maxima of each chunk are combined over the document (mean and maximum) into one probability.
+The maxima of each chunk are combined over the document (mean by new bytes, and maximum) into one probability.
 A filter is a table per byte and place in the window, so no embedding is multiplied out.
 """
 
@@ -16,10 +16,12 @@ from pyspark.sql import DataFrame
 
 from daygrid.llm.common import train_rows
 
-#: Sample for training: documents per label and chunks of each (spread evenly over the text).
-TRAIN_DOCS, TRAIN_CHUNKS, EPOCHS = 700, 4, 8
-FILTERS, WIDTH, STRIDE = 16, 6, 3
+#: Sample for training: documents per label, each read whole.
+TRAIN_DOCS, EPOCHS = 700, 8
+FILTERS, WIDTH = 16, 6
 CHUNK, OVERLAP = 510, 60
+#: Chunks looked at together; they bound the memory that a long text takes.
+SLICE = 256
 THRESHOLD = 0.3
 #: Place holder byte after the end of a text; it never occurs in UTF-8.
 PAD = 255
@@ -51,40 +53,80 @@ def chunk_starts(length: int) -> range:
     return range(0, max(1, length - OVERLAP), CHUNK - OVERLAP)
 
 
-def chunks_of(raw: bytes, starts) -> np.ndarray:
-    out = np.full((len(starts), CHUNK), PAD, np.uint8)
-    data = np.frombuffer(raw, np.uint8)
-    for i, s in enumerate(starts):
-        part = data[s : s + CHUNK]
-        out[i, : len(part)] = part
-    return out
+def chunk_weights(length: int) -> np.ndarray:
+    """Bytes each chunk covers first: the weights of the mean, so that a chunk of few new bytes moves it little."""
+    ends = np.minimum(np.array(chunk_starts(length)) + CHUNK, max(1, length))
+    return np.diff(ends, prepend=0).astype(np.float32)
 
 
-def _windows(chunks: np.ndarray) -> np.ndarray:
-    """Byte windows (chunks x places x WIDTH)."""
-    return np.lib.stride_tricks.sliding_window_view(chunks, WIDTH, axis=1)[:, ::STRIDE]
+def chunks_of(raw: bytes, starts: range) -> np.ndarray:
+    """The chunks of a text that begin at ``starts`` (a row each), padded after its end."""
+    if not len(starts):
+        return np.zeros((0, CHUNK), np.uint8)
+    part = np.full(starts[-1] + CHUNK - starts[0], PAD, np.uint8)
+    data = np.frombuffer(raw, np.uint8)[starts[0] : starts[-1] + CHUNK]
+    part[: len(data)] = data
+    return np.lib.stride_tricks.sliding_window_view(part, CHUNK)[:: CHUNK - OVERLAP]
 
 
-def chunk_features(model: Model, chunks: np.ndarray) -> np.ndarray:
-    """Maxima of each filter over each chunk (chunks x F)."""
-    view = _windows(chunks)
-    depth = model.bytes.shape[1]
+def slices_of(raw: bytes) -> Iterator[np.ndarray]:
+    """All chunks of a text, at most SLICE at once."""
+    starts = chunk_starts(len(raw))
+    for at in range(0, len(starts), SLICE):
+        yield chunks_of(raw, starts[at : at + SLICE])
+
+
+def answers(model: Model, chunks: np.ndarray) -> np.ndarray:
+    """What each filter answers to the window at each place of each chunk (chunks x places x F)."""
+    depth, places = model.bytes.shape[1], CHUNK - WIDTH + 1
     # One table per place in the window: the filter's answer to each byte there.
     tables = [model.bytes @ model.filters[i * depth : (i + 1) * depth] for i in range(WIDTH)]
-    total = tables[0][view[:, :, 0]]
+    total = tables[0].take(chunks[:, :places], axis=0)
     for i in range(1, WIDTH):
-        total += tables[i][view[:, :, i]]
-    return np.maximum(total.max(axis=1) + model.shift, 0)
+        total += tables[i].take(chunks[:, i : i + places], axis=0)
+    return total
 
 
-def combine(model: Model, features: np.ndarray) -> float:
-    """Probability of label 1 from the chunk features of one document."""
-    pooled = np.concatenate([features.mean(0), features.max(0)])
+def chunk_features(model: Model, chunks: np.ndarray) -> np.ndarray:
+    """Maxima of each filter over each chunk (chunks x F)."""
+    return np.maximum(answers(model, chunks).max(axis=1) + model.shift, 0)
+
+
+def _strongest(model: Model, raws: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Per chunk of all texts: the text it belongs to, each filter's strongest answer and the window (F x WIDTH) that gave it."""
+    doc, top, chosen = [], [], []
+    place = np.arange(WIDTH)
+    waiting: list[np.ndarray] = []
+
+    def look() -> None:
+        chunks = np.concatenate(waiting)
+        waiting.clear()
+        for at in range(0, len(chunks), SLICE):
+            some = chunks[at : at + SLICE]
+            given = answers(model, some)
+            best = given.argmax(axis=1)
+            top.append(np.take_along_axis(given, best[:, None, :], axis=1)[:, 0])
+            chosen.append(some[np.arange(len(some))[:, None, None], best[:, :, None] + place])
+
+    for i, raw in enumerate(raws):
+        for chunks in slices_of(raw):
+            doc.append(np.full(len(chunks), i))
+            waiting.append(chunks)
+            if sum(map(len, waiting)) >= SLICE:
+                look()
+    if waiting:
+        look()
+    return np.concatenate(doc), np.concatenate(top), np.concatenate(chosen)
+
+
+def combine(model: Model, features: np.ndarray, weights: np.ndarray) -> float:
+    """Probability of label 1 from the chunk features of one document and the weights of its chunks."""
+    pooled = np.concatenate([weights @ features / weights.sum(), features.max(0)])
     return float(1 / (1 + np.exp(-np.clip(pooled @ model.weights + model.bias[0], -30, 30))))
 
 
 def train(rows: list[tuple[str, int]], seed: int = 5) -> Model:
-    """Adam over whole documents, each seen through TRAIN_CHUNKS chunks; one label or no row leaves the prior."""
+    """Adam over whole documents, every chunk of them; one label or no row leaves the prior."""
     model = fresh(seed)
     labels = np.array([y for _, y in rows], np.float32)
     if not len(rows) or labels.min() == labels.max():
@@ -92,15 +134,7 @@ def train(rows: list[tuple[str, int]], seed: int = 5) -> Model:
         model.bias[:] = 4 if len(rows) and labels[0] else -4
         return model
     rng = np.random.default_rng(seed)
-    chunks, owner = [], []
-    for i, (text, _) in enumerate(rows):
-        raw = text.encode("utf-8")
-        starts = chunk_starts(len(raw))
-        some = [starts[j] for j in np.unique(np.linspace(0, len(starts) - 1, TRAIN_CHUNKS).astype(int))]
-        chunks.append(chunks_of(raw, some))
-        owner.append(len(some))
-    bounds = np.r_[0, np.cumsum(owner)]
-    data = np.concatenate(chunks)
+    raws = [text.encode("utf-8") for text, _ in rows]
     weight = np.where(labels == 1, 0.5 / labels.mean(), 0.5 / (1 - labels.mean())).astype(np.float32)
     moments = [(np.zeros_like(w), np.zeros_like(w)) for w in model.arrays()]
     depth, step = model.bytes.shape[1], 0
@@ -108,20 +142,12 @@ def train(rows: list[tuple[str, int]], seed: int = 5) -> Model:
         order = rng.permutation(len(rows))
         for at in range(0, len(order), 16):
             docs = order[at : at + 16]
-            rows_of = np.concatenate([np.arange(bounds[d], bounds[d + 1]) for d in docs])
-            doc = np.repeat(np.arange(len(docs)), [owner[d] for d in docs])
-            codes = _windows(data[rows_of])
-            c, p, _ = codes.shape
-            flat = model.bytes[codes].reshape(c, p, WIDTH * depth)
-            raw_scores = flat @ model.filters
-            best = raw_scores.argmax(axis=1)
-            top = np.take_along_axis(raw_scores, best[:, None, :], axis=1)[:, 0] + model.shift
+            doc, top, chosen = _strongest(model, [raws[d] for d in docs])
+            top = top + model.shift
             feature = np.maximum(top, 0)
-            count = np.bincount(doc, minlength=len(docs))[:, None].astype(np.float32)
-            mean = np.zeros((len(docs), FILTERS), np.float32)
-            np.add.at(mean, doc, feature)
-            mean /= count
+            part = np.concatenate([w / w.sum() for w in (chunk_weights(len(raws[d])) for d in docs)])[:, None]
             begin = np.r_[0, np.flatnonzero(np.diff(doc)) + 1]
+            mean = np.add.reduceat(feature * part, begin, axis=0)
             most = np.maximum.reduceat(feature, begin, axis=0)
             pooled = np.hstack([mean, most])
             chance = 1 / (1 + np.exp(-np.clip(pooled @ model.weights + model.bias, -30, 30)))
@@ -129,10 +155,9 @@ def train(rows: list[tuple[str, int]], seed: int = 5) -> Model:
             d_pooled = wrong[:, None] * model.weights[None, :]
             is_most = feature == most[doc]
             shared = np.add.reduceat(is_most.astype(np.float32), begin, axis=0)
-            d_feature = d_pooled[doc, :FILTERS] / count[doc] + d_pooled[doc, FILTERS:] * is_most / shared[doc]
+            d_feature = d_pooled[doc, :FILTERS] * part + d_pooled[doc, FILTERS:] * is_most / shared[doc]
             d_feature = (d_feature * (top > 0)).astype(np.float32)
-            chosen = np.take_along_axis(codes, best[:, :, None], axis=1)  # chunk x filter x WIDTH
-            seen = model.bytes[chosen].reshape(c, FILTERS, WIDTH * depth)
+            seen = model.bytes[chosen].reshape(len(doc), FILTERS, WIDTH * depth)
             d_filters = np.einsum("cfk,cf->kf", seen, d_feature)
             d_seen = d_feature[:, :, None] * model.filters.T[None]
             d_bytes = np.zeros_like(model.bytes)
@@ -165,11 +190,8 @@ def score(docs: DataFrame, model: Model, threshold: float = THRESHOLD) -> DataFr
             out = []
             for doc_id, text in zip(batch["doc_id"], batch["text"], strict=True):
                 raw = (text or "").encode("utf-8")
-                starts = chunk_starts(len(raw))
-                parts = [
-                    chunk_features(model, chunks_of(raw, starts[i : i + 256])) for i in range(0, len(starts), 256)
-                ]
-                out.append((doc_id, combine(model, np.concatenate(parts))))
+                parts = [chunk_features(model, chunks) for chunks in slices_of(raw)]
+                out.append((doc_id, combine(model, np.concatenate(parts), chunk_weights(len(raw)))))
             frame = pd.DataFrame(out, columns=["doc_id", "score"])
             frame["predicted"] = (frame["score"] >= threshold).astype("int32")
             yield frame

@@ -124,11 +124,3 @@ def test_pipeline_stages(session, odd_docs):
     assert {p.doc_id for p in pieces} == {101}
     for _, step in corpus_pipeline.STAGES:
         assert step(session, odd_docs.limit(0), "").collect() == []
-
-
-def test_pipeline_on_given_documents(session, data_root):
-    out = corpus_pipeline.run(session, data_root)
-    ids = {r.doc_id for r in out.collect()}
-    everything = session.read.parquet(f"{data_root}/documents.parquet")
-    groups = QUERIES["op2_ngram_join"](session, data_root).groupBy("component_id").count().count()
-    assert 0.95 * groups <= len(ids) <= groups and ids <= {r.doc_id for r in everything.select("doc_id").collect()}
