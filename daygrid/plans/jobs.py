@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from datetime import date
+from datetime import date, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from daygrid.functions.dates import Span, backfill_window, days_of, shifted, span_of
+from daygrid.operators.fingerprint import changed_days, day_fingerprints
 from daygrid.operators.spine import calendar
 from daygrid.plans import checks, gold, history, rolling_state, serving, silver
 from daygrid.schemas import (
@@ -134,6 +135,53 @@ def build_gold(
         raise ValueError("no rows: " + ", ".join(f"{name} on {day}" for day, name in named))
 
 
+def refresh_gold(
+    spark: SparkSession, silver_root: str, gold_root: str, span: Span | None = None, **options
+) -> list[date]:
+    """Rebuild Gold for the days whose panel rows differ from those it was built from, and return these days.
+
+    Beside the Gold tables lies one fingerprint per day of the panel they were built from. Files of the span's days only
+    are read to compare, and days that were loaded again unchanged rebuild nothing. Neighbouring changed days are built
+    together, in ascending order; ``options`` go to ``build_gold``, whose cascade also rebuilds later days that depend on
+    them. Fingerprints are kept after the builds: a refresh that fails finds the same days again. They cover
+    the panel; a change of the dimension alone calls for ``build_gold``. Days that left the panel are refused, as Gold
+    would keep their rows.
+    """
+    span = span_of(*span) if span is not None else None
+    silver_path, kept = f"{silver_root}/price_snapshots", f"{gold_root}/built_from"
+    inside = lambda day: span is None or span[0] <= day <= span[1]
+    held = [day for day in folder_days(spark, silver_path) if inside(day)]
+    known = read_version(spark, kept)
+    if known is None:
+        known = spark.createDataFrame([], FINGERPRINT)
+    if span is not None:
+        known = known.where(F.col(DAY).between(*span))
+    if held:
+        panel = spark.read.parquet(silver_path).where(F.col(DAY).isin(held))
+        prints = staged(day_fingerprints(panel), "day-fingerprints")
+    else:
+        prints = known.limit(0)
+    found = {row[DAY]: row.change for row in changed_days(known, prints).collect()}  # calendar days
+    gone = sorted(day for day, change in found.items() if change == "removed")
+    if gone:
+        raise ValueError(f"days left the panel after Gold was built: {', '.join(map(str, gone))}")
+    days = sorted(found)
+    if days and span is None and days == held:
+        build_gold(spark, silver_root, gold_root, None, **options)
+    else:
+        ends = [day for day in days if day + timedelta(1) not in found]
+        starts = [day for day in days if day - timedelta(1) not in found]
+        for run in zip(starts, ends, strict=True):
+            build_gold(spark, silver_root, gold_root, run, **options)
+    if days:
+        upsert_version(kept, prints, [DAY])
+    return days
+
+
+#: What ``day_fingerprints`` returns.
+FINGERPRINT = f"{DAY} date, row_count long, low decimal(30,0), high decimal(30,0)"
+
+
 def _days(df: DataFrame) -> list[date]:
     """Distinct days of a frame; as many as the calendar has."""
     return [row[DAY] for row in df.select(DAY).distinct().collect()]

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from daygrid import schemas
 from daygrid.functions.dates import days_of
 from daygrid.functions.numeric import pct_change
-from daygrid.operators import closeness
+from daygrid.operators import closeness, fingerprint
 from daygrid.plans import checks, gold, serving
 from daygrid.schemas import DAY, ENTITY, KEY
 from daygrid.session import scratch_dir
@@ -560,3 +560,23 @@ def frames_apart(spark, root):
     left = rows.where("l_partkey % 50 <> 7").select("l_orderkey", "l_linenumber", x.alias("x"), F.col("l_discount").alias("y"))
     right = rows.where("l_partkey % 50 <> 8").select("l_orderkey", "l_linenumber", (x + move).alias("x"), F.col("l_discount").alias("y"))
     return closeness.frames_apart(left, right, 1e-6).withColumn("x", F.round("x", 3))
+
+
+@query(
+    "changed_days",
+    """
+    WITH marked AS (
+        SELECT DISTINCT CAST(l_shipdate AS DATE) AS snapshot_date FROM lineitem
+    )
+    SELECT snapshot_date, CASE WHEN day(snapshot_date) = 13 THEN 'removed' WHEN day(snapshot_date) = 17 THEN 'added' ELSE 'changed' END AS change
+    FROM marked WHERE day(snapshot_date) IN (7, 13, 17, 21)
+    """,
+)
+def changed_days(spark, root):
+    """Days of all line items against the same rows in another order: some dearer, dropped, new, or one column's value NULL."""
+    lines = spark.read.parquet(f"{root}/lineitem.parquet").withColumn(DAY, F.to_date("l_shipdate"))
+    day = F.dayofmonth(DAY)
+    before = lines.where(day != 17)
+    price = F.when(day == 7, F.col("l_extendedprice") + 1).when(day != 21, F.col("l_extendedprice"))
+    after = lines.where(day != 13).withColumn("l_extendedprice", price).select(*reversed(lines.columns)).repartition("l_partkey")
+    return fingerprint.changed_days(*(fingerprint.day_fingerprints(df) for df in (before, after)))
