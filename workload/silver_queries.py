@@ -13,6 +13,7 @@ from daygrid.operators.upsert import upsert
 from daygrid.plans import history, silver
 from daygrid.schemas import DAY, ENTITY, KEY, MARKET_CAP_ALIASES
 from daygrid.session import scratch_dir
+from daygrid.sinks.filecopy import sync_files
 from daygrid.sinks.partitions import (
     append_partitions,
     copy_days,
@@ -576,6 +577,37 @@ def sync_copy_days(spark, root):
     return stored().groupBy(DAY).agg(F.count("*").alias("row_count"), F.count_if(F.col("event_type") == "error").alias("errors"))
 
 
+@query(
+    "sync_copy_files",
+    """SELECT CAST(ts AS DATE) AS snapshot_date, count(*) AS row_count, count(*) FILTER (WHERE event_type = 'error') AS errors,
+              CASE WHEN dayofmonth(CAST(ts AS DATE)) % 3 = 0 THEN 'copied' ELSE 'kept' END AS action, true AS same_bytes
+       FROM events GROUP BY 1""",
+)
+def sync_copy_files(spark, root):
+    """Captured files arrive byte for byte: first the days up to a bound, then the rest, then all again with ``overwrite``,
+    after some local days were written from other rows."""
+    captured, local = scratch_dir(spark, "captured"), scratch_dir(spark, "copied")
+    events = panels.table(spark, root, "events").select("event_id", "event_type", F.to_date("ts").alias(DAY))
+    write_snapshots(events, captured)
+    sync_files(spark, captured, local, end=date(2024, 1, 31))
+    write_snapshots(events.where((F.dayofmonth(DAY) % 3 == 0) & (F.col("event_type") != "error")), local)
+    sync_files(spark, captured, local)
+    done = sync_files(spark, captured, local, overwrite=True).where("action <> 'removed'")
+
+    def digests(folder, name):
+        files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(folder)
+        return files.select(F.regexp_extract("path", r"year=.*", 0).alias("path"), F.sha2("content", 256).alias(name))
+
+    checked = done.join(digests(captured, "_theirs"), "path", "full_outer").join(digests(local, "_ours"), "path", "full_outer")
+    same = F.col("_theirs").eqNullSafe(F.col("_ours")) & F.col("sha256").eqNullSafe(F.col("_ours"))
+    days = checked.groupBy(text.date_from_path(F.col("path")).alias(DAY)).agg(
+        F.array_join(F.array_sort(F.collect_set("action")), ",").alias("action"), F.bool_and(same).alias("same_bytes")
+    )
+    rows = spark.read.parquet(local).groupBy(F.make_date("year", "month", "day").alias(DAY))
+    counts = rows.agg(F.count("*").alias("row_count"), F.count_if(F.col("event_type") == "error").alias("errors"))
+    return counts.join(days, DAY, "full_outer")
+
+
 @query(
     "history_landing",
     """SELECT 'user_' || user_id AS coin_id, CAST(ts AS DATE) AS snapshot_date, count(*) AS points
