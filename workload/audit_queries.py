@@ -10,7 +10,7 @@ from daygrid.schemas import DAY
 from daygrid.session import scratch_dir
 from daygrid.sinks.partitions import write_partitions
 from daygrid.sources import snapshots
-from daygrid.streaming import landing
+from daygrid.streaming import compaction, landing
 from workload import panels
 from workload.registry import query
 
@@ -197,6 +197,30 @@ def stream_incremental_ingest(spark, root):
     return spark.read.parquet(sink).select("event_id", "user_id", "event_type", "value", DAY)
 
 
+@query(
+    "stream_compacted_days",
+    """SELECT CAST(ts AS DATE) AS snapshot_date, count(*) AS row_count, count(*) FILTER (WHERE event_type = 'error') AS errors,
+              sum(event_id) AS id_sum, CAST(CASE WHEN day(CAST(ts AS DATE)) <= 10 THEN 2 ELSE 1 END AS BIGINT) AS batches
+       FROM events GROUP BY 1""",
+)
+def stream_compacted_days(spark, root):
+    """Three micro-batches per day are compacted; rows of ten days that arrive later are taken once and lie beside them."""
+    arrived, sink, checkpoint = scratch_dir(spark, "arriving"), scratch_dir(spark, "batches"), scratch_dir(spark, "ckpt")
+    events = spark.read.parquet(_landed_events(spark, root))
+    third = F.pmod("event_id", F.lit(3))
+    later = (third == 2) & (F.dayofmonth(DAY) <= 10)
+    arrivals = [(third == 0), (third == 1), (third == 2) & ~later, later]
+    for number, arrival in enumerate(arrivals):
+        events.where(arrival).write.mode("append").parquet(arrived)
+        landing.ingest(landing.read_stream(spark, arrived, events.schema), sink, checkpoint)
+        if number == 2:
+            compaction.compact(spark, sink, checkpoint, events.schema, max_batches=1)
+    return spark.read.parquet(sink).groupBy(DAY).agg(
+        F.count("*").alias("row_count"), F.count_if(F.col("event_type") == "error").alias("errors"),
+        F.sum("event_id").alias("id_sum"), F.count_distinct(landing.BATCH).alias("batches"),
+    )
+
+
 @query(
     "stream_late_capture",
     CAPTURES
