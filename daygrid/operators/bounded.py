@@ -20,19 +20,27 @@ def preview(df: DataFrame, order: Sequence[str | Column], n: int = 20) -> DataFr
     return df.orderBy(*order).limit(n)
 
 
-def sample(df: DataFrame, order: Sequence[str | Column], n: int = MAX_SAMPLE_ROWS) -> DataFrame:
-    if isinstance(n, bool) or not isinstance(n, int) or not 1 <= n <= MAX_SAMPLE_ROWS:
-        raise ValueError(f"a sample has 1 to {MAX_SAMPLE_ROWS} rows")
+def require_size(n: int, name: str, ceiling: int | None) -> None:
+    """Raise unless ``n`` is a whole number from 1 to ``ceiling``; None stands for no ceiling."""
+    if isinstance(n, bool) or not isinstance(n, int) or n < 1 or (ceiling is not None and n > ceiling):
+        raise ValueError(f"{name} must be {'at least 1' if ceiling is None else f'1 to {ceiling}'}")
+
+
+def sample(
+    df: DataFrame, order: Sequence[str | Column], n: int = MAX_SAMPLE_ROWS, ceiling: int | None = MAX_SAMPLE_ROWS
+) -> DataFrame:
+    require_size(n, "n", ceiling)
     return df.orderBy(*order).limit(n)
 
 
-def bounded(df: DataFrame, order: Sequence[str | Column], max_rows: int = MAX_RESULT_ROWS) -> DataFrame:
+def bounded(
+    df: DataFrame, order: Sequence[str | Column], max_rows: int = MAX_RESULT_ROWS, ceiling: int | None = MAX_RESULT_ROWS
+) -> DataFrame:
     """The first ``max_rows`` rows and ``truncated``: whether the frame holds more.
 
     One row more than asked is fetched, which decides the flag without counting the frame.
     """
-    if isinstance(max_rows, bool) or not isinstance(max_rows, int) or not 1 <= max_rows <= MAX_RESULT_ROWS:
-        raise ValueError(f"max_rows must be 1 to {MAX_RESULT_ROWS}")
+    require_size(max_rows, "max_rows", ceiling)
     head = df.orderBy(*order).limit(max_rows + 1)
     everything = Window.partitionBy(F.lit(0))  # over the head only, at most max_rows + 1 rows
     numbered = head.select(

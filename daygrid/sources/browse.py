@@ -92,10 +92,9 @@ def partition_columns(spark: SparkSession, table: str) -> list[str]:
     return [c.name for c in spark.catalog.listColumns(table) if c.isPartition]
 
 
-def newest_files(files: DataFrame, n: int = 10) -> DataFrame:
-    """The ``n`` most recently written files (1 to 100), newest first."""
-    if isinstance(n, bool) or not isinstance(n, int) or not 1 <= n <= 100:
-        raise ValueError("n must be 1 to 100")
+def newest_files(files: DataFrame, n: int = 10, ceiling: int | None = 100) -> DataFrame:
+    """The ``n`` most recently written files, newest first."""
+    bounded.require_size(n, "n", ceiling)
     return (
         files.select(
             F.col("_metadata.file_path").alias("file_path"),

@@ -3,12 +3,15 @@
 from __future__ import annotations
 
 from datetime import date
+from functools import reduce
 
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from daygrid.operators import bounded, compare, stats
 from daygrid.plans import dashboards, gold, serving
 from daygrid.schemas import DAY, ENTITY, document
+from daygrid.session import scratch_dir
 from daygrid.sources import browse
 from workload import panels, sql
 from workload.gold_queries import AVAILABILITY_SQL, inputs, nation_availability
@@ -29,7 +32,8 @@ def user_daily(spark, root):
 @query(
     "dash_latest_market",
     DAILY_SQL
-    + f"""SELECT snapshot_date, coin_rank, symbol, name, price_usd, price_change_pct, market_cap_usd, volume_usd_24hr
+    + f"""SELECT snapshot_date, coin_rank, symbol, name, price_usd, price_change_pct, market_cap_usd, volume_usd_24hr,
+                 (SELECT count(*) > 100 FROM {LATEST}) AS truncated
           FROM {LATEST} ORDER BY coin_rank, coin_id LIMIT 100""",
 )
 def dash_latest_market(spark, root):
@@ -39,7 +43,7 @@ def dash_latest_market(spark, root):
 @query(
     "dash_movers",
     DAILY_SQL
-    + f"""SELECT symbol, max(price_change_pct) AS price_change_pct FROM {LATEST} GROUP BY symbol
+    + f"""SELECT symbol, max(price_change_pct) AS price_change_pct, count(*) OVER () > 25 AS truncated FROM {LATEST} GROUP BY symbol
           ORDER BY price_change_pct DESC NULLS LAST, symbol NULLS FIRST LIMIT 25""",
 )
 def dash_movers(spark, root):
@@ -78,7 +82,7 @@ def dash_price_vs_rolling(spark, root):
     "dash_rank_table",
     sql.ctes("n", sql.rank_change("n"))
     + """SELECT snapshot_date, mc_rank, symbol, name, mc_rank_diff_14d, mc_rank_diff_30d, price_diff_14d_pct,
-                price_diff_30d_pct FROM n_rank ORDER BY snapshot_date DESC, mc_rank, coin_id LIMIT 25""",
+                price_diff_30d_pct, (SELECT count(*) > 25 FROM n_rank) AS truncated FROM n_rank ORDER BY snapshot_date DESC, mc_rank, coin_id LIMIT 25""",
 )
 def dash_rank_table(spark, root):
     return dashboards.rank_table(gold.rank_change(*inputs(spark, root, "n"), method="window"))
@@ -180,7 +184,8 @@ def dash_field_completeness(spark, root):
     AVAILABILITY_SQL
     + """SELECT snapshot_date, availability_status, availability_reason, silver_row_count, daily_snapshot_row_count,
                 rank_change_row_count, weekly_average_row_count, source_coverage_pct, volume_coverage_pct,
-                vwap_coverage_pct FROM avail ORDER BY snapshot_date DESC LIMIT 1000""",
+                vwap_coverage_pct, (SELECT count(*) > 1000 FROM avail) AS truncated
+         FROM avail ORDER BY snapshot_date DESC LIMIT 1000""",
 )
 def dash_availability_detail(spark, root):
     return dashboards.availability_detail(nation_availability(spark, root))
@@ -276,6 +281,82 @@ def newest_files(spark, root):
     return browse.newest_files(panels.table(spark, root, "lineitem"))
 
 
+@query(
+    "table_stats_rows",
+    " UNION ALL ".join(
+        f"SELECT '{name}' AS table_name, count(*) AS row_count, true AS has_bytes FROM {name}"
+        for name in ("lineitem", "orders", "events", "nation")
+    ),
+)
+def table_stats_rows(spark, root):
+    """Row counts of the statistics; file sizes and times have no SQL counterpart."""
+    found = [
+        browse.table_stats(panels.table(spark, root, name)).select(
+            F.lit(name).alias("table_name"), "row_count", (F.col("size_bytes") > 0).alias("has_bytes")
+        )
+        for name in ("lineitem", "orders", "events", "nation")
+    ]
+    return reduce(DataFrame.unionByName, found)
+
+
+@query(
+    "newest_files_days",
+    """SELECT CAST(ts AS DATE) AS snapshot_date, count(*) AS row_count FROM events WHERE day(CAST(ts AS DATE)) % 3 = 0 GROUP BY 1""",
+)
+def newest_files_days(spark, root):
+    """Every third day is written after the others, one file a day: the newest files are those of these days."""
+    path = scratch_dir(spark, "two-waves")
+    events = panels.table(spark, root, "events").select("event_id", F.to_date("ts").alias(DAY))
+    third = F.dayofmonth(DAY) % 3 == 0
+    for wave in (~third, third):
+        events.where(wave).repartition(DAY).write.mode("append").partitionBy(DAY).parquet(path)
+    stored = spark.read.parquet(path)
+    days = events.where(third).select(DAY).distinct().count()
+    newest = browse.newest_files(stored, days, ceiling=None).select("file_path")
+    rows = stored.select(F.col("_metadata.file_path").alias("file_path"), DAY)
+    return rows.join(newest, "file_path", "left_semi").groupBy(DAY).agg(F.count("*").alias("row_count"))
+
+
+@query(
+    "catalog_table_profile",
+    sql.ctes("n")
+    + """SELECT count(*) AS row_count, min(snapshot_date) AS min_date, max(snapshot_date) AS max_date,
+                count(*) FILTER (WHERE vwap_24hr IS NULL) AS vwap_24hr_nulls, count(DISTINCT coin_id) AS coins,
+                CAST(7 AS BIGINT) AS columns FROM n""",
+)
+def catalog_table_profile(spark, root):
+    """A stored table read by its catalog name: counted, its days and NULLs, and its columns as the catalog describes them."""
+    path = scratch_dir(spark, "catalog")
+    name = "panel_" + path.rsplit("-", 1)[-1]
+    panels.nation_panel(spark, root).write.option("path", path).saveAsTable(name)
+    described = browse.describe_table(spark, name).where("col_name <> '' AND NOT startswith(col_name, '#')")
+    counted = [
+        browse.count_table(spark, name).select("row_count"),
+        browse.table_date_range(spark, name).select("min_date", "max_date"),
+        browse.table_null_summary(spark, name, ["vwap_24hr"]).select("vwap_24hr_nulls"),
+        browse.query_sql(spark, f"SELECT count(DISTINCT coin_id) AS coins FROM {name}"),
+        described.agg(F.count_distinct("col_name").alias("columns")),
+    ]
+    # One row each.
+    return reduce(lambda a, b: a.join(b, "_one"), [f.withColumn("_one", F.lit(1)) for f in counted]).drop("_one")
+
+
+@query(
+    "sql_over_views",
+    sql.ctes("n") + """SELECT snapshot_date, count(*) AS coins, max(price_usd) AS top_price,
+                              count(*) FILTER (WHERE volume_usd_24hr IS NULL) AS without_volume
+                       FROM n GROUP BY 1 HAVING count(*) > 1""",
+)
+def sql_over_views(spark, root):
+    """SQL text over a frame registered as a view."""
+    browse.register(panels.nation_panel(spark, root), "nation_prices")
+    return browse.query_sql(
+        spark,
+        """SELECT snapshot_date, count(*) AS coins, max(price_usd) AS top_price, count_if(volume_usd_24hr IS NULL) AS without_volume
+           FROM nation_prices GROUP BY snapshot_date HAVING count(*) > 1""",
+    )
+
+
 # ---------------------------------------------------------------- bounded results
 
 
