@@ -2,13 +2,14 @@
 
 A document is cut into leaves at places where the tokenizer's pre-tokens must end whatever stands
 around them; a segment tree over the leaves keeps their counts. An edit encodes only the leaves it
-touches and one neighbour on either side, and puts the new counts into the tree's sums.
+touches and one neighbour on either side, and renews the sums along the paths to them.
 """
 
 from __future__ import annotations
 
 import re
 from collections.abc import Callable, Iterator
+from typing import NamedTuple
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -33,87 +34,133 @@ def leaves_of(text: str, size: int = LEAF_CHARS) -> list[str]:
     return out
 
 
+class Node(NamedTuple):
+    """A leaf with its text, or the sums of two subtrees whose heights differ by one at most."""
+
+    left: Node | None
+    right: Node | None
+    text: str
+    height: int
+    leaves: int
+    chars: int
+    tokens: int
+
+
+def _over(left: Node, right: Node) -> Node:
+    height = 1 + max(left.height, right.height)
+    return Node(left, right, "", height, left.leaves + right.leaves, left.chars + right.chars, left.tokens + right.tokens)
+
+
+def _balanced(left: Node, right: Node) -> Node:
+    """A node over two subtrees whose heights differ by two at most."""
+    if left.height > right.height + 1:
+        if left.left.height < left.right.height:
+            return _over(_over(left.left, left.right.left), _over(left.right.right, right))
+        return _over(left.left, _over(left.right, right))
+    if right.height > left.height + 1:
+        if right.right.height < right.left.height:
+            return _over(_over(left, right.left.left), _over(right.left.right, right.right))
+        return _over(_over(left, right.left), right.right)
+    return _over(left, right)
+
+
+def join(left: Node | None, right: Node | None) -> Node | None:
+    """One balanced tree; new nodes only along the difference of the heights."""
+    if left is None or right is None:
+        return left or right
+    if left.height > right.height + 1:
+        return _balanced(left.left, join(left.right, right))
+    if right.height > left.height + 1:
+        return _balanced(join(left, right.left), right.right)
+    return _over(left, right)
+
+
+def split(node: Node | None, leaves: int) -> tuple[Node | None, Node | None]:
+    """The first ``leaves`` leaves, and the others; new nodes only along one path."""
+    if node is None or leaves <= 0:
+        return None, node
+    if leaves >= node.leaves:
+        return node, None
+    if leaves < node.left.leaves:
+        first, rest = split(node.left, leaves)
+        return first, join(rest, node.right)
+    first, rest = split(node.right, leaves - node.left.leaves)
+    return join(node.left, first), rest
+
+
+def _texts(node: Node | None) -> Iterator[str]:
+    waiting = [node] if node else []
+    while waiting:
+        node = waiting.pop()
+        if node.left is None:
+            yield node.text
+        else:
+            waiting += [node.right, node.left]
+
+
 class CountTree:
-    """A segment tree over the token counts and lengths of the leaves of one text."""
+    """A balanced segment tree over the token counts and lengths of the leaves of one text.
+
+    An edit splits the leaves it touches out of the tree and joins the new ones in, however many they are: sums are made
+    anew along the paths to them only.
+    """
 
     def __init__(self, text: str, count: Callable[[str], int]):
         self._count = count
         self.encoded_chars = 0
-        self._build([(leaf, self._encode(leaf)) for leaf in leaves_of(text)])
-
-    def _encode(self, leaf: str) -> int:
-        self.encoded_chars += len(leaf)
-        return self._count(leaf)
-
-    def _build(self, leaves: list[tuple[str, int]]) -> None:
-        self.leaves = [leaf for leaf, _ in leaves]
-        self.width = 1 << max(0, len(leaves) - 1).bit_length()
-        self.tokens = [0] * (2 * self.width)
-        self.chars = [0] * (2 * self.width)
-        for i, (leaf, n) in enumerate(leaves):
-            self.tokens[self.width + i], self.chars[self.width + i] = n, len(leaf)
-        for i in range(self.width - 1, 0, -1):
-            self._sum(i)
-
-    def _sum(self, i: int) -> None:
-        self.tokens[i] = self.tokens[2 * i] + self.tokens[2 * i + 1]
-        self.chars[i] = self.chars[2 * i] + self.chars[2 * i + 1]
+        self.root = self._tree(text)
+
+    def _tree(self, text: str) -> Node | None:
+        row = []
+        for leaf in leaves_of(text):
+            self.encoded_chars += len(leaf)
+            row.append(Node(None, None, leaf, 0, 1, len(leaf), self._count(leaf)))
+        # Neighbours meet in rounds; an odd one goes to the end of the next.
+        while len(row) > 1:
+            row = [join(*row[i : i + 2]) if i + 1 < len(row) else row[i] for i in range(0, len(row), 2)]
+        return row[0] if row else None
 
     @property
     def total(self) -> int:
-        return self.tokens[1]
+        return self.root.tokens if self.root else 0
 
     @property
     def length(self) -> int:
-        return self.chars[1]
+        return self.root.chars if self.root else 0
+
+    @property
+    def leaves(self) -> list[str]:
+        return list(_texts(self.root))
 
     def text(self) -> str:
-        return "".join(self.leaves)
-
-    def _leaf_at(self, position: int) -> tuple[int, int]:
-        """The leaf that holds a position, and where the leaf starts."""
-        i, start = 1, 0
-        while i < self.width:
-            i *= 2
-            if position >= start + self.chars[i]:
-                start += self.chars[i]
-                i += 1
-        return min(i - self.width, max(0, len(self.leaves) - 1)), start
+        return "".join(_texts(self.root))
+
+    def _leaf_at(self, position: int) -> int:
+        """The number of the leaf that holds a position; the last one for the end of the text."""
+        node, before = self.root, 0
+        while node.left is not None:
+            if position < node.left.chars:
+                node = node.left
+            else:
+                position -= node.left.chars
+                before += node.left.leaves
+                node = node.right
+        return before
 
     def edit(self, start: int, end: int, new: str) -> None:
         """Replace characters start to end (exclusive) by ``new``; bounds are clipped to the text."""
         start = min(max(start, 0), self.length)
         end = min(max(end, start), self.length)
-        if not self.leaves:
-            return self._build([(leaf, self._encode(leaf)) for leaf in leaves_of(new)])
-        first, last = self._leaf_at(start)[0], self._leaf_at(max(start, end - 1))[0]
-        first, last = max(0, first - 1), min(len(self.leaves) - 1, last + 1)
-        # Where the first leaf of the region starts: what lies before it in the sums.
-        before = self._chars_before(first)
-        region = "".join(self.leaves[first : last + 1])
-        region = region[: start - before] + new + region[end - before :]
-        fresh = [(leaf, self._encode(leaf)) for leaf in leaves_of(region)]
-        if len(fresh) == last + 1 - first:
-            for i, (leaf, n) in enumerate(fresh, first):
-                self.leaves[i] = leaf
-                self.tokens[self.width + i], self.chars[self.width + i] = n, len(leaf)
-            touched = {(self.width + i) // 2 for i in range(first, last + 1)}
-            while touched and 0 not in touched:
-                for i in touched:
-                    self._sum(i)
-                touched = {i // 2 for i in touched}
-            return None
-        counts = self.tokens[self.width : self.width + len(self.leaves)]
-        old = list(zip(self.leaves, counts, strict=True))
-        return self._build(old[:first] + fresh + old[last + 1 :])
-
-    def _chars_before(self, leaf: int) -> int:
-        i, total = self.width + leaf, 0
-        while i > 1:
-            if i % 2:
-                total += self.chars[i - 1]
-            i //= 2
-        return total
+        if self.root is None:
+            self.root = self._tree(new)
+            return
+        first, last = self._leaf_at(start) - 1, self._leaf_at(max(start, end - 1)) + 1
+        upto, after = split(self.root, last + 1)
+        before, touched = split(upto, first)
+        offset = before.chars if before else 0
+        region = "".join(_texts(touched))
+        region = region[: start - offset] + new + region[end - offset :]
+        self.root = join(join(before, self._tree(region)), after)
 
 
 def default_edits(length: int, doc_id: int) -> list[Edit]:
