@@ -6,10 +6,12 @@ The default way never sorts a large day in one task:
 
 1. The rows are written once to shared storage; all that follows, for every rank, reads them there.
 2. Days of more than ``cell_rows`` rows get splitters, percentiles of a sample of their rows, which are stored too.
-   They cut a day into cells of about ``cell_rows`` rows in the order of the value. A value so frequent that it
-   appears among the splitters twice has a cell of its own, and so has NULL.
-3. A row's rank is its rank in its cell plus the rows in cells of greater values: one count per cell, summed in
-   order. Cells of one value need no order among their rows, so these are spread over salts.
+   They cut a day into cells of about ``cell_rows`` rows in the order of the value, into ``MAX_CELLS`` of equal shares
+   where these would be more: every task gets the splitters of all days. A value so frequent that it appears among
+   the splitters twice has a cell of its own, and so has NULL.
+3. A row finds its cells by bisection of the splitters and travels with their numbers only. Its rank is its rank in its
+   cell plus the rows in cells of greater values: one count per cell, summed in order. Cells of one value need no
+   order among their rows, so these are spread over salts.
 
 Splitters decide which task ranks a row, never the rank. Where no day is large the window goes by day. Every
 rank costs one shuffle of the rows and two of counts per cell.
@@ -31,6 +33,8 @@ METHODS = ("range", "window")
 
 #: Rows of a day that one task ranks.
 CELL_ROWS = 1_000_000
+#: Cells of a day: 1 KB of splitters per day and value in every task.
+MAX_CELLS = 128
 #: Rows sampled per cell for the splitters.
 SAMPLE_ROWS = 1_000
 #: Parts into which the rows of a cell of one value are spread.
@@ -58,10 +62,10 @@ def splitters(rows: DataFrame, by: str, values: list[str], cell_rows: int, stagi
     largest = sizes.agg(F.max("_n")).first()[0] or 0
     if largest <= cell_rows:
         return None
-    cells = -(-largest // cell_rows)
+    cells = min(-(-largest // cell_rows), MAX_CELLS)
     # The calendar bounds the number of days.
     large = rows.join(F.broadcast(sizes.where(F.col("_n") > cell_rows).select(by)), by, "left_semi")
-    some = large.sample(min(1.0, SAMPLE_ROWS / cell_rows), seed=1)
+    some = large.sample(min(1.0, SAMPLE_ROWS * cells / largest), seed=1)
     shares = F.array(*(F.lit(i / cells) for i in range(1, cells)))
     accuracy = F.lit(max(10_000, 100 * cells))
     none = F.array().cast("array<double>")
@@ -71,34 +75,60 @@ def splitters(rows: DataFrame, by: str, values: list[str], cell_rows: int, stagi
     return _stored(found, staging, "splitters")
 
 
-def _cell(value: str, at: Column) -> Column:
+def _with_lookup(cuts: DataFrame, values: list[str]) -> DataFrame:
+    """For each array of splitters the distinct ones, ``_cut_<value>``, and whether each is there twice, ``_own_<value>``."""
+
+    def twice(at: Column) -> Column:
+        return F.transform(F.array_distinct(at), lambda d: F.size(F.filter(at, lambda t: t == d)) > 1)
+
+    found = cuts
+    for v in values:
+        found = found.withColumns({f"_cut_{v}": F.array_distinct(f"_at_{v}"), f"_own_{v}": twice(F.col(f"_at_{v}"))})
+    return found.drop(*(f"_at_{v}" for v in values))
+
+
+def _upto(value: str) -> Column:
+    """Distinct splitters up to a value, by bisection."""
+    cut = F.col(f"_cut_{value}")
+    steps = F.array(*(F.lit(1 << k) for k in reversed(range(MAX_CELLS.bit_length()))))
+    next_at = lambda at, step: (at + step <= F.size(cut)) & (F.try_element_at(cut, at + step) <= F.col(value))
+    return F.aggregate(steps, F.lit(0), lambda at, step: at + F.when(next_at(at, step), step).otherwise(F.lit(0)))
+
+
+def _cell(value: str) -> Column:
     """Number of the cell of a value, greatest values first; odd ones hold one value only. 0 in a small day."""
-    own = F.size(F.filter(at, lambda t: t == F.col(value))) > 1
-    below = F.size(F.filter(F.array_distinct(at), lambda t: F.col(value) < t))
-    cell = F.when(F.col(value).isNull(), 2 * F.size(at) + 3).otherwise(2 * below + own.cast("int"))
-    return F.when(at.isNull(), F.lit(0)).otherwise(cell)
+    cut, upto = F.col(f"_cut_{value}"), F.col(f"_upto_{value}")
+    last = F.greatest(upto, F.lit(1))
+    own = (upto > 0) & F.try_element_at(f"_own_{value}", last) & (F.try_element_at(cut, last) == F.col(value))
+    below = F.size(cut) - upto
+    cell = F.when(F.col(value).isNull(), 2 * F.size(cut) + 3).otherwise(2 * below + F.coalesce(own, F.lit(False)).cast("int"))
+    return F.when(cut.isNull(), F.lit(0)).otherwise(cell)
 
 
 def _rank_cells(rows: DataFrame, by: str, ranks: dict[str, str], cuts: DataFrame) -> DataFrame:
     columns = rows.columns
     spread = F.pmod(F.xxhash64(*columns), F.lit(SALTS))
-    # 8 bytes per cell_rows rows of a large day and value.
-    ranked = given = rows.join(F.broadcast(cuts), by, "left")
+    values = sorted(set(ranks.values()))
+    # At most 8 bytes per cell_rows rows of a large day and value; dropped before any shuffle.
+    found = rows.join(F.broadcast(_with_lookup(cuts, values)), by, "left").withColumns({f"_upto_{v}": _upto(v) for v in values})
+    placed = found.select(
+        *columns, F.col(f"_cut_{values[0]}").isNotNull().alias("_large"), *(_cell(v).alias(f"_cell_{v}") for v in values)
+    )
+    ranked = placed
     for name, value in ranks.items():
-        at = F.col(f"_at_{value}")
-        counts = given.where(at.isNotNull()).groupBy(by, _cell(value, at).alias("_cell")).agg(F.count(F.lit(1)).alias("_n"))
-        greater = Window.partitionBy(by).orderBy("_cell").rowsBetween(Window.unboundedPreceding, -1)
+        cell = f"_cell_{value}"
+        counts = placed.where("_large").groupBy(by, cell).agg(F.count(F.lit(1)).alias("_n"))
+        greater = Window.partitionBy(by).orderBy(cell).rowsBetween(Window.unboundedPreceding, -1)
         # One row per cell of a large day.
-        above = F.broadcast(counts.select(by, "_cell", F.sum("_n").over(greater).alias("_above")))
-        salt = F.when(F.col("_cell") % 2 == 1, spread).otherwise(F.lit(0))
-        inside = Window.partitionBy(by, "_cell", "_salt").orderBy(F.desc_nulls_last(value))
+        above = F.broadcast(counts.select(by, cell, F.sum("_n").over(greater).alias("_above")))
+        salt = F.when(F.col(cell) % 2 == 1, spread).otherwise(F.lit(0))
+        inside = Window.partitionBy(by, cell, "_salt").orderBy(F.desc_nulls_last(value))
         ranked = (
-            ranked.withColumn("_cell", _cell(value, at))
-            .withColumn("_salt", salt)
+            ranked.withColumn("_salt", salt)
             .withColumn(name, F.rank().over(inside))
-            .join(above, [by, "_cell"], "left")
+            .join(above, [by, cell], "left")
             .withColumn(name, F.col(name) + F.coalesce("_above", F.lit(0)))
-            .drop("_cell", "_salt", "_above")
+            .drop("_salt", "_above")
         )
     return ranked.select(*columns, *ranks)
 

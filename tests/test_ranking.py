@@ -80,3 +80,14 @@ def test_ranks_of_days_without_values(spark):
     df = spark.createDataFrame([(f"e{i}", DAYS[0], None) for i in range(9)], "coin_id string, snapshot_date date, v double")
     assert {r.rank for r in rank_within_day(df, {"rank": "v"}, cell_rows=2).collect()} == {1}
     assert rank_within_day(df.limit(0), {"rank": "v"}).collect() == []
+
+
+def test_splitters_of_a_day_are_bounded_and_stay_out_of_the_shuffle(spark, tmp_path):
+    """Cells of five rows would be 8,000 a day: all of them in every row and task."""
+    df = spark.range(40_000).select(F.lit(DAYS[0]).alias("snapshot_date"), "id", (F.col("id") % 30_011 * 1.0).alias("v"))
+    assert len(splitters(df, "snapshot_date", ["v"], 5, str(tmp_path / "cuts")).first()["_at_v"]) < 128
+    have = rank_within_day(df, {"rank": "v", "again": "v"}, cell_rows=5, staging=str(tmp_path / "s"))
+    assert rows_of(have) == rows_of(rank_within_day(df, {"rank": "v", "again": "v"}, method="window"))
+    plan = have._jdf.queryExecution().optimizedPlan().toString()
+    above = plan[: plan.index("_cut_v")].splitlines()
+    assert sum("Window [rank(" in line for line in above) == 2
