@@ -13,28 +13,25 @@ MAX_DEPTH = 5
 def reachable(edges: DataFrame, start: str, direction: str = "downstream", depth: int = 1) -> DataFrame:
     """Nodes within ``depth`` edges of ``start`` and their shortest distance.
 
-    ``edges`` has ``parent`` and ``child``. One filter and a chain of ``depth - 1`` joins: a link
-    from every node to itself keeps known nodes in the chain, so each step is one inner join
-    (whose hot node adaptive execution can split, on either side) and one ``min`` per node,
-    combined in the map tasks. Cycles end by themselves and no step is computed twice.
+    ``edges`` has ``parent`` and ``child``. Each step is one join of the edges with the nodes found by
+    the step before, less those known already, so cycles end by themselves and a node is extended once.
+    The nodes of every step but the last are stored: no step is computed twice, and their size tells
+    Spark whether to broadcast them, so that the edges stay where they are, or to shuffle both sides
+    (whose hot node adaptive execution can split, on either side). Copies are dropped in the map tasks.
     """
     if direction not in ("upstream", "downstream"):
         raise ValueError("direction must be 'upstream' or 'downstream'")
     if isinstance(depth, bool) or not isinstance(depth, int) or not 1 <= depth <= MAX_DEPTH:
         raise ValueError(f"depth must be 1 to {MAX_DEPTH}")
     near, far = ("parent", "child") if direction == "downstream" else ("child", "parent")
-    pair = [F.struct(F.col(f).alias("node"), F.col(t).alias("_next")) for f, t in ((near, far), (near, near), (far, far))]
-    links = edges.select(F.explode(F.array(*pair)).alias("_l")).select("_l.*").distinct()
-
-    step = F.when(F.col("_next") == F.col("node"), F.lit(0)).otherwise(F.lit(1))
-    known = links.where(F.col("node") == start).select(F.col("_next").alias("node"), step.alias("distance"))
-    for _ in range(depth - 1):
-        known = (
-            known.join(links, "node")
-            .groupBy(F.col("_next").alias("node"))
-            .agg(F.min(F.col("distance") + step).alias("distance"))
-        )
-    return known.where(F.col("node") != start)
+    links = edges.select(F.col(near).alias("node"), F.col(far).alias("_next"))
+    last = known = edges.sparkSession.range(1).select(F.lit(start).alias("node"), F.lit(0).alias("distance"))
+    for distance in range(1, depth + 1):
+        reached = last.join(links, "node").select(F.col("_next").alias("node")).distinct()
+        fresh = reached.join(known.select("node"), "node", "left_anti").select("node", F.lit(distance).alias("distance"))
+        last = fresh if distance == depth else _kept(fresh, "frontier")
+        known = known.unionByName(last)
+    return known.where("distance > 0 AND node IS NOT NULL")
 
 
 def _kept(df: DataFrame, name: str) -> DataFrame:

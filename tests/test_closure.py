@@ -2,7 +2,7 @@
 
 import pytest
 
-from daygrid.operators.reach import closure
+from daygrid.operators.reach import closure, reachable
 
 
 def edges(spark, pairs):
@@ -30,3 +30,15 @@ def test_cycles_and_shortest_ways(spark):
         closure(graph, "a", "sideways")
     with pytest.raises(ValueError):
         closure(graph, "a", depth=0)
+
+
+def test_bounded_steps_leave_the_edges_where_they_are(spark):
+    """Few nodes found: no step shuffles the edges, and odd edges change nothing."""
+    pairs = [("a", "b"), ("b", "c"), ("c", "a"), ("a", "c"), ("c", "d"), ("d", "d"), ("d", None), (None, "a"), ("a", "b"), ("d", "e")]
+    graph = edges(spark, pairs + [(f"x{i}", f"y{i}") for i in range(50)])
+    found = reachable(graph, "a", "downstream", 3)
+    assert {r.node: r.distance for r in found.collect()} == {"b": 1, "c": 1, "d": 2, "e": 3} and found.count() == 4
+    assert {r.node: r.distance for r in reachable(graph, "e", "upstream", 2).collect()} == {"d": 1, "c": 2}
+    assert {(r.node, r.distance) for r in reachable(graph, "a", "downstream", 1).collect()} == {("b", 1), ("c", 1)}
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "explode" not in plan.lower() and plan.count("LogicalRDD") == 1
