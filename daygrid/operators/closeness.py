@@ -4,9 +4,10 @@ Rounding cannot do this: 0.4999999 and 0.5000001 round apart. Here a row of one
 when all other columns are equal and every double differs by at most the tolerance; pairs are one to one.
 
 1. Equal rows are counted by side in one aggregation with map-side combine, and the counts are summed up per key
-   (the columns that are not doubles). A key with one row a side is compared as it is. Where no more than one side has
-   rows beyond those equal on both, these are the difference. Nearly everything ends here.
-2. All rows of other keys fall into buckets of the first double as wide as the tolerance; partners lie in the same or a
+   (the columns that are not doubles). A key with at most one row a side is compared as it is. Nearly everything ends
+   here; keys that are not near are stored, and where no key has more rows the difference is read from there.
+2. Of the other keys rows are counted again. Where no more than one side has rows beyond those equal on both, these are
+   the difference. All rows of what remains fall into buckets of the first double as wide as the tolerance; partners lie in the same or a
    neighbouring bucket. Runs of neighbouring buckets are matched apart from each other, by augmenting paths. Equal rows
    take part: pairing them first can cost a pair (0, 0.2 against 0.2, 0.4 within 0.25).
 """
@@ -22,6 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from daygrid.operators.compare import frames_diff
+from daygrid.session import scratch_dir
 
 
 def _near(a: Column, b: Column, tolerance: float) -> Column:
@@ -93,15 +95,22 @@ def frames_apart(left: DataFrame, right: DataFrame, tolerance: float) -> DataFra
     ).where("_el > 0 OR _er > 0")
     single = (F.col("_nl") == 1) & (F.col("_nr") == 1)
     close = reduce(lambda a, b: a & b, (_near(F.col(f"_a.{c}"), F.col(f"_b.{c}"), tolerance) for c in doubles))
+    path = scratch_dir(left.sparkSession, "apart")
+    sides.where(~(single & close)).write.parquet(path)
+    sides = left.sparkSession.read.schema(sides.schema).parquet(path)
+    few = (F.col("_nl") <= 1) & (F.col("_nr") <= 1)
     pair = F.explode(F.array(
-        F.struct(F.lit("left").alias("side"), F.col("_a").alias("v")), F.struct(F.lit("right").alias("side"), F.col("_b").alias("v"))
+        F.struct(F.lit("left").alias("side"), F.col("_a").alias("v"), F.col("_nl").alias("n")),
+        F.struct(F.lit("right").alias("side"), F.col("_b").alias("v"), F.col("_nr").alias("n")),
     )).alias("_p")
-    alone = sides.where(single & ~close).select(*keys, pair).select(
+    alone = sides.where(few).select(*keys, pair).where("_p.n = 1").select(
         *keys, *(F.col(f"_p.v.{c}").alias(c) for c in doubles), F.col("_p.side").alias("side"), F.lit(1).cast("long").alias("copies")
     )
-    others = sides.where(~single).select(
+    others = sides.where(~few).select(
         *(F.col(c).alias(f"_k_{c}") for c in keys), ((F.col("_el") > 0) & (F.col("_er") > 0)).alias("_both")
     )
+    if others.isEmpty():
+        return alone.select(*names, "side", "copies")
     same = reduce(lambda a, b: a & b, (F.col(c).eqNullSafe(F.col(f"_k_{c}")) for c in keys), F.lit(True))
     rows = counts.join(others, same)
     columns = [*keys, *doubles]

@@ -62,3 +62,13 @@ def test_frames_of_doubles_only_and_empty_frames(spark):
     assert [tuple(r) for r in frames_apart(left, right, 0.1).collect()] == [(2.0, "left", 1)]
     assert frames_apart(left.limit(0), right.limit(0), 0.1).collect() == []
     assert frames_apart(left.limit(0), right, 0.1).count() == 2
+
+
+def test_keys_with_one_row_need_no_second_pass(spark):
+    """Keys on one side only, or once on both, end in the first pass: no matching is planned."""
+    left = frame(spark, [("a", 1.0, None), ("b", 2.0, 1.0), ("only", None, 1.0), ("c", None, None)])
+    right = frame(spark, [("a", 1.05, None), ("b", 2.5, 1.0), ("new", 3.0, math.nan), ("c", None, None), ("gone", None, None)])
+    found = frames_apart(left, right, 0.1)
+    rows = {(r.k, r.x, r.side, r.copies) for r in found.collect()}
+    assert rows == {("b", 2.0, "left", 1), ("b", 2.5, "right", 1), ("only", None, "left", 1), ("new", 3.0, "right", 1), ("gone", None, "right", 1)}
+    assert "InPandas" not in found._jdf.queryExecution().executedPlan().toString()

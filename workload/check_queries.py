@@ -5,7 +5,7 @@ from __future__ import annotations
 from datetime import date, timedelta
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from daygrid import schemas
@@ -553,10 +553,11 @@ def contract_violations(spark, root):
 def frames_apart(spark, root):
     """Prices of lines against the same moved by less than the tolerance, some by more, some rows missing on either side."""
     lines = panels.table(spark, root, "lineitem")
-    once = lines.groupBy("l_orderkey", "l_linenumber").count().where("count = 1").drop("count")
+    key = ["l_orderkey", "l_linenumber"]
     x = F.col("l_extendedprice") / 3
     move = F.when(F.col("l_suppkey") % 20 == 3, 0.01).when(F.col("l_linenumber") % 2 == 0, 4e-7).otherwise(-4e-7)
-    rows = lines.join(once, ["l_orderkey", "l_linenumber"])
+    used = lines.dropna(subset=key).select(*key, "l_partkey", "l_suppkey", "l_extendedprice", "l_discount")
+    rows = used.withColumn("_n", F.count(F.lit(1)).over(Window.partitionBy(*key))).where("_n = 1")
     left = rows.where("l_partkey % 50 <> 7").select("l_orderkey", "l_linenumber", x.alias("x"), F.col("l_discount").alias("y"))
     right = rows.where("l_partkey % 50 <> 8").select("l_orderkey", "l_linenumber", (x + move).alias("x"), F.col("l_discount").alias("y"))
     return closeness.frames_apart(left, right, 1e-6).withColumn("x", F.round("x", 3))
