@@ -59,40 +59,56 @@ class BatchBpe:
         self.word = regex.compile(split["pattern"]["Regex"])
         self.special = regex.compile("(" + "|".join(map(regex.escape, self.specials)) + ")")
 
-    def words(self, text: str) -> Iterator[str | int]:
+    def words(self, text: str) -> list[str | int]:
         """Words of a text in order; special tokens come as ids."""
-        pieces = self.special.split(text) if "<|" in text else [text]
-        for piece in pieces:
+        if text.isascii():
+            # NFC leaves ASCII as it is, and ASCII letters in a row are one word.
+            if text.isalpha():
+                return [text.lower()]
+            if "<|" not in text:
+                return self.word.findall(text.lower())
+        found: list[str | int] = []
+        for piece in self.special.split(text) if "<|" in text else [text]:
             if piece in self.specials:
-                yield self.specials[piece]
+                found.append(self.specials[piece])
             else:
                 # Capital sigma is lowered without regard to its place in the word.
-                yield from self.word.findall(unicodedata.normalize("NFC", piece).replace("Σ", "σ").lower())
+                found += self.word.findall(unicodedata.normalize("NFC", piece).replace("Σ", "σ").lower())
+        return found
+
+    def ranks_of(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """Ranks of pairs of symbols, NO_RANK for those that never merge."""
+        key = (left << 32) | right
+        at = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
+        return np.where(self.keys[at] == key, self.ranks[at], NO_RANK)
 
     def encode(self, words: list[str]) -> list[np.ndarray]:
+        """Ids of each word as arrays; words are not empty."""
+        return [np.array(ids, np.int64) for ids in self.id_lists(words)]
+
+    def id_lists(self, words: list[str]) -> list[list[int]]:
         """Ids of each word; words are not empty."""
         raw = [w.encode("utf-8") for w in words]
         lengths = np.array([len(r) for r in raw], np.int64)
         flat = self.inner[np.frombuffer(b"".join(raw), np.uint8)]
         ends = np.cumsum(lengths)
-        flat[ends - 1] = self.last[np.frombuffer(b"".join(r[-1:] for r in raw), np.uint8)]
+        flat[ends - 1] = self.last[np.frombuffer(b"".join([r[-1:] for r in raw]), np.uint8)]
         owner = np.repeat(np.arange(len(words)), lengths)
-        done: list[np.ndarray] = [None] * len(words)  # type: ignore[list-item]
+        done: list[list[int]] = [None] * len(words)  # type: ignore[list-item]
+        # Rank of the pair that starts at each symbol; a round looks up only pairs its merges made.
+        rank = np.full(len(flat), NO_RANK, np.int32)
+        inside = np.flatnonzero(owner[1:] == owner[:-1])
+        rank[inside] = self.ranks_of(flat[inside], flat[inside + 1])
         while len(flat):
-            rank = np.full(len(flat), NO_RANK, np.int32)
-            inside = np.flatnonzero(owner[1:] == owner[:-1])
-            key = (flat[inside] << 32) | flat[inside + 1]
-            at = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
-            hit = self.keys[at] == key
-            rank[inside[hit]] = self.ranks[at[hit]]
             starts = np.flatnonzero(np.r_[True, owner[1:] != owner[:-1]])
             size = np.diff(np.r_[starts, len(flat)])
             lowest = np.minimum.reduceat(rank, starts)
             finished = lowest == NO_RANK
             if finished.any():
-                for s, n in zip(starts[finished].tolist(), size[finished].tolist(), strict=True):
-                    done[owner[s]] = flat[s : s + n].copy()
                 stay = np.repeat(~finished, size)
+                ids, upto = flat[~stay].tolist(), np.cumsum(size[finished]).tolist()
+                for word, begin, end in zip(owner[starts[finished]].tolist(), [0, *upto], upto, strict=False):
+                    done[word] = ids[begin:end]
                 flat, owner, rank = flat[stay], owner[stay], rank[stay]
                 size, lowest = size[~finished], lowest[~finished]
                 if not len(flat):
@@ -106,7 +122,13 @@ class BatchBpe:
             flat[where] = self.made[rank[where]]
             stay = np.ones(len(flat), bool)
             stay[where + 1] = False
-            flat, owner = flat[stay], owner[stay]
+            flat, owner, rank = flat[stay], owner[stay], rank[stay]
+            merged = where - np.arange(len(where))
+            changed = np.concatenate([merged, merged[merged > 0] - 1])
+            rank[changed] = NO_RANK
+            pairs = changed[changed + 1 < len(flat)]
+            pairs = pairs[owner[pairs] == owner[pairs + 1]]
+            rank[pairs] = self.ranks_of(flat[pairs], flat[pairs + 1])
         return done
 
     def decode(self, ids) -> str:
@@ -120,33 +142,30 @@ class TextCoder:
 
     def __init__(self, path: str):
         self.bpe = BatchBpe(path)
-        self.cache: dict[str, tuple[int, str, str]] = {}
+        # Of each part the ids and the tokens, joined by blanks; plain strings spare the garbage collector.
+        self.ids: dict[str, str] = {}
+        self.tokens: dict[str, str] = {}
+        self.id_text = {i: str(i) for i in self.bpe.tokens}
 
     def fill(self, parts: set[str]) -> None:
         """Encode all new parts of a batch of texts at once, and decode them from their ids."""
-        forget_older(self.cache)
-        new = [p for p in parts if p not in self.cache]
-        split = [list(self.bpe.words(p)) for p in new]
-        distinct = list(dict.fromkeys(w for ws in split for w in ws if isinstance(w, str)))
-        ids = dict(zip(distinct, self.bpe.encode(distinct), strict=True)) if distinct else {}
-        # Each distinct word once: its number of ids, the ids as text, its tokens as text.
-        of_word: dict[str | int, tuple[int, str, str]] = {}
-        for w, found in ids.items():
-            listed = found.tolist()
-            of_word[w] = (len(listed), " ".join(map(str, listed)), self.bpe.decode(listed))
-        for special in self.bpe.specials.values():
-            of_word[special] = (1, str(special), self.bpe.decode([special]))
+        forget_older(self.ids)
+        forget_older(self.tokens)
+        new = list(parts.difference(self.ids))
+        split = [*map(self.bpe.words, new)]
+        distinct = list({w for ws in split for w in ws if w.__class__ is str})
+        coded = dict(zip(distinct, self.bpe.id_lists(distinct), strict=True)) if distinct else {}
+        coded |= {special: [special] for special in self.bpe.specials.values()}
+        id_text, token = self.id_text.__getitem__, self.bpe.tokens.__getitem__
         for part, words in zip(new, split, strict=True):
-            if len(words) == 1:
-                self.cache[part] = of_word[words[0]]
-            else:
-                coded = [of_word[w] for w in words]
-                self.cache[part] = (sum(c[0] for c in coded), " ".join([c[1] for c in coded]), " ".join([c[2] for c in coded]))
+            found = coded[words[0]] if len(words) == 1 else [i for w in words for i in coded[w]]
+            self.ids[part] = " ".join(map(id_text, found))
+            self.tokens[part] = " ".join(map(token, found))
 
-    def code(self, text: str) -> tuple[int, str, str]:
-        """Number of ids, ids joined by blanks, decoded text."""
-        found = [c for c in map(self.cache.__getitem__, text.split(" ")) if c[0]]
-        return sum(c[0] for c in found), " ".join([c[1] for c in found]), " ".join([c[2] for c in found])
+    def code(self, parts: list[str]) -> tuple[int, str, str]:
+        """Number of ids, ids joined by blanks, decoded text of a text split at its blanks."""
+        ids = " ".join(filter(None, map(self.ids.__getitem__, parts)))
+        return ids.count(" ") + 1 if ids else 0, ids, " ".join(filter(None, map(self.tokens.__getitem__, parts)))
 
 
 @lru_cache(maxsize=1)
@@ -168,12 +187,13 @@ def encode_texts(docs: DataFrame, path: str, with_texts: bool = False) -> DataFr
         digest = lambda s: hashlib.sha256(s.encode("utf-8")).hexdigest()
         for batch in batches:
             texts = [t or "" for t in batch["text"]]
-            for at in range(0, len(texts), 100):
-                some = texts[at : at + 100]
-                coder.fill({p for t in some for p in t.split(" ")})
+            for at in range(0, len(texts), 250):
+                some = texts[at : at + 250]
+                parts = [t.split(" ") for t in some]
+                coder.fill(set().union(*parts))
                 rows = []
-                for doc_id, text in zip(batch["doc_id"].iloc[at : at + 100], some, strict=True):
-                    n, ids, decoded = coder.code(text)
+                for doc_id, of_text in zip(batch["doc_id"].iloc[at : at + 250], parts, strict=True):
+                    n, ids, decoded = coder.code(of_text)
                     row = (doc_id, n, digest(ids), digest(decoded))
                     rows.append((*row, [int(i) for i in ids.split()], decoded) if with_texts else row)
                 yield pd.DataFrame(rows, columns=[c.strip().split(" ")[0] for c in schema.split(",")])

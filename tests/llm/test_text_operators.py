@@ -345,3 +345,22 @@ def test_chat_parts_become_placeholders(session):
         (0, 0, "i.png", 3), (0, 1, "a.wav", 38), (0, 2, "d.pdf", 1280), (0, 3, "v", 0), (1, 0, "i.png", 3)
     ]
     assert row.expanded_tokens == 1324
+
+
+def test_a_round_of_merges_looks_up_only_new_pairs(monkeypatch):
+    own, looked_up = bpe.BatchBpe(WORD_FILE), []
+    plain = own.ranks_of
+    monkeypatch.setattr(own, "ranks_of", lambda left, right: looked_up.append(len(left)) or plain(left, right))
+    words = ["internationalisation" * 20, "a" * 301, "zq"]
+    found = own.id_lists(words)
+    library = Tokenizer.from_file(WORD_FILE)
+    assert found == [library.encode(w, add_special_tokens=False).ids for w in words]
+    assert sum(looked_up) < 3 * sum(map(len, words))
+
+
+def test_ascii_words_by_the_short_way():
+    own = bpe.BatchBpe(WORD_FILE)
+    texts = [a + b for a in map(chr, range(128)) for b in ("", "s", "'ll", "7", "\x1c", "Ab")] + ["<|endoftext|>Ab", "it'S", ""]
+    for text in texts:
+        pieces = [own.specials.get(p) or own.word.findall(p.lower()) for p in own.special.split(text)]
+        assert own.words(text) == [w for p in pieces for w in ([p] if isinstance(p, int) else p)]
