@@ -9,9 +9,9 @@ The default way never sorts a large day in one task:
    They cut a day into cells of about ``cell_rows`` rows in the order of the value, into ``MAX_CELLS`` of equal shares
    where these would be more: every task gets the splitters of all days. A value so frequent that it appears among
    the splitters twice has a cell of its own, and so has NULL.
-3. A row finds its cells by bisection of the splitters and travels with their numbers only. Its rank is its rank in its
-   cell plus the rows in cells of greater values: one count per cell, summed in order. Cells of one value need no
-   order among their rows, so these are spread over salts.
+3. A row finds its cells by bisection of the splitters, in compiled steps, and travels with their numbers and the columns
+   asked for only. Its rank is its rank in its cell plus the rows in cells of greater values: one count per cell,
+   summed in order. Cells of one value need no order among their rows, so these are spread over salts.
 
 Splitters decide which task ranks a row, never the rank. Where no day is large the window goes by day. Every
 rank costs one shuffle of the rows and two of counts per cell.
@@ -87,48 +87,59 @@ def _with_lookup(cuts: DataFrame, values: list[str]) -> DataFrame:
     return found.drop(*(f"_at_{v}" for v in values))
 
 
-def _upto(value: str) -> Column:
-    """Distinct splitters up to a value, by bisection."""
-    cut = F.col(f"_cut_{value}")
-    steps = F.array(*(F.lit(1 << k) for k in reversed(range(MAX_CELLS.bit_length()))))
-    next_at = lambda at, step: (at + step <= F.size(cut)) & (F.try_element_at(cut, at + step) <= F.col(value))
-    return F.aggregate(steps, F.lit(0), lambda at, step: at + F.when(next_at(at, step), step).otherwise(F.lit(0)))
+def _with_upto(found: DataFrame, values: list[str]) -> DataFrame:
+    """Add ``_upto_<value>``: distinct splitters up to a value, by bisection.
+
+    One projection per step: Spark compiles these, but calls the lambda of ``aggregate`` row by row.
+    """
+    found = found.withColumns({f"_upto_{v}": F.lit(0) for v in values})
+    for k in reversed(range((MAX_CELLS - 1).bit_length())):
+        step = 1 << k
+        # Beyond the last splitter there is NULL, which stays below.
+        next_at = {v: F.get(f"_cut_{v}", F.col(f"_upto_{v}") + F.lit(step - 1)) <= F.col(v) for v in values}
+        found = found.withColumns({f"_upto_{v}": F.col(f"_upto_{v}") + F.when(next_at[v], step).otherwise(0) for v in values})
+    return found
 
 
 def _cell(value: str) -> Column:
     """Number of the cell of a value, greatest values first; odd ones hold one value only. 0 in a small day."""
     cut, upto = F.col(f"_cut_{value}"), F.col(f"_upto_{value}")
-    last = F.greatest(upto, F.lit(1))
-    own = (upto > 0) & F.try_element_at(f"_own_{value}", last) & (F.try_element_at(cut, last) == F.col(value))
+    last = F.greatest(upto - 1, F.lit(0))
+    own = (upto > 0) & F.get(f"_own_{value}", last) & (F.get(cut, last) == F.col(value))
     below = F.size(cut) - upto
     cell = F.when(F.col(value).isNull(), 2 * F.size(cut) + 3).otherwise(2 * below + F.coalesce(own, F.lit(False)).cast("int"))
     return F.when(cut.isNull(), F.lit(0)).otherwise(cell)
 
 
+def _part(cell: str) -> Column:
+    """What a row of a cell is shuffled by: the cell, and for cells of one value a salt in its lower digits."""
+    # Numbers of stored rows, so that no column is read, or travels, for the salt only.
+    salt = F.pmod(F.monotonically_increasing_id(), F.lit(SALTS)).cast("int")
+    return F.col(cell) * SALTS + F.when(F.col(cell) % 2 == 1, salt).otherwise(F.lit(0))
+
+
 def _rank_cells(rows: DataFrame, by: str, ranks: dict[str, str], cuts: DataFrame) -> DataFrame:
     columns = rows.columns
-    spread = F.pmod(F.xxhash64(*columns), F.lit(SALTS))
     values = sorted(set(ranks.values()))
     # At most 8 bytes per cell_rows rows of a large day and value; dropped before any shuffle.
-    found = rows.join(F.broadcast(_with_lookup(cuts, values)), by, "left").withColumns({f"_upto_{v}": _upto(v) for v in values})
+    found = _with_upto(rows.join(F.broadcast(_with_lookup(cuts, values)), by, "left"), values)
     placed = found.select(
         *columns, F.col(f"_cut_{values[0]}").isNotNull().alias("_large"), *(_cell(v).alias(f"_cell_{v}") for v in values)
     )
-    ranked = placed
+    ranked = placed.select(*columns, *(_part(f"_cell_{v}").alias(f"_part_{v}") for v in values))
     for name, value in ranks.items():
-        cell = f"_cell_{value}"
+        cell, part = f"_cell_{value}", f"_part_{value}"
         counts = placed.where("_large").groupBy(by, cell).agg(F.count(F.lit(1)).alias("_n"))
         greater = Window.partitionBy(by).orderBy(cell).rowsBetween(Window.unboundedPreceding, -1)
         # One row per cell of a large day.
         above = F.broadcast(counts.select(by, cell, F.sum("_n").over(greater).alias("_above")))
-        salt = F.when(F.col(cell) % 2 == 1, spread).otherwise(F.lit(0))
-        inside = Window.partitionBy(by, cell, "_salt").orderBy(F.desc_nulls_last(value))
+        inside = Window.partitionBy(by, part).orderBy(F.desc_nulls_last(value))
         ranked = (
-            ranked.withColumn("_salt", salt)
-            .withColumn(name, F.rank().over(inside))
+            ranked.withColumn(name, F.rank().over(inside))
+            .withColumn(cell, F.floor(F.col(part) / SALTS).cast("int"))
             .join(above, [by, cell], "left")
             .withColumn(name, F.col(name) + F.coalesce("_above", F.lit(0)))
-            .drop("_salt", "_above")
+            .drop(cell, "_above")
         )
     return ranked.select(*columns, *ranks)
 
