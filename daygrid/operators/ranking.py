@@ -113,18 +113,19 @@ def _cell(value: str) -> Column:
 
 def _part(cell: str) -> Column:
     """What a row of a cell is shuffled by: the cell, and for cells of one value a salt in its lower digits."""
-    # Numbers of stored rows, so that no column is read, or travels, for the salt only.
-    salt = F.pmod(F.monotonically_increasing_id(), F.lit(SALTS)).cast("int")
+    salt = F.pmod("_row", F.lit(SALTS)).cast("int")
     return F.col(cell) * SALTS + F.when(F.col(cell) % 2 == 1, salt).otherwise(F.lit(0))
 
 
 def _rank_cells(rows: DataFrame, by: str, ranks: dict[str, str], cuts: DataFrame) -> DataFrame:
     columns = rows.columns
     values = sorted(set(ranks.values()))
+    # Salts come from the place of a row in its file: no column is read, or travels, for them only.
+    rows = rows.select("*", F.col("_metadata.row_index").alias("_row"))
     # At most 8 bytes per cell_rows rows of a large day and value; dropped before any shuffle.
     found = _with_upto(rows.join(F.broadcast(_with_lookup(cuts, values)), by, "left"), values)
     placed = found.select(
-        *columns, F.col(f"_cut_{values[0]}").isNotNull().alias("_large"), *(_cell(v).alias(f"_cell_{v}") for v in values)
+        *columns, "_row", F.col(f"_cut_{values[0]}").isNotNull().alias("_large"), *(_cell(v).alias(f"_cell_{v}") for v in values)
     )
     ranked = placed.select(*columns, *(_part(f"_cell_{v}").alias(f"_part_{v}") for v in values))
     for name, value in ranks.items():

@@ -106,3 +106,11 @@ def test_ranks_read_no_other_column_and_look_cells_up_without_lambdas(spark, tmp
     assert "_cut_v" in plan and "aggregate([" not in plan
     scans = have._jdf.queryExecution().sparkPlan().toString()
     assert "ReadSchema" in scans and "memo" not in scans
+
+
+def test_a_day_asked_for_is_asked_of_the_stored_rows(spark, tmp_path):
+    have = rank_within_day(frame(spark), {"rank": "v"}, cell_rows=7, staging=str(tmp_path / "s")).where(F.col("snapshot_date") == DAYS[1])
+    want = rank_within_day(frame(spark), {"rank": "v"}, method="window").where(F.col("snapshot_date") == DAYS[1])
+    assert rows_of(have.drop("v")) == rows_of(want.drop("v"))
+    scan = next(line for line in have._jdf.queryExecution().sparkPlan().toString().splitlines() if "coin_id" in line and "FileScan" in line)
+    assert "EqualTo(snapshot_date,2026-01-02)" in scan
