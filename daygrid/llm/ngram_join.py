@@ -3,12 +3,12 @@
 1. Every text becomes the set of its word shingles (64-bit hashes). Equal sets are one class from here on.
 2. A set with more than a quarter of shingles that no other set holds is linked to nothing. Such shingles are
    counted twice: in a fixed part of the hash space over all sets, then wholly over the sets that remain.
-   Two linked sets of at most n shingles share one of the n - ceil(0.75 n) + 1 rarest of either. These
-   are sent, packed, to buckets of shingles; classes of like size that meet become candidate components.
-3. Each candidate component is searched in one task, or in tasks for pairs of blocks if it is large.
+   Two linked sets of at most n shingles share one of the n - ceil(0.75 n) + 1 rarest of either, by the number of remaining
+   sets that hold them. These are sent, packed, to buckets of shingles; classes of like size that meet become candidate components.
+3. Each candidate component is searched in one task, or in tasks for pairs of blocks if it is large. A list that most
+   sets are on is turned round, so it names the others: sets that differ little have short lists only.
    A search counts the short inverted lists of a set in an array (no heap merge) and probes those that are long for its candidates
    by binary search. Every link between different sets is found and counted for both of its ends.
-Rarity only orders shingles, so it is taken from local counts; it decides the cost, never the result.
 """
 
 from __future__ import annotations
@@ -29,9 +29,12 @@ WORDS = 5
 NEAR, OF = 75, 100
 #: Word hashes a worker keeps.
 CACHE = 400_000
-#: Shingles a task reports as common occur in at least so many of its sets; so many go to the tasks, by level.
-LOCAL_COMMON, COMMON = 3, 500_000
-BUCKET_ENTRIES, COUNT_ENTRIES = 400_000, 1_500_000
+#: Shingles of a bucket, and shingles a task packs at once.
+BUCKET_ENTRIES, COUNT_ENTRIES, PACK_ENTRIES = 400_000, 1_500_000, 1_000_000
+#: Characters a word and its blank take about: decides the number of buckets only.
+WORD_CHARS = 6
+#: Levels of rarity for each doubling of the number of sets that hold a shingle.
+LEVELS = 8
 #: Part of the hash space in which shingles of one set only are first counted.
 FIRST_PART = 0.4
 BLOCK = 4_096
@@ -102,109 +105,175 @@ def _size_step(sizes: np.ndarray) -> np.ndarray:
     return np.floor(np.log(np.maximum(sizes, 1)) / np.log(OF / NEAR) + 1e-9).astype(np.int64)
 
 
-def _single_counts(docs: DataFrame, part: float, buckets: int) -> DataFrame:
-    """(name, singles): how many shingles in ``part`` of the hash space a class holds alone.
+def _dealt(number: np.ndarray, parts: int) -> Iterator[tuple[int, np.ndarray]]:
+    """(part, positions of the numbers that are in it) of the parts that have some; positions ascend."""
+    part = (number % np.uint64(parts)).astype(np.uint16 if parts <= 2**16 else np.int64)
+    order = np.argsort(part, kind="stable")
+    ends = np.cumsum(np.bincount(part, minlength=parts))
+    for i in np.unique(part):
+        yield int(i), order[ends[i - 1] if i else 0 : ends[i]]
+
+
+def _column(rows: pd.DataFrame, column: str, kind) -> np.ndarray:
+    return np.frombuffer(b"".join(rows[column]), kind)
+
+
+def _once(token: np.ndarray, owner: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Entries sorted by token and owner. One class may be in several tasks: its copies of a shingle are one."""
+    order = np.lexsort((owner, token))
+    token, owner = token[order], owner[order]
+    new = np.r_[True, (token[1:] != token[:-1]) | (owner[1:] != owner[:-1])]
+    return token[new], owner[new]
+
+
+def _survey(docs: DataFrame, buckets: int) -> DataFrame:
+    """A row (doc_id, n, name, mark) per row of ``docs``, and packed rows (bucket, tokens, owners) of ``FIRST_PART``.
 
     Shingles travel as 32 bits of their hash within a bucket; a clash only makes a single one count as shared.
     """
-    limit = np.uint64(min(int(part * 2**64), 2**64 - 1))
+    limit = np.uint64(int(FIRST_PART * 2**64))
+
+    def pack(tokens: list[np.ndarray], owners: list[int]) -> pd.DataFrame:
+        token = np.concatenate(tokens)
+        owner = np.repeat(np.array(owners, np.int64), [len(t) for t in tokens])
+        piece = ((token // np.uint64(buckets)) & np.uint64(0xFFFFFFFF)).astype(np.uint32)
+        rows = [(i, piece[at].tobytes(), owner[at].tobytes()) for i, at in _dealt(token, buckets)]
+        out = pd.DataFrame(rows, columns=["bucket", "tokens", "owners"])
+        none = pd.array([None] * len(out), "Int64")
+        return out.assign(doc_id=none, n=none, name=none, mark=None)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         shingle, seen = Shingler(), set()
+        tokens, owners, held = [], [], 0
         for batch in batches:
-            tokens, owners = [], []
+            sizes, names = [], []
             for text in batch["text"]:
                 found = shingle(text)
                 name = _class_of(found) if len(found) else None
+                sizes.append(len(found))
+                names.append(name)
                 if name is not None and name not in seen:
                     seen.add(name)
                     tokens.append(found[: np.searchsorted(found, limit, side="right")])
                     owners.append(name)
-            if not tokens:
-                continue
-            token = np.concatenate(tokens)
-            owner = np.repeat(np.array(owners, np.int64), [len(t) for t in tokens])
-            bucket = (token % np.uint64(buckets)).astype(np.int64)
-            order = np.argsort(bucket, kind="stable")
-            bounds = np.searchsorted(bucket[order], np.arange(buckets + 1))
-            piece = ((token // np.uint64(buckets)) & np.uint64(0xFFFFFFFF)).astype(np.uint32)
-            rows = []
-            for i in range(buckets):
-                at = order[bounds[i] : bounds[i + 1]]
-                if len(at):
-                    rows.append((i, piece[at].tobytes(), owner[at].tobytes()))
-            yield pd.DataFrame(rows, columns=["bucket", "tokens", "owners"])
+                    held += len(tokens[-1])
+            # Nullable integers from the start: a detour over floating point would change 64-bit names.
+            yield pd.DataFrame({
+                "doc_id": pd.array([None if pd.isna(v) else int(v) for v in batch["doc_id"]], "Int64"),
+                "n": pd.array(sizes, "Int64"), "name": pd.array(names, "Int64"), "mark": batch["mark"].to_numpy(),
+                "bucket": pd.array([None] * len(batch), "Int32"), "tokens": None, "owners": None,
+            })
+            if held >= PACK_ENTRIES:
+                yield pack(tokens, owners)
+                tokens, owners, held = [], [], 0
+        if tokens:
+            yield pack(tokens, owners)
+
+    columns = "doc_id long, n long, name long, mark binary, bucket int, tokens binary, owners binary"
+    return docs.mapInPandas(run, columns)
+
+
+def _single_counts(packed: DataFrame, parts: int) -> DataFrame:
+    """(name, singles): how many of the packed shingles a class holds alone."""
 
     def count(rows: pd.DataFrame) -> pd.DataFrame:
-        token = np.frombuffer(b"".join(rows["tokens"]), np.uint32)
-        owner = np.frombuffer(b"".join(rows["owners"]), np.int64)
-        # One class may be in several tasks: its copies of a shingle are one.
-        order = np.lexsort((owner, token))
-        token, owner = token[order], owner[order]
-        new = np.r_[True, (token[1:] != token[:-1]) | (owner[1:] != owner[:-1])]
-        token, owner = token[new], owner[new]
+        token, owner = _once(_column(rows, "tokens", np.uint32), _column(rows, "owners", np.int64))
         differs = np.r_[True, token[1:] != token[:-1], True]
         name, n = np.unique(owner[differs[:-1] & differs[1:]], return_counts=True)
-        part_of = name.view(np.uint64) % np.uint64(buckets)
-        order = np.argsort(part_of, kind="stable")
-        bounds = np.searchsorted(part_of[order], np.arange(buckets + 1).astype(np.uint64))
-        pieces = [(i, order[bounds[i] : bounds[i + 1]]) for i in range(buckets)]
-        rows = [(i, name[at].tobytes(), n[at].astype(np.int64).tobytes()) for i, at in pieces if len(at)]
+        rows = [(i, name[at].tobytes(), n[at].astype(np.int64).tobytes()) for i, at in _dealt(name.view(np.uint64), parts)]
         return pd.DataFrame(rows, columns=["part", "names", "counts"])
 
     def add(rows: pd.DataFrame) -> pd.DataFrame:
-        name, at = np.unique(np.frombuffer(b"".join(rows["names"]), np.int64), return_inverse=True)
+        name, at = np.unique(_column(rows, "names", np.int64), return_inverse=True)
         total = np.zeros(len(name), np.int64)
-        np.add.at(total, at, np.frombuffer(b"".join(rows["counts"]), np.int64))
+        np.add.at(total, at, _column(rows, "counts", np.int64))
         return pd.DataFrame({"name": name, "singles": total})
 
-    packed = docs.select("text").mapInPandas(run, "bucket int, tokens binary, owners binary")
     found = packed.groupBy("bucket").applyInPandas(count, "part int, names binary, counts binary")
     return found.groupBy("part").applyInPandas(add, "name long, singles long")
 
 
-def _without_loners(rows: DataFrame, part: float) -> DataFrame:
-    """``rows`` (first_id, name, n, copies, text) without sets whose own single shingles rule out every link."""
-    total = rows.agg(F.sum("n")).first()[0] or 0
-    singles = _single_counts(rows, part, max(8, int(part * total // COUNT_ENTRIES)))
-    joined = rows.join(singles, "name", "left")
-    kept = joined.where(F.coalesce("singles", F.lit(0)) <= F.floor(F.col("n") * (OF - NEAR) / OF))
-    return stage(kept.select("first_id", "name", "n", "copies", "text"), "ngram-rest")
-
+def _prefixes(rows: DataFrame, parts: int, buckets: int) -> DataFrame:
+    """Edges and packed (shingle, class, size step) entries by bucket: the rarest shingles of the classes of ``rows`` (text).
 
-def _prefixes(docs: DataFrame, common: np.ndarray, level: np.ndarray, buckets: int) -> DataFrame:
-    """Edges and packed (shingle, class, size step) entries by bucket; common shingles come last, by level."""
+    How many classes hold a shingle is counted wholly, so the order of rarity is one for all. Shingles that one class holds
+    alone come first; nothing meets there, and a class with too many of them is linked to nothing and has no entry.
+    Shingles of several classes travel on as 32 bits of their hash and their part; a clash only makes more classes meet.
+    """
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        shingle, seen = Shingler(), set()
+        shingle, tokens, held = Shingler(), {}, 0
+
+        def pack() -> pd.DataFrame:
+            names, token = np.array(list(tokens), np.int64), np.concatenate(list(tokens.values()))
+            number = np.repeat(np.arange(len(names)), [len(t) for t in tokens.values()])
+            rows = []
+            for i, at in _dealt(token, parts):
+                mine = number[at]
+                first = np.flatnonzero(np.r_[True, mine[1:] != mine[:-1]])
+                lengths = np.diff(np.r_[first, len(mine)]).astype(np.int32)
+                rows.append((i, token[at].tobytes(), names[mine[first]].tobytes(), lengths.tobytes()))
+            return pd.DataFrame(rows, columns=["bucket", "tokens", "names", "lengths"])
+
         for batch in batches:
-            tokens, owners, sizes = [], [], []
             for text in batch["text"]:
                 found = shingle(text)
-                if not len(found):
-                    continue
-                name = _class_of(found)
-                if name in seen:
-                    continue
-                seen.add(name)
-                n = len(found)
-                length = n - required(n) + 1
-                if len(common):
-                    at = np.minimum(np.searchsorted(common, found), len(common) - 1)
-                    rank = np.where(common[at] == found, level[at], np.uint8(0))
-                    found = found[np.argsort(rank, kind="stable")]
-                tokens.append(found[:length])
-                owners.append(name)
-                sizes.append(n)
-            if not tokens:
-                continue
-            lengths = [len(t) for t in tokens]
-            token = np.concatenate(tokens)
-            owner = np.repeat(np.array(owners, np.int64), lengths)
-            step = np.repeat(_size_step(np.array(sizes)), lengths)
-            yield from _rows(token, owner, step, buckets)
-
-    return docs.select("text").mapInPandas(run, "bucket int, tokens binary, owners binary, steps binary")
+                if len(found):
+                    held += len(found)
+                    tokens[_class_of(found)] = found
+            if held >= PACK_ENTRIES:
+                yield pack()
+                tokens, held = {}, 0
+        if tokens:
+            yield pack()
+
+    def count(rows: pd.DataFrame) -> pd.DataFrame:
+        token, owner = _once(
+            _column(rows, "tokens", np.uint64), np.repeat(_column(rows, "names", np.int64), _column(rows, "lengths", np.int32))
+        )
+        _, at, df = np.unique(token, return_inverse=True, return_counts=True)
+        level = np.floor(LEVELS * np.log2(df)).astype(np.uint8)[at]
+        order = np.argsort(owner, kind="stable")
+        token, owner, level = token[order], owner[order], level[order]
+        first = np.flatnonzero(np.r_[True, owner[1:] != owner[:-1]])
+        out, shared = [], level > 0
+        # Of shingles of one class only their number travels on.
+        lengths = np.add.reduceat(shared, first, dtype=np.int64)
+        singles = np.diff(np.r_[first, len(owner)]) - lengths
+        names, ends = owner[first], np.cumsum(lengths)
+        piece, level = ((token[shared] // np.uint64(parts)) & np.uint64(0xFFFFFFFF)).astype(np.uint32), level[shared]
+        for i, at in _dealt(names.view(np.uint64), parts):
+            mine = _ranges(ends[at] - lengths[at], lengths[at])
+            packed = names[at], lengths[at].astype(np.int32), singles[at].astype(np.int32), piece[mine], level[mine]
+            out.append((i, int(rows["bucket"].iloc[0]), *[x.tobytes() for x in packed]))
+        return pd.DataFrame(out, columns=["part", "bucket", "names", "lengths", "singles", "tokens", "levels"])
+
+    def choose(rows: pd.DataFrame) -> pd.DataFrame:
+        kinds = {"names": np.int64, "lengths": np.int32, "singles": np.int32, "tokens": np.uint32, "levels": np.uint8}
+        of = {column: _column(rows, column, kind) for column, kind in kinds.items()}
+        bucket = np.repeat(rows["bucket"].to_numpy(np.uint64), [len(levels) for levels in rows["levels"]])
+        token = (bucket << np.uint64(32)) | of["tokens"]
+        names, at = np.unique(of["names"], return_inverse=True)
+        size, single = np.zeros(len(names), np.int64), np.zeros(len(names), np.int64)
+        np.add.at(size, at, of["lengths"])
+        np.add.at(single, at, of["singles"])
+        owner = np.repeat(at, of["lengths"])
+        order = np.lexsort((token, of["levels"], owner))
+        n = size + single
+        kept = np.clip(n - required(n) + 1 - single, 0, size)
+        mine = order[_ranges(np.cumsum(size) - size, kept)]
+        return _rows(token[mine], np.repeat(names, kept), np.repeat(_size_step(n), kept), buckets)
+
+    packed = rows.select("text").mapInPandas(run, "bucket int, tokens binary, names binary, lengths binary")
+    counted = packed.groupBy("bucket").applyInPandas(
+        count, "part int, bucket int, names binary, lengths binary, singles binary, tokens binary, levels binary"
+    )
+    return counted.groupBy("part").applyInPandas(choose, "bucket int, tokens binary, owners binary, steps binary")
+
+
+def _ranges(begin: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """The positions of ranges, one behind the other."""
+    return np.arange(lengths.sum()) + np.repeat(begin - (np.cumsum(lengths) - lengths), lengths)
 
 
 def _joined(token: np.ndarray, owner: np.ndarray, step: np.ndarray):
@@ -213,26 +282,17 @@ def _joined(token: np.ndarray, owner: np.ndarray, step: np.ndarray):
     token, owner, step = token[order], owner[order], step[order]
     same = (token[1:] == token[:-1]) & (step[1:] == step[:-1])
     edges = (owner[:-1][same], owner[1:][same])
-    first = np.r_[True, ~same]
+    first = np.r_[True, ~same][: len(token)]
     return token[first], owner[first], step[first], edges
 
 
-def _rows(token, owner, step, buckets: int) -> Iterator[pd.DataFrame]:
+def _rows(token, owner, step, buckets: int) -> pd.DataFrame:
     token, owner, step, (a, b) = _joined(token, owner, step)
-    bucket = (token % np.uint64(buckets)).astype(np.int64)
-    order = np.argsort(bucket, kind="stable")
-    bounds = np.searchsorted(bucket[order], np.arange(buckets + 1))
-    rows = []
-    for i in range(buckets):
-        at = order[bounds[i] : bounds[i + 1]]
-        if len(at):
-            rows.append((i, token[at].tobytes(), owner[at].tobytes(), step[at].astype(np.int16).tobytes()))
+    rows = [(i, token[at].tobytes(), owner[at].tobytes(), step[at].astype(np.int16).tobytes()) for i, at in _dealt(token, buckets)]
     if len(a):
         a, b = star_edges(a, b)
-        part = np.abs(a) % buckets
-        for i in np.unique(part):
-            rows.append((int(i), None, a[part == i].tobytes(), b[part == i].tobytes()))
-    yield pd.DataFrame(rows, columns=["bucket", "tokens", "owners", "steps"])
+        rows += [(i, None, a[at].tobytes(), b[at].tobytes()) for i, at in _dealt(a.view(np.uint64), buckets)]
+    return pd.DataFrame(rows, columns=["bucket", "tokens", "owners", "steps"])
 
 
 def _meet(rows: pd.DataFrame) -> pd.DataFrame:
@@ -261,12 +321,34 @@ def _tally(tokens: np.ndarray, begin: np.ndarray, listed: np.ndarray, low: int,
     while at < len(tokens):
         stop = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + SLICE, side="right")))
         some, n = tokens[at:stop], lengths[at:stop]
-        owner = listed[np.arange(n.sum()) + np.repeat(begin[some] - (np.cumsum(n) - n), n)]
+        owner = listed[_ranges(begin[some], n)]
         counts += np.bincount(owner[(owner >= low) & (owner < high)] - low, minlength=high - low)
         at = stop
     return counts
 
 
+def _lists(keys: np.ndarray, df: np.ndarray, sets: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Inverted lists as sorted keys (shingle * sets + set), one behind the other, their lengths, and which are turned round.
+
+    A list that more than half of the sets are on is turned round: it names the sets that are not on it. Sorted keys
+    can be probed by binary search.
+    """
+    keys = np.sort(keys)
+    turned = 2 * df > sets
+    begin = np.r_[0, np.cumsum(df)]
+    kept = [keys[~turned[keys // sets]]]
+    of_turned = np.flatnonzero(turned)
+    step = max(1, SLICE // sets)
+    for at in range(0, len(of_turned), step):
+        some = of_turned[at : at + step]
+        off = np.ones((len(some), sets), bool)
+        on = keys[_ranges(begin[some], df[some])] % sets
+        off[np.repeat(np.arange(len(some)), df[some]), on] = False
+        row, named = np.nonzero(off)
+        kept.append(some[row] * sets + named)
+    return np.sort(np.concatenate(kept)), np.where(turned, sets - df, df), turned
+
+
 def divide_skip(
     sets: list[np.ndarray], names: np.ndarray, copies: np.ndarray | None = None, block: np.ndarray | None = None,
     whole: tuple[int, ...] = (), every: bool = True,
@@ -285,11 +367,14 @@ def divide_skip(
     sizes = np.array([len(s) for s in sets])
     owner = np.repeat(np.arange(len(sets)), sizes)
     _, token, df = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
-    # Inverted lists, one behind the other; keys are sorted, so a list can be probed by binary search.
-    keys = np.sort(token * len(sets) + owner)
+    keys, df, turned = _lists(token * len(sets) + owner, df, len(sets))
     begin = np.r_[0, np.cumsum(df)]
     listed = keys % len(sets)
-    bounds = np.r_[0, np.cumsum(sizes)]
+    order_of = np.argsort(listed, kind="stable")
+    lists = (keys // len(sets))[order_of]
+    bounds = np.r_[0, np.cumsum(np.bincount(listed, minlength=len(sets)))]
+    # How many of the turned lists name a set, so how many of their shingles it does not hold.
+    absent = np.bincount(listed[turned[keys // len(sets)]], minlength=len(sets))
     label = np.arange(len(sets))
     degree = np.zeros(len(sets), np.int64)
     for r in range(1, len(sets)):
@@ -298,15 +383,18 @@ def divide_skip(
         low = int(np.searchsorted(sizes, need))
         if low >= r:
             continue
-        mine = token[bounds[r] : bounds[r + 1]]
+        mine = lists[bounds[r] : bounds[r + 1]]
         mine = mine[np.argsort(df[mine], kind="stable")]
-        # A partner is on one of the shortest lists at least: need - 1 lists may be left out.
-        short, others = mine[: n - need + 1], mine[n - need + 1 :]
+        # Two sets share the shingles of turned lists, but those either does not hold; where neither does, both are named.
+        given = turned.sum() - absent[r] - absent[low:r]
+        # A partner is on so many of the lists at least: one fewer may be left out.
+        left = min(max(need - int(given.max()) - 1, 0), len(mine))
+        short, others = mine[: len(mine) - left], mine[len(mine) - left :]
         short = short[df[short] > 1]
-        if not len(short):
+        if left and not len(short):
             continue
-        counts = _tally(short, begin, listed, low, r)
-        found = np.flatnonzero(counts)
+        counts = given + _tally(short, begin, listed, low, r)
+        found = np.flatnonzero((OF + NEAR) * (counts + left) >= NEAR * (n + sizes[low:r]))
         if not every:
             found = found[label[low + found] != label[r]]
         if not len(found):
@@ -321,11 +409,15 @@ def divide_skip(
             overlap += (keys[np.minimum(np.searchsorted(keys, probe), len(keys) - 1)] == probe).sum(0)
         linked = low + found
         linked = linked[OF * overlap >= NEAR * (n + sizes[linked] - overlap)]
+        if not len(linked):
+            continue
         counted = linked[inside[r] | (block[linked] != block[r])]
         degree[r] += copies[counted].sum()
         degree[counted] += copies[r]
-        met = np.unique(np.append(label[linked], r))
-        label[np.isin(label, met)] = met[0]
+        met = np.unique(label[linked])
+        label[r] = met[0]
+        if len(met) > 1:
+            label[np.isin(label, met[1:])] = met[0]
     of_input = np.zeros(len(sets), np.int64)
     of_input[order] = degree
     # A star around the first set of each component.
@@ -333,56 +425,17 @@ def divide_skip(
     return links, of_input
 
 
-def _common(counted: DataFrame) -> tuple[np.ndarray, np.ndarray]:
-    """The shingles of the highest levels, at most COMMON, and their levels; sorted by shingle."""
-    counted = stage(counted, "ngram-common")
-    sizes = sorted(((r[0], r[1]) for r in counted.groupBy("level").count().collect()), reverse=True)
-    least, total = 64, 0
-    for value, n in sizes:
-        if total + n > COMMON:
-            break
-        least, total = value, total + n
-    kept = counted.where(F.col("level") >= least).toArrow()
-    token = kept.column("name").to_numpy().astype(np.int64).view(np.uint64)
-    order = np.argsort(token)
-    return token[order], kept.column("level").to_numpy().astype(np.uint8)[order]
-
-
 def _grouped(docs: DataFrame, count_links: bool) -> DataFrame:
     """Per row of ``docs`` (doc_id, text): doc_id, mark of the text, n_shingles, its group, the smallest doc_id there, links."""
     docs = docs.select("doc_id", "text", text_mark(F.col("text")).alias("mark"))
 
-    def survey(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        shingle, seen = Shingler(), set()
-        for batch in batches:
-            if batch.empty:
-                continue
-            rows, sets = [], []
-            for doc_id, text, mark in zip(batch["doc_id"], batch["text"], batch["mark"], strict=True):
-                found = shingle(text)
-                name = _class_of(found) if len(found) else None
-                rows.append((doc_id, len(found), name, None, mark))
-                if name is not None and name not in seen:
-                    seen.add(name)
-                    sets.append(found)
-            if sets:
-                value, n = np.unique(np.concatenate(sets), return_counts=True)
-                often = n >= LOCAL_COMMON
-                rows += [(None, int(c), int(v), True, None) for v, c in zip(value[often].view(np.int64), n[often], strict=True)]
-            # Nullable integers from the start: a detour over floating point would change 64-bit names.
-            columns = zip(("doc_id", "n", "name"), list(zip(*rows, strict=True))[:3], strict=False)
-            out = pd.DataFrame({c: pd.array([None if pd.isna(v) else int(v) for v in values], "Int64") for c, values in columns})
-            yield out.assign(common=pd.array([r[3] for r in rows], "boolean"), mark=[r[4] for r in rows])
-
-    columns = "doc_id long, n long, name long, common boolean, mark binary"
-    seen = stage(docs.mapInPandas(survey, columns), "ngram-classes")
-    members = seen.where("common IS NULL").select("doc_id", "n", "name", "mark")
-    common, level = _common(seen.where("common").groupBy("name").agg(F.floor(F.log2(F.sum("n"))).cast("int").alias("level")))
+    buckets = max(8, int(FIRST_PART * (docs.agg(F.sum(F.length("text"))).first()[0] or 0) // (WORD_CHARS * COUNT_ENTRIES)))
+    seen = stage(_survey(docs, buckets), "ngram-classes")
+    members = seen.where("bucket IS NULL").select("doc_id", "n", "name", "mark")
     classes = members.where("name IS NOT NULL").groupBy("name").agg(
         F.min(F.expr(_FIRST)).alias("first"), F.max("n").alias("n"), F.count("*").alias("copies")
     ).select("name", "first.doc_id", "first.mark", "n", "copies").withColumnsRenamed({"doc_id": "first_id", "mark": "first_mark"})
-    total = classes.agg(F.sum("n")).first()[0] or 0
-    singles = _single_counts(docs, FIRST_PART, max(8, int(FIRST_PART * total // COUNT_ENTRIES)))
+    singles = _single_counts(seen.where("bucket IS NOT NULL").select("bucket", "tokens", "owners"), buckets)
     able = classes.join(singles, "name", "left").where(
         F.coalesce("singles", F.lit(0)) <= F.floor(F.col("n") * (OF - NEAR) / OF)
     )
@@ -392,10 +445,10 @@ def _grouped(docs: DataFrame, count_links: bool) -> DataFrame:
     texts = docs.join(able, (F.col("doc_id") == F.col("first_id")) & one_text).unionByName(
         nameless.join(able.where("first_id IS NULL"), one_text)
     )
-    rest = _without_loners(stage(texts.select("first_id", "name", "n", "copies", "text"), "ngram-rest"), 1.0)
-    entries = rest.agg(F.sum(F.col("n") - F.ceil(F.col("n") * NEAR / OF) + 1)).first()[0] or 0
-    buckets = max(8, int(entries // BUCKET_ENTRIES))
-    met = _prefixes(rest, common, level, buckets).groupBy("bucket").applyInPandas(_meet, "a long, b long")
+    rest = stage(texts.select("first_id", "name", "n", "copies", "text"), "ngram-rest")
+    total, entries = rest.agg(F.sum("n"), F.sum(F.col("n") - F.ceil(F.col("n") * NEAR / OF) + 1)).first()
+    parts, buckets = max(8, int((total or 0) // COUNT_ENTRIES)), max(8, int((entries or 0) // BUCKET_ENTRIES))
+    met = _prefixes(rest, parts, buckets).groupBy("bucket").applyInPandas(_meet, "a long, b long")
     candidates = stage(components(stage(met, "ngram-candidates")), "ngram-components")
 
     blocks = candidates.groupBy("component").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
