@@ -27,10 +27,10 @@ from daygrid.llm.components import components, star_edges
 WORDS = 5
 #: Similarity as a fraction: 100 * intersection >= 75 * union.
 NEAR, OF = 75, 100
-#: Word hashes a worker keeps.
-CACHE = 400_000
+#: Bytes of the longest word that is hashed by table.
+LONG_WORD = 64
 #: Shingles of a bucket, and shingles a task packs at once.
-BUCKET_ENTRIES, COUNT_ENTRIES, PACK_ENTRIES = 400_000, 1_500_000, 1_000_000
+BUCKET_ENTRIES, COUNT_ENTRIES, PACK_ENTRIES = 400_000, 800_000, 500_000
 #: Characters a word and its blank take about: decides the number of buckets only.
 WORD_CHARS = 6
 #: Levels of rarity for each doubling of the number of sets that hold a shingle.
@@ -38,48 +38,59 @@ LEVELS = 8
 #: Part of the hash space in which shingles of one set only are first counted.
 FIRST_PART = 0.4
 BLOCK = 4_096
+#: Sets of small components that are searched in one call, and the least number of such calls.
+LOT, LOTS = 1_000, 512
 #: A list is probed, not merged, if it is so many times longer than the candidates; entries read at once.
 PROBE, SLICE = 16, 2_000_000
 _ODD = np.array([2 * int.from_bytes(hashlib.sha256(b"%d" % i).digest()[:7], "big") + 1 for i in range(WORDS + 64)], np.uint64)
+#: Bytes that belong to words, and a random number for each byte at each place of a word.
+_OF_WORD = ~np.isin(np.arange(256), list(b" \t\n\v\f\r"))
+_AT_PLACE = np.frombuffer(hashlib.shake_256(b"words").digest(LONG_WORD * 256 * 8), "<u8")
 
 
 class Shingler:
-    """Sorted distinct shingle hashes of texts; word hashes come from a bounded cache."""
+    """Sorted distinct shingle hashes of texts.
+
+    A word of at most ``LONG_WORD`` bytes is the sum of random numbers for its bytes at their places, a longer one is digested.
+    """
 
     def __init__(self, words: int = WORDS):
         self.words = words
-        self.cache: dict[bytes, int] = {}
-        self.hashes = np.zeros(1024, np.uint64)
-
-    def _learn(self, parts: list[bytes]) -> None:
-        if len(self.cache) > CACHE:
-            self.cache.clear()
-        new = [p for p in dict.fromkeys(parts) if p not in self.cache]
-        at = len(self.cache)
-        if at + len(new) > len(self.hashes):
-            self.hashes = np.concatenate([self.hashes, np.zeros(at + len(new), np.uint64)])
-        raw = b"".join([hashlib.blake2b(p, digest_size=8).digest() for p in new])
-        self.hashes[at : at + len(new)] = np.frombuffer(raw, "<u8")
-        self.cache.update(zip(new, range(at, at + len(new)), strict=True))
 
-    def __call__(self, text: str | None) -> np.ndarray:
+    def _word_hashes(self, text: str | None) -> np.ndarray:
         # Splits at blank, tab, line feed, vertical tab, form feed and carriage return; lowers A-Z only.
-        parts = (text or "").encode("utf-8").lower().split()
-        if not parts:
+        raw = np.frombuffer((text or "").encode("utf-8").lower(), np.uint8)
+        inside = _OF_WORD[raw]
+        letters = raw[inside]
+        if not len(letters):
             return np.zeros(0, np.uint64)
-        try:
-            at = np.fromiter(map(self.cache.__getitem__, parts), np.int64, len(parts))
-        except KeyError:
-            self._learn(parts)
-            at = np.fromiter(map(self.cache.__getitem__, parts), np.int64, len(parts))
-        hashes = self.hashes[at]
-        n = self.words
-        if len(parts) < n:
-            return _mix((hashes * _ODD[: len(parts)]).sum(keepdims=True) + np.uint64(len(parts)))
+        begins = inside.copy()
+        begins[1:] &= ~inside[:-1]
+        first = np.flatnonzero(begins[inside])
+        lengths = np.diff(np.append(first, len(letters)))
+        place = np.arange(len(letters)) - np.repeat(first, lengths)
+        long = np.flatnonzero(lengths > LONG_WORD)
+        if len(long):
+            np.minimum(place, LONG_WORD - 1, out=place)
+        hashes = np.add.reduceat(_AT_PLACE[place * 256 + letters], first)
+        for i in long:
+            word = letters[first[i] : first[i] + lengths[i]].tobytes()
+            hashes[i] = int.from_bytes(hashlib.blake2b(word, digest_size=8).digest(), "little")
+        return _mix(hashes)
+
+    def __call__(self, text: str | None) -> np.ndarray:
+        hashes, n = self._word_hashes(text), self.words
+        if not len(hashes):
+            return hashes
+        if len(hashes) < n:
+            return _mix((hashes * _ODD[: len(hashes)]).sum(keepdims=True) + np.uint64(len(hashes)))
         total = hashes[: len(hashes) - n + 1] * _ODD[0]
         for i in range(1, n):
-            total = total + hashes[i : len(hashes) - n + 1 + i] * _ODD[i]
-        return np.unique(_mix(total))
+            total += hashes[i : len(hashes) - n + 1 + i] * _ODD[i]
+        total = np.sort(_mix(total))
+        new = np.ones(len(total), bool)
+        np.not_equal(total[1:], total[:-1], out=new[1:])
+        return total[new]
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
@@ -463,30 +474,33 @@ def _grouped(docs: DataFrame, count_links: bool) -> DataFrame:
         )
     )
     spread = named.select("component", "name", "copies", "block", "blocks", "text", F.explode(pairs).alias("task"))
+    # Small components share a task's call; a pair of blocks has its own.
+    lots = max(LOTS, candidates.count() // LOT)
+    lot = F.when(F.col("blocks") == 1, F.pmod(F.hash("component"), F.lit(lots)).cast("string")).otherwise(F.concat_ws(":", "component", "task"))
 
     def search(group: pd.DataFrame) -> pd.DataFrame:
-        shingle = Shingler()
-        group = group.sort_values("name")
+        shingle, rows = Shingler(), []
+        names, of, copies, block = (group[c].to_numpy() for c in ("name", "component", "copies", "block"))
         sets = [shingle(t) for t in group["text"]]
+        order = np.lexsort((names, of))
+        order = order[[len(sets[i]) > 0 and _class_of(sets[i]) == names[i] for i in order]]
         # Rows that repeat doc_id and text are there more than once; one of them counts.
-        kept = [i for i, (s, n) in enumerate(zip(sets, group["name"], strict=True)) if len(s) and _class_of(s) == n]
-        names = group["name"].to_numpy()[kept]
-        _, first = np.unique(names, return_index=True)
-        if len(first) < 2:
-            return pd.DataFrame([], columns=["a", "b", "n"]).astype("Int64")
-        at = [kept[i] for i in first]
+        again = (names[order][1:] == names[order][:-1]) & (of[order][1:] == of[order][:-1])
         # A block meets every other. Its own links count where it meets the next one; the last block's where the one before does.
         ends = [int(e) for e in group["task"].iloc[0].split(":")]
         low, high, last = ends[0], ends[-1], int(group["blocks"].iloc[0]) - 1
         whole = () if high - low > 1 else (low, high) if high == last else (low,)
-        copies, block = group["copies"].to_numpy()[at], group["block"].to_numpy()[at]
-        links, degree = divide_skip([sets[i] for i in at], names[first], copies, block, whole, count_links)
-        rows = [(x, y, None) for x, y in links]
-        if count_links:
-            rows += [(int(name), None, int(n)) for name, n in zip(names[first], degree, strict=True) if n]
+        order = order[np.r_[True, ~again][: len(order)]]
+        for at in np.split(order, np.flatnonzero(of[order][1:] != of[order][:-1]) + 1):
+            if len(at) < 2:
+                continue
+            links, degree = divide_skip([sets[i] for i in at], names[at], copies[at], block[at], whole, count_links)
+            rows += [(x, y, None) for x, y in links]
+            if count_links:
+                rows += [(int(name), None, int(n)) for name, n in zip(names[at], degree, strict=True) if n]
         return pd.DataFrame({c: pd.array([r[i] for r in rows], "Int64") for i, c in enumerate(("a", "b", "n"))})
 
-    found = stage(spread.groupBy("component", "task").applyInPandas(search, "a long, b long, n long"), "ngram-links")
+    found = stage(spread.groupBy(lot.alias("lot")).applyInPandas(search, "a long, b long, n long"), "ngram-links")
     links = found.where("b IS NOT NULL").select("a", "b")
     groups = components(links)
     ids = groups.join(classes, groups.id == classes.name).select("name", "component", "first_id")
